@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one chunk of a Python worker holds at most (a single longer text is a chunk of its own).
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 24 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
