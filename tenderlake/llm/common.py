@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,7 @@ def units(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 class Pool:
     """Variable-length integer values of distinct keys, kept from chunk to chunk and forgotten beyond `most` keys.
 
-    make(keys) returns a list with a sequence of integers for each key.
+    make(keys) returns a list with a list of integers for each key.
     """
 
     def __init__(self, make, dtype, most: int = 250_000):
@@ -93,15 +94,19 @@ class Pool:
 
     def of(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """starts and lengths of each key's values, and the flat values."""
-        known = self.known
-        new = [k for k in keys if k not in known]
-        made = dict(zip(new, (np.asarray(v, dtype=self.dtype) for v in self.make(new)), strict=True)) if new else {}
-        got = [known[k] if k in known else made[k] for k in keys]
-        if len(known) + len(made) > self.most:
-            known.clear()
-        known.update((k, v) for k, v in made.items() if len(v) <= 64) if len(made) <= self.most else None
+        got = list(map(self.known.get, keys))
+        at = [i for i, v in enumerate(got) if v is None]
+        new = [keys[i] for i in at]
+        made = self.make(new) if new else []
+        for i, v in zip(at, made, strict=True):
+            got[i] = v
+        if len(self.known) + len(made) > self.most:
+            self.known.clear()
+        if len(made) <= self.most:
+            self.known.update((k, v) for k, v in zip(new, made, strict=True) if len(v) <= 64)
         lengths = np.fromiter(map(len, got), np.int64, len(got))
-        return np.cumsum(lengths) - lengths, lengths, np.concatenate(got) if got else np.zeros(0, self.dtype)
+        ends = np.cumsum(lengths)
+        return ends - lengths, lengths, np.fromiter(chain.from_iterable(got), self.dtype, int(ends[-1]) if len(ends) else 0)
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

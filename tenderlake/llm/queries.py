@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, linededup
+from . import bpe, chat, linededup, packing
 
 QUERIES = {
+    "op8_minimum_bin_slack": packing.op8_minimum_bin_slack,
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
     "op5_prefix_target": chat.op5_prefix_target,
     "op6_line_dedup": linededup.op6_line_dedup,
