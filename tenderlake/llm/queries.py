@@ -1,8 +1,10 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, linededup, packing
+from . import bpe, chat, langid, linededup, neardup, packing
 
 QUERIES = {
+    "op1_crf_language": langid.op1_crf_language,
+    "op7_minhash_hamming": neardup.op7_minhash_hamming,
     "op8_minimum_bin_slack": packing.op8_minimum_bin_slack,
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
     "op5_prefix_target": chat.op5_prefix_target,
@@ -10,6 +12,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op7_minhash_hamming": neardup.OP7_SQL,
     "op5_prefix_target": chat.OP5_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
 }
