@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, langid, linededup, neardup, packing, secrets
+from . import bpe, chat, langid, linededup, media, neardup, packing, secrets
 
 QUERIES = {
+    "op4_telephony_audio": media.op4_telephony_audio,
     "op10_secret_forest": secrets.op10_secret_forest,
     "op1_crf_language": langid.op1_crf_language,
     "op7_minhash_hamming": neardup.op7_minhash_hamming,
