@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 
 import numpy as np
@@ -28,7 +29,7 @@ import regex
 from .common import Pool, chunks, table, units
 
 #: Bounds of what a worker keeps; bytes after which a long piece is looked at for tokens that are settled.
-MOST_STATES, MOST_PAIRS, BLOCK = 150_000, 300_000, 1024
+MOST_STATES, MOST_PAIRS, BLOCK = 250_000, 300_000, 1024
 #: A space after one of these does not begin a piece of its own; such texts are split whole.
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] "
 
@@ -39,14 +40,25 @@ class Transducer:
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
             self.bytes_of[r] = t
-        self.begun = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # The trie of all tokens: child[node << 8 | byte], the token that a node is, and whether it goes on.
+        self.child: dict[int, int] = {}
+        self.token_at, self.inner = [-1], [True]
+        for t, r in ranks.items():
+            node = 0
+            for byte in t:
+                self.inner[node] = True
+                node = self.child.setdefault(node << 8 | byte, len(self.token_at))
+                if node == len(self.token_at):
+                    self.token_at.append(-1)
+                    self.inner.append(False)
+            self.token_at[node] = r
+        self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = ((-1, b""),)
-        self.numbers, self.states, self.moves = {start: 0}, [start], [{}]
+        """A state is a tuple of (the token before, plus 1) << 24 | trie node, the longest node first; moves[state << 8 | byte] is the next state << 24 | the token that ends."""
+        self.numbers, self.states, self.moves = {(0,): 0}, [(0,)], {}
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
         """The merges themselves: the adjacent pair of lowest rank first, the leftmost of equals; stops at `until` parts."""
@@ -79,11 +91,11 @@ class Transducer:
         at the border; had the two there met before that merge, theirs would have come first.
         Merges run from the left, so at equal ranks the left one was the earlier.
         """
-        known = self.pairs.get((a, b))
+        known = self.pairs.get(a << 24 | b)
         if known is None:
             if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._border_stays(a, b)
+            known = self.pairs[a << 24 | b] = self._border_stays(a, b)
         return known
 
     def _border_stays(self, left: int, right: int) -> bool:
@@ -103,34 +115,32 @@ class Transducer:
             else:
                 bound, right = right + 1, b[0]
 
-    def _move(self, state: int, byte: int) -> tuple[int, int] | None:
-        """The next state and the token that ends here; None where no sequence ends here."""
-        alive, ended, tail = [], -1, bytes((byte,))
-        for before, part in self.states[state]:
-            now = part + tail
+    def _move(self, state: int, byte: int) -> int:
+        alive, ended, child = [], -1, self.child
+        for way in self.states[state]:
+            node = child.get((way & 0xFFFFFF) << 8 | byte)
+            if node is None:
+                continue
             if ended < 0:
-                token = self.ranks.get(now)
-                if token is not None and self.may_follow(before, token):
+                token = self.token_at[node]
+                if token >= 0 and self.may_follow((way >> 24) - 1, token):
                     ended = token
-            if now in self.begun:
-                alive.append((before, now))
+            if self.inner[node]:
+                alive.append(way >> 24 << 24 | node)
         if ended < 0:
-            return None
-        alive.append((ended, b""))
+            raise ValueError("these ranks leave bytes without a token")
+        alive.append(ended + 1 << 24)
         key = tuple(alive)
         number = self.numbers.setdefault(key, len(self.states))
         if number == len(self.states):
             self.states.append(key)
-            self.moves.append({})
-        return number, ended
+        move = self.moves[state << 8 | byte] = number << 24 | ended
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         if (token := self.ranks.get(piece)) is not None:
             return [token]
-        out: list[int] = []
-        for some in self.stream(piece):
-            out += some
-        return out
+        return [t for some in self.stream(piece) for t in some]
 
     def stream(self, piece: bytes):
         """Yields lists of tokens, each as soon as no later byte can change them, looked at every BLOCK bytes."""
@@ -138,26 +148,22 @@ class Transducer:
             self._forget()
         state, moves, ends = 0, self.moves, []  # ends: the token that ends at each byte not yet emitted
         for byte in piece:
-            move = moves[state].get(byte)
+            move = moves.get(state << 8 | byte)
             if move is None:
                 move = self._move(state, byte)
-                if move is None:
-                    raise ValueError("these ranks leave bytes without a token")
-                moves[state][byte] = move
-            state, token = move
-            ends.append(token)
+            state = move >> 24
+            ends.append(move & 0xFFFFFF)
             if len(ends) >= BLOCK:
-                done = self._settled(ends, self.states[state])
+                here = self.states[state]
+                done = self._settled(ends, here)
                 if done:
                     yield self._back(ends, done)
                     ends = ends[done:]
                 if len(self.states) > MOST_STATES:
-                    here = self.states[state]
                     self._forget()
                     moves, state = self.moves, self.numbers.setdefault(here, len(self.states))
                     if state == len(self.states):
                         self.states.append(here)
-                        moves.append({})
         yield self._back(ends, len(ends))
 
     def _back(self, ends: list[int], to: int) -> list[int]:
@@ -169,11 +175,18 @@ class Transducer:
 
     def _settled(self, ends: list[int], state) -> int:
         """The last border that all tokens under way have before them."""
-        at = {len(ends) - len(part) for _, part in state}
+        at = {len(ends) - self._depths[way & 0xFFFFFF] for way in state}
         while len(at) > 1:
             far = max(at)
             at = at - {far} | {far - len(self.bytes_of[ends[far - 1]])}
-        return max(0, *at, 0)
+        return at.pop()
+
+    @functools.cached_property
+    def _depths(self) -> list[int]:
+        depths = [0] * len(self.token_at)
+        for key, node in self.child.items():
+            depths[node] = depths[key >> 8] + 1  # a node is made after its parent
+        return depths
 
 
 class Utf8Machine:
@@ -237,6 +250,9 @@ class Codec:
     def _encode_all(self, texts: list[str]) -> list[list[int]]:
         encode, split, known, out = self.transducer.encode, self.split, {}, []
         for text in texts:
+            if text[:1] == " " and text[1:].isalpha():  # one piece
+                out.append(encode(text.encode("utf-8")))
+                continue
             ids: list[int] = []
             for piece in split(text):
                 got = known.get(piece)
@@ -291,6 +307,7 @@ def round_trip(docs, doc_id: str, text: str, path: str, pattern: str):
 
     def run(batches):
         own = codec(path, pattern)
+        gc.disable()  # millions of short lists, none of them in a cycle
         for batch in batches:
             for part in chunks(batch, text):
                 rows = []

@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, langid, linededup, media, neardup, packing, secrets
+from . import bpe, chat, langid, linededup, media, neardup, packing, secrets, topk
 
 QUERIES = {
+    "op3_maxscore": topk.op3_maxscore,
     "op4_telephony_audio": media.op4_telephony_audio,
     "op10_secret_forest": secrets.op10_secret_forest,
     "op1_crf_language": langid.op1_crf_language,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_maxscore": topk.OP3_SQL,
     "op7_minhash_hamming": neardup.OP7_SQL,
     "op5_prefix_target": chat.OP5_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
