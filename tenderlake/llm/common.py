@@ -60,6 +60,16 @@ class Scratch:
             p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def hash_limit(share: float) -> int:
+    """The largest signed 64-bit hash that belongs to this share of all."""
+    return min((1 << 63) - 1, int((2 * share - 1) * (1 << 63)))
+
+
+def plain(col: pa.Array) -> pa.Array:
+    """A fresh large_string array without nulls: some kernels of Arrow misread slices."""
+    return pc.if_else(pc.is_valid(col), col.cast(pa.large_string()), "")
+
+
 def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batch of at most `limit` bytes of text each, whole rows only."""
     col = batch.column(batch.schema.get_field_index(text))
@@ -74,7 +84,7 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
 
 def units(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Codes of all units in order, the row offsets into them (len(col) + 1), and the distinct units."""
-    parts = pc.split_pattern(pc.fill_null(col.cast(pa.large_string()), ""), " ")
+    parts = pc.split_pattern(plain(col), " ")
     offsets = np.asarray(parts.offsets, dtype=np.int64)
     coded = pc.dictionary_encode(parts.flatten())
     if isinstance(coded, pa.ChunkedArray):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks, table
+from .common import Scratch, chunks, plain, table
 
 SYMBOLS, CHUNKS, SIGMAS = 96, 24, 4.9
 LONGS = SYMBOLS // 8
@@ -55,7 +55,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(col: pa.Array, width: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    low = pc.ascii_lower(pc.fill_null(col.cast(pa.large_string()), ""))
+    low = pc.ascii_lower(plain(col))
     parts = pc.ascii_split_whitespace(low)
     offsets = np.asarray(parts.offsets, dtype=np.int64)
     coded = pc.dictionary_encode(parts.flatten())
