@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, table, units
+from .common import chunks, hash_limit, table, units
 
 #: Bounds of the training sample and size of the model.
 DOCS, WINDOWS, WIDTH, LANGUAGES, LEXICON, WEIGHTS = 300, 3000, 24, 64, 4000, 1 << 17
@@ -220,7 +220,7 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str) -> list
     chosen = F.lit(False)
     for r in counts:  # twice as many as needed on average, then the first by hash
         share = min(1.0, 2 * DOCS / r[1])
-        chosen = chosen | ((F.col(lang) == r[0]) & (F.xxhash64(F.lit(3), doc_id) < int((share * 2 - 1) * (2**63 - 1))))
+        chosen = chosen | ((F.col(lang) == r[0]) & (F.xxhash64(F.lit(3), doc_id) <= hash_limit(share)))
     ranked = usable.where(chosen).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(F.lit(3), doc_id), text)))
 
     def cut(batches):
