@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, langid, linededup, media, neardup, packing, secrets, topk
+from . import bpe, chat, langid, linededup, media, neardup, packing, secrets, topk, warc
 
 QUERIES = {
+    "op2_revisit_resolution": warc.op2_revisit_resolution,
     "op3_maxscore": topk.op3_maxscore,
     "op4_telephony_audio": media.op4_telephony_audio,
     "op10_secret_forest": secrets.op10_secret_forest,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_revisit_resolution": warc.OP2_SQL,
     "op3_maxscore": topk.OP3_SQL,
     "op7_minhash_hamming": neardup.OP7_SQL,
     "op5_prefix_target": chat.OP5_SQL,
