@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import public_tokenizers
 import regex
 
-from .common import Pool, chunks, table, units
+from .common import Pool, chunks, plain, table, units
 
 #: Bounds of what a worker keeps; bytes after which a long piece is looked at for tokens that are settled.
 MOST_STATES, MOST_PAIRS, BLOCK = 250_000, 300_000, 1024
@@ -271,8 +271,8 @@ class Codec:
 
     def encode_column(self, col: pa.Array):
         """Yields the ids of each text, as an array, and their decimal form joined by commas."""
-        col = pc.fill_null(col.cast(pa.large_string()), "")
-        whole = np.asarray(pc.match_substring_regex(col, GAP).combine_chunks() if isinstance(col, pa.ChunkedArray) else pc.match_substring_regex(col, GAP))
+        col = plain(col)
+        whole = np.asarray(pc.match_substring_regex(col, GAP))
         codes, offsets, distinct = units(pc.if_else(pa.array(whole), "", col))
         names = distinct.to_pylist()
         # A unit that does not begin its text has the space before it.
