@@ -1,4 +1,503 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL.
+
+The driver's tables hold no procurement data and stand in for it: nation = jurisdiction, customer = buyer,
+order = procurement event or record, lineitem = bid, supplier = vendor, part = commodity, pages = portal
+pages, documents = attachments, events = observations.  Awards are synthetic (see operators/bidding.py).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tenderlake.functions import expr
+from tenderlake.operators import assemble, bidding, dedupe, documents, lineage, metrics, normalize
+from tenderlake.session import table
+from tenderlake.sources.records import parse_records
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+CUTOFF = "1997-01-01"
+
+
+def query(sql: str):
+    """Registers a function under its name, with the SQL that gives the same rows."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def bids(spark, sf_dir):
+    item, order, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    met = item.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    return met.select(F.col("l_orderkey").alias("event"), F.col("l_suppkey").alias("vendor"), F.col("o_custkey").alias("buyer"), F.col("l_partkey").alias("commodity"), F.col("p_type").alias("category"), F.col("l_extendedprice").alias("amount"), F.col("o_orderdate").alias("date"), F.col("l_linenumber").alias("line"))
+
+
+def awarded(spark, sf_dir):
+    return bidding.with_awards(bids(spark, sf_dir))
+
+
+BIDS = """b0 AS (
+  SELECT l_orderkey AS event, l_suppkey AS vendor, o_custkey AS buyer, l_partkey AS commodity, p_type AS category, l_extendedprice AS amount, o_orderdate AS date, l_linenumber AS line
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey),
+bids AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY amount, line, vendor, commodity) = 1 AS won FROM b0)"""
+
+# ---- records ----
+
+
+@query("SELECT c_custkey, substr(sha256(lower(trim(c_name)) || '::' || lower('RFP-' || c_custkey || '-' || trim(n_name))), 1, 16) AS canonical_id FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def i10_canonical_id(spark, sf_dir):
+    met = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return met.select("c_custkey", expr.canonical_id(F.concat(F.lit(" "), "c_name", F.lit("\t")), F.concat(F.lit("rfp-"), F.col("c_custkey").cast("string"), F.lit("-"), "n_name")).alias("canonical_id"))
+
+
+def _raw(spark, sf_dir):
+    """Raw JSON records from buyers: some fields blank, absent, null or wrong by fixed rules."""
+    met = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey")
+    put = lambda name, value: F.concat(F.lit(f', "{name}": '), value)
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    raw = F.concat(
+        F.lit('{"source_id": "C-'), k.cast("string"), F.lit('", "source_url": "https://example.invalid/'), k.cast("string"), F.lit('"'),
+        put("solicitation", text(F.concat(F.lit("RFP-"), k.cast("string")))),
+        put("title", F.when(k % 7 == 0, F.lit('""')).when(k % 17 == 0, F.lit("5")).otherwise(text(F.concat(F.lit("  "), "c_mktsegment", F.lit(" "))))),
+        F.when(k % 11 == 0, "").otherwise(put("agency", text(F.col("c_name")))),
+        put("jurisdiction", text(F.col("n_name"))), put("observed_at", F.lit('"2026-09-05T18:00:00Z"')),
+        F.when(k % 3 == 0, "").otherwise(put("status", F.when(k % 5 == 0, F.lit("null")).otherwise(F.lit('"open"')))),
+        F.when(k % 2 == 0, "").otherwise(put("confidence", F.when(k % 13 == 0, F.lit('"abc"')).otherwise(F.lit('"0.5"')))), F.lit("}"),
+    )
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return normalize.judged(parse_records(met.select(k.cast("string").alias("file"), raw.alias("text"))))
+
+
+RAW = """raw AS (
+  SELECT c_custkey AS k, c_name, c_mktsegment, CASE
+    WHEN c_custkey % 7 = 0 AND c_custkey % 11 = 0 THEN 'missing required fields: title, agency'
+    WHEN c_custkey % 7 = 0 THEN 'missing required fields: title'
+    WHEN c_custkey % 11 = 0 THEN 'missing required fields: agency'
+    WHEN c_custkey % 17 = 0 THEN 'wrong_type: title'
+    WHEN c_custkey % 2 = 1 AND c_custkey % 13 = 0 THEN 'invalid confidence' END AS error
+  FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
+
+
+@query(f"""WITH {RAW} SELECT CAST(k AS VARCHAR) AS file, error,
+  CASE WHEN error IS NULL THEN substr(sha256(lower(c_name) || '::' || lower('RFP-' || k)), 1, 16) END AS canonical_id,
+  CASE WHEN error IS NULL THEN c_mktsegment END AS title,
+  CASE WHEN error IS NULL THEN CASE WHEN k % 3 = 0 THEN 'unknown' WHEN k % 5 = 0 THEN NULL ELSE 'open' END END AS status,
+  CASE WHEN error IS NULL THEN CASE WHEN k % 2 = 0 THEN 1.0 ELSE 0.5 END END::DOUBLE AS confidence FROM raw""")
+def i07_normalize_split(spark, sf_dir):
+    good = F.col("error").isNull()
+    return _raw(spark, sf_dir).select("file", "error", *[F.when(good, F.col(c)).alias(c) for c in ("canonical_id", "title", "status", "confidence")])
+
+
+@query(f"WITH {RAW} SELECT count(*) FILTER (WHERE error IS NULL) AS normalized, count(*) FILTER (WHERE error IS NOT NULL) AS review FROM raw")
+def i23_split_counts(spark, sf_dir):
+    return normalize.split_counts(_raw(spark, sf_dir))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.status'), 'unknown') AS status FROM events")
+def i04_json_props(spark, sf_dir):
+    v = F.try_parse_json("props")
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(v, "$.k", "long").alias("k"), F.coalesce(F.try_variant_get(v, "$.status", "string"), F.lit("unknown")).alias("status"))
+
+
+@query("SELECT vec_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS pos, CAST(floor(1000 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS milli FROM embeddings")
+def i05_explode_records(spark, sf_dir):
+    one = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("p", "x"))
+    return one.select("vec_id", F.col("p").cast("long").alias("pos"), F.floor(F.col("x").cast("double") * 1000).alias("milli"))
+
+
+@query("SELECT c_name AS name, c_nationkey AS place FROM customer UNION ALL SELECT s_name, s_nationkey FROM supplier UNION ALL SELECT s_name, s_nationkey FROM supplier")
+def i06_bag_union(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("place"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("place"))
+    return c.unionByName(s).unionByName(s)
+
+
+# ---- duplicates and identities ----
+
+
+@query("SELECT sha256(text) AS content_hash, count(*) AS n_rows, min(doc_id) AS first_id, count(DISTINCT source) AS n_origins FROM documents GROUP BY 1 HAVING count(*) > 1")
+def s01_exact_duplicates(spark, sf_dir):
+    return dedupe.exact_duplicates(table(spark, sf_dir, "documents"), F.sha2("text", 256), "doc_id", "source")
+
+
+@query(r"""WITH c AS (SELECT min(doc_id) AS id, any_value(text) AS text FROM documents GROUP BY sha256(text)),
+w AS (SELECT id, string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') AS w FROM c),
+s AS (SELECT id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4])) ELSE [] END AS s FROM w),
+n AS (SELECT id, len(s) AS n FROM s), x AS (SELECT id, unnest(s) AS sh FROM s),
+y AS (SELECT * FROM x WHERE sh IN (SELECT sh FROM x GROUP BY sh HAVING count(*) > 1)),
+p AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS common FROM y a JOIN y b ON a.sh = b.sh AND a.id < b.id GROUP BY 1, 2)
+SELECT id_a, id_b, common, na.n + nb.n - common AS either FROM p JOIN n na ON na.id = id_a JOIN n nb ON nb.id = id_b WHERE 100 * common >= 80 * (na.n + nb.n - common)""")
+def s02_fuzzy_duplicates(spark, sf_dir):
+    return dedupe.fuzzy_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("SELECT sha256(text) AS content_hash, min(doc_id) AS kept_id, count(*) AS n_copies, string_agg(DISTINCT source, ',' ORDER BY source) AS origins FROM documents GROUP BY 1")
+def s10_content_dedupe(spark, sf_dir):
+    return dedupe.keep_first(table(spark, sf_dir, "documents"), F.sha2("text", 256), "doc_id", "source")
+
+
+@query("""WITH e AS (SELECT c_name AS entity, ltrim(lower(replace(c_name, 'Customer#', ''))) AS name, c_nationkey AS place FROM customer UNION ALL SELECT s_name, ltrim(lower(replace(s_name, 'Supplier#', ''))), s_nationkey FROM supplier)
+SELECT entity, min(entity) OVER (PARTITION BY name, place) AS resolved, count(*) OVER (PARTITION BY name, place) AS n_aliases,
+  CASE WHEN count(*) OVER (PARTITION BY name, place) > 1 THEN 'resolved' WHEN count(*) OVER (PARTITION BY name) > 1 THEN 'review' ELSE 'single' END AS verdict FROM e""")
+def s23_vendor_resolution(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("entity"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("place"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("entity"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("place"))
+    return dedupe.resolve_identities(c.unionByName(s))
+
+
+# ---- metrics ----
+
+
+def _labelled(spark, sf_dir):
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+@query("""WITH d AS (SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id)),
+u AS (SELECT 'text' AS field, count(text) AS filled, count(*) AS total FROM d UNION ALL SELECT 'lang', count(lang), count(*) FROM d UNION ALL SELECT 'quality', count(quality), count(*) FROM d UNION ALL SELECT 'toxic', count(toxic), count(*) FROM d)
+SELECT field, filled, total, round(filled / total, 6) AS share FROM u""")
+def s04_completeness(spark, sf_dir):
+    return metrics.completeness(_labelled(spark, sf_dir), ["text", "lang", "quality", "toxic"])
+
+
+@query("SELECT event_type AS source, max(ts) AS latest, date_diff('day', CAST(max(ts) AS DATE), DATE '2025-01-01') AS age_days FROM events GROUP BY 1")
+def s05_freshness(spark, sf_dir):
+    return metrics.freshness(table(spark, sf_dir, "events"), "event_type", "ts", "2025-01-01")
+
+
+@query("SELECT CASE WHEN event_type = 'error' THEN 'error ' || CAST(json_extract_string(props, '$.k') AS BIGINT) // 10 ELSE 'none' END AS reason, count(*) AS n FROM events GROUP BY 1")
+def s06_failure_counts(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("long")
+    return metrics.counts_by(table(spark, sf_dir, "events"), F.when(F.col("event_type") == "error", F.concat(F.lit("error "), F.floor(k / 10).cast("string"))).otherwise("none"))
+
+
+@query("SELECT source, count(*) AS n, count(DISTINCT lang) AS n_langs, min(doc_id) AS first_id, max(doc_id) AS last_id, count(quality) AS n_labelled FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source")
+def s33_source_coverage(spark, sf_dir):
+    return _labelled(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("n_langs"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("quality").alias("n_labelled"))
+
+
+@query("SELECT source AS grp, count(*) AS n, count(quality) AS n_ok, round(count(quality) / count(*), 6) AS rate, count(quality) >= 0.95 * count(*) AS passed FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def s36_acquisition_gate(spark, sf_dir):
+    return metrics.gate(_labelled(spark, sf_dir), "source", F.col("quality").isNotNull(), 0.95)
+
+
+@query("""WITH q AS (SELECT contains(text, '!!') OR contains(text, '$$$') AS said, quality = 0 AS bad FROM documents JOIN labels USING (doc_id)),
+c AS (SELECT count(*) FILTER (WHERE said AND bad) AS tp, count(*) FILTER (WHERE said AND NOT bad) AS fp, count(*) FILTER (WHERE NOT said AND bad) AS fn FROM q)
+SELECT tp, fp, fn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall FROM c""")
+def s37_extraction_quality(spark, sf_dir):
+    met = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return metrics.quality(met, F.contains("text", F.lit("!!")) | F.contains("text", F.lit("$$$")), F.col("quality") == 0)
+
+
+def _rules():
+    return {"price_positive": F.col("o_totalprice") > 0, "price_below_400k": F.col("o_totalprice") < 400000, "status_known": F.col("o_orderstatus").isin("F", "O", "P"), "buyer_known": F.col("c_custkey").isNotNull()}
+
+
+@query("""WITH o AS (SELECT orders.*, c_custkey FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
+SELECT 'price_positive' AS rule, count(*) AS checked, count(*) FILTER (WHERE NOT coalesce(o_totalprice > 0, false)) AS broken FROM o
+UNION ALL SELECT 'price_below_400k', count(*), count(*) FILTER (WHERE NOT coalesce(o_totalprice < 400000, false)) FROM o
+UNION ALL SELECT 'status_known', count(*), count(*) FILTER (WHERE NOT coalesce(o_orderstatus IN ('F', 'O', 'P'), false)) FROM o
+UNION ALL SELECT 'buyer_known', count(*), count(*) FILTER (WHERE c_custkey IS NULL) FROM o""")
+def s38_validation_report(spark, sf_dir):
+    met = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return metrics.validation_report(met, _rules())
+
+
+@query("SELECT o_orderkey AS id, 'price_below_400k' AS rule FROM orders WHERE NOT coalesce(o_totalprice < 400000, false)")
+def s38_violations(spark, sf_dir):
+    met = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return metrics.violations(met, "o_orderkey", _rules())
+
+
+@query("""SELECT 'events' AS gate, count(*) AS n, count(*) >= 30 AS passed FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+UNION ALL SELECT 'observations', count(*), count(*) >= 100 FROM lineitem UNION ALL SELECT 'vendors', count(DISTINCT l_suppkey), count(DISTINCT l_suppkey) >= 25 FROM lineitem
+UNION ALL SELECT 'held_out', count(*), count(*) >= 10 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""")
+def s44_volume_gates(spark, sf_dir):
+    old = F.col("date") < F.lit(CUTOFF).cast("timestamp")
+    order, item = table(spark, sf_dir, "orders").withColumn("date", F.col("o_orderdate")), table(spark, sf_dir, "lineitem")
+    a = order.agg(F.count_if(old).alias("events"), F.count_if(~old).alias("held_out"))
+    b = item.agg(F.count(F.lit(1)).alias("observations"), F.count_distinct("l_suppkey").alias("vendors"))
+    least = {"events": 30, "observations": 100, "vendors": 25, "held_out": 10}
+    rows = [x.unpivot([], [c for c in x.columns], "gate", "n") for x in (a, b)]
+    need = F.create_map(*[F.lit(v) for kv in least.items() for v in kv])[F.col("gate")]
+    return rows[0].unionByName(rows[1]).withColumn("passed", F.col("n") >= need)
+
+
+# ---- documents ----
+
+
+@query("""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS h FROM pages)
+SELECT page_id AS id, CAST(unnest(range(len(h))) AS BIGINT) AS pos, unnest(h) AS href FROM l""")
+def s08_link_enumeration(spark, sf_dir):
+    return documents.links(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@query("""SELECT page_id, CASE WHEN html IS NULL THEN 'missing' WHEN strlen(html) < 1000 THEN 'too_small' WHEN strlen(html) > 10000 THEN 'too_large' WHEN lower(substr(html, 1, 9)) <> '<!doctype' THEN 'bad_signature' ELSE 'ok' END AS verdict FROM pages""")
+def s09_fetch_validation(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", documents.fetch_verdict(F.col("html"), 1000, 10000, "<!doctype").alias("verdict"))
+
+
+@query("SELECT coalesce(CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END, 'not_attempted') AS reason, count(*) AS n FROM (SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id)) WHERE quality IS NOT NULL GROUP BY 1 UNION ALL SELECT 'not_attempted', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def s11_outcomes(spark, sf_dir):
+    said = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("outcome"))
+    return metrics.counts_by(documents.with_outcomes(table(spark, sf_dir, "documents"), said, "doc_id", "outcome"), F.col("status"))
+
+
+@query("SELECT doc_id AS id, CAST(unnest(range(len(string_split(text, chr(10))))) + 1 AS BIGINT) AS page_no, sha256(unnest(string_split(text, chr(10)))) AS page_hash FROM documents")
+def s13_page_texts(spark, sf_dir):
+    return documents.page_texts(table(spark, sf_dir, "documents"), "doc_id", "text").select("id", "page_no", F.sha2("text", 256).alias("page_hash"))
+
+
+@query("""WITH a AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS w FROM benchmark),
+ra AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(1, len(w) - 6)), lambda i: array_to_string(w[i:i+7], ' '))) AS run FROM a),
+rb AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(1, len(w) - 6)), lambda i: array_to_string(w[i:i+7], ' '))) AS run FROM b)
+SELECT ra.id AS doc_id, rb.id AS item_id, count(*) AS hits FROM ra JOIN rb USING (run) GROUP BY 1, 2""")
+def s17_reference_mining(spark, sf_dir):
+    return documents.references(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
+@query("SELECT doc_id, quality, doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 1000) AS cited FROM labels")
+def s49_evidence_integrity(spark, sf_dir):
+    return documents.cited(table(spark, sf_dir, "labels").select("doc_id", "quality"), table(spark, sf_dir, "documents").where("n_chars >= 1000"), "doc_id")
+
+
+# ---- lineage ----
+
+
+@query("""SELECT o_custkey AS parent, o_orderkey AS record, row_number() OVER w AS version, first_value(o_orderkey) OVER w AS original,
+  last_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS latest
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
+def s03_amendment_latest(spark, sf_dir):
+    return lineage.amendments(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey")
+
+
+@query("""WITH p AS (SELECT a.o_orderkey AS record, b.o_orderkey AS predecessor, a.o_orderpriority = b.o_orderpriority AS pr, a.o_orderstatus = b.o_orderstatus AS st,
+  date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE)) AS d, abs(a.o_totalprice - b.o_totalprice) <= 0.1 * a.o_totalprice AS am
+  FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey),
+s AS (SELECT *, CAST(CASE WHEN pr THEN 2 ELSE 0 END + CASE WHEN st THEN 1 ELSE 0 END + CASE WHEN d <= 90 THEN 1 ELSE 0 END + CASE WHEN am THEN 2 ELSE 0 END AS BIGINT) AS score FROM p WHERE d > 0 AND d <= 365)
+SELECT record, predecessor, score, concat_ws(',', CASE WHEN pr THEN 'priority' END, CASE WHEN st THEN 'status' END, CASE WHEN d <= 90 THEN 'near' END, CASE WHEN am THEN 'amount' END) AS signals FROM s WHERE score >= 3""")
+def s16_lineage_score(spark, sf_dir):
+    c = F.col
+    signals = {"priority": (2, c("a_o_orderpriority") == c("b_o_orderpriority")), "status": (1, c("a_o_orderstatus") == c("b_o_orderstatus")), "near": (1, F.datediff("a_o_orderdate", "b_o_orderdate") <= 90), "amount": (2, F.abs(c("a_o_totalprice") - c("b_o_totalprice")) <= 0.1 * c("a_o_totalprice"))}
+    return lineage.scored_links(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderdate", signals, 3, 365)
+
+
+@query("""WITH RECURSIVE e AS (SELECT o_orderkey AS node, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS parent FROM orders),
+r(node, root, depth) AS (SELECT node, node, 0 FROM e WHERE parent IS NULL UNION ALL SELECT e.node, r.root, r.depth + 1 FROM r JOIN e ON e.parent = r.node)
+SELECT node, root, CAST(depth AS BIGINT) AS depth FROM r""")
+def s18_lineage_chain(spark, sf_dir):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return lineage.chains(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("node"), F.lag("o_orderkey").over(w).alias("parent")))
+
+
+@query("""SELECT c_custkey AS target, 'orders' AS sources, '1995-01-01/1995-06-30' AS date_range, 'no match in searched sources' AS result FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-07-01')""")
+def s19_no_match_trace(spark, sf_dir):
+    window = table(spark, sf_dir, "orders").where("o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-07-01'")
+    return lineage.no_match_trace(table(spark, sf_dir, "customer"), "c_custkey", window, "o_custkey", {"sources": "orders", "date_range": "1995-01-01/1995-06-30"})
+
+
+@query("""WITH v AS (SELECT o_orderkey AS record, lag(o_orderkey) OVER w AS predecessor, o_orderstatus AS s, lag(o_orderstatus) OVER w AS s0, o_orderpriority AS p, lag(o_orderpriority) OVER w AS p0 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
+SELECT record, predecessor, 'status' AS field, s0 AS old, s AS new FROM v WHERE predecessor IS NOT NULL AND s IS DISTINCT FROM s0
+UNION ALL SELECT record, predecessor, 'priority', p0, p FROM v WHERE predecessor IS NOT NULL AND p IS DISTINCT FROM p0""")
+def s48_predecessor_diff(spark, sf_dir):
+    return lineage.version_changes(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")})
+
+
+# ---- participation and profiles ----
+
+ROLE = {"A": "awardee", "R": "respondent"}
+
+
+@query("""SELECT l_orderkey AS event, l_suppkey AS vendor, CASE l_returnflag WHEN 'A' THEN 'awardee' WHEN 'R' THEN 'respondent' ELSE 'unknown' END AS participation, l_extendedprice AS amount, o_orderdate AS event_date, 'observed' AS evidence
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey UNION ALL SELECT o_orderkey, NULL, 'planholder', NULL, o_orderdate, 'derived' FROM orders WHERE o_orderstatus = 'P'""")
+def s20_bidder_events(spark, sf_dir):
+    order = table(spark, sf_dir, "orders")
+    role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
+    seen = table(spark, sf_dir, "lineitem").join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("event"), F.col("l_suppkey").alias("vendor"), F.coalesce(F.try_element_at(role, F.col("l_returnflag")), F.lit("unknown")).alias("participation"), F.col("l_extendedprice").alias("amount"), F.col("o_orderdate").alias("event_date"), F.lit("observed").alias("evidence"))
+    held = order.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("event"), F.lit("planholder").alias("participation"), F.col("o_orderdate").alias("event_date"), F.lit("derived").alias("evidence"))
+    return seen.unionByName(held, allowMissingColumns=True)
+
+
+@query("SELECT CASE l_returnflag WHEN 'A' THEN 'awardee' WHEN 'R' THEN 'respondent' ELSE 'unknown' END AS reason, count(*) AS n FROM lineitem GROUP BY 1")
+def s21_participation_counts(spark, sf_dir):
+    role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
+    return metrics.counts_by(table(spark, sf_dir, "lineitem"), F.coalesce(F.try_element_at(role, F.col("l_returnflag")), F.lit("unknown")))
+
+
+@query(f"""WITH {BIDS} SELECT vendor, count(*) AS n_bids, count(*) FILTER (WHERE won) AS n_wins, CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE won) AS DOUBLE) AS won_value, median(amount) AS typical_amount,
+  min(date) AS first_seen, max(date) AS last_seen, count(DISTINCT buyer) AS n_buyers, string_agg(DISTINCT category, ',' ORDER BY category) AS categories, count(*) FILTER (WHERE NOT won) AS n_losses FROM bids GROUP BY vendor""")
+def s24_vendor_profiles(spark, sf_dir):
+    return bidding.vendor_profiles(awarded(spark, sf_dir))
+
+
+@query("SELECT l_orderkey AS event, count(DISTINCT l_suppkey) AS n_known FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
+def s25_known_bidders(spark, sf_dir):
+    official = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    known = table(spark, sf_dir, "lineitem").join(official, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    return known.groupBy(F.col("l_orderkey").alias("event")).agg(F.count_distinct("l_suppkey").alias("n_known"))
+
+
+@query(f"""WITH {BIDS} SELECT buyer, arg_max(vendor, (date, event)) AS incumbent, max(date) AS awarded FROM bids WHERE won AND date < TIMESTAMP '{CUTOFF}' GROUP BY buyer""")
+def s28_incumbent_asof(spark, sf_dir):
+    return bidding.incumbents(awarded(spark, sf_dir), CUTOFF)
+
+
+@query(f"""WITH {BIDS}, a AS (SELECT event, vendor, sum(CAST(amount AS DECIMAL(18,2))) AS a FROM bids GROUP BY 1, 2), s AS (SELECT event, pow(CAST(a AS DOUBLE) / CAST(sum(a) OVER (PARTITION BY event) AS DOUBLE), 2) AS s2 FROM a)
+SELECT event, count(*) AS n_bidders, round(sum(s2), 6) AS concentration FROM s GROUP BY event""")
+def s29_intensity(spark, sf_dir):
+    return bidding.intensity(bids(spark, sf_dir))
+
+
+@query(f"""WITH {BIDS}, a AS (SELECT c_nationkey AS agency, vendor, sum(CAST(amount AS DECIMAL(18,2))) AS a FROM bids JOIN customer ON c_custkey = buyer GROUP BY 1, 2)
+SELECT agency, vendor, CAST(a AS DOUBLE) AS spent, round(CAST(a AS DOUBLE) / CAST(sum(a) OVER (PARTITION BY agency) AS DOUBLE), 6) AS share FROM a""")
+def s47_agency_share(spark, sf_dir):
+    met = bids(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("buyer") == F.col("c_custkey"))
+    one = met.groupBy(F.col("c_nationkey").alias("agency"), "vendor").agg(F.sum(bidding.money("amount")).alias("a"))
+    total = F.sum("a").over(Window.partitionBy("agency"))
+    return one.select("agency", "vendor", F.col("a").cast("double").alias("spent"), F.round(F.col("a").cast("double") / total.cast("double"), 6).alias("share"))
+
+
+@query(f"WITH {BIDS} SELECT event, vendor, line, amount, rank() OVER (PARTITION BY event ORDER BY amount) AS bid_rank FROM bids")
+def s52_bid_rank(spark, sf_dir):
+    return bids(spark, sf_dir).select("event", "vendor", "line", "amount", F.rank().over(Window.partitionBy("event").orderBy("amount")).cast("long").alias("bid_rank"))
+
+
+# ---- predictions ----
+
+LIKELY = f"""{BIDS}, h AS (SELECT buyer, vendor, 3 * least(count(*), 5) AS same_buyer, 5 * least(count(*) FILTER (WHERE won), 5) AS same_buyer_wins, 2 * max(CASE WHEN date >= TIMESTAMP '{CUTOFF}' - INTERVAL 365 DAYS THEN 1 ELSE 0 END) AS recent FROM bids WHERE date < TIMESTAMP '{CUTOFF}' GROUP BY 1, 2),
+r AS (SELECT *, same_buyer + same_buyer_wins + recent AS score, row_number() OVER (PARTITION BY buyer ORDER BY same_buyer + same_buyer_wins + recent DESC, vendor) AS place FROM h),
+likely AS (SELECT e.event, r.vendor, r.same_buyer, r.same_buyer_wins, CAST(r.recent AS BIGINT) AS recent, CAST(r.score AS BIGINT) AS score, r.place FROM (SELECT DISTINCT event, buyer FROM bids WHERE date >= TIMESTAMP '{CUTOFF}') e JOIN r ON r.buyer = e.buyer WHERE r.place <= 5)"""
+
+
+def _likely(spark, sf_dir):
+    return bidding.likely_bidders(awarded(spark, sf_dir), CUTOFF)
+
+
+@query(f"WITH {LIKELY} SELECT * FROM likely")
+def s26_likely_bidders(spark, sf_dir):
+    return _likely(spark, sf_dir)
+
+
+@query(f"""WITH {LIKELY} SELECT event, vendor, concat_ws(',', CASE WHEN same_buyer > 0 THEN 'same_buyer' END, CASE WHEN same_buyer_wins > 0 THEN 'same_buyer_wins' END, CASE WHEN recent > 0 THEN 'recent' END) AS supporting,
+  concat_ws(',', CASE WHEN same_buyer = 0 THEN 'same_buyer' END, CASE WHEN same_buyer_wins = 0 THEN 'same_buyer_wins' END, CASE WHEN recent = 0 THEN 'recent' END) AS weakening FROM likely""")
+def s31_factors(spark, sf_dir):
+    return bidding.factors(_likely(spark, sf_dir))
+
+
+@query(f"""WITH {BIDS}, i AS (SELECT DISTINCT event, commodity FROM bids), n AS (SELECT event, count(*) AS n FROM i GROUP BY 1),
+a AS (SELECT i.* FROM i WHERE event IN (SELECT event FROM bids WHERE date >= TIMESTAMP '2001-07-01')),
+m AS (SELECT a.event, i.event AS other, count(*) AS common FROM a JOIN i ON i.commodity = a.commodity AND i.event <> a.event GROUP BY 1, 2),
+s AS (SELECT m.*, x.n + y.n - common AS either FROM m JOIN n x ON x.event = m.event JOIN n y ON y.event = m.other),
+r AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY (common / either) DESC, other) AS place FROM s)
+SELECT event, other AS similar, common, either, place FROM r WHERE place <= 3""")
+def s27_similar_events(spark, sf_dir):
+    b = bids(spark, sf_dir)
+    return bidding.similar_events(b, b.where("date >= TIMESTAMP '2001-07-01'").select("event").distinct())
+
+
+PRIMES = """f AS (SELECT vendor, count(*) FILTER (WHERE won) AS n_wins, count(DISTINCT buyer) AS n_buyers, max(date) AS last_seen, median(amount) AS typical_amount FROM bids GROUP BY vendor),
+g AS (SELECT vendor, (n_wins >= 10)::INT + (n_buyers >= 50)::INT + (last_seen >= TIMESTAMP '2001-01-01')::INT + (typical_amount >= 30000)::INT AS n_evidence,
+  concat_ws(',', CASE WHEN n_wins >= 10 THEN 'prime_awards' END, CASE WHEN n_buyers >= 50 THEN 'many_buyers' END, CASE WHEN last_seen >= TIMESTAMP '2001-01-01' THEN 'recent' END, CASE WHEN typical_amount >= 30000 THEN 'comparable_value' END) AS evidence FROM f),
+primes AS (SELECT vendor, evidence, CAST(n_evidence AS BIGINT) AS n_evidence FROM g WHERE n_evidence >= 3 AND vendor NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0))"""
+
+
+def _primes(spark, sf_dir):
+    c = F.col
+    rules = {"prime_awards": c("n_wins") >= 10, "many_buyers": c("n_buyers") >= 50, "recent": c("last_seen") >= F.lit("2001-01-01").cast("timestamp"), "comparable_value": c("typical_amount") >= 30000}
+    barred = table(spark, sf_dir, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("vendor"))
+    return bidding.prime_candidates(bidding.vendor_profiles(awarded(spark, sf_dir)), rules, 3, barred)
+
+
+@query(f"WITH {BIDS}, {PRIMES} SELECT * FROM primes")
+def s30_prime_candidates(spark, sf_dir):
+    return _primes(spark, sf_dir)
+
+
+@query(f"WITH {LIKELY}, {PRIMES} SELECT vendor FROM likely INTERSECT SELECT vendor FROM primes")
+def s46_teaming_overlap(spark, sf_dir):
+    return _likely(spark, sf_dir).select("vendor").intersect(_primes(spark, sf_dir).select("vendor"))
+
+
+@query(f"""WITH {LIKELY}, a AS (SELECT DISTINCT event, vendor FROM bids WHERE event IN (SELECT event FROM likely)), hit AS (SELECT likely.*, (a.vendor IS NOT NULL)::INT AS hit FROM likely LEFT JOIN a ON a.event = likely.event AND a.vendor = likely.vendor)
+SELECT count(DISTINCT event) AS n_events, round(sum(hit) FILTER (WHERE place <= 3) / (count(DISTINCT event) * 3), 6) AS precision_at_3, round(sum(hit) FILTER (WHERE place <= 5) / (count(DISTINCT event) * 5), 6) AS precision_at_5, round(sum(hit) / (SELECT count(*) FROM a), 6) AS coverage FROM hit""")
+def s34_precision_at_k(spark, sf_dir):
+    b = awarded(spark, sf_dir)
+    return bidding.precision_at(bidding.likely_bidders(b, CUTOFF), b)
+
+
+@query(f"SELECT CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'held_out' END AS part, count(*) AS n, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders GROUP BY 1")
+def s35_holdout_split(spark, sf_dir):
+    part = F.when(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp"), "train").otherwise("held_out")
+    return table(spark, sf_dir, "orders").groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
+
+
+@query("""WITH s AS (SELECT l_suppkey AS vendor, list_distinct(list(p_type)) AS types FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity >= 49 GROUP BY 1)
+SELECT vendor, len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) AS n_met, len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) = 3 AS compatible, least(CAST(len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) AS BIGINT), 2) AS weight FROM s""")
+def s53_certification(spark, sf_dir):
+    met = table(spark, sf_dir, "lineitem").where("l_quantity >= 49").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return assemble.certification(met.select(F.col("l_suppkey").alias("vendor"), F.col("p_type").alias("held")), ["ECONOMY", "PROMO", "STANDARD"], 2)
+
+
+# ---- assembly ----
+
+
+@query("""WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS side FROM events),
+p AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS portal_value, max(ts) AS portal_ts FROM e WHERE side = 0 GROUP BY 1, 2),
+d AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS document_value, max(ts) AS document_ts FROM e WHERE side = 1 GROUP BY 1, 2)
+SELECT user_id, event_type, portal_value, document_value, portal_value IS DISTINCT FROM document_value AS conflict, CASE WHEN document_ts IS NULL OR portal_ts > document_ts THEN portal_value ELSE document_value END AS controlling
+FROM p FULL JOIN d USING (user_id, event_type)""")
+def s15_conflicts(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("side", F.get_json_object("props", "$.k").cast("long") % 2)
+    return assemble.conflicts(e.where("side = 0"), e.where("side = 1"), ["user_id", "event_type"], "value", ["ts", "event_id"])
+
+
+@query("""SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts, count(*) AS n_versions FROM events GROUP BY 1, 2""")
+def s40_upsert_latest(spark, sf_dir):
+    return assemble.latest(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value", "ts"])
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS id, 'unreviewed' AS reason FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'low_quality' FROM labels WHERE quality = 0
+UNION ALL SELECT sha256(text), 'duplicate' FROM documents GROUP BY text HAVING count(*) > 1""")
+def s32_review_queue(spark, sf_dir):
+    d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    feeds = {"unreviewed": d.join(lab, "doc_id", "left_anti").select(F.col("doc_id").cast("string").alias("id")), "low_quality": lab.where("quality = 0").select(F.col("doc_id").cast("string").alias("id")), "duplicate": dedupe.exact_duplicates(d, F.sha2("text", 256), "doc_id", "source").select(F.col("content_hash").alias("id"))}
+    return assemble.review_feed(feeds)
+
+
+@query(r"SELECT n_nationkey, regexp_replace(substr(sha256(length('nation') || ':nation' || length(CAST(n_nationkey AS VARCHAR)) || ':' || n_nationkey), 1, 32), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') AS local_id FROM nation")
+def s39_local_uuids(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select("n_nationkey", expr.local_uuid(F.lit("nation"), F.col("n_nationkey")).alias("local_id"))
+
+
+@query("""SELECT c_custkey, count(o_orderkey) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderdate < TIMESTAMP '1995-07-01' GROUP BY 1""")
+def s41_unknown_not_zero(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderdate < TIMESTAMP '1995-07-01'")
+    met = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return met.groupBy("c_custkey").agg(F.count("o_orderkey").alias("n_orders"), F.sum(bidding.money("o_totalprice")).cast("double").alias("spent"))
+
+
+@query("SELECT event_id, ts AS generated_at, ts + INTERVAL 30 DAYS AS expires_at, ts + INTERVAL 30 DAYS > TIMESTAMP '2024-02-15' AS valid FROM events")
+def s45_snapshots(spark, sf_dir):
+    return assemble.snapshots(table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("generated_at")), 30, "2024-02-15")
+
+
+@query(f"""WITH {BIDS}, w AS (SELECT s_nationkey AS place, vendor, count(*) FILTER (WHERE won) AS wins FROM bids JOIN supplier ON s_suppkey = vendor GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY wins DESC, vendor) AS k FROM w)
+SELECT place, '[' || string_agg('{{"rank":' || k || ',"vendor":' || vendor || ',"wins":' || wins || '}}', ',' ORDER BY k) || ']' AS payload FROM r WHERE k <= 3 GROUP BY place""")
+def s51_partner_payload(spark, sf_dir):
+    met = awarded(spark, sf_dir).join(table(spark, sf_dir, "supplier"), F.col("vendor") == F.col("s_suppkey"))
+    return assemble.partner_payload(met.groupBy(F.col("s_nationkey").alias("place"), "vendor").agg(F.count_if("won").alias("wins")), 3)
+
+
+@query("SELECT window_start, event_type, n, total FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2)")
+def x_daily_observations(spark, sf_dir):
+    from tenderlake.streaming.observations import daily
+
+    return daily(table(spark, sf_dir, "events"))
