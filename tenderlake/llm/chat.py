@@ -41,7 +41,8 @@ def expand_prefixes(turns: DataFrame, conv_id: str = "conv_id", turn: str = "tur
     said = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
     conv = said.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     head = lambda t: F.concat(F.lit("### "), escape(t["role"], ":"), F.lit(": "))
-    conv = conv.select("conv_id", F.transform("turns", lambda t: F.struct(head(t).alias("head"), escape(t["text"]).alias("body"), (t["role"] == trained).alias("trained"))).alias("parts"))
+    parts = F.transform("turns", lambda t: F.struct(head(t).alias("head"), escape(t["text"]).alias("body"), (t["role"] == trained).alias("trained")))
+    conv = conv.select("conv_id", F.explode(F.array(parts)).alias("parts"))  # one row, so that lambdas below refer to a value
     n = F.size("parts")
     targets = F.filter(F.transform("parts", lambda p, i: F.when(p["trained"] | (i == n - 1), i)), lambda i: i.isNotNull())
     one = conv.select("conv_id", "parts", F.posexplode(targets).alias("example", "at"), (n - 1).alias("last"))

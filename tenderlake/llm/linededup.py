@@ -83,12 +83,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", t
     """docs with kept_text, n_lines and n_dropped as `_kept_text`, `_n_lines`, `_n_dropped`."""
     marks = bitmaps.select(*[F.col(c).alias(f"_b_{c}") for c in ("doc", "row_hash", "n_dropped", "keep_runs", "rest")])
     met = docs.join(marks, (F.col(doc_id) == F.col("_b_doc")) & (F.xxhash64(F.col(text)) == F.col("_b_row_hash")), "left")
-    lines = _lines(F.col(text))
-    met = met.withColumn("_n_lines", F.size(lines).cast("long")).withColumn("_n_dropped", F.coalesce("_b_n_dropped", F.lit(0)).cast("long"))
+    # Out of a generator of one row: an expression inside a lambda would be evaluated for every run.
+    met = met.select("*", F.explode(F.array(_lines(F.col(text)))).alias("_lines"))
+    met = met.withColumn("_n_lines", F.size("_lines").cast("long")).withColumn("_n_dropped", F.coalesce("_b_n_dropped", F.lit(0)).cast("long"))
     tail = F.struct(F.col("_b_rest").alias("start"), (F.col("_n_lines").cast("int") - F.col("_b_rest")).alias("length"))
-    kept = F.flatten(F.transform(F.concat("_b_keep_runs", F.array(tail)), lambda r: F.slice(lines, r["start"] + 1, r["length"])))
+    kept = F.flatten(F.transform(F.concat("_b_keep_runs", F.array(tail)), lambda r: F.slice("_lines", r["start"] + 1, r["length"])))
     kept_text = F.when(F.col("_b_doc").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n"))
-    return met.withColumn("_kept_text", kept_text).drop(*marks.columns)
+    return met.withColumn("_kept_text", kept_text).drop("_lines", *marks.columns)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
