@@ -14,7 +14,7 @@ chains for training join windows of two languages now and then, so that switches
 
 Defined cases: `und` with score 0 for a null text or one without a letter, and for all texts
 if nothing could be learned; ties go to the language that sorts first; a null doc_id is
-neither held out nor learned from; repeated rows are predicted each; other columns are ignored.
+neither held out nor learned from; repeated rows are predicted each; other columns pass through.
 """
 
 from __future__ import annotations
@@ -278,22 +278,23 @@ def predict_column(model: Crf, col: pa.Array) -> tuple[list[str], list[float]]:
     return names, scores
 
 
-def identify(docs: DataFrame, model: Crf | None, text: str = "text") -> DataFrame:
-    """The columns of docs with lang_pred and score."""
+def identify(docs: DataFrame, model: Crf | None, text: str = "text", prefix: str = "") -> DataFrame:
+    """The columns of docs with lang_pred and score, their names after `prefix`; columns of docs with these names give way."""
+    names = [f"{prefix}lang_pred", f"{prefix}score"]
+    docs = docs.drop(*names)
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        return docs.withColumns({names[0]: F.lit("und"), names[1]: F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch, text):
-                names, scores = predict_column(shared.value, part.column(place))
-                yield pa.record_batch([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
+                said, scores = predict_column(shared.value, part.column(place))
+                yield pa.record_batch([*part.columns, pa.array(said, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, *names])
 
-    kinds = [*docs.schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", lang_pred string, score double"
-    return docs.mapInArrow(run, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Crf | None:
