@@ -29,8 +29,8 @@ def _with_text(docs: DataFrame, text: str, like: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter or without a main language."""
-    named = langid.identify(docs, langid.fit(docs))
-    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    named = langid.identify(docs, langid.fit(docs), prefix="_")
+    return named.where((F.col("_lang_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets; the documents stay."""
-    return _with_text(secrets.scan(docs, secrets.fit(docs), path="source" if "source" in docs.columns else None), "clean_text", docs.columns)
+    path = "source" if "source" in docs.columns else None
+    return _with_text(secrets.scan(docs, secrets.fit(docs), path=path, prefix="_"), "_clean_text", docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
