@@ -8,12 +8,13 @@
    errors in one of the first most % CHUNKS + 1 chunks, or up to r - 1 in one of the others;
    each chunk is indexed once for each set of places that may be wrong, so no pair within
    the distance is missed.
-3. Pairs are not emitted by bucket.  Each member is compared with the bucket's smallest one;
+3. Pairs are not emitted by bucket.  Each member is compared with the bucket's most central one;
    then, only in buckets that still hold several components, the members outside the largest
    component are compared with all members of other components.  Hence every pair within the
    distance is either compared or already connected.
 4. Pairs within the distance are confirmed on the full shingle sets, and components are found
-   by alternating large-star and small-star steps on tables in the shared folder.
+   by union-find in tasks of bounded size, whose stars are joined by alternating large-star and
+   small-star steps on tables in the shared folder.
 
 Defined cases: a null or empty text or one without words has an empty set and is linked with
 nothing; fewer words than a shingle are one shingle together; rows with the same doc_id are one
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, chunks, plain, table
 
-SYMBOLS, CHUNKS, SIGMAS = 96, 24, 4.9
+SYMBOLS, CHUNKS, SIGMAS = 96, 24, 4.0
 LONGS = SYMBOLS // 8
 #: Ids of documents that take part in pairs: up to so many are broadcast to pick their texts, more are joined.
 BROADCAST_IDS = 200_000
+#: Links that one task contracts.
+LINKS_PER_TASK = 1_000_000
 _RANDOM = np.random.default_rng(20)
 _XOR = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
 _ODD = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
@@ -158,11 +161,34 @@ def _renamed(df: DataFrame, p: str) -> DataFrame:
     return df.select(*[F.col(c).alias({"id": p, "n": f"{p}_n"}.get(c, c.replace("s", f"{p}s", 1))) for c in df.columns])
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, component): the smallest id reachable over the links (a, b), for each id in a link."""
-    edges = scratch.save(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+def _contracted(batches):
+    """Union-find over one task's links (u, v): the links of each of its components become a star around its smallest id."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = root(u), root(v)
+            parent[max(u, v)] = min(u, v)
+    pairs = [(x, r) for x in parent if (r := root(x)) != x]
+    yield pa.record_batch([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], names=["u", "v"])
+
+
+def components(links: DataFrame, scratch: Scratch, per_task: int = LINKS_PER_TASK) -> DataFrame:
+    """(id, component): the smallest id reachable over the links (a, b), for each id in a link; links is a stored table.
+
+    Tasks of at most about per_task links each contract theirs to stars by union-find.  If there is more than one such
+    task, large-star and small-star steps over tables in the shared folder join their stars.
+    """
+    tasks = -(-links.count() // per_task) or 1
+    stars = links.select(F.col("a").alias("u"), F.col("b").alias("v")).coalesce(tasks).mapInArrow(_contracted, "u long, v long")
+    edges, seen = scratch.save(stars, "edges"), None
+    while tasks > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -174,8 +200,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(edges, large)
         edges = new
         if now == seen:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+            break
         seen = now
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -213,22 +240,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = classes.where(F.col("n") * den >= (F.col("n") + 1) * num).select("id", "n", *sig)
 
     keys = nodes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), F.col(f"s{at}").bitwiseAND(F.lit(mask))) for i, (at, mask) in enumerate(masks)])).alias("key"))
-    buckets = scratch.save(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
+    buckets = scratch.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
     members = scratch.save(keys.join(buckets, "key"), "members")
+    # A set whose keys many others have lies in the middle of its group, where most links go.
+    central = members.groupBy("id").agg(F.sum("members").alias("rank"))
+    hubs = scratch.save(members.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("rank", "id")).alias("hub")), "hubs")
+    members = scratch.save(members.join(hubs, "key"), "members")
 
     near = (_distance("as", "bs") <= most) & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num)
     a_side, b_side = _renamed(nodes, "a"), _renamed(nodes, "b")
-    star = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    star = scratch.save(star.join(b_side, "b").join(a_side, "a").where(near).select("a", "b", _distance("as", "bs").alias("d")), "star")
+    met = members.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    met = scratch.save(met, "met")
+
+    def within(pairs: DataFrame) -> DataFrame:
+        return pairs.join(b_side, "b").join(a_side, "a").where(near).select("a", "b")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = scratch.save(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
         few = ids.count() <= BROADCAST_IDS
         return scratch.save(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
 
-    texts = texts_of(star)
-    best = star.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
-    links = scratch.save(_confirm(best, texts, width, num, den), "links")
+    # First each set with the central one that it shares most keys with; few pairs of the others remain apart.
+    best = scratch.save(within(met.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))), "best")
+    links = scratch.save(_confirm(best, texts_of(best), width, num, den), "links")
     same = known.join(classes.select("f1", "f2", "id"), ["f1", "f2"]).groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("a")).where("a <> b")
     links = scratch.save(links.unionByName(same.select("a", "b")), "links")  # rows with one doc_id and several texts
     labels = scratch.save(components(links, scratch), "labels")
@@ -238,9 +272,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         met = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
         return met.where(F.coalesce("a_c", "a") != F.coalesce("b_c", "b")).select("a", "b")
 
-    more = scratch.save(_confirm(apart(star, labels), texts, width, num, den), "links")
+    star = scratch.save(within(apart(met, labels)), "star")
+    more = scratch.save(_confirm(star, texts_of(star), width, num, den), "links")
     if more.take(1):
-        links = links.unionByName(more)
+        links = scratch.save(links.unionByName(more), "links")
         labels = scratch.save(components(links, scratch), "labels")
 
     # Buckets of three and more that still hold several components.
@@ -249,14 +284,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     mixed = scratch.save(counted.where("cs > 1").select("key", "main"), "mixed")
     placed = scratch.save(placed.join(mixed, "key").join(nodes, "id"), "placed")
     left = _renamed(placed.where("c <> main").select("id", "n", *sig, "key", F.col("c").alias("lc"), F.col("hub").alias("lh")), "a").withColumnRenamed("key", "lk")
-    left = left.select(*[c for c in left.columns])
     right = _renamed(placed.select("id", "n", *sig, F.col("key").alias("rk"), F.col("c").alias("rc"), F.col("main").alias("rm")), "b")
     others = (F.col("lk") == F.col("rk")) & (F.col("lc") != F.col("rc")) & ((F.col("rc") == F.col("rm")) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("lh")) & (F.col("b") != F.col("lh"))
     cross = scratch.save(left.join(right, others & near).select("a", "b").distinct(), "cross")
     if cross.take(1):
         more = scratch.save(_confirm(cross, texts_of(cross), width, num, den), "links")
         if more.take(1):
-            links = links.unionByName(more)
+            links = scratch.save(links.unionByName(more), "links")
             labels = scratch.save(components(links, scratch), "labels")
 
     # Only classes of several rows or with links need to be told their component.
