@@ -34,8 +34,8 @@ from .common import chunks, hash_limit, table, units
 DOCS, WINDOWS, WIDTH, LANGUAGES, LEXICON, WEIGHTS = 300, 3000, 24, 64, 4000, 1 << 17
 EPOCHS, BATCH, RATE, SWITCHES = 6, 256, 0.15, 0.3
 GRAMS = (1, 2, 3, 4)
-#: Words whose chains are worked on at a time.
-BLOCK = 400_000
+#: Words whose chains are worked on at a time, and bytes of text whose words are.
+BLOCK, CHUNK = 200_000, 6 << 20
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDS = frozenset(".!?\n")
 
@@ -289,7 +289,7 @@ def identify(docs: DataFrame, model: Crf | None, text: str = "text", prefix: str
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, CHUNK):
                 said, scores = predict_column(shared.value, part.column(place))
                 yield pa.record_batch([*part.columns, pa.array(said, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, *names])
 
