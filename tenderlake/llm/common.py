@@ -7,8 +7,6 @@ only at the distinct units, and numpy gathers the results back into the order of
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -17,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from tenderlake.session import Scratch, shared_dir  # noqa: F401
+
 #: Bytes of text that one chunk of a Python worker holds at most (a single longer text is a chunk of its own).
 CHUNK_BYTES = 24 << 20
 
@@ -25,41 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests on one machine)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="tenderlake-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Tables written to the shared folder, so that a lost executor costs no more than the current stage."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
-
-    def path(self, name: str = "t") -> str:
-        self.n += 1
-        return f"{self.root}/{name}{self.n}"
-
-    def save(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Writes df and returns what was written, cut from its lineage."""
-        path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        """Deletes saved tables that nothing reads any more."""
-        for df in frames:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
-
-
 def hash_limit(share: float) -> int:
     """The largest signed 64-bit hash that belongs to this share of all."""
     return min((1 << 63) - 1, int((2 * share - 1) * (1 << 63)))

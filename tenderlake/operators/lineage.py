@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tenderlake.session import Scratch
+
 
 def amendments(df: DataFrame, parent: str, order: list[str], record: str) -> DataFrame:
     """Each record with its number within its parent, the parent's first and latest record."""
@@ -29,13 +31,24 @@ def scored_links(records: DataFrame, block: str, record: str, date: str, signals
     return met.select(F.col(f"a_{record}").alias("record"), F.col(f"b_{record}").alias("predecessor"), score.cast("long").alias("score"), told.alias("signals")).where(F.col("score") >= least)
 
 
-def chains(edges: DataFrame, rounds: int = 6) -> DataFrame:
-    """(node, root, depth) of (node, parent), parent null at a root: parents are doubled, so chains up to 2 ** rounds long need `rounds` joins."""
-    state = edges.select("node", F.coalesce("parent", "node").alias("anc"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"))
-    for _ in range(rounds):
-        up = state.select(F.col("node").alias("anc"), F.col("anc").alias("next"), F.col("depth").alias("more"))
-        state = state.join(up, "anc").select("node", F.col("next").alias("anc"), (F.col("depth") + F.col("more")).alias("depth"))
-    return state.select("node", F.col("anc").alias("root"), F.col("depth").cast("long").alias("depth"))
+def chains(edges: DataFrame) -> DataFrame:
+    """(node, root, depth) of (node, parent), parent null at a root: parents are doubled, over tables in the shared folder, until all rows have reached a root.
+
+    A row whose line of parents ends outside the nodes has no root and is left out; a cycle is an error.
+    """
+    scratch = Scratch(edges.sparkSession, "chains")
+    first = scratch.save(edges.where("node IS NOT NULL").select("node", F.coalesce("parent", "node").alias("anc"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")))
+    done, climbing = first.where("depth = 0"), first.where("depth > 0")
+    n, reach = first.count(), 1
+    while not climbing.isEmpty():  # each of these rows is `reach` steps above its node
+        if reach >= n:
+            raise ValueError("the parents form a cycle")
+        up = done.withColumn("ended", F.lit(True)).unionByName(climbing.withColumn("ended", F.lit(False)))
+        up = up.select(F.col("node").alias("anc"), F.col("anc").alias("next"), F.col("depth").alias("more"), "ended")
+        climbed = scratch.save(climbing.join(up, "anc").select("node", F.col("next").alias("anc"), (F.col("depth") + F.col("more")).alias("depth"), "ended"))
+        done = done.unionByName(climbed.where("ended").drop("ended"))
+        climbing, reach = climbed.where("NOT ended").drop("ended"), 2 * reach
+    return done.select("node", F.col("anc").alias("root"), "depth")
 
 
 def no_match_trace(targets: DataFrame, key: str, records: DataFrame, other: str, searched: dict[str, str]) -> DataFrame:

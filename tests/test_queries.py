@@ -44,6 +44,17 @@ def test_chain_of_a_cycle_free_graph(spark):
     assert {(r["node"], r["root"], r["depth"]) for r in got} == {(i, 0, i) for i in range(40)}
 
 
+def test_chains_of_any_length_reach_their_roots(spark):
+    from tenderlake.operators.lineage import chains
+
+    edges = [(i, i - 1 if i % 150 else None) for i in range(300)] + [(1000, None), (1001, 1000), (1002, 1000)]
+    got = chains(spark.createDataFrame(edges, "node long, parent long")).collect()
+    want = {(i, i - i % 150, i % 150) for i in range(300)} | {(1000, 1000, 0), (1001, 1000, 1), (1002, 1000, 1)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    with pytest.raises(ValueError, match="cycle"):
+        chains(spark.createDataFrame([(0, None), (1, 2), (2, 3), (3, 1)], "node long, parent long"))
+
+
 def test_stream_and_batch_agree(spark, tmp_path):
     from tenderlake.session import table
     from tenderlake.streaming.observations import daily, latest_stream
