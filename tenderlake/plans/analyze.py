@@ -1,13 +1,16 @@
 """One procurement event, from its history to the artifacts of an analysis.
 
 Everything about the event is filtered before it is collected; tables that do not depend on it (manifest,
-pages, import rows) are written by Spark.  Predictions are labelled as such and never mixed with known bidders.
+pages, import rows) are written by Spark.  JSON arrays that grow with the tables (predecessors, source coverage,
+review queue) are written whole, one partition in memory at a time.  Predictions are labelled as such and never
+mixed with known bidders.
 """
 
 from __future__ import annotations
 
 import json
 from pathlib import Path
+from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +20,39 @@ from tenderlake.plans import registry
 from tenderlake.session import table
 from tenderlake.sources.sinks import write_jsonl
 
-#: Rows of a single event's artifact that are collected at most.
+#: Rows of a single event's artifact that are collected at most; more are an error.
 MOST = 10_000
 
 
+def _told(df: DataFrame) -> DataFrame:
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+
+
 def _rows(df: DataFrame) -> list[dict]:
-    return [json.loads(r[0]) for r in df.limit(MOST).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
+    found = _told(df.limit(MOST + 1)).collect()
+    if len(found) > MOST:
+        raise ValueError(f"more than {MOST} rows in an artifact of a single event: {', '.join(df.columns)}")
+    return [json.loads(r[0]) for r in found]
+
+
+def _stream(file: TextIO, df: DataFrame, otherwise: list[dict] | None = None) -> int:
+    """Writes all rows as a JSON array, or `otherwise` if there are none; returns how many were written."""
+    n = 0
+    for row in _told(df).toLocalIterator():
+        file.write(("[\n" if n == 0 else ",\n") + row[0])
+        n += 1
+    if n:
+        file.write("\n]")
+    else:
+        file.write(json.dumps(otherwise or [], indent=2))
+    return n or len(otherwise or [])
+
+
+def _put_stream(path: Path, df: DataFrame) -> int:
+    with path.open("w") as file:
+        n = _stream(file, df)
+        file.write("\n")
+    return n
 
 
 def _put(path: Path, value) -> int:
@@ -44,9 +74,11 @@ def analyze_order(spark: SparkSession, sf_dir: str, order: int, out: Path) -> di
 
     chain = registry.QUERIES["s18_lineage_chain"](spark, sf_dir).where(F.col("node") == order)
     scored = registry.QUERIES["s16_lineage_score"](spark, sf_dir).where(F.col("record") == order)
-    found = _rows(scored.orderBy(F.desc("score"), "predecessor"))
-    trace = found or [{"record": order, "sources": "orders", "result": "no match in searched sources"}]
-    counts["procurement_lineage"] = _put(out / "procurement_lineage.json", {"chain": _rows(chain), "predecessors": trace})
+    with (out / "procurement_lineage.json").open("w") as file:
+        file.write(f'{{"chain": {json.dumps(_rows(chain))}, "predecessors": ')
+        _stream(file, scored.orderBy(F.desc("score"), "predecessor"), [{"record": order, "sources": "orders", "result": "no match in searched sources"}])
+        file.write("}\n")
+    counts["procurement_lineage"] = 1
 
     docs = table(spark, sf_dir, "documents")
     attempts = documents.with_outcomes(docs.select("doc_id", "source", F.sha2("text", 256).alias("sha256"), "n_chars"), table(spark, sf_dir, "labels").select("doc_id", F.lit("processed").alias("state")), "doc_id", "state").drop("state")
@@ -57,10 +89,9 @@ def analyze_order(spark: SparkSession, sf_dir: str, order: int, out: Path) -> di
     counts["vendor_profiles"] = _put(out / "vendor_profiles.json", _rows(bidding.vendor_profiles(bids.join(vendors, "vendor", "left_semi")).orderBy("vendor")))
     primes = _rows(registry.QUERIES["s30_prime_candidates"](spark, sf_dir).join(vendors, "vendor", "left_semi").orderBy(F.desc("n_evidence"), "vendor"))
     counts["prime_candidates"] = _put(out / "prime_candidates.json", primes)
-    coverage = _rows(registry.QUERIES["s33_source_coverage"](spark, sf_dir).orderBy("source"))
-    counts["source_coverage"] = _put(out / "source_coverage.json", coverage)
-    unsure = _rows(registry.QUERIES["s23_vendor_resolution"](spark, sf_dir).where("verdict = 'review'").orderBy("entity"))
-    counts["review_queue"] = _put(out / "review_queue.json", unsure)
+    counts["source_coverage"] = _put_stream(out / "source_coverage.json", registry.QUERIES["s33_source_coverage"](spark, sf_dir).orderBy("source"))
+    unsure = registry.QUERIES["s23_vendor_resolution"](spark, sf_dir).where("verdict = 'review'").orderBy("entity")
+    counts["review_queue"] = _put_stream(out / "review_queue.json", unsure)
 
     for name, df in {"records": table(spark, sf_dir, "orders"), "participants": registry.QUERIES["s20_bidder_events"](spark, sf_dir), "documents": attempts, "partner_payloads": registry.QUERIES["s51_partner_payload"](spark, sf_dir)}.items():
         write_jsonl(df, str(out / "import" / f"{name}.jsonl"))

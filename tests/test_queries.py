@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tenderlake.plans.registry import QUERIES, SQL
 
@@ -74,3 +75,22 @@ def test_analyze_writes_all_artifacts(spark, tmp_path):
     cli.main(["analyze", "--tables", SF, "--order", str(order), "--output", str(tmp_path / "out")])
     names = {p.name for p in (tmp_path / "out").iterdir()}
     assert names == {"opportunity_intelligence.json", "procurement_lineage.json", "documents_manifest.jsonl", "document_pages.jsonl", "vendor_profiles.json", "prime_candidates.json", "source_coverage.json", "review_queue.json", "report.md", "import"}
+
+
+def test_analyze_writes_all_rows_or_says_so(spark, tmp_path, monkeypatch):
+    import json
+
+    from tenderlake.plans import analyze, registry
+
+    order = QUERIES["s26_likely_bidders"](spark, SF).first()["event"]
+    many = spark.range(10_050).select(F.col("id").alias("entity"), F.lit("review").alias("verdict"))
+    monkeypatch.setitem(registry.QUERIES, "s23_vendor_resolution", lambda *_: many)
+    monkeypatch.setitem(registry.QUERIES, "s33_source_coverage", lambda *_: many.withColumnRenamed("entity", "source"))
+    monkeypatch.setitem(registry.QUERIES, "s16_lineage_score", lambda *_: many.select(F.lit(order).alias("record"), F.col("entity").alias("predecessor"), F.lit(3).alias("score")))
+    counts = analyze.analyze_order(spark, SF, order, tmp_path / "out")
+    read = lambda name: json.loads((tmp_path / "out" / name).read_text())
+    assert counts["review_queue"] == counts["source_coverage"] == 10_050
+    assert [r["entity"] for r in read("review_queue.json")] == [r["source"] for r in read("source_coverage.json")] == list(range(10_050))
+    assert [r["predecessor"] for r in read("procurement_lineage.json")["predecessors"]] == list(range(10_050))
+    with pytest.raises(ValueError, match="more than 10000 rows"):
+        analyze._rows(many)
