@@ -8,8 +8,8 @@ findings are at hand, `labelled_findings` writes them from public key formats an
 scanners wrongly report (digests, identifiers, placeholders, numbers, addresses, file
 names), between words of the corpus.
 
-Bounded sample for the fit: DICTIONARY_DOCS documents chosen by hash give the dictionary of
-at most DICTIONARY words and the transitions; FINDINGS findings train the forest.
+The words and character transitions of all documents are counted; the DICTIONARY most frequent
+words are the dictionary.  Bounded sample for the fit: FINDINGS findings train the forest.
 
 Defined cases: a null or empty text has no candidates; candidates never overlap (the longer
 pattern match that begins first wins); repeated rows are scanned each; texts are scanned whole; other
@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_limit, table
+from .common import Scratch, chunks, table, units
 
-DICTIONARY_DOCS, DICTIONARY, FINDINGS, TREES, DEPTH, THRESHOLD = 400, 20_000, 4000, 40, 9, 0.5
+DICTIONARY, FINDINGS, TREES, DEPTH, THRESHOLD = 20_000, 4000, 40, 9, 0.5
+#: Distinct words that a worker counts before it hands them on.
+COUNTED = 200_000
 MASK = "[SECRET]"
 
 #: Public key formats.
@@ -76,6 +78,18 @@ def _codes(s: str) -> np.ndarray:
     return out
 
 
+def transition_counts(words: list[str], counts: list[int]) -> np.ndarray:
+    """How often each kind of character follows each other one in words that occur so often."""
+    c = _codes(f" {'  '.join(words)} ")
+    # Each word has a space of its own on either side; the step between two spaces belongs to no word.
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    inner = np.ones(len(c), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    weights = np.repeat(np.array(counts, np.int64), lengths - 1)
+    at = np.flatnonzero(inner)
+    return np.bincount(c[at] * 28 + c[at + 1], weights, 28 * 28).reshape(28, 28) if words else np.zeros((28, 28))
+
+
 @dataclass
 class Language:
     """What words look like: a dictionary and the log-likelihood of character transitions."""
@@ -89,12 +103,13 @@ class Language:
         for text in texts:
             for w in WORD.findall(text.lower()):
                 counts[w] = counts.get(w, 0) + 1
-        words = sorted(counts, key=lambda w: (-counts[w], w))[:DICTIONARY]
-        pairs = np.ones((28, 28))
-        for w in words:
-            c = _codes(f" {w} ")
-            np.add.at(pairs, (c[:-1], c[1:]), counts[w])
-        return cls(frozenset(w for w in words if len(w) > 2), np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+        return cls.of(sorted(counts, key=lambda w: (-counts[w], w))[:DICTIONARY], transition_counts(list(counts), list(counts.values())))
+
+    @classmethod
+    def of(cls, words: list[str], pairs: np.ndarray) -> Language:
+        """From the most frequent words and the counts of all transitions."""
+        seen = 1.0 + pairs
+        return cls(frozenset(w for w in words if len(w) > 2), np.log(seen / seen.sum(axis=1, keepdims=True)))
 
     def coverage(self, s: str) -> float:
         low, at, covered = s.lower(), 0, 0
@@ -252,14 +267,49 @@ class Scanner:
         return "".join([*out, text[at:]])
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Scanner:
-    """A scanner whose dictionary comes from the bounded sample of docs."""
-    usable = docs.where(F.col(text).isNotNull())
-    total = docs.count()
-    share = min(1.0, 2 * DICTIONARY_DOCS / max(1, total))
-    order = F.xxhash64(F.lit(9), doc_id)
-    sample = usable.where(order <= hash_limit(share)).select(text, order.alias("_o")).orderBy("_o", text).limit(DICTIONARY_DOCS)
-    language = Language.learn([r[0] for r in sample.collect()])
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n) of all texts; workers count distinct words before they hand them on."""
+
+    def run(batches):
+        counts: dict[str, int] = {}
+        told = lambda: pa.record_batch([pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+        for batch in batches:
+            for part in chunks(batch, text, 4 << 20):
+                codes, _, distinct = units(part.column(0))
+                for unit, n in zip(distinct.to_pylist(), np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
+                    for w in WORD.findall(unit.lower()):
+                        counts[w] = counts.get(w, 0) + n
+                if len(counts) > COUNTED:
+                    yield told()
+                    counts.clear()
+        if counts:
+            yield told()
+
+    return docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def learn(docs: DataFrame, text: str = "text") -> Language:
+    """What Language.learn learns from all texts, counted by Spark."""
+    counts = Scratch(docs.sparkSession, "words").save(word_counts(docs, text))
+
+    def run(batches):
+        total = np.zeros((28, 28))
+        for batch in batches:
+            for part in chunks(batch, "word", 4 << 20):
+                total += transition_counts(part.column(0).to_pylist(), part.column(1).to_pylist())
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at, pa.int32()), pa.array(total.ravel()[at].astype(np.int64), pa.int64())], names=["at", "n"])
+
+    pairs = np.zeros(28 * 28)
+    for r in counts.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        pairs[r["at"]] = r["n"]
+    words = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()]
+    return Language.of(words, pairs.reshape(28, 28))
+
+
+def fit(docs: DataFrame, text: str = "text") -> Scanner:
+    """A scanner whose dictionary and transitions come from all docs."""
+    language = learn(docs, text)
     return Scanner.fit(language, labelled_findings(sorted(language.words)))
 
 
