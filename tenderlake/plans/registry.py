@@ -402,6 +402,17 @@ def s27_similar_events(spark, sf_dir):
     return bidding.similar_events(b, b.where("date >= TIMESTAMP '2001-07-01'").select("event").distinct())
 
 
+@query(f"""WITH {BIDS}, i AS (SELECT DISTINCT event, commodity FROM bids), n AS (SELECT event, count(*) AS n FROM i GROUP BY 1),
+m AS (SELECT a.event, i.event AS other, count(*) AS common FROM i a JOIN i ON i.commodity = a.commodity AND i.event <> a.event GROUP BY 1, 2),
+s AS (SELECT m.*, x.n + y.n - common AS either FROM m JOIN n x ON x.event = m.event JOIN n y ON y.event = m.other),
+r AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY (common / either) DESC, other) AS place FROM s)
+SELECT event, other AS similar, common, either, place FROM r WHERE place <= 3""")
+def s27_similar_events_all(spark, sf_dir):
+    """For every event; s27_similar_events is for those of the last month only."""
+    b = bids(spark, sf_dir)
+    return bidding.similar_events(b, b.select("event").distinct())
+
+
 PRIMES = """f AS (SELECT vendor, count(*) FILTER (WHERE won) AS n_wins, count(DISTINCT buyer) AS n_buyers, max(date) AS last_seen, median(amount) AS typical_amount FROM bids GROUP BY vendor),
 g AS (SELECT vendor, (n_wins >= 10)::INT + (n_buyers >= 50)::INT + (last_seen >= TIMESTAMP '2001-01-01')::INT + (typical_amount >= 30000)::INT AS n_evidence,
   concat_ws(',', CASE WHEN n_wins >= 10 THEN 'prime_awards' END, CASE WHEN n_buyers >= 50 THEN 'many_buyers' END, CASE WHEN last_seen >= TIMESTAMP '2001-01-01' THEN 'recent' END, CASE WHEN typical_amount >= 30000 THEN 'comparable_value' END) AS evidence FROM f),

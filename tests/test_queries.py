@@ -56,6 +56,20 @@ def test_chains_of_any_length_reach_their_roots(spark):
         chains(spark.createDataFrame([(0, None), (1, 2), (2, 3), (3, 1)], "node long, parent long"))
 
 
+def test_similar_events_of_every_event(spark):
+    from tenderlake.plans.registry import bids
+
+    items = {}
+    for r in bids(spark, SF).select("event", "commodity").distinct().collect():
+        items.setdefault(r[0], set()).add(r[1])
+    want = set()
+    for e, own in items.items():
+        met = sorted((-len(own & x) / len(own | x), o) for o, x in items.items() if o != e and own & x)
+        want |= {(e, o, i + 1) for i, (_, o) in enumerate(met[:3])}
+    got = QUERIES["s27_similar_events_all"](spark, SF).collect()
+    assert {(r["event"], r["similar"], r["place"]) for r in got} == want and len(got) == len(want)
+
+
 def test_stream_and_batch_agree(spark, tmp_path):
     from tenderlake.session import table
     from tenderlake.streaming.observations import daily, latest_stream
