@@ -87,14 +87,17 @@ def prime_candidates(profiles: DataFrame, rules: dict[str, Column], least: int,
     return found.select("vendor", F.array_join("e", ",").alias("evidence"), F.size("e").cast("long").alias("n_evidence"))
 
 
-def precision_at(predicted: DataFrame, bids: DataFrame, ks: tuple[int, ...] = (3, 5)) -> DataFrame:
-    """Mean precision at each k over the events with predictions, and the share of actual bidders that were predicted."""
-    actual = bids.join(predicted.select("event").distinct(), "event", "left_semi").select("event", "vendor").distinct()
+def precision_at(predicted: DataFrame, bids: DataFrame, ks: tuple[int, ...] = (3, 5), held: DataFrame | None = None) -> DataFrame:
+    """Mean precision at each k, and the share of actual bidders that were predicted, over the events of `held`.
+
+    Those without predictions have no hits, and their bidders are not covered.  Without `held`, only events with predictions count.
+    """
+    events = (predicted if held is None else held).select("event").distinct()
+    actual = bids.join(events, "event", "left_semi").select("event", "vendor").distinct()
     hits = predicted.join(actual.withColumn("hit", F.lit(1)), ["event", "vendor"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    per = hits.groupBy("event").agg(*[F.sum(F.when(F.col("place") <= k, F.col("hit")).otherwise(0)).alias(f"h{k}") for k in ks], F.sum("hit").alias("found"))
-    n_actual = actual.agg(F.count(F.lit(1)).alias("n_actual"))
-    total = per.agg(F.count(F.lit(1)).alias("n_events"), *[F.sum(f"h{k}").alias(f"h{k}") for k in ks], F.sum("found").alias("found")).join(n_actual)  # one row each
-    return total.select("n_events", *[F.round(F.col(f"h{k}") / (F.col("n_events") * k), 6).alias(f"precision_at_{k}") for k in ks], F.round(F.col("found") / F.col("n_actual"), 6).alias("coverage"))
+    found = hits.agg(*[F.coalesce(F.sum(F.when(F.col("place") <= k, F.col("hit")).otherwise(0)), F.lit(0)).alias(f"h{k}") for k in ks], F.coalesce(F.sum("hit"), F.lit(0)).alias("found"))
+    total = found.join(events.agg(F.count(F.lit(1)).alias("n_events"))).join(actual.agg(F.count(F.lit(1)).alias("n_actual")))  # one row each
+    return total.select("n_events", *[F.round(F.try_divide(f"h{k}", F.col("n_events") * k), 6).alias(f"precision_at_{k}") for k in ks], F.round(F.try_divide("found", "n_actual"), 6).alias("coverage"))
 
 
 def similar_events(bids: DataFrame, of: DataFrame, top: int = 3) -> DataFrame:

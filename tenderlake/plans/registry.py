@@ -443,6 +443,14 @@ def s34_precision_at_k(spark, sf_dir):
     return bidding.precision_at(bidding.likely_bidders(b, CUTOFF), b)
 
 
+@query(f"""WITH {LIKELY}, a AS (SELECT DISTINCT event, vendor FROM bids WHERE date >= TIMESTAMP '{CUTOFF}'), hit AS (SELECT a.event, likely.place FROM a LEFT JOIN likely ON likely.event = a.event AND likely.vendor = a.vendor)
+SELECT count(DISTINCT event) AS n_events, round(count(*) FILTER (WHERE place <= 3) / (count(DISTINCT event) * 3), 6) AS precision_at_3, round(count(*) FILTER (WHERE place <= 5) / (count(DISTINCT event) * 5), 6) AS precision_at_5, round(count(place) / count(*), 6) AS coverage FROM hit""")
+def s34_precision_all_held_out(spark, sf_dir):
+    """Over all held-out events; s34_precision_at_k is over those with predictions only."""
+    b = awarded(spark, sf_dir)
+    return bidding.precision_at(bidding.likely_bidders(b, CUTOFF), b, held=b.where(F.col("date") >= F.lit(CUTOFF).cast("timestamp")))
+
+
 @query(f"SELECT CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'held_out' END AS part, count(*) AS n, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders GROUP BY 1")
 def s35_holdout_split(spark, sf_dir):
     part = F.when(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp"), "train").otherwise("held_out")

@@ -70,6 +70,16 @@ def test_similar_events_of_every_event(spark):
     assert {(r["event"], r["similar"], r["place"]) for r in got} == want and len(got) == len(want)
 
 
+def test_events_without_predictions_count_as_misses(spark):
+    from tenderlake.operators.bidding import precision_at
+
+    predicted = spark.createDataFrame([(1, 7, 1), (1, 8, 2)], "event long, vendor long, place long")
+    bids = spark.createDataFrame([(1, 7), (1, 9), (2, 7), (2, 8)], "event long, vendor long")
+    assert tuple(precision_at(predicted, bids, (1, 2), held=bids).first()) == (2, 0.5, 0.25, 0.25)
+    assert tuple(precision_at(predicted, bids, (1, 2)).first()) == (1, 1.0, 0.5, 0.5)
+    assert tuple(precision_at(predicted.limit(0), bids, (1, 2), held=bids).first()) == (2, 0.0, 0.0, 0.0)
+
+
 def test_stream_and_batch_agree(spark, tmp_path):
     from tenderlake.session import table
     from tenderlake.streaming.observations import daily, latest_stream
