@@ -8,8 +8,8 @@ a full stop, exclamation or question mark or line feed.  Words are labelled by
 forward-backward over all chains of a chunk of texts at once; a text's language is that with
 the largest sum of posteriors over its words, and the score is its share.
 
-Training rows are a bounded sample: DOCS documents of each of the LANGUAGES most frequent
-languages, chosen by a hash, and WINDOWS windows of WIDTH words of each language from them;
+Every non-null language is learned.  Training rows are a bounded sample: DOCS documents of each
+language, chosen by a hash, and WINDOWS windows of WIDTH words of each language from them;
 chains for training join windows of two languages now and then, so that switches are learned.
 
 Defined cases: `und` with score 0 for a null text or one without a letter, and for all texts
@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from .common import chunks, hash_limit, table, units
 
 #: Bounds of the training sample and size of the model.
-DOCS, WINDOWS, WIDTH, LANGUAGES, LEXICON, WEIGHTS = 300, 3000, 24, 64, 4000, 1 << 17
+DOCS, WINDOWS, WIDTH, LEXICON, WEIGHTS = 300, 3000, 24, 4000, 1 << 17
 EPOCHS, BATCH, RATE, SWITCHES = 6, 256, 0.15, 0.3
 GRAMS = (1, 2, 3, 4)
 #: Words whose chains are worked on at a time, and bytes of text whose words are.
@@ -68,15 +68,16 @@ def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Crf:
     languages: list[str]
     weights: np.ndarray  # (WEIGHTS + 1, K); the last row stands for no feature and stays 0
-    lexicon: dict[str, int]  # bits of the languages that have the word
+    lexicon: dict[str, bytes]  # bits of the languages that have the word, the first language's lowest
     in_lexicon: np.ndarray  # (K, K): what being in a language's lexicon says for each language
     first: np.ndarray
     then: np.ndarray  # (K, K): from, to
 
     def _lexical(self, words: list[str]) -> np.ndarray:
         k = len(self.languages)
-        bits = np.fromiter((self.lexicon.get(w, 0) for w in words), np.uint64, len(words))
-        return (bits[:, None] >> np.arange(k, dtype=np.uint64) & np.uint64(1)).astype(np.float32)
+        none = bytes(-(-k // 8))
+        bits = np.frombuffer(b"".join(self.lexicon.get(w, none) for w in words), np.uint8).reshape(len(words), len(none))
+        return np.unpackbits(bits, axis=1, count=k, bitorder="little").astype(np.float32)
 
     def emissions(self, words: list[str]) -> np.ndarray:
         if not words:
@@ -154,10 +155,11 @@ def train(windows: list[tuple[str, str]], seed: int = 7) -> Crf | None:
     for a, words in windows:
         for w in words:
             counts[number[a]][w] = counts[number[a]].get(w, 0) + 1
-    lexicon: dict[str, int] = {}
+    bits: dict[str, int] = {}
     for i, c in enumerate(counts):
         for w in sorted((w for w in c if c[w] > 1), key=lambda w: (-c[w], w))[:LEXICON]:
-            lexicon[w] = lexicon.get(w, 0) | 1 << i
+            bits[w] = bits.get(w, 0) | 1 << i
+    lexicon = {w: x.to_bytes(-(-k // 8), "little") for w, x in bits.items()}
     model = Crf(languages, np.zeros((WEIGHTS + 1, k), np.float32), lexicon, np.zeros((k, k), np.float32), np.zeros(k, np.float32), np.zeros((k, k), np.float32))
     sums = [np.full_like(x, 1e-6) for x in (model.weights, model.in_lexicon, model.first, model.then)]
 
@@ -214,14 +216,13 @@ def held_out(doc_id: str) -> Column:
 def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[str, str]]:
     """The bounded sample; `docs` are those that may be learned from."""
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect()
+    counts = usable.groupBy(lang).count().collect()
     if not counts:
         return []
-    chosen = F.lit(False)
-    for r in counts:  # twice as many as needed on average, then the first by hash
-        share = min(1.0, 2 * DOCS / r[1])
-        chosen = chosen | ((F.col(lang) == r[0]) & (F.xxhash64(F.lit(3), doc_id) <= hash_limit(share)))
-    ranked = usable.where(chosen).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(F.lit(3), doc_id), text)))
+    # Twice as many as needed on average, then the first by hash.
+    limits = docs.sparkSession.createDataFrame([(r[0], hash_limit(min(1.0, 2 * DOCS / r[1]))) for r in counts], "_lang string, _most long")
+    chosen = usable.join(F.broadcast(limits), F.col(lang) == F.col("_lang")).where(F.xxhash64(F.lit(3), doc_id) <= F.col("_most"))
+    ranked = chosen.withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(F.lit(3), doc_id), text)))
 
     def cut(batches):
         for batch in batches:

@@ -72,6 +72,15 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(model.posteriors(e, lengths, pairs), got) and np.allclose(pairs, want_pairs)
 
 
+def test_more_languages_than_bits_of_a_word(spark):
+    rows = [(i, " ".join([f"{chr(97 + i % 70 // 26)}{chr(97 + i % 70 % 26)}{x}" for x in ("ko", "ra", "ti")] * 4), f"l{i % 70:02}", "s", 0.0) for i in range(560)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(docs)
+    assert model.languages == [f"l{i:02}" for i in range(70)]
+    said = langid.identify(docs, model).select("lang", "lang_pred").collect()
+    assert all(r[0] == r[1] for r in said)
+
+
 def test_nothing_to_learn_from(spark):
     empty = corpus(spark).limit(0)
     assert langid.fit(empty) is None
