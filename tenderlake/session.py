@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests on one machine)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tenderlake-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -31,10 +34,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder, so that a lost executor costs no more than the current stage."""
+    """Tables written to the shared folder, so that a lost executor costs no more than the current stage.
+
+    What is not dropped before goes when the driver ends, as results are read lazily.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        root, fs = self._at(self.root)
+        fs.mkdirs(root)
+        fs.deleteOnExit(root)
+
+    def _at(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
     def path(self, name: str = "t") -> str:
         self.n += 1
@@ -51,5 +64,5 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         """Deletes saved tables that nothing reads any more."""
         for df in frames:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            path, fs = self._at(df._scratch_path)
+            fs.delete(path, True)
