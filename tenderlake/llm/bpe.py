@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import gc
 import hashlib
 
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow.compute as pc
 import public_tokenizers
 import regex
 
-from .common import Pool, chunks, plain, table, units
+from .common import Pool, chunks, frugal, plain, table, units
 
 #: Bounds of what a worker keeps; bytes after which a long piece is looked at for tokens that are settled.
 MOST_STATES, MOST_PAIRS, BLOCK = 250_000, 300_000, 1024
@@ -296,18 +295,11 @@ class Codec:
             yield own, ",".join(decimal[at].tolist())
 
 
-@functools.cache
-def codec(path: str, pattern: str) -> Codec:
-    """One codec for each Python worker."""
-    return Codec(path, pattern)
-
-
 def round_trip(docs, doc_id: str, text: str, path: str, pattern: str):
     """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded, and its ids decoded again by the streaming decoder."""
 
-    def run(batches):
-        own = codec(path, pattern)
-        gc.disable()  # millions of short lists, none of them in a cycle
+    def told(batches):
+        own = Codec(path, pattern)
         for batch in batches:
             for part in chunks(batch, text):
                 rows = []
@@ -319,6 +311,10 @@ def round_trip(docs, doc_id: str, text: str, path: str, pattern: str):
                 n, a, b = zip(*rows, strict=True)
                 yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    def run(batches):
+        with frugal(collect=False):  # outside told(), whose codec is gone by then
+            yield from told(batches)
+
     return docs.select(doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

@@ -7,6 +7,9 @@ only at the distinct units, and numpy gathers the results back into the order of
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 from itertools import chain
 
@@ -18,13 +21,38 @@ from pyspark.sql import DataFrame, SparkSession
 from tenderlake.session import Scratch, shared_dir  # noqa: F401
 
 #: Bytes of text that one chunk of a Python worker holds at most (a single longer text is a chunk of its own).
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
+
+
+def fresh(names: list[str], prefix: str = "_") -> str:
+    """A prefix with which none of the names begins, whatever its case."""
+    while any(n.lower().startswith(prefix) for n in names):
+        prefix += "_"
+    return prefix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextlib.contextmanager
+def frugal(collect: bool = True) -> Iterator[None]:
+    """Around a task of a Python worker, which may be reused: what the task has freed goes back to the system at its end.
+
+    collect=False: without garbage collection meanwhile, for tasks that make millions of short lists and no cycles.
+    """
+    if not collect:
+        gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library is GNU's
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def hash_limit(share: float) -> int:
     """The largest signed 64-bit hash that belongs to this share of all."""
     return min((1 << 63) - 1, int((2 * share - 1) * (1 << 63)))

@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, hash_limit, table, units
+from .common import chunks, frugal, hash_limit, table, units
 
 #: Bounds of the training sample and size of the model.
 DOCS, WINDOWS, WIDTH, LEXICON, WEIGHTS = 300, 3000, 24, 4000, 1 << 17
 EPOCHS, BATCH, RATE, SWITCHES = 6, 256, 0.15, 0.3
 GRAMS = (1, 2, 3, 4)
 #: Words whose chains are worked on at a time, and bytes of text whose words are.
-BLOCK, CHUNK = 200_000, 6 << 20
+BLOCK, CHUNK = 200_000, 4 << 20
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDS = frozenset(".!?\n")
 
@@ -215,7 +215,8 @@ def held_out(doc_id: str) -> Column:
 
 def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[str, str]]:
     """The bounded sample; `docs` are those that may be learned from."""
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
+    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    doc_id, text, lang = "id", "text", "lang"
     counts = usable.groupBy(lang).count().collect()
     if not counts:
         return []
@@ -288,11 +289,14 @@ def identify(docs: DataFrame, model: Crf | None, text: str = "text", prefix: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
+    def told(part):
+        said, scores = predict_column(shared.value, part.column(place))
+        return pa.record_batch([*part.columns, pa.array(said, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, *names])
+
     def run(batches):
-        for batch in batches:
-            for part in chunks(batch, text, CHUNK):
-                said, scores = predict_column(shared.value, part.column(place))
-                yield pa.record_batch([*part.columns, pa.array(said, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, *names])
+        with frugal():
+            for batch in batches:
+                yield from map(told, chunks(batch, text, CHUNK))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")

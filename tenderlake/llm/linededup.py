@@ -9,7 +9,7 @@ run-length-compressed keep bitmap per document, from which the texts are rebuilt
 Defined cases: a null or empty text is one empty line; a null doc_id neither counts as a
 document nor loses lines; rows with the same doc_id are one document, and rows repeated
 exactly stay repeated; a document may lose all lines and then has an empty text.  Other
-columns pass through.  An empty table gives an empty result.
+columns pass through, whatever their names, but for those that the results' names displace.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, table
+from .common import Scratch, fresh, table
 
 #: What is stripped from both ends of a line, and the letters whose case is ignored.
 STRIP = "".join(map(chr, (0x20, *range(0x09, 0x0E))))
@@ -79,24 +79,29 @@ def keep_bitmaps(dropped: DataFrame) -> DataFrame:
     return runs.select("doc", "row_hash", F.size("at").alias("n_dropped"), F.filter(gaps, lambda r: r["length"] > 0).alias("keep_runs"), (F.element_at("at", -1) + 1).alias("rest"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with kept_text, n_lines and n_dropped as `_kept_text`, `_n_lines`, `_n_dropped`."""
-    marks = bitmaps.select(*[F.col(c).alias(f"_b_{c}") for c in ("doc", "row_hash", "n_dropped", "keep_runs", "rest")])
-    met = docs.join(marks, (F.col(doc_id) == F.col("_b_doc")) & (F.xxhash64(F.col(text)) == F.col("_b_row_hash")), "left")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: str = "_") -> DataFrame:
+    """docs with kept_text, n_lines and n_dropped, their names after `prefix`; columns of docs with these names give way."""
+    out = {c: prefix + c for c in ("kept_text", "n_lines", "n_dropped")}
+    docs = docs.drop(*out.values())
+    p = fresh([*docs.columns, *out.values()])
+    mark = {c: f"{p}{c}" for c in ("doc", "row_hash", "n_dropped", "keep_runs", "rest")}
+    marks = bitmaps.select(*[F.col(c).alias(m) for c, m in mark.items()])
+    met = docs.join(marks, (F.col(doc_id) == F.col(mark["doc"])) & (F.xxhash64(F.col(text)) == F.col(mark["row_hash"])), "left")
     # Out of a generator of one row: an expression inside a lambda would be evaluated for every run.
-    met = met.select("*", F.explode(F.array(_lines(F.col(text)))).alias("_lines"))
-    met = met.withColumn("_n_lines", F.size("_lines").cast("long")).withColumn("_n_dropped", F.coalesce("_b_n_dropped", F.lit(0)).cast("long"))
-    tail = F.struct(F.col("_b_rest").alias("start"), (F.col("_n_lines").cast("int") - F.col("_b_rest")).alias("length"))
-    kept = F.flatten(F.transform(F.concat("_b_keep_runs", F.array(tail)), lambda r: F.slice("_lines", r["start"] + 1, r["length"])))
-    kept_text = F.when(F.col("_b_doc").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n"))
-    return met.withColumn("_kept_text", kept_text).drop("_lines", *marks.columns)
+    lines = f"{p}lines"
+    met = met.select("*", F.explode(F.array(_lines(F.col(text)))).alias(lines))
+    tail = F.struct(F.col(mark["rest"]).alias("start"), (F.size(lines) - F.col(mark["rest"])).alias("length"))
+    kept = F.flatten(F.transform(F.concat(mark["keep_runs"], F.array(tail)), lambda r: F.slice(lines, r["start"] + 1, r["length"])))
+    kept_text = F.when(F.col(mark["doc"]).isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    met = met.withColumns({out["n_lines"]: F.size(lines).cast("long"), out["n_dropped"]: F.coalesce(mark["n_dropped"], F.lit(0)).cast("long"), out["kept_text"]: kept_text})
+    return met.drop(lines, *marks.columns)
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """The documents with `_kept_text`, `_n_lines`, `_n_dropped`: keys of min_chars code points in min_docs documents stay only in the largest doc_id."""
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3, prefix: str = "_") -> DataFrame:
+    """The documents with kept_text, n_lines, n_dropped after `prefix`: keys of min_chars code points in min_docs documents stay only in the largest doc_id."""
     scratch = Scratch(docs.sparkSession, "lines")
     lines = scratch.save(line_hashes(docs, doc_id, text, min_chars))
-    return apply_bitmaps(docs, keep_bitmaps(dropped_lines(lines, min_docs)), doc_id, text)
+    return apply_bitmaps(docs, keep_bitmaps(dropped_lines(lines, min_docs)), doc_id, text, prefix)
 
 
 def op6_line_dedup(spark, sf_dir):

@@ -3,17 +3,19 @@
 1. Every text becomes its set of word shingles, as 64-bit hashes, a 128-bit fingerprint of
    the set and a signature of SYMBOLS minwise values of 8 bits.  Equal sets are one class.
 2. Two sets of similarity s differ in a symbol with probability (1 - s) * 255 / 256.  The
-   distance `most` lies SIGMAS standard deviations above what is expected at the threshold.
+   distance `most` lies SIGMAS standard deviations above what is expected at the threshold,
+   so that of pairs exactly at it three to five in a million are further apart, of others fewer.
    By the pigeonhole principle two signatures within `most` agree up to r = most // CHUNKS
    errors in one of the first most % CHUNKS + 1 chunks, or up to r - 1 in one of the others;
    each chunk is indexed once for each set of places that may be wrong, so no pair within
    the distance is missed.
-3. Pairs are not emitted by bucket.  Each member is compared with the bucket's most central one;
-   then, only in buckets that still hold several components, the members outside the largest
-   component are compared with all members of other components.  Hence every pair within the
-   distance is either compared or already connected.
-4. Pairs within the distance are confirmed on the full shingle sets, and components are found
-   by union-find in tasks of bounded size, whose stars are joined by alternating large-star and
+   Keys are 32 bits and more, so that chance brings few strangers together even among 10^9 sets.
+3. Pairs are not emitted by bucket.  Each set is compared with the most central one, the hub, of
+   the bucket where most of its keys agree.  In buckets that still hold several components, what every
+   set differs in from the hub is stored, and an exact bound on these differences (see _across)
+   says which others it may be linked with.  Hence every pair within the distance is compared, already
+   connected, or shown to be no link; the pairs formed grow with the links, not with the square of a group.
+4. Links are confirmed on the full shingle sets, and components are found by union-find in tasks of bounded size, whose stars are joined by alternating large-star and
    small-star steps on tables in the shared folder.
 
 Defined cases: a null or empty text or one without words has an empty set and is linked with
@@ -33,11 +35,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import Scratch, chunks, plain, table
+from .common import Scratch, chunks, frugal, plain, table
 
-SYMBOLS, CHUNKS, SIGMAS = 96, 24, 4.0
-LONGS = SYMBOLS // 8
+SYMBOLS, CHUNKS, SIGMAS = 100, 20, 4.75
+LONGS = -(-SYMBOLS // 8)
 #: Ids of documents that take part in pairs: up to so many are broadcast to pick their texts, more are joined.
 BROADCAST_IDS = 200_000
 #: Links that one task contracts.
@@ -47,6 +50,8 @@ _XOR = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
 _ODD = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
 #: Shingles that are hashed at a time, so that the work stays in the CPU's cache.
 BLOCK = 1 << 15
+#: Bytes of text whose sets a worker holds at a time.
+PIECE = 4 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -90,7 +95,7 @@ def shingle_sets(col: pa.Array, width: int) -> list[np.ndarray]:
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """SYMBOLS bytes for each non-empty set."""
-    out = np.zeros((len(sets), SYMBOLS), np.uint8)
+    out = np.zeros((len(sets), 8 * LONGS), np.uint8)
     at = 0
     while at < len(sets):
         end, n = at, 0
@@ -113,17 +118,20 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def _features(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     names = ["doc_id", "n", "f1", "f2", *(f"s{i}" for i in range(LONGS))]
 
+    def told(part):
+        sets = shingle_sets(part.column(1), width)
+        n = np.array([len(s) for s in sets])
+        full = np.flatnonzero(n)
+        longs = np.zeros((len(sets), LONGS), np.int64)
+        longs[full] = signatures([sets[i] for i in full]).view(np.int64)
+        f1 = [int(_mix(s + np.uint64(1)).sum().view(np.int64)) if len(s) else None for s in sets]
+        f2 = [int((_mix(s) * _mix(~s)).sum().view(np.int64)) if len(s) else None for s in sets]
+        return pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(LONGS))], names=names)
+
     def run(batches):
-        for batch in batches:
-            for part in chunks(batch, text):
-                sets = shingle_sets(part.column(1), width)
-                n = np.array([len(s) for s in sets])
-                full = np.flatnonzero(n)
-                longs = np.zeros((len(sets), LONGS), np.int64)
-                longs[full] = signatures([sets[i] for i in full]).view(np.int64)
-                f1 = [int(_mix(s + np.uint64(1)).sum().view(np.int64)) if len(s) else None for s in sets]
-                f2 = [int((_mix(s) * _mix(~s)).sum().view(np.int64)) if len(s) else None for s in sets]
-                yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(LONGS))], names=names)
+        with frugal():
+            for batch in batches:
+                yield from map(told, chunks(batch, text, PIECE))
 
     return docs.select(doc_id, text).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
@@ -133,16 +141,17 @@ def allowed_distance(num: int, den: int) -> int:
     return min(SYMBOLS - 1, math.ceil(SYMBOLS * differ + SIGMAS * math.sqrt(SYMBOLS * differ * (1 - differ))))
 
 
-def index_masks(most: int) -> list[tuple[int, int]]:
-    """(long, mask) of each key of a signature: a chunk without the places that may be wrong."""
+def index_masks(most: int) -> list[dict[int, int]]:
+    """{long: mask} of each key of a signature: a chunk without the places that may be wrong."""
     size, r = SYMBOLS // CHUNKS, most // CHUNKS
-    per, out = 8 // size, []
+    out = []
     for c in range(CHUNKS):
         errors = r if c <= most % CHUNKS else r - 1
         for wrong in itertools.combinations(range(size), min(errors, size)) if errors >= 0 else ():
-            places = [c % per * size + i for i in range(size) if i not in wrong]
-            mask = sum(0xFF << 8 * i for i in places)
-            out.append((c // per, mask - (1 << 64) if mask >> 63 else mask))
+            masks: dict[int, int] = {}
+            for place in (c * size + i for i in range(size) if i not in wrong):
+                masks[place // 8] = masks.get(place // 8, 0) | 0xFF << 8 * (place % 8)
+            out.append({at: m - (1 << 64) if m >> 63 else m for at, m in masks.items()})
     return out
 
 
@@ -157,10 +166,6 @@ def _distance(a: str, b: str):
     return total
 
 
-def _renamed(df: DataFrame, p: str) -> DataFrame:
-    return df.select(*[F.col(c).alias({"id": p, "n": f"{p}_n"}.get(c, c.replace("s", f"{p}s", 1))) for c in df.columns])
-
-
 def _contracted(batches):
     """Union-find over one task's links (u, v): the links of each of its components become a star around its smallest id."""
     parent: dict[int, int] = {}
@@ -205,23 +210,87 @@ def components(links: DataFrame, scratch: Scratch, per_task: int = LINKS_PER_TAS
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have den * |both| >= num * |either|."""
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, schema: str, told) -> DataFrame:
+    """Rows of `schema` for the pairs (a, b): told(sets of a, sets of b, numbers of their b, columns of a and b) gives a batch."""
     met = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
-        for batch in batches:
-            for part in chunks(batch, "ta", 4 << 20):
-                uniq = pc.dictionary_encode(part.column(3))  # one text is often the partner of many
-                sets_b = shingle_sets(uniq.dictionary, width)
-                keep = []
-                for s, j in zip(shingle_sets(part.column(2), width), uniq.indices.to_pylist(), strict=True):
-                    t = sets_b[j]
-                    common = len(np.intersect1d(s, t, assume_unique=True))
-                    keep.append(common > 0 and den * common >= num * (len(s) + len(t) - common))
-                yield pa.record_batch([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        with frugal():
+            for batch in batches:
+                for part in chunks(batch, "ta", PIECE):
+                    uniq = pc.dictionary_encode(part.column(3))  # one text is often the partner of many
+                    yield told(shingle_sets(part.column(2), width), shingle_sets(uniq.dictionary, width), uniq.indices.to_pylist(), part.columns[:2])
+
+    return met.mapInArrow(run, schema)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have den * |both| >= num * |either|."""
+
+    def told(sets_a, sets_b, at, ids):
+        common = [len(np.intersect1d(s, sets_b[j], assume_unique=True)) for s, j in zip(sets_a, at, strict=True)]
+        keep = [c > 0 and den * c >= num * (len(s) + len(sets_b[j]) - c) for c, s, j in zip(common, sets_a, at, strict=True)]
+        return pa.record_batch(ids, names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _compared(pairs, texts, width, "a long, b long", told)
+
+
+def _differences(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(id, hub, n, n_hub, items) of the pairs (a, b): the sizes of both sets, and what is in one of them only."""
 
-    return met.mapInArrow(run, "a long, b long")
+    def told(sets_a, sets_b, at, ids):
+        items = [np.setxor1d(s, sets_b[j], assume_unique=True).view(np.int64) for s, j in zip(sets_a, at, strict=True)]
+        ends = np.cumsum([0, *map(len, items)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*items, np.zeros(0, np.int64)])))
+        sizes = [pa.array(map(len, sets_a), pa.int64()), pa.array([len(sets_b[j]) for j in at], pa.int64())]
+        return pa.record_batch([*ids, *sizes, lists], names=["id", "hub", "n", "n_hub", "items"])
+
+    return _compared(pairs, texts, width, "id long, hub long, n long, n_hub long, items array<long>", told)
+
+
+def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+    """Links (a, b) between sets of different components that have a hub in common; diffs is a stored table.
+
+    With u = den + num, v = den - num and d(x, y) the size of a symmetric difference, x and y are linked if
+    u d(x, y) <= v (|x| + |y|).  Let A and B be what a and b differ in from their hub h, so that
+    d(a, b) = |A| + |B| - 2 |A n B|.  Of a pair across components one set, a, is apart from h: u |A| > v (|a| + |h|).  Hence
+        2 u |A n B| >= u |A| + u |B| - v (|a| + |b|)                                     for the pair,
+        2 u |A n B| >= u |B| + v (|h| - |b|) + 1                                         whatever a is,
+        (u + v) |A n B| >= u |A| - v (|a| + |h|)                                         whatever b is,
+    about half of either.  With the items of each difference in one order, rare ones first, the first common item comes
+    so early in both that the others can still make up the overlap.  Only pairs with such an item are formed: copies with
+    changes of their own have none, so no pair of them is, and a group of them costs no more than its size.
+    """
+    u, v = den + num, den - num
+    of = labels.withColumnRenamed("component", "c")
+    known = diffs.join(of, "id", "left").join(of.select(F.col("id").alias("hub"), F.col("c").alias("hub_c")), "hub", "left")
+    known = known.withColumns({"c": F.coalesce("c", "id"), "hub_c": F.coalesce("hub_c", "hub"), "d": F.size("items").cast("long")})
+    known = known.withColumn("apart", F.col("c") != F.col("hub_c"))
+    up = lambda x, by: F.floor((x + (by - 1)) / F.lit(by))
+    least_any = F.greatest(F.lit(1), up(F.col("d") * u - (F.col("n") + F.col("n_hub")) * v, u + v))
+    least_apart = F.greatest(F.lit(1), up(F.col("d") * u + (F.col("n_hub") - F.col("n")) * v + 1, 2 * u))
+    # The places up to which a first common item may come: with sets that are apart from the hub, and with the others.
+    with_apart = F.col("d") + 1 - F.when(F.col("apart"), F.greatest(least_any, least_apart)).otherwise(least_apart)
+    with_near = F.when(F.col("apart"), F.col("d") + 1 - least_any).otherwise(0)
+    known = known.join(known.where("apart").select("hub").distinct(), "hub", "left_semi").withColumns({"with_apart": with_apart, "with_near": with_near})
+    known = scratch.save(known.where("with_apart > 0 OR with_near > 0"), "known")
+
+    each = known.select("hub", F.explode("items").alias("item"), "id", "n", "d", "c", "apart", "with_apart", "with_near")
+    held = each.where("apart").groupBy("hub", "item").agg(F.count(F.lit(1)).alias("sets"), F.min("c").alias("c_low"), F.max("c").alias("c_high"))
+    each = each.join(scratch.save(held, "held"), ["hub", "item"], "left")
+    each = each.withColumn("place", F.row_number().over(Window.partitionBy("hub", "id").orderBy(F.coalesce("sets", F.lit(0)), "item")))
+    each = each.where((F.col("place") <= F.greatest("with_apart", "with_near")) & ((F.col("c_low") != F.col("c")) | (F.col("c_high") != F.col("c")) | F.col("apart"))).drop("sets", "c_low", "c_high")
+    each = scratch.save(each, "each")
+    side = lambda df, p: df.select("hub", "item", *[F.col(x).alias(f"{p}_{x}") for x in ("n", "d", "c", "apart", "with_apart", "with_near", "place")], F.col("id").alias(p))
+    left, right = side(each.where("apart"), "a"), side(each.where("place <= with_apart"), "b")
+    other = (F.col("a_c") != F.col("b_c")) & F.when(F.col("b_apart"), (F.col("a") < F.col("b")) & (F.col("a_place") <= F.col("a_with_apart"))).otherwise(F.col("a_place") <= F.col("a_with_near"))
+    still = 1 + F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
+    fits = 2 * u * still >= u * (F.col("a_d") + F.col("b_d")) - v * (F.col("a_n") + F.col("b_n"))
+    pairs = left.join(right, ["hub", "item"]).where(other & fits).groupBy("a", "b").agg(F.min("hub").alias("hub"))
+    full = lambda p: known.select(F.col("id").alias(p), "hub", F.col("n").alias(f"{p}_n"), F.col("items").alias(f"{p}_items"))
+    met = scratch.save(pairs, "pairs").join(full("a"), ["hub", "a"]).join(full("b"), ["hub", "b"])
+    d = F.size("a_items") + F.size("b_items") - 2 * F.size(F.array_intersect("a_items", "b_items"))
+    return met.where(d * u <= (F.col("a_n") + F.col("b_n")) * v).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -239,60 +308,52 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # A set that is its own size away from the next possible one has no partner.
     nodes = classes.where(F.col("n") * den >= (F.col("n") + 1) * num).select("id", "n", *sig)
 
-    keys = nodes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), F.col(f"s{at}").bitwiseAND(F.lit(mask))) for i, (at, mask) in enumerate(masks)])).alias("key"))
+    keys = nodes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), *[F.col(f"s{at}").bitwiseAND(F.lit(mask)) for at, mask in m.items()]) for i, m in enumerate(masks)])).alias("key"))
     buckets = scratch.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
     members = scratch.save(keys.join(buckets, "key"), "members")
     # A set whose keys many others have lies in the middle of its group, where most links go.
     central = members.groupBy("id").agg(F.sum("members").alias("rank"))
     hubs = scratch.save(members.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("rank", "id")).alias("hub")), "hubs")
-    members = scratch.save(members.join(hubs, "key"), "members")
-
-    near = (_distance("as", "bs") <= most) & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num)
-    a_side, b_side = _renamed(nodes, "a"), _renamed(nodes, "b")
-    met = members.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    met = scratch.save(met, "met")
-
-    def within(pairs: DataFrame) -> DataFrame:
-        return pairs.join(b_side, "b").join(a_side, "a").where(near).select("a", "b")
+    placed = scratch.save(members.join(hubs, "key").select("key", "id", "hub"), "placed")
+    scratch.drop(buckets, members, hubs)
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = scratch.save(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS
+        few = ids.count() <= BROADCAST_IDS  # 8 bytes each
         return scratch.save(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
 
-    # First each set with the central one that it shares most keys with; few pairs of the others remain apart.
-    best = scratch.save(within(met.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))), "best")
-    links = scratch.save(_confirm(best, texts_of(best), width, num, den), "links")
+    # First each set with the central one that it shares most keys with.
+    a_side, b_side = (nodes.select(F.col("id").alias(p), F.col("n").alias(f"{p}_n"), *[F.col(s).alias(f"{p}{s}") for s in sig]) for p in "ab")
+    near = (_distance("as", "bs") <= most) & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num)
+    met = placed.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    best = met.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    best = scratch.save(best.join(b_side, "b").join(a_side, "a").where(near).select("a", "b"), "best")
+    texts = texts_of(best)
+    links = scratch.save(_confirmed(best, texts, width, num, den), "links")
+    scratch.drop(best, texts)
     same = known.join(classes.select("f1", "f2", "id"), ["f1", "f2"]).groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("a")).where("a <> b")
     links = scratch.save(links.unionByName(same.select("a", "b")), "links")  # rows with one doc_id and several texts
     labels = scratch.save(components(links, scratch), "labels")
 
-    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_c"))
-        met = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return met.where(F.coalesce("a_c", "a") != F.coalesce("b_c", "b")).select("a", "b")
-
-    star = scratch.save(within(apart(met, labels)), "star")
-    more = scratch.save(_confirm(star, texts_of(star), width, num, den), "links")
+    def mixed(labels: DataFrame) -> DataFrame:
+        """(a, b): sets and hubs of buckets that hold several components."""
+        told = placed.join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
+        several = told.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+        return scratch.save(told.join(several, "key", "left_semi").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "mixed")
+
+    # Then, in buckets that still hold several components, all sets with their hubs, and with others by what differs from the hub.
+    pairs = mixed(labels)
+    texts = texts_of(pairs)
+    diffs = scratch.save(_differences(pairs, texts, width), "diffs")
+    scratch.drop(placed, pairs, texts)
+    star = diffs.where(F.size("items") * (den + num) <= (F.col("n") + F.col("n_hub")) * (den - num)).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    links = scratch.save(links.unionByName(star), "links")
+    labels = scratch.save(components(links, scratch), "labels")
+    more = scratch.save(_across(diffs, labels, scratch, num, den), "links")
     if more.take(1):
         links = scratch.save(links.unionByName(more), "links")
         labels = scratch.save(components(links, scratch), "labels")
 
-    # Buckets of three and more that still hold several components.
-    placed = members.where("members > 2").join(labels, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("c"))
-    counted = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("cs"), F.max_by("c", F.struct("n", "c")).alias("main"))
-    mixed = scratch.save(counted.where("cs > 1").select("key", "main"), "mixed")
-    placed = scratch.save(placed.join(mixed, "key").join(nodes, "id"), "placed")
-    left = _renamed(placed.where("c <> main").select("id", "n", *sig, "key", F.col("c").alias("lc"), F.col("hub").alias("lh")), "a").withColumnRenamed("key", "lk")
-    right = _renamed(placed.select("id", "n", *sig, F.col("key").alias("rk"), F.col("c").alias("rc"), F.col("main").alias("rm")), "b")
-    others = (F.col("lk") == F.col("rk")) & (F.col("lc") != F.col("rc")) & ((F.col("rc") == F.col("rm")) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("lh")) & (F.col("b") != F.col("lh"))
-    cross = scratch.save(left.join(right, others & near).select("a", "b").distinct(), "cross")
-    if cross.take(1):
-        more = scratch.save(_confirm(cross, texts_of(cross), width, num, den), "links")
-        if more.take(1):
-            links = scratch.save(links.unionByName(more), "links")
-            labels = scratch.save(components(links, scratch), "labels")
-
     # Only classes of several rows or with links need to be told their component.
     told = classes.join(labels, "id", "left").where("rows > 1 OR component IS NOT NULL").select("f1", "f2", F.coalesce("component", "id").alias("component"))
     told = scratch.save(told, "told")

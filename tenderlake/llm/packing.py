@@ -17,7 +17,6 @@ document of any length is tokenised whole; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections import defaultdict, deque
@@ -28,7 +27,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-from .common import Pool, chunks, table, units
+from .common import Pool, chunks, frugal, table, units
 
 #: Pieces that wait in a partition before bins are made, and that are left for the next ones.
 WAITING, LEFT = 4096, 2048
@@ -87,11 +86,6 @@ class WordPieces:
             yield np.concatenate((flat[bounds[row] : bounds[row + 1]], last))
 
 
-@functools.cache
-def word_pieces(path: str) -> WordPieces:
-    return WordPieces(path)
-
-
 def closest_sum(counts: dict[int, int], target: int) -> dict[int, int]:
     """How many of each length to take so that their sum comes closest to target from below; counts has the lengths at hand."""
     reach, trail, full = 1, [], (1 << (target + 1)) - 1
@@ -181,13 +175,12 @@ class Packer:
 def pack(docs, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 2048, end: int = 1):
     """A row of SCHEMA for each piece of each document."""
 
-    def run(batches):
-        own, packer = word_pieces(path), Packer(capacity, TaskContext.get().partitionId())
-
-        def out(rows):
-            cols = zip(*rows, strict=True) if rows else [[]] * 7
-            return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=[f.split()[0] for f in SCHEMA.split(", ")])
+    def out(rows):
+        cols = zip(*rows, strict=True) if rows else [[]] * 7
+        return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
+    def packed(batches):
+        own, packer = WordPieces(path), Packer(capacity, TaskContext.get().partitionId())
         for batch in batches:
             for part in chunks(batch, text):
                 rows = []
@@ -196,6 +189,10 @@ def pack(docs, path: str, doc_id: str = "doc_id", text: str = "text", capacity:
                 yield out(rows)
         yield out(packer.finish())
 
+    def run(batches):
+        with frugal():  # outside packed(), whose tokenizer and pools are gone by then
+            yield from packed(batches)
+
     return docs.select(doc_id, text).mapInArrow(run, SCHEMA)
 
 

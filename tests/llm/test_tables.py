@@ -145,6 +145,60 @@ def test_components_against_brute_force(spark, width, num):
     assert got == brute_components(rows, width, num, 100)
 
 
+def near_copies(rng, base, least, most, words=10**6):
+    """base with some of its words changed, each to a new one."""
+    w = list(base)
+    for at in rng.sample(range(len(w)), rng.randint(least, most)):
+        w[at] = f"n{rng.randrange(words)}"
+    return " ".join(w)
+
+
+def test_pairs_formed_grow_with_the_group_and_not_with_its_square(spark, monkeypatch):
+    save, formed = Scratch.save, {}
+
+    def counted(self, df, name="t"):
+        out = save(self, df, name)
+        formed[name] = out.count() if name in ("pairs", "diffs", "best") else 0
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "save", counted)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    for size in (200, 800):
+        rows = [(0, " ".join(base))] + [(i, near_copies(rng, base, 2, 9)) for i in range(1, size)]
+        got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, num=85).collect())
+        assert got == brute_components(rows, 3, 85, 100)
+        assert 1 < sum(r[3] for r in got) < size  # some are apart from all others
+        assert formed["pairs"] <= size and formed["diffs"] <= 20 * size and formed["best"] < size
+
+
+def test_links_between_sets_apart_from_their_hub(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    rows = [(i, near_copies(rng, base, 0, 3)) for i in range(40)]
+    for family in range(12):  # families far from the base, near to one another, some by a chain only
+        w = near_copies(rng, base, 5, 12).split()
+        for i in range(6):
+            rows.append((100 + 10 * family + i, near_copies(rng, w, 0, 4, 300)))
+            if i % 2:
+                w = rows[-1][1].split()[rng.randrange(4) :]
+    got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, num=85).collect())
+    assert got == brute_components(rows, 3, 85, 100)
+
+
+def test_recall_of_pairs_near_the_threshold(spark):
+    rng, rows, links = random.Random(10), [], 0
+    while links < 300:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 150, 400]))]
+        other = near_copies(rng, base, 1, max(2, len(base) // 30))
+        a, b = shingled(" ".join(base), 3), shingled(other, 3)
+        if 0.85 <= len(a & b) / len(a | b) < 0.9:
+            rows += [(2 * links, " ".join(base)), (2 * links + 1, other)]
+            links += 1
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, num=85)
+    assert got.where("component_id = doc_id - doc_id % 2").count() == 600
+
+
 def test_no_documents_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f g h i"), (1, "a b c d e f g h i")], "doc_id long, text string")
     assert sorted(map(str, neardup.near_duplicates(df).select("component_id", "kept").collect())) == ["Row(component_id=1, kept=True)", "Row(component_id=None, kept=True)"]
@@ -156,12 +210,14 @@ def test_index_finds_all_pairs_within_the_distance():
     for most in (12, 29, 40):
         masks = neardup.index_masks(most)
         for _ in range(200):
-            a = rng.integers(0, 256, neardup.SYMBOLS, dtype=np.uint8)
+            a = np.zeros(8 * neardup.LONGS, np.uint8)
+            a[: neardup.SYMBOLS] = rng.integers(0, 256, neardup.SYMBOLS)
             b = a.copy()
             at = rng.choice(neardup.SYMBOLS, most, replace=False)
             b[at] = b[at] + rng.integers(1, 256, most, dtype=np.uint8)
             x, y = a.view(np.int64), b.view(np.int64)
-            assert any(int(x[i]) & m == int(y[i]) & m for i, m in masks)
+            assert any(all(int(x[i]) & m == int(y[i]) & m for i, m in key.items()) for key in masks)
+            assert most > 39 or all(sum((m % (1 << 64)).bit_count() for m in key.values()) >= 32 for key in masks)
 
 
 def test_components_of_links_in_one_task_and_in_several(spark):

@@ -140,7 +140,7 @@ def test_examples_and_round_trip(spark):
 
 @pytest.fixture(scope="module")
 def codec():
-    return bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def texts(n=300):
