@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of docs.  run() writes each stage's result to the shared folder and rereads it as the
 next one's docs, so that a lost executor costs part of one stage only.
+
+Defined cases: a null or empty text or one without letters goes in the first stage; a null lang, source or n_chars
+changes nothing; rows with one doc_id are one document, so near_dedup keeps or drops them together, whatever their
+texts; rows with a null doc_id have no duplicates and stay; repeated rows stay repeated but for their lines; a
+document may lose all its lines and is then packed as its end id; an empty table gives no rows; extra columns pass
+unchanged through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm import langid, linededup, neardup, packing, secrets
-from tenderlake.llm.common import Scratch, table
+from tenderlake.llm.common import Scratch, fresh, table
 
 #: A document stays if one language has this share of its words; mixed texts with a main language do.
 LEAST_SCORE = 0.4
@@ -29,13 +35,15 @@ def _with_text(docs: DataFrame, text: str, like: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter or without a main language."""
-    named = langid.identify(docs, langid.fit(docs), prefix="_")
-    return named.where((F.col("_lang_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    p = fresh(docs.columns)
+    named = langid.identify(docs, langid.fit(docs), prefix=p)
+    return named.where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that at least three documents share, except in the largest doc_id."""
-    return _with_text(linededup.dedup_lines(docs), "_kept_text", docs.columns)
+    p = fresh(docs.columns)
+    return _with_text(linededup.dedup_lines(docs, prefix=p), f"{p}kept_text", docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +55,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets; the documents stay."""
     path = "source" if "source" in docs.columns else None
-    return _with_text(secrets.scan(docs, secrets.fit(docs), path=path, prefix="_"), "_clean_text", docs.columns)
+    p = fresh(docs.columns)
+    return _with_text(secrets.scan(docs, secrets.fit(docs), path=path, prefix=p), f"{p}clean_text", docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +69,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    docs, scratch, old = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline"), []
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch.drop(*old)
+        old = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
