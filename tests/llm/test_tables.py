@@ -50,22 +50,56 @@ def test_revisits(spark):
 def test_top_k_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=6) * (100 if i % 17 == 0 else 1)]) for i in range(300)]
-    rows += [(300, None), (301, [1.0, float("nan")]), (302, [1.0, None]), (303, []), (304, [float("inf")]), (305, [2.0]), (50, rows[50][1]), (None, [1.0]), (306, rows[3][1]), (307, rows[3][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
+    rows += [(300, None), (301, [1.0, float("nan")]), (302, [1.0, None]), (303, []), (304, [float("inf")]), (305, [2.0]), (50, rows[50][1]), (100, rows[7][1]), (None, [1.0]), (306, rows[3][1]), (307, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"score": F.lit(1), "seq": F.lit("x"), "v": F.lit(2)})
     v = Scratch(spark, "t").save(topk.scaled(df, "vec_id", "embedding", 1024))
-    queries_ = v.where("vec_id % 50 = 0").dropDuplicates(["vec_id"])
+    queries_ = v.where("vec_id % 50 = 0")
     known = [(r["vec_id"], list(r["v"])) for r in v.collect()]
-    assert len(known) == 304
-    monkeypatch.setattr(topk, "SHARD", 64)
-    for cells in (1 << 20, 12):
-        monkeypatch.setattr(topk, "BLOCK_CELLS", cells)
-        got = collections.defaultdict(list)
-        for r in topk.top_k(v, queries_, 10).orderBy("query_id", "rank").collect():
-            got[r["query_id"]].append((r["vec_id"], r["score"]))
-        for q, a in ((r["vec_id"], list(r["v"])) for r in queries_.collect()):
-            want = sorted(((i, sum(x * y for x, y in zip(a, b))) for i, b in known if i != q), key=lambda x: (-x[1], x[0]))[:10]
-            assert got[q] == want
-    assert topk.top_k(v.limit(0), v.limit(0), 10).count() == 0
+    assert len(known) == 305
+    want = []
+    for q, a in known:
+        if q % 50 == 0:
+            best = sorted(((i, sum(x * y for x, y in zip(a, b))) for i, b in known if i != q), key=lambda x: (-x[1], x[0]))[:10]
+            want += [(q, rank + 1, i, s) for rank, (i, s) in enumerate(best)]
+    for cells, rows_ in ((1 << 22, 4096), (1 << 22, 100), (60, 4096)):  # one shard, several, and several blocks of queries
+        monkeypatch.setattr(topk, "GROUP_CELLS", cells)
+        monkeypatch.setattr(topk, "SPLIT_ROWS", rows_)
+        assert sorted(tuple(r) for r in topk.top_k(v, queries_, 10).collect()) == sorted(want)
+    assert topk.top_k(v.limit(0), v.limit(0), 10).count() == 0 and topk.top_k(v, v.limit(0), 10).count() == 0
+    few = [r for r in topk.top_k(v.where("vec_id < 4"), v.where("vec_id = 0"), 10).collect()]
+    assert [r["rank"] for r in few] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("size", [1e6, 3e9, 3e15, 1e30])
+def test_scores_beyond_64_bits(spark, size):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=3) * size]) for i in range(80)]
+    v = Scratch(spark, "t").save(topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 1024))
+    known = [(r["vec_id"], list(r["v"])) for r in v.collect()]
+    held = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    assert all(b == [held(int(np.floor(x * 1024))) for x in a[1]] for a, (_, b) in zip(rows, sorted(known)))
+    want = sorted(((-held(sum(x * y for x, y in zip(known[0][1], b))), i) for i, b in known if i != known[0][0]))[:10]
+    got = topk.top_k(v, v.where(F.col("vec_id") == known[0][0]), 10).orderBy("rank").collect()
+    assert [(-r["score"], r["vec_id"]) for r in got] == want
+
+
+def test_searches_look_at_a_part_of_the_components():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 32))
+    rows = np.floor(1024 * (centres[rng.integers(0, 40, 4000)] + 0.1 * rng.normal(size=(4000, 32)))).astype(np.int64)
+    shard = topk.Shard(np.arange(4000), rows, int(np.abs(rows).max()))
+    for q in range(0, 4000, 100):
+        scores, ids = shard.search(rows[q], q, 10)
+        full = rows @ rows[q]
+        full[q] = -(1 << 60)
+        best = np.lexsort((np.arange(4000), -full))[:10]
+        assert ids.tolist() == best.tolist() and scores.tolist() == full[best].tolist()
+    assert shard.looked_at < 0.2 * 40 * rows.size
+    text = np.floor(1024 * rng.normal(size=(500, 64))).astype(np.int64)  # nothing in common: still fewer than all
+    shard = topk.Shard(np.arange(500), text, int(np.abs(text).max()))
+    for q in range(5):
+        shard.search(text[q], q, 10)
+    assert shard.looked_at < 0.9 * 5 * text.size
 
 
 # ---- audio ----
