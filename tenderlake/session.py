@@ -53,10 +53,10 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{name}{self.n}"
 
-    def save(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Writes df and returns what was written, cut from its lineage."""
+    def save(self, df: DataFrame, name: str = "t", **options: str) -> DataFrame:
+        """Writes df, with these options of the writer, and returns what was written, cut from its lineage."""
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
