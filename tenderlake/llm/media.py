@@ -3,18 +3,18 @@
 Payloads are stored as WAVE bytes in a binary column; 8-bit formats keep every byte.  Companded
 samples expand through tables of 256 entries built from the formats' rules.  ADPCM is
 decoded for all blocks of a chunk at once: step by step along the block, with numpy across
-blocks.  PCM is resampled by whole-number polyphase filters in integer arithmetic, so that
-equal payloads give equal samples on every machine.
+blocks.  PCM is resampled by a triangular filter in integer arithmetic, so that
+equal payloads give equal samples on every machine, and stored as a WAVE file beside the original.
 
 Defined cases: a null text is an empty payload; a payload is padded with zero bytes to a
 positive multiple of BLOCK; texts are stored whole; repeated rows are stored each; other
-columns are ignored.
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
+import math
 import struct
 import zlib
 
@@ -23,10 +23,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import Scratch, chunks, table
+from .common import Scratch, chunks, frugal, table
 
 #: Bytes of an ADPCM block: a header of 4 and two samples a byte.
 BLOCK, RATE = 64, 8000
+#: Samples a second of the linear PCM that the query stores: at 2 bytes each no more bytes than the payload.
+PCM_RATE = 4000
 PCM, ALAW, MULAW, ADPCM = 1, 6, 7, 17
 #: Samples that are worked on at a time.
 SPAN = 1 << 17
@@ -90,23 +92,27 @@ def decode_adpcm(data: np.ndarray, block: int = BLOCK) -> np.ndarray:
 
 
 def resample(pcm: np.ndarray, up: int, down: int) -> np.ndarray:
-    """PCM at up / down times the rate: linear interpolation between neighbours in integers, rounded down; the last sample is held."""
-    n = -(-len(pcm) * up // down)
-    place = np.arange(n, dtype=np.int64) * down
-    i, f = place // up, (place % up).astype(np.int32)
-    x = pcm.astype(np.int32)
-    after = np.append(x[1:], x[-1:])
-    return ((x[i] * (up - f) + after[i] * f) // up).astype(np.int16)
-
-
-def double_rate(pcm: np.ndarray) -> np.ndarray:
-    """resample(pcm, 2, 1), without gathering."""
-    out = np.empty(2 * len(pcm), np.int16)
-    out[::2] = pcm
-    x = pcm.astype(np.int32)
-    out[1:-1:2] = (x[:-1] + x[1:]) >> 1
-    out[-1] = pcm[-1]
-    return out
+    """PCM at up / down times the rate, in integers: a triangular filter, as wide as a step of the lower of both rates on
+    either side, so that it interpolates on the way up and is a low-pass on the way down; the end samples are held.
+    """
+    if not len(pcm):
+        return pcm.astype(np.int16)
+    n, wide = -(-len(pcm) * up // down), max(up, down)
+    side = -(-wide // up) - (wide % up == 0)  # samples on either side that the filter reaches, besides the next one
+    place = np.arange(min(up, n), dtype=np.int64) * down  # the phases repeat after `up` samples
+    distance = np.abs(np.arange(-side, side + 2) * up - (place % up)[:, None])
+    weight = np.maximum(0, wide - distance)
+    x = np.concatenate((np.full(side, pcm[0]), pcm, np.full(down + side + 1, pcm[-1]))).astype(np.int64)
+    out = np.empty(n, np.int64)
+    for phase in range(min(up, n)):
+        count = len(range(phase, n, up))
+        total, at = int(weight[phase].sum()), int(place[phase] // up)
+        acc = np.zeros(count, np.int64)
+        for j, w in enumerate(weight[phase].tolist()):
+            if w:
+                acc += w * x[at + j : at + j + down * (count - 1) + 1 : down]
+        out[phase::up] = (2 * acc + total) // (2 * total)
+    return out.astype(np.int16)
 
 
 def wave(payload: bytes, kind: int, rate: int = RATE) -> bytes:
@@ -148,35 +154,40 @@ def to_pcm(media: bytes) -> np.ndarray:
 def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, media: each text's bytes as the mu-law samples of a WAVE file."""
 
+    def told(part):
+        raw = pc.fill_null(part.column(1).cast(pa.large_binary()), b"").to_pylist()
+        media = [wave(b + b"\0" * (-len(b) % BLOCK if b else BLOCK), MULAW) for b in raw]
+        return pa.record_batch([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+
     def run(batches):
-        for batch in batches:
-            for part in chunks(batch, text):
-                raw = pc.fill_null(part.column(1).cast(pa.large_binary()), b"").to_pylist()
-                media = [wave(b + b"\0" * (-len(b) % BLOCK if b else BLOCK), MULAW) for b in raw]
-                yield pa.record_batch([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+        with frugal(collect=False):
+            for batch in batches:
+                yield from map(told, chunks(batch, text))
 
     return docs.select(doc_id, text).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def resampled(media: DataFrame, rate: int = 16000, column: str = "media") -> DataFrame:
-    """The media table with each file as linear PCM at this rate in `pcm`, again a WAVE file."""
+def resampled(media: DataFrame, rate: int = 16000, column: str = "media", to: str = "pcm") -> DataFrame:
+    """The media table with each file as linear PCM at this rate in the column `to`, again a WAVE file; a null file stays null."""
+    media = media.drop(to)
     at = media.columns.index(column)
 
+    def linear(file):
+        old = samples(file)[1]
+        g = math.gcd(rate, old)
+        return wave(resample(to_pcm(file), rate // g, old // g).astype("<i2", copy=False).tobytes(), PCM, rate)
+
+    def told(part):
+        files = [None if m is None else linear(m) for m in part.column(at).to_pylist()]
+        return pa.record_batch([*part.columns, pa.array(files, pa.binary())], names=[*part.schema.names, to])
+
     def run(batches):
-        for batch in batches:
-            for part in chunks(batch, column, 4 << 20):
-                out = []
-                for m in part.column(at).to_pylist():
-                    if m is None:
-                        out.append(None)
-                        continue
-                    old = samples(m)[1]
-                    g = np.gcd(rate, old)
-                    out.append(wave(resample(to_pcm(m), rate // g, old // g).astype("<i2").tobytes(), PCM, rate))
-                yield pa.record_batch([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, "pcm"])
+        with frugal(collect=False):
+            for batch in batches:
+                yield from map(told, chunks(batch, column, 4 << 20))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema.fields)
-    return media.mapInArrow(run, f"{schema}, pcm binary")
+    return media.mapInArrow(run, f"{schema}, `{to}` binary")
 
 
 def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -184,7 +195,7 @@ def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def features(payloads: list[memoryview]) -> list[str]:
-    """Of each payload read as mu-law, A-law and ADPCM: energies, sign changes, and the checksum of its mu-law PCM at twice the rate."""
+    """Of each payload read as mu-law, A-law and ADPCM: energies, and sign changes of its mu-law PCM."""
     out, at = [], 0
     while at < len(payloads):
         end, n = at, 0
@@ -203,30 +214,33 @@ def features(payloads: list[memoryview]) -> list[str]:
         turn[1:] = (mu[1:] < 0) != (mu[:-1] < 0)
         turn[bounds[:-1]] = 0
         turns = _sums(turn, bounds)
-        for i, (b, e) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            crc = zlib.crc32(double_rate(mu[b:e]).astype("<i2", copy=False).tobytes())
-            out.append(f"mu={e_mu[i]};a={e_a[i]};adpcm={e_ad[i]};turns={turns[i]};pcm16k={crc:08x}")
+        out += [f"mu={x};a={y};adpcm={z};turns={n}" for x, y, z, n in zip(e_mu, e_a, e_ad, turns, strict=True)]
         at = end
     return out
 
 
 def described(media: DataFrame) -> DataFrame:
-    """What the stored bytes of each row say, read back."""
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    """What the stored bytes of each row of (doc_id, n_bytes, media, pcm) say, read back."""
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pcm_rate", "pcm_bytes", "pcm_sha256"]
+    kinds = {"payload_sha256": "string", "media_sha256": "string", "feature": "string", "pcm_sha256": "string"}
+    sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
+    longs = lambda xs: pa.array(xs, pa.int64())
+
+    def told(part):
+        files, linear = part.column(2).to_pylist(), [samples(m) for m in part.column(3).to_pylist()]
+        data, pcm = [samples(m)[2] for m in files], [x[2] for x in linear]
+        said = [f"{x};pcm={zlib.crc32(p):08x}" for x, p in zip(features(data), pcm, strict=True)]
+        cols = [longs(map(len, data)), sha(data), longs([zlib.crc32(d[-64:]) for d in data]), longs(map(len, files)), sha(files), pa.array(said, pa.string()), longs([x[1] for x in linear]), longs(map(len, pcm)), sha(pcm)]
+        return pa.record_batch([part.column(0), part.column(1), *cols], names=names)
 
     def run(batches):
-        gc.disable()
-        for batch in batches:
-            for part in chunks(batch, "media", 8 << 20):
-                files = part.column(2).to_pylist()
-                data = [samples(m)[2] for m in files]
-                sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
-                cols = [pa.array(map(len, data), pa.int64()), sha(data), pa.array([zlib.crc32(d[-64:]) for d in data], pa.int64()), pa.array(map(len, files), pa.int64()), sha(files), pa.array(features(data), pa.string())]
-                yield pa.record_batch([part.column(0), part.column(1), *cols], names=names)
+        with frugal(collect=False):
+            for batch in batches:
+                yield from map(told, chunks(batch, "media", 4 << 20))
 
-    kinds = {"payload_sha256": "string", "media_sha256": "string", "feature": "string"}
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names))
+    return media.select("doc_id", "n_bytes", "media", "pcm").mapInArrow(run, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names))
 
 
 def op4_telephony_audio(spark, sf_dir):
-    return described(Scratch(spark, "audio").save(store(table(spark, sf_dir, "documents"))))
+    media = resampled(store(table(spark, sf_dir, "documents")), PCM_RATE)
+    return described(Scratch(spark, "audio").save(media, "media", **{"parquet.compression.codec.zstd.level": "9"}))

@@ -1,7 +1,10 @@
 """WARC, top-k, audio, near duplicates and the pipeline on small cases and against brute force."""
 
 import collections
+import hashlib
 import random
+import struct
+import zlib
 
 import duckdb
 import numpy as np
@@ -122,21 +125,48 @@ def test_tables_and_adpcm():
     assert media.decode_adpcm(data).ravel().tolist() == want
 
 
-def test_stored_audio(spark):
-    rows = [(1, "é" * 40), (2, None), (3, ""), (4, "é" * 40), (5, "x" * 64), (6, "long " * 60_000), (6, "again")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("media", F.lit(0))
-    stored = Scratch(spark, "t").save(media.store(df))
-    got = [r.asDict() for r in media.described(stored).orderBy("doc_id", "n_bytes").collect()]
-    one, none, empty, four, five = got[:5]
-    assert {k: v for k, v in one.items() if k != "doc_id"} == {k: v for k, v in four.items() if k != "doc_id"}
-    assert (none["n_bytes"], none["payload_bytes"], empty["payload_bytes"], five["payload_bytes"], one["payload_bytes"]) == (0, 64, 64, 64, 128)
-    pcm = media.resampled(stored.where("doc_id = 5"), 16000).first()["pcm"]
-    kind, rate, data = media.samples(pcm)
-    assert (kind, rate, len(data)) == (media.PCM, 16000, 256)
-    x = media.MULAW_PCM[np.frombuffer(b"xyzx", np.uint8)]
-    assert media.double_rate(x).tolist() == media.resample(x, 2, 1).tolist()
+def brute_resample(x, up, down):
+    """The filter as it is defined, sample by sample."""
+    wide, out = max(up, down), []
+    for n in range(-(-len(x) * up // down)):
+        near = range((n * down - wide) // up, (n * down + wide) // up + 1)
+        weights = [max(0, wide - abs(i * up - n * down)) for i in near]
+        acc = sum(w * int(x[min(len(x) - 1, max(0, i))]) for i, w in zip(near, weights))
+        out.append((2 * acc + sum(weights)) // (2 * sum(weights)))
+    return out
+
+
+@pytest.mark.parametrize(("up", "down"), [(1, 1), (2, 1), (1, 2), (1, 3), (3, 2), (2, 3), (441, 80), (80, 441)])
+def test_resampling_against_its_definition(up, down):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 64, 129):
+        x = rng.integers(-32768, 32768, n).astype(np.int16)
+        assert media.resample(x, up, down).tolist() == brute_resample(x, up, down)
+    tone = (20000 * np.sin(np.pi * np.arange(400))).astype(np.int16) + np.int16(20000) * (-1) ** np.arange(400, dtype=np.int16)
+    assert np.abs(media.resample(tone, 1, 2)[2:-2]).max() < 100  # what the lower rate can't hold is filtered out
+
+
+def test_stored_audio_against_brute_force(spark):
+    rows = [(1, "é" * 40), (2, None), (3, ""), (4, "é" * 40), (5, "x" * 64), (6, "long " * 60_000), (6, "again"), (6, "again"), (None, "id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"media": F.lit(0), "n_bytes": F.lit("x"), "pcm": F.lit(1)})
+    stored = Scratch(spark, "t").save(media.resampled(media.store(df), media.PCM_RATE))
+    got = sorted((tuple(r) for r in media.described(stored).collect()), key=str)
+    want = []
+    for i, text in rows:
+        raw = (text or "").encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        file = b"RIFF" + struct.pack("<I", 36 + len(payload)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 7, 1, 8000, 8000, 1, 8) + b"data" + struct.pack("<I", len(payload)) + payload
+        mu, a = ([int(t[b]) for b in payload] for t in (media.MULAW_PCM, media.ALAW_PCM))
+        adpcm = [int(x) for k in range(0, len(payload), 64) for x in media.decode_adpcm(np.frombuffer(payload[k : k + 64], np.uint8)).ravel()]
+        pcm = np.array(brute_resample(mu, 1, 2), "<i2").tobytes()
+        square = lambda xs: sum(x * x for x in xs)
+        feature = f"mu={square(mu)};a={square(a)};adpcm={square(adpcm)};turns={sum((x < 0) != (y < 0) for x, y in zip(mu, mu[1:]))};pcm={zlib.crc32(pcm):08x}"
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        want.append((i, len(raw), len(payload), sha(payload), zlib.crc32(payload[-64:]), len(file), sha(file), feature, 4000, len(pcm), sha(pcm)))
+    assert got == sorted(want, key=str)
     for k in (media.PCM, media.ALAW, media.MULAW, media.ADPCM):
         assert bytes(media.samples(media.wave(b"\1" * 128, k))[2]) == b"\1" * 128
+    assert media.described(media.resampled(media.store(df.limit(0)))).count() == 0
 
 
 # ---- near duplicates ----
