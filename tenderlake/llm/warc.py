@@ -2,74 +2,76 @@
 
 Only headers (page id, payload digest, length) are shuffled to find repeated payloads: the
 smallest page id of each digest is the original, the others become revisit records that
-refer to it.  The archives are then written with fresh headers: WARC/1.1, a response with its
-HTTP block or a revisit of profile identical-payload-digest with an empty payload.  Reading parses the
-archives as a stream, checks lengths, digests what is stored, and joins revisits to their
-responses to tell their payloads.
+refer to it.  The archives are then written with fresh headers: WARC/1.1, a new record id and date, a response with its
+HTTP block or a revisit of profile identical-payload-digest with an empty payload, which names the original's
+URI and date.  Reading parses the archives record by record, checks lengths, digests what is stored, and joins
+revisits to their responses to tell their payloads.
 
-Archives are gzip files in the shared folder, written by Spark's committer and read through Spark, so
-any store that Spark reaches will do and lost tasks run again.
+Archives are gzip files in the shared folder, written by Spark's committer and read through Spark's text
+source, so any store that Spark reaches will do, lost tasks run again, and a task holds one record and a batch of
+lines, however large the archive.  A file is one gzip member: Spark's codec makes no others.
 
 Defined cases: a null html is an empty payload; a null url is an empty target; line breaks in
 urls are percent-encoded; rows with a null page_id are responses to which nothing refers; rows with the
 smallest page_id of a payload are all responses, even if repeated; records of equal payloads and page ids are
-written each; extra columns are ignored.
+written each, with ids of their own; extra columns are ignored; an empty table gives archives without records.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
-import io
+import itertools
+from collections.abc import Iterable, Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, frugal, table
 
 LEAST_BYTES, PER_FILE = 100, 20_000
+#: Records that are handed on at a time.
+ROWS = 10_000
 #: Revisits known to be no more than this are broadcast to the pages; more are joined.
-BROADCAST_REVISITS = 100_000
+BROADCAST_REVISITS, BROADCAST_BYTES = 100_000, 32 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL, END = "\r\n", "\r\n\r\n"
 SCHEMA = "page_id long, record_type string, target string, digest string, refers_to long, payload_bytes long, stored_digest string"
 
 
 def revisits_of(heads: DataFrame, scratch: Scratch, least: int = LEAST_BYTES) -> DataFrame:
-    """(page_id, digest, original) of the records that repeat the payload of a smaller page id; heads is a stored table (page_id, digest, bytes)."""
+    """(page_id, digest, original, original_url) of the records that repeat the payload of a smaller page id; heads is a stored table (page_id, url, digest, bytes)."""
     large = heads.where((F.col("bytes") >= least) & F.col("page_id").isNotNull())
-    originals = scratch.save(large.groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "originals")
-    return scratch.save(large.join(originals, "digest").where("page_id <> original").select("page_id", "digest", "original").distinct(), "revisits")
+    first = large.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    originals = scratch.save(first.select("digest", F.col("first.page_id").alias("original"), F.col("first.url").alias("original_url")), "originals")
+    return scratch.save(large.join(originals, "digest").where("page_id <> original").select("page_id", "digest", "original", "original_url").distinct(), "revisits")
 
 
-def _record_id(page_id, digest):
-    h = F.md5(F.concat_ws(" ", page_id.cast("string"), digest))
-    return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
-
-
-def write_archives(pages: DataFrame, path: str, scratch: Scratch, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Writes a record for each row under `path`."""
+def write_archives(pages: DataFrame, path: str, scratch: Scratch, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_BYTES, date: str | None = None) -> None:
+    """Writes a record for each row under `path`; date is that of all records, now by default."""
+    when = F.lit(date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"))
     payload = F.coalesce(F.col(html), F.lit(""))
     known = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"))
-    heads = scratch.save(known.select("page_id", "digest", "bytes"), "heads")
+    heads = scratch.save(known.select("page_id", "url", "digest", "bytes"), "heads")
     revisits = revisits_of(heads, scratch, least)
-    few = revisits.count() <= BROADCAST_REVISITS
+    few = revisits.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("original_url") + 150), F.lit(0))).first()
+    few = few[0] <= BROADCAST_REVISITS and few[1] <= BROADCAST_BYTES
     met = known.join(F.broadcast(revisits) if few else revisits, ["page_id", "digest"], "left")
 
     again = F.col("original").isNotNull()
-    target = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    uri = lambda c: F.replace(F.replace(c, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "), F.col("bytes").cast("string"), F.lit(END))
     block_bytes = F.octet_length(http) + F.when(again, 0).otherwise(F.col("bytes"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(EOL))
     head = F.concat(
         F.lit(f"WARC/1.1{EOL}"),
         line("WARC-Type", F.when(again, "revisit").otherwise("response")),
-        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("digest"))),
-        line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", target),
+        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        line("WARC-Date", when),
+        line("WARC-Target-URI", uri("url")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", _record_id(F.col("original"), F.col("digest"))), line("X-Refers-To-Page", F.col("original").cast("string")))).otherwise(""),
+        F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To-Target-URI", uri("original_url")), line("WARC-Refers-To-Date", when), line("X-Refers-To-Page", F.col("original").cast("string")))).otherwise(""),
         F.when(F.col("page_id").isNotNull(), line("X-Page-Id", F.col("page_id").cast("string"))).otherwise(""),
         F.lit(f"Content-Type: application/http; msgtype=response{EOL}"),
         line("Content-Length", block_bytes.cast("string")),
@@ -78,42 +80,80 @@ def write_archives(pages: DataFrame, path: str, scratch: Scratch, page_id: str =
     met.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
 
 
-def parse(stream: io.BufferedIOBase):
-    """Yields (headers, block) of each record of an archive; names of headers in lower case."""
-    while True:
-        first = stream.readline()
-        if not first:
-            return
-        if first.strip() != b"WARC/1.1":
+class Stream:
+    """Bytes in order, given in lines that END ended; the last line of a file need not have had it."""
+
+    def __init__(self, lines: Iterable[bytes]):
+        self.lines, self.held = iter(lines), bytearray()
+
+    def _more(self) -> bool:
+        line = next(self.lines, None)
+        if line is None:
+            return False
+        self.held += line
+        self.held += END.encode()
+        return True
+
+    def to_blank_line(self) -> bytes:
+        """What comes before the next END, which is passed over; empty at the end of the file."""
+        at = 0
+        while (found := self.held.find(END.encode(), at)) < 0:
+            at = max(0, len(self.held) - 3)
+            if not self._more():
+                return b""
+        out = bytes(self.held[:found])
+        del self.held[: found + 4]
+        return out
+
+    def read(self, n: int) -> bytes:
+        while len(self.held) < n and self._more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+
+def parse(lines: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of an archive, given in what its ENDs separate; names of headers in lower case."""
+    stream = Stream(lines)
+    while head := stream.to_blank_line():
+        first, *rest = head.decode("utf-8").split(EOL)
+        if first != "WARC/1.1":
             raise ValueError("no record where one should begin")
-        headers = {}
-        while (line := stream.readline()) not in (b"\r\n", b""):
-            name, _, value = line.decode("utf-8").partition(":")
-            headers[name.strip().lower()] = value.strip(" \t\r\n")
+        headers = {name.strip().lower(): value.strip(" \t") for name, _, value in (x.partition(":") for x in rest)}
         n = int(headers["content-length"])
         block = stream.read(n)
-        if len(block) != n or stream.read(4) != b"\r\n\r\n":
+        if len(block) != n or stream.read(4) != END.encode():
             raise ValueError("a record of another length than its header says")
         yield headers, block
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row of SCHEMA for each record; of a revisit, payload_bytes and stored_digest are null."""
+    kinds = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in map(str.split, SCHEMA.split(", "))])
 
-    def run(batches):
+    def lines(batches) -> Iterator[tuple[str, bytes]]:
         for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                with gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer())) as packed:
-                    for h, block in parse(io.BufferedReader(packed, 1 << 20)):
-                        payload = block[block.index(b"\r\n\r\n") + 4 :] if h["warc-type"] == "response" else None
-                        number = lambda name, h=h: int(h[name]) if name in h else None
-                        rows.append((number("x-page-id"), h["warc-type"], h["warc-target-uri"], h["warc-payload-digest"].removeprefix("sha256:"), number("x-refers-to-page"), None if payload is None else len(payload), None if payload is None else hashlib.sha256(payload).hexdigest()))
-                if rows:
-                    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in SCHEMA.split(", ")])
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(run, SCHEMA)
+            yield from zip(batch.column(0).to_pylist(), (x.as_buffer().to_pybytes() for x in batch.column(1)), strict=True)
+
+    def told(batches):
+        rows = []
+        for _, own in itertools.groupby(lines(batches), key=lambda x: x[0]):  # gzip files aren't split: each lies in one task, in order
+            for h, block in parse(x for _, x in own):
+                payload = block[block.index(END.encode()) + 4 :] if h["warc-type"] == "response" else None
+                number = lambda name, h=h: int(h[name]) if name in h else None
+                rows.append((number("x-page-id"), h["warc-type"], h["warc-target-uri"], h["warc-payload-digest"].removeprefix("sha256:"), number("x-refers-to-page"), None if payload is None else len(payload), None if payload is None else hashlib.sha256(payload).hexdigest()))
+                if len(rows) == ROWS:
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+                    rows = []
+        if rows:
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+
+    def run(batches):
+        with frugal():
+            yield from told(batches)
+
+    return spark.read.option("lineSep", END).text(path).select("_metadata.file_path", "value").mapInArrow(run, SCHEMA)
 
 
 def resolve(records: DataFrame, scratch: Scratch) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import struct
 import zlib
 
@@ -33,18 +34,38 @@ def test_query_matches_sql(spark, name):
 def test_revisits(spark):
     long, other = "<p>é</p>\r\n\r\nWARC/1.1\r\n" * 10, "b" * 150
     rows = [(5, "u5", long), (2, "u2\r\nX: y", long), (9, None, long), (3, "u", "short"), (4, "u", "short"), (6, "u", None), (7, "u", ""), (1, "u", other), (1, "u", other), (8, "u", other), (None, "u", other), (10, "u", "c" * 300_000)]
+    rows += [(20 + i, "é", end + "x" * 120 * (i % 2) + end) for i, end in enumerate(["\r\n", "\r\n", "\r\n\r\n", "\r\n\r\n", "\r", "\n", "\r\n\r", "\0"])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
+    scratch = Scratch(spark, "t")
+    for parts in (1, 5):
+        path = scratch.path()
+        warc.write_archives(df.repartition(parts), path, scratch, date="2024-05-06T07:08:09Z")
+        got = warc.resolve(scratch.save(warc.read_archives(spark, path)), scratch).collect()
+        assert len(got) == len(rows)
+        kinds = collections.Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got if r["page_id"] is None or r["page_id"] < 20)
+        assert kinds == collections.Counter({(2, "response", None): 1, (5, "revisit", 2): 1, (9, "revisit", 2): 1, (3, "response", None): 1, (4, "response", None): 1, (6, "response", None): 1, (7, "response", None): 1, (1, "response", None): 2, (8, "revisit", 1): 1, (None, "response", None): 1, (10, "response", None): 1})
+        payload = {i: (h or "").encode() for i, _, h in rows}
+        assert all((r["payload_bytes"], r["payload_digest"]) == (len(payload[r["page_id"]]), hashlib.sha256(payload[r["page_id"]]).hexdigest()) for r in got)
+        heads = [r["value"] for r in spark.read.option("lineSep", warc.END).text(path).where("value LIKE '%WARC-Record-ID%'").collect()]
+        assert len({re.search("WARC-Record-ID: (.*)", h)[1] for h in heads}) == len(heads) == len(rows)
+        again = [h for h in heads if "WARC-Type: revisit" in h]
+        assert len(again) == 3 and all("WARC-Refers-To-Date: 2024-05-06T07:08:09Z" in h and "WARC-Refers-To-Target-URI: u" in h for h in again)
+
+
+def test_archives_without_records(spark):
     scratch = Scratch(spark, "t")
     path = scratch.path()
-    warc.write_archives(df, path, scratch)
-    got = warc.resolve(scratch.save(warc.read_archives(spark, path)), scratch).collect()
-    assert len(got) == len(rows)
-    kinds = collections.Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got)
-    assert kinds == collections.Counter({(2, "response", None): 1, (5, "revisit", 2): 1, (9, "revisit", 2): 1, (3, "response", None): 1, (4, "response", None): 1, (6, "response", None): 1, (7, "response", None): 1, (1, "response", None): 2, (8, "revisit", 1): 1, (None, "response", None): 1, (10, "response", None): 1})
-    size = {5: long, 2: long, 9: long, 8: other, 1: other}
-    assert all(r["payload_bytes"] == len(size[r["page_id"]].encode()) for r in got if r["page_id"] in size)
-    scratch.n += 1
-    warc.write_archives(df.limit(0), scratch.path(), scratch)
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path, scratch)
+    assert warc.resolve(scratch.save(warc.read_archives(spark, path)), scratch).count() == 0
+
+
+def test_a_record_of_another_length_is_an_error():
+    good = [b"WARC/1.1\r\nContent-Length: 7", b"a\r\nb", b"c"]
+    with pytest.raises(ValueError, match="another length"):
+        list(warc.parse(good))
+    with pytest.raises(ValueError, match="no record"):
+        list(warc.parse([b"x", b"y"]))
+    assert [b for _, b in warc.parse([b"WARC/1.1\r\nContent-Length: 9", b"a\r\nb", b"c", b"WARC/1.1\r\nContent-Length: 0", b"", b""])] == [b"a\r\nb\r\n\r\nc", b""]
 
 
 # ---- top-k ----
