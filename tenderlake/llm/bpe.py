@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 import public_tokenizers
 import regex
 
-from .common import Pool, chunks, frugal, plain, table, units
+from .common import Pool, chunks, frugal, plain, spread, table, units
 
 #: Bounds of what a worker keeps; bytes after which a long piece is looked at for tokens that are settled.
 MOST_STATES, MOST_PAIRS, BLOCK = 250_000, 300_000, 1024
@@ -319,4 +319,4 @@ def round_trip(docs, doc_id: str, text: str, path: str, pattern: str):
 
 
 def op9_bpe_round_trip(spark, sf_dir):
-    return round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return round_trip(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -24,6 +24,12 @@ from tenderlake.session import Scratch, shared_dir  # noqa: F401
 CHUNK_BYTES = 8 << 20
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, a scan of files, dealt to as many partitions as there are cores if it has fewer: for work in Python on small tables in few files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fresh(names: list[str], prefix: str = "_") -> str:
     """A prefix with which none of the names begins, whatever its case."""
     while any(n.lower().startswith(prefix) for n in names):

@@ -4,7 +4,7 @@ Features of a word are its character n-grams of 1 to 4 with marks at both ends (
 mark are its affixes), hashed to WEIGHTS rows of weights, and the languages whose learned
 lexicon has the word.  Transitions between the languages of neighbouring words and the first
 word's language are learned with them, by gradient on the exact likelihood.  A chain ends at
-a full stop, exclamation or question mark or line feed.  Words are labelled by
+a full stop, exclamation or question mark (see ENDS) or line feed.  Words are labelled by
 forward-backward over all chains of a chunk of texts at once; a text's language is that with
 the largest sum of posteriors over its words, and the score is its share.
 
@@ -24,26 +24,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, frugal, hash_limit, table, units
+from .common import chunks, frugal, hash_limit, spread, table, units
 
 #: Bounds of the training sample and size of the model.
 DOCS, WINDOWS, WIDTH, LEXICON, WEIGHTS = 300, 3000, 24, 4000, 1 << 17
 EPOCHS, BATCH, RATE, SWITCHES = 6, 256, 0.15, 0.3
 GRAMS = (1, 2, 3, 4)
-#: Words whose chains are worked on at a time, and bytes of text whose words are.
-BLOCK, CHUNK = 200_000, 4 << 20
-TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
-ENDS = frozenset(".!?\n")
+#: Bytes of text whose words are worked on at a time, and numbers that a step over words or characters and languages holds.
+CHUNK, CELLS = 4 << 20, 1 << 20
+#: What ends a sentence, in several scripts.
+ENDS = frozenset(".!?\n\u0964\u0965\u061f\u06d4\u3002\uff01\uff1f\u0589\u1362")
+MARKS = "".join(sorted(ENDS))
+TOKEN = re.compile(rf"[^\W\d_]+|[{MARKS}]")
+#: Letters and the marks that combine with them.
+WORDS = regex.compile(rf"[\p{{L}}\p{{M}}]+|[{MARKS}]")
 
 
 def words_of(text: str) -> list[str]:
     """Lower-cased words with a letter, and the marks that end chains."""
-    found = TOKEN.findall(text.lower())
-    return found if text.isascii() else [w for w in found if w in ENDS or any(map(str.isalpha, w))]
+    if text.isascii():
+        return TOKEN.findall(text.lower())
+    return [w for w in WORDS.findall(text.lower()) if w in ENDS or any(map(str.isalpha, w))]
 
 
 def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,13 +86,21 @@ class Crf:
         return np.unpackbits(bits, axis=1, count=k, bitorder="little").astype(np.float32)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros((0, len(self.languages)), np.float32)
-        rows, starts = gram_rows(words)
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        most, at, ends = CELLS // len(self.languages), 0, np.cumsum([len(w) + 2 for w in words])
+        while at < len(words):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            rows, starts = gram_rows(words[at:end])
+            out[at:end] = self.scores(rows, starts) + self._lexical(words[at:end]) @ self.in_lexicon
+            at = end
+        return out
+
+    def scores(self, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The summed weights of each word's n-grams."""
         per_place = self.weights[rows[:, 0]]
         for j in range(1, len(GRAMS)):
             per_place += self.weights[rows[:, j]]
-        return np.add.reduceat(per_place, starts, axis=0) + self._lexical(words) @ self.in_lexicon
+        return np.add.reduceat(per_place, starts, axis=0)
 
     def posteriors(self, emitted: np.ndarray, lengths: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
         """Forward-backward over chains of these lengths that lie one after another in `emitted`; adds expected transitions to `pairs`."""
@@ -183,27 +197,31 @@ def train(windows: list[tuple[str, str]], seed: int = 7) -> Crf | None:
             distinct: dict[str, int] = {}
             codes = np.array([distinct.setdefault(w, len(distinct)) for w in words])
             names = list(distinct)
+            rows, starts = gram_rows(names)
+            lexical = model._lexical(names)
             pairs = np.zeros((k, k), np.float32)
-            gamma = model.posteriors(model.emissions(names)[codes], lengths, pairs)
+            gamma = model.posteriors((model.scores(rows, starts) + lexical @ model.in_lexicon)[codes], lengths, pairs)
             observed = np.eye(k, dtype=np.float32)[y]
             diff = observed - gamma
             per_word = np.stack([np.bincount(codes, diff[:, i], len(names)) for i in range(k)], axis=1).astype(np.float32)
-            rows, starts = gram_rows(names)
             place = np.repeat(np.arange(len(names)), np.diff(np.append(starts, len(rows))))
-            grad = np.zeros_like(model.weights)
+            used, at_used = np.unique(rows, return_inverse=True)  # the rows of weights that the batch has
+            at_used = at_used.reshape(rows.shape)
+            grad = np.zeros((len(used), k), np.float32)
             for i in range(k):
                 w = per_word[place, i]
                 for j in range(len(GRAMS)):
-                    grad[:, i] += np.bincount(rows[:, j], w, WEIGHTS + 1)
-            grad[WEIGHTS] = 0
+                    grad[:, i] += np.bincount(at_used[:, j], w, len(used))
+            grad[used == WEIGHTS] = 0
             begin = np.cumsum(lengths) - lengths
             inner = np.ones(len(y), bool)
             inner[begin] = False
             to = np.flatnonzero(inner)
             seen = np.zeros((k, k), np.float32)
             np.add.at(seen, (y[to - 1], y[to]), 1)
-            step(model.weights, sums[0], grad)
-            step(model.in_lexicon, sums[1], model._lexical(names).T @ per_word)
+            sums[0][used] += grad * grad
+            model.weights[used] += RATE * grad / np.sqrt(sums[0][used])
+            step(model.in_lexicon, sums[1], lexical.T @ per_word)
             step(model.first, sums[2], diff[begin].sum(axis=0))
             step(model.then, sums[3], seen - pairs)
     return model
@@ -252,10 +270,11 @@ def predict_column(model: Crf, col: pa.Array) -> tuple[list[str], list[float]]:
     unit_starts = np.cumsum(n_of) - n_of
     emitted = model.emissions(list(known))
     k = len(model.languages)
+    block = max(1, CELLS // k)
     names, scores = [], []
     row, sizes = 0, np.concatenate(([0], np.cumsum(n_of[codes])))[offsets]
     while row < len(col):
-        end = max(row + 1, int(np.searchsorted(sizes, sizes[row] + BLOCK, side="right")) - 1)
+        end = max(row + 1, int(np.searchsorted(sizes, sizes[row] + block, side="right")) - 1)
         at = codes[offsets[row] : offsets[end]]
         n = n_of[at]
         ends = np.cumsum(n)
@@ -309,5 +328,5 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 def op1_crf_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit(docs)
-    named = identify(docs.select("doc_id", "text"), model)
+    named = identify(spread(docs.select("doc_id", "text")), model)
     return named.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import Scratch, chunks, frugal, table
+from .common import Scratch, chunks, frugal, spread, table
 
 #: Bytes of an ADPCM block: a header of 4 and two samples a byte.
 BLOCK, RATE = 64, 8000
@@ -242,5 +242,5 @@ def described(media: DataFrame) -> DataFrame:
 
 
 def op4_telephony_audio(spark, sf_dir):
-    media = resampled(store(table(spark, sf_dir, "documents")), PCM_RATE)
+    media = resampled(store(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))), PCM_RATE)
     return described(Scratch(spark, "audio").save(media, "media", **{"parquet.compression.codec.zstd.level": "9"}))

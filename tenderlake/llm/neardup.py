@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, chunks, frugal, plain, table
+from .common import Scratch, chunks, frugal, plain, spread, table
 
 SYMBOLS, CHUNKS, SIGMAS = 100, 20, 4.75
 LONGS = -(-SYMBOLS // 8)
 #: Ids of documents that take part in pairs: up to so many are broadcast to pick their texts, more are joined.
 BROADCAST_IDS = 200_000
+#: Tasks at most over which the sets of one hub are dealt to be told of it.
+SALTS = 64
 #: Links that one task contracts.
 LINKS_PER_TASK = 1_000_000
 _RANDOM = np.random.default_rng(20)
@@ -263,8 +265,10 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     """
     u, v = den + num, den - num
     of = labels.withColumnRenamed("component", "c")
-    known = diffs.join(of, "id", "left").join(of.select(F.col("id").alias("hub"), F.col("c").alias("hub_c")), "hub", "left")
-    known = known.withColumns({"c": F.coalesce("c", "id"), "hub_c": F.coalesce("hub_c", "hub"), "d": F.size("items").cast("long")})
+    told = diffs.join(of, "id", "left").withColumns({"c": F.coalesce("c", "id"), "d": F.size("items").cast("long"), "salt": F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")})
+    hubs = told.groupBy("hub").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).join(of.select(F.col("id").alias("hub"), F.col("c").alias("hub_c")), "hub", "left")
+    hubs = hubs.withColumn("hub_c", F.coalesce("hub_c", "hub")).where("c_low <> hub_c OR c_high <> hub_c").select("hub", "hub_c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    known = told.join(hubs, ["hub", "salt"]).drop("salt")  # salted: one hub may have a large part of all sets
     known = known.withColumn("apart", F.col("c") != F.col("hub_c"))
     up = lambda x, by: F.floor((x + (by - 1)) / F.lit(by))
     least_any = F.greatest(F.lit(1), up(F.col("d") * u - (F.col("n") + F.col("n_hub")) * v, u + v))
@@ -272,7 +276,7 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     # The places up to which a first common item may come: with sets that are apart from the hub, and with the others.
     with_apart = F.col("d") + 1 - F.when(F.col("apart"), F.greatest(least_any, least_apart)).otherwise(least_apart)
     with_near = F.when(F.col("apart"), F.col("d") + 1 - least_any).otherwise(0)
-    known = known.join(known.where("apart").select("hub").distinct(), "hub", "left_semi").withColumns({"with_apart": with_apart, "with_near": with_near})
+    known = known.withColumns({"with_apart": with_apart, "with_near": with_near})
     known = scratch.save(known.where("with_apart > 0 OR with_near > 0"), "known")
 
     each = known.select("hub", F.explode("items").alias("item"), "id", "n", "d", "c", "apart", "with_apart", "with_near")
@@ -363,7 +367,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def op7_minhash_hamming(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, num=85, den=100)
+    return near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), width=3, num=85, den=100)
 
 
 OP7_SQL = r"""

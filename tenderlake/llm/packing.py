@@ -27,7 +27,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-from .common import Pool, chunks, frugal, table, units
+from .common import Pool, chunks, frugal, spread, table, units
 
 #: Pieces that wait in a partition before bins are made, and that are left for the next ones.
 WAITING, LEFT = 4096, 2048
@@ -197,4 +197,4 @@ def pack(docs, path: str, doc_id: str = "doc_id", text: str = "text", capacity:
 
 
 def op8_minimum_bin_slack(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), public_tokenizers.path("word_bpe_49k.json"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks, frugal, table, units
+from .common import Scratch, chunks, frugal, spread, table, units
 from .findings import Finding, kept_findings
 
 DICTIONARY, FINDINGS, TREES, DEPTH, THRESHOLD = 20_000, 5000, 100, 12, 0.4
@@ -404,6 +404,6 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", path: str | None
 
 
 def op10_secret_forest(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     out = scan(docs, fit(docs), path="source")
     return out.select("doc_id", "n_candidates", "n_secrets", "max_score", "findings", F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"))

@@ -341,3 +341,45 @@ def test_pipeline_stages(spark):
     left = [(i, text[i]) for i in sorted(text)]
     assert ids[3] == {i for i, _, _, kept in brute_components(left, 5, 80, 100) if kept}
     assert not any('token = "0' in (r[0] or "") for r in seen[4].select("text").collect())
+
+
+@pytest.fixture
+def odd_documents(spark):
+    rng = random.Random(5)
+    words = {"en": "the of and water house tree with from under river".split(), "fr": "les des une avec pour dans sur maison eau arbre".split()}
+    rows = []
+    for i in range(80):
+        lang = ("en", "fr")[i % 2]
+        rows.append((i, " ".join(rng.choices(words[lang], k=40)) + ".", lang, "s"))
+    rows += [(100, None, "en", "s"), (101, "", None, None), (102, "12 !?", "en", "s"), (103, rows[3][1], None, None), (104, rows[3][1] + " x", "fr", "s"), (None, rows[3][1], "fr", "s"), rows[5], rows[5]]
+    rows += [(105, rows[7][1] + ' token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ' + rows[9][1], "fr", "s"), (106, "the water of the river " * 20_000, "en", "s")]
+    rows += [(110 + i, "the same line of some length\n" + " ".join(rng.choices(words["en"], k=30)), "en", "s") for i in range(4)] + [(114, "the same line of some length", "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
+    return df.withColumns({c: F.concat(F.lit(f"own {c} "), F.coalesce("doc_id", F.lit(-1))) for c in CLASHING})
+
+
+CLASHING = ["_score", "_lang_pred", "_clean_text", "_findings", "_kept_text", "_lines", "id", "n", "kept", "component_id", "__score"]
+
+
+def test_pipeline_on_odd_documents(spark, odd_documents):
+    scratch, docs = Scratch(spark, "t"), odd_documents
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = scratch.save(stage(spark, docs, SF), name)
+        seen[name] = docs
+        if name != "packing":
+            assert docs.columns == columns
+            assert all(r[c] == f"own {c} {-1 if r['doc_id'] is None else r['doc_id']}" for r in docs.collect() for c in CLASHING)
+    ids = {name: collections.Counter(r["doc_id"] for r in df.select("doc_id").collect()) for name, df in seen.items()}
+    assert not {100, 101, 102} & set(ids["language_id"]) and ids["language_id"][5] == 3 and ids["language_id"][None] == 1
+    text = {r["doc_id"]: r["text"] for r in seen["line_dedup"].collect()}
+    assert not any("same line" in text[110 + i] for i in range(4)) and text[114] == "the same line of some length"
+    assert ids["near_dedup"][3] == 1 and not {103, 104} & set(ids["near_dedup"]) and ids["near_dedup"][5] == 3 and ids["near_dedup"][None] == 1
+    assert "04dbebab" not in "".join(r["text"] for r in seen["secret_scan"].collect()) and ids["secret_scan"] == ids["near_dedup"]
+    assert set(ids["packing"]) == set(ids["secret_scan"])
+
+
+def test_pipeline_of_no_documents(spark, odd_documents, tmp_path):
+    odd_documents.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

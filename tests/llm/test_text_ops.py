@@ -73,6 +73,35 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(model.posteriors(e, lengths, pairs), got) and np.allclose(pairs, want_pairs)
 
 
+def test_held_out_accuracy_on_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = langid.identify(docs.where(langid.held_out("doc_id")).where("lang IS NOT NULL AND text RLIKE '[a-z]{3}'"), langid.fit(docs)).select("lang", "lang_pred").collect()
+    assert len(held) > 200 and sum(r[0] == r[1] for r in held) >= 0.98 * len(held)
+
+
+def test_words_keep_their_marks_and_chains_end_in_several_scripts():
+    assert langid.words_of("हिन्दी में। été? n\u0303 \u0301") == ["हिन्दी", "में", "।", "été", "?", "n\u0303"]
+
+
+def test_small_blocks_change_nothing(spark, monkeypatch):
+    docs = corpus(spark, 60)
+    model = langid.fit(docs)
+    texts = pa.array([r["text"] for r in docs.collect()] + [None, "", "kala " * 500, "\n.\n"])
+    want = langid.predict_column(model, texts)
+    monkeypatch.setattr(langid, "CELLS", 50)
+    got = langid.predict_column(model, texts)
+    assert got[0] == want[0] and np.allclose(got[1], want[1], atol=1e-5)
+
+
+def test_only_weights_of_what_was_read_are_learned():
+    rows, _ = langid.gram_rows(["abc", "abc", "x", "été"])
+    assert (rows[:5] == rows[5:10]).all() and rows.max() == langid.WEIGHTS
+    windows = [("a", "ka la ma"), ("b", "xo ri ve")] * 20
+    model = langid.train(windows)
+    assert not model.weights[langid.WEIGHTS].any() and np.count_nonzero(model.weights.any(axis=1)) < 200
+    assert [x[1] for x in model.label_words("ka la ma xo ri ve")] == ["a"] * 3 + ["b"] * 3
+
+
 def test_more_languages_than_bits_of_a_word(spark):
     rows = [(i, " ".join([f"{chr(97 + i % 70 // 26)}{chr(97 + i % 70 % 26)}{x}" for x in ("ko", "ra", "ti")] * 4), f"l{i % 70:02}", "s", 0.0) for i in range(560)]
     docs = spark.createDataFrame(rows, DOCS)
@@ -119,6 +148,16 @@ def test_lines_against_brute_force(spark, monkeypatch):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_lines_keep_columns_whatever_they_are_called(spark):
+    names = ["_lines", "_n_lines", "_b_doc", "_b_row_hash", "__lines", "h1", "doc", "kept_text", "a.b"]
+    rows = [(i, "the same line of some length\nown %d" % i) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(f"own {n}") for n in names})
+    got = linededup.dedup_lines(df, prefix="x_").collect()
+    assert [r["x_kept_text"] for r in sorted(got)] == [f"own {i}" for i in range(3)] + [rows[3][1]]
+    assert all(r[n] == f"own {n}" for r in got for n in names)
+    assert linededup.dedup_lines(df).columns.count("_n_lines") == 1  # the result's names displace others
+
+
 # ---- chat ----
 
 
