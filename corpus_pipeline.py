@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm import langid, linededup, neardup, packing, secrets
-from tenderlake.llm.common import Scratch, fresh, table
+from tenderlake.llm.common import Scratch, fresh, spread, table
 
 #: A document stays if one language has this share of its words; mixed texts with a main language do.
 LEAST_SCORE = 0.4
@@ -36,7 +36,7 @@ def _with_text(docs: DataFrame, text: str, like: list[str]) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter or without a main language."""
     p = fresh(docs.columns)
-    named = langid.identify(docs, langid.fit(docs), prefix=p)
+    named = langid.identify(spread(docs), langid.fit(docs), prefix=p)
     return named.where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= LEAST_SCORE)).select(*docs.columns)
 
 
@@ -48,7 +48,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of near duplicates."""
-    gone = neardup.near_duplicates(docs, width=SHINGLE_WORDS, num=SIMILARITY, den=100).where(~F.col("kept"))
+    gone = neardup.near_duplicates(spread(docs), width=SHINGLE_WORDS, num=SIMILARITY, den=100).where(~F.col("kept"))
     return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
@@ -56,12 +56,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets; the documents stay."""
     path = "source" if "source" in docs.columns else None
     p = fresh(docs.columns)
-    return _with_text(secrets.scan(docs, secrets.fit(docs), path=path, prefix=p), f"{p}clean_text", docs.columns)
+    return _with_text(secrets.scan(spread(docs), secrets.fit(spread(docs)), path=path, prefix=p), f"{p}clean_text", docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(spread(docs), public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("packing", pack)]
