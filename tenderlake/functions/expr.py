@@ -34,27 +34,14 @@ def field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$['{name}']", "variant")
 
 
-def falsy(v: Column) -> Column:
-    """Whether a variant is absent, null, false, zero, or empty; a blank string is not."""
-    said = F.to_json(v)
-    number = F.try_variant_get(v, "$", "double")
-    kind = F.schema_of_variant(v)
-    return v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(False)) | F.coalesce(said.isin('""', "false", "[]", "{}"), F.lit(False)) | F.coalesce((number == 0) & ~kind.isin("STRING", "BOOLEAN"), F.lit(False))
+def falsy(v: Column, kind: Column, said: Column) -> Column:
+    """Whether a variant, with its schema and its JSON, is absent, null, false, zero, or empty; a blank string is not."""
+    number = ~kind.isin("STRING", "BOOLEAN") & (said.try_cast("double") == 0)
+    return v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(False)) | F.coalesce(said.isin('""', "false", "[]", "{}"), F.lit(False)) | F.coalesce(number, F.lit(False))
 
 
-def missing_required(v: Column) -> Column:
-    """Names of the required fields that are falsy, in declared order."""
-    return F.filter(F.array(*[F.when(falsy(field(v, n)), F.lit(n)) for n in REQUIRED]), lambda x: x.isNotNull())
-
-
-def is_string(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
-
-
-def confidence(v: Column) -> Column:
-    """1.0 if absent, the number of a number, a true/false or a numeric string; null where there is none."""
-    text = F.try_variant_get(v, "$", "string")
-    kind = F.schema_of_variant(v)
+def confidence(v: Column, kind: Column, text: Column) -> Column:
+    """1.0 if a variant, with its schema and its text, is absent, the number of a number, a true/false or a numeric string; null where there is none."""
     numeric = F.when(strip(text).rlike(r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"), F.replace(strip(text), F.lit("_"), F.lit("")).try_cast("double"))
     words = F.lower(strip(text))
     special = F.when(words.rlike(r"^[+-]?(inf|infinity)$"), F.when(words.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))).when(words.rlike(r"^[+-]?nan$"), F.lit(float("nan")))

@@ -24,19 +24,37 @@ def with_awards(bids: DataFrame) -> DataFrame:
     return bids.withColumn("won", F.row_number().over(first) == 1)
 
 
+def exact_median(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, name): the median of each key's values, from counted values in order; sorts spill, where an aggregate would hold all values of a key."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    total = counted.groupBy(key).agg(F.sum("n").alias("total"))
+    upto = F.sum("n").over(Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("upto", upto).join(total, key)
+    middle = placed.groupBy(key).agg(*[F.min(F.when(F.col("upto") >= F.floor(at), F.col(value))).alias(n) for n, at in (("low", (F.col("total") + 1) / 2), ("high", F.col("total") / 2 + 1))])
+    return middle.select(key, (F.col("low") * 0.5 + F.col("high") * 0.5).alias(name))
+
+
 def vendor_profiles(bids: DataFrame) -> DataFrame:
-    """bids are with `won`."""
-    out = bids.groupBy("vendor").agg(
+    """bids are with `won`; they are read twice.  Each vendor's bids are summed up by buyer first, so no state holds all buyers."""
+    pairs = bids.groupBy("vendor", "buyer").agg(
         F.count(F.lit(1)).alias("n_bids"),
         F.count_if("won").alias("n_wins"),
-        F.sum(F.when(F.col("won"), money("amount"))).cast("double").alias("won_value"),
-        F.median("amount").alias("typical_amount"),
+        F.sum(F.when(F.col("won"), money("amount"))).alias("won_value"),
         F.min("date").alias("first_seen"),
         F.max("date").alias("last_seen"),
-        F.count_distinct("buyer").alias("n_buyers"),
-        F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"),
+        F.collect_set("category").alias("categories"),
+    )
+    out = pairs.groupBy("vendor").agg(
+        F.sum("n_bids").alias("n_bids"),
+        F.sum("n_wins").alias("n_wins"),
+        F.sum("won_value").cast("double").alias("won_value"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.count("buyer").alias("n_buyers"),
+        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("categories")))), ",").alias("categories"),
     )
-    return out.withColumn("n_losses", F.col("n_bids") - F.col("n_wins"))
+    met = out.join(exact_median(bids, "vendor", "amount", "typical_amount"), "vendor", "left")
+    return met.select("vendor", "n_bids", "n_wins", "won_value", "typical_amount", "first_seen", "last_seen", "n_buyers", "categories", (F.col("n_bids") - F.col("n_wins")).alias("n_losses"))
 
 
 def incumbents(bids: DataFrame, cutoff: str) -> DataFrame:
@@ -80,11 +98,20 @@ def factors(scored: DataFrame) -> DataFrame:
     return scored.select("event", "vendor", names(lambda x: x["value"] > 0).alias("supporting"), names(lambda x: x["value"] == 0).alias("weakening"))
 
 
+def scope_evidence(bids: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    """(vendor, scope_wins, most_wins_with_one_buyer, capability_gap): awards in the categories of the scope, and which of them have none."""
+    won = bids.where("won").groupBy("vendor", "buyer", "category").agg(F.count(F.lit(1)).alias("n"))
+    by_buyer = won.groupBy("vendor", "buyer").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("category") == s, F.col("n")).otherwise(0)).alias(f"in_{i}") for i, s in enumerate(scope)])
+    parts = [F.sum(f"in_{i}") for i in range(len(scope))]
+    gap = F.array_join(F.filter(F.array(*[F.when(p == 0, F.lit(s)) for p, s in zip(parts, scope, strict=True)]), lambda x: x.isNotNull()), ",")
+    return by_buyer.groupBy("vendor").agg(sum(parts[1:], parts[0]).alias("scope_wins"), F.max("n").alias("most_wins_with_one_buyer"), gap.alias("capability_gap"))
+
+
 def prime_candidates(profiles: DataFrame, rules: dict[str, Column], least: int, disqualified: DataFrame) -> DataFrame:
-    """(vendor, evidence, n_evidence): vendors with at least `least` kinds of evidence that nothing disqualifies."""
+    """(vendor, evidence, n_evidence, capability_gap): vendors with at least `least` kinds of evidence that nothing disqualifies."""
     met = F.filter(F.array(*[F.when(ok, F.lit(n)) for n, ok in rules.items()]), lambda x: x.isNotNull())
     found = profiles.join(disqualified, "vendor", "left_anti").withColumn("e", met).where(F.size("e") >= least)
-    return found.select("vendor", F.array_join("e", ",").alias("evidence"), F.size("e").cast("long").alias("n_evidence"))
+    return found.select("vendor", F.array_join("e", ",").alias("evidence"), F.size("e").cast("long").alias("n_evidence"), "capability_gap")
 
 
 def precision_at(predicted: DataFrame, bids: DataFrame, ks: tuple[int, ...] = (3, 5), held: DataFrame | None = None) -> DataFrame:
@@ -104,9 +131,10 @@ def similar_events(bids: DataFrame, of: DataFrame, top: int = 3) -> DataFrame:
     """(event, similar, common, either, place): events that share commodities with those of `of`, by Jaccard similarity."""
     items = bids.select("event", "commodity").distinct()
     sizes = items.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
+    items = items.join(sizes, "event")  # sizes ride along, so that pairs are joined once only
     a = items.join(of.select("event"), "event", "left_semi")
-    met = a.join(items.withColumnRenamed("event", "similar"), "commodity").where("event <> similar").groupBy("event", "similar").agg(F.count(F.lit(1)).alias("common"))
-    met = met.join(sizes, "event").join(sizes.select(F.col("event").alias("similar"), F.col("n").alias("m")), "similar")
+    met = a.join(items.select(F.col("event").alias("similar"), "commodity", F.col("n").alias("m")), "commodity").where("event <> similar")
+    met = met.groupBy("event", "similar").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
     met = met.withColumn("either", F.col("n") + F.col("m") - F.col("common"))
     order = Window.partitionBy("event").orderBy(F.desc(F.col("common") / F.col("either")), "similar")
     return met.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= top).select("event", "similar", "common", "either", "place")

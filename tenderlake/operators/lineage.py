@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,18 +19,27 @@ def amendments(df: DataFrame, parent: str, order: list[str], record: str) -> Dat
     return df.select(F.col(parent).alias("parent"), F.col(record).alias("record"), F.row_number().over(w).cast("long").alias("version"), F.min_by(record, key).over(whole).alias("original"), F.max_by(record, key).over(whole).alias("latest"))
 
 
-def scored_links(records: DataFrame, block: str, record: str, date: str, signals: dict[str, tuple[int, Column]], least: int, within_days: int) -> DataFrame:
-    """(record, predecessor, score, signals): earlier records of the same block with enough weighted signals.
+def scored_links(records: DataFrame, blocks: list[str], record: str, date: str, signals: dict[str, tuple[int, Column]], least: int, within_days: int) -> DataFrame:
+    """(record, predecessor, score, signals): earlier records that agree in any of the blocking keys, with enough weighted signals.
 
-    A signal is (weight, condition over `a_` columns of the record and `b_` columns of the candidate).
+    A signal is (weight, condition over `a_` columns of the record and `b_` columns of the candidate).  Records meet in
+    bins of within_days days, each candidate in its own and the next one, so a key's records are not all compared.
+    A pair that agrees in several keys is found under the first of them only.
     """
-    a = records.select(*[F.col(c).alias(f"a_{c}") for c in records.columns])
-    b = records.select(*[F.col(c).alias(f"b_{c}") for c in records.columns])
+    day = F.datediff(F.col(date).cast("date"), F.lit("1970-01-01").cast("date"))
+    bin_ = F.floor(day / within_days).cast("long")
+    a = records.select(*[F.col(c).alias(f"a_{c}") for c in records.columns], bin_.alias("bin"))
+    b = records.select(*[F.col(c).alias(f"b_{c}") for c in records.columns], F.explode(F.array(bin_, bin_ + 1)).alias("bin"))
     days = F.datediff(f"a_{date}", f"b_{date}")
-    met = a.join(b, F.col(f"a_{block}") == F.col(f"b_{block}")).where((days > 0) & (days <= within_days))
     score = sum((F.when(ok, weight).otherwise(0) for weight, ok in signals.values()), F.lit(0))
     told = F.array_join(F.filter(F.array(*[F.when(ok, F.lit(n)) for n, (_, ok) in signals.items()]), lambda x: x.isNotNull()), ",")
-    return met.select(F.col(f"a_{record}").alias("record"), F.col(f"b_{record}").alias("predecessor"), score.cast("long").alias("score"), told.alias("signals")).where(F.col("score") >= least)
+    found = []
+    for i, block in enumerate(blocks):
+        met = a.join(b, (F.col(f"a_{block}") == F.col(f"b_{block}")) & (a["bin"] == b["bin"])).where((days > 0) & (days <= within_days))
+        for earlier in blocks[:i]:
+            met = met.where(~F.coalesce(F.col(f"a_{earlier}") == F.col(f"b_{earlier}"), F.lit(False)))
+        found.append(met.select(F.col(f"a_{record}").alias("record"), F.col(f"b_{record}").alias("predecessor"), score.cast("long").alias("score"), told.alias("signals")).where(F.col("score") >= least))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def chains(edges: DataFrame) -> DataFrame:

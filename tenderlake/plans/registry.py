@@ -12,8 +12,9 @@ from pyspark.sql.window import Window
 
 from tenderlake.functions import expr
 from tenderlake.operators import assemble, bidding, dedupe, documents, lineage, metrics, normalize
-from tenderlake.session import table
-from tenderlake.sources.records import parse_records
+from tenderlake.session import Scratch, table
+from tenderlake.sources.records import ADAPTERS, REGISTRY, parse_records, read_registry
+from tenderlake.sources.sinks import write_jsonl
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,6 +42,11 @@ def awarded(spark, sf_dir):
     return bidding.with_awards(bids(spark, sf_dir))
 
 
+def stored(df, name):
+    """What several parts of a query read, computed once."""
+    return Scratch(df.sparkSession, name).save(df, name)
+
+
 BIDS = """b0 AS (
   SELECT l_orderkey AS event, l_suppkey AS vendor, o_custkey AS buyer, l_partkey AS commodity, p_type AS category, l_extendedprice AS amount, o_orderdate AS date, l_linenumber AS line
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey),
@@ -68,14 +74,15 @@ def _raw(spark, sf_dir):
         F.when(k % 11 == 0, "").otherwise(put("agency", text(F.col("c_name")))),
         put("jurisdiction", text(F.col("n_name"))), put("observed_at", F.lit('"2026-09-05T18:00:00Z"')),
         F.when(k % 3 == 0, "").otherwise(put("status", F.when(k % 5 == 0, F.lit("null")).otherwise(F.lit('"open"')))),
-        F.when(k % 2 == 0, "").otherwise(put("confidence", F.when(k % 13 == 0, F.lit('"abc"')).otherwise(F.lit('"0.5"')))), F.lit("}"),
+        F.when(k % 2 == 0, "").otherwise(put("confidence", F.when(k % 13 == 0, F.lit('"abc"')).otherwise(F.lit('"0.5"')))),
+        F.when(k % 4 == 0, "").otherwise(put("due_date", F.when(k % 4 == 1, F.lit("null")).when(k % 4 == 2, F.lit('""')).otherwise(F.lit('"2026-10-01T21:00:00Z"')))), F.lit("}"),
     )
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return normalize.judged(parse_records(met.select(k.cast("string").alias("file"), raw.alias("text"))))
 
 
 RAW = """raw AS (
-  SELECT c_custkey AS k, c_name, c_mktsegment, CASE
+  SELECT c_custkey AS k, c_name, c_mktsegment, n_name, CASE WHEN c_custkey % 4 = 2 THEN '' WHEN c_custkey % 4 = 3 THEN '2026-10-01T21:00:00Z' END AS due, CASE
     WHEN c_custkey % 7 = 0 AND c_custkey % 11 = 0 THEN 'missing required fields: title, agency'
     WHEN c_custkey % 7 = 0 THEN 'missing required fields: title'
     WHEN c_custkey % 11 = 0 THEN 'missing required fields: agency'
@@ -99,6 +106,47 @@ def i23_split_counts(spark, sf_dir):
     return normalize.split_counts(_raw(spark, sf_dir))
 
 
+@query(f"WITH {RAW} SELECT CAST(k AS VARCHAR) AS file, due AS due_date, '2026-09-05T18:00:00Z' AS observed_at FROM raw WHERE error IS NULL")
+def i17_nullable_pass_through(spark, sf_dir):
+    return normalize.opportunities(_raw(spark, sf_dir)).select("file", "due_date", "observed_at")
+
+
+@query(f"WITH {RAW} SELECT CAST(k AS VARCHAR) AS file, 1 AS n_ids, 'C-' || k AS source_id, 1 AS n_urls, 'https://example.invalid/' || k AS source_url FROM raw WHERE error IS NULL")
+def i18_singleton_arrays(spark, sf_dir):
+    good = normalize.opportunities(_raw(spark, sf_dir))
+    return good.select("file", F.size("source_ids").alias("n_ids"), F.array_join("source_ids", "|").alias("source_id"), F.size("source_urls").alias("n_urls"), F.array_join("source_urls", "|").alias("source_url"))
+
+
+@query(f"""WITH {RAW} SELECT CAST(k AS VARCHAR) AS file, '{{"canonical_id":"' || substr(sha256(lower(c_name) || '::' || lower('RFP-' || k)), 1, 16) || '","title":"' || c_mktsegment || '","agency":"' || c_name || '","jurisdiction":"' || n_name
+  || '","status":' || CASE WHEN k % 3 = 0 THEN '"unknown"' WHEN k % 5 = 0 THEN 'null' ELSE '"open"' END || ',"due_date":' || coalesce('"' || due || '"', 'null') || ',"source_ids":["C-' || k || '"],"source_urls":["https://example.invalid/' || k
+  || '"],"observed_at":"2026-09-05T18:00:00Z","confidence":' || CASE WHEN k % 2 = 0 THEN '1.0' ELSE '0.5' END || '}}' AS line FROM raw WHERE error IS NULL""")
+def i20_plain_records(spark, sf_dir):
+    return normalize.plain_records(_raw(spark, sf_dir)).select("file", "line")
+
+
+def _portal(spark, sf_dir):
+    """Raw records of two portals, of suppliers: even ones flat, odd ones nested; some titles falsy, some fields under both names."""
+    sup = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    k, key = F.col("s_suppkey"), F.col("s_suppkey").cast("string")
+    title = F.when(k % 5 == 0, F.lit("0")).when(k % 7 == 0, F.lit("false")).when(k % 11 == 0, F.lit("5")).otherwise(F.concat(F.lit('"'), "s_name", F.lit('"')))
+    own = F.when(k % 3 == 0, F.concat(F.lit(',"title":"own '), key, F.lit('"'))).otherwise("")
+    flat = F.concat(F.lit('{"id":"'), key, F.lit('","link":"u","bid_number":"B-'), key, F.lit('","name":'), title, F.lit(',"department":"Roads","state":"'), "n_name", F.lit('","fetched":"t","phase":null'), own, F.lit("}"))
+    nested = F.concat(F.lit('{"meta":{"id":"'), key, F.lit('","url":"u","seen":"t"},"notice":{"number":"B-'), key, F.lit('","title":'), title, F.lit('},"buyer":{"name":"Roads","region":"'), "n_name", F.lit('"}'), own, F.lit("}"))
+    return sup.select(key.alias("file"), F.when(k % 2 == 0, flat).otherwise(nested).alias("text"), k)
+
+
+@query("""WITH p AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 'own ' || s_suppkey WHEN s_suppkey % 5 = 0 OR s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 THEN NULL ELSE s_name END AS title,
+  CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 5 = 0 OR s_suppkey % 7 = 0 THEN 'missing required fields: title' WHEN s_suppkey % 11 = 0 THEN 'wrong_type: title' END AS error FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT CASE WHEN k % 2 = 0 THEN 'flat_portal' ELSE 'nested_portal' END AS adapter, CAST(k AS VARCHAR) AS file, error, title, CASE WHEN error IS NULL THEN substr(sha256('roads::b-' || k), 1, 16) END AS canonical_id, CASE WHEN k % 2 = 1 THEN 'unknown' END AS status FROM p""")
+def s07_portal_adapters(spark, sf_dir):
+    raw, found = _portal(spark, sf_dir), []
+    for name, odd in (("flat_portal", 0), ("nested_portal", 1)):
+        rows = normalize.judged(ADAPTERS[name](parse_records(raw.where(F.col("s_suppkey") % 2 == odd).drop("s_suppkey"))))
+        good = F.col("error").isNull()
+        found.append(rows.select(F.lit(name).alias("adapter"), "file", "error", F.when(good, F.col("title")).alias("title"), F.when(good, F.col("canonical_id")).alias("canonical_id"), F.col("status")))
+    return found[0].unionByName(found[1])
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.status'), 'unknown') AS status FROM events")
 def i04_json_props(spark, sf_dir):
     v = F.try_parse_json("props")
@@ -118,6 +166,17 @@ def i06_bag_union(spark, sf_dir):
     return c.unionByName(s).unionByName(s)
 
 
+@query("""SELECT n_name AS coverage, 'portal, "' || r_name || '"' AS portal, 'https://example.invalid/' || n_nationkey AS official_url, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'bids' END AS data_type, CAST(n_nationkey AS VARCHAR) AS identifiers, 'line one' || chr(10) || 'line two' AS gaps
+FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def s43_source_registry(spark, sf_dir):
+    """A registry of portals by nation, written as CSV with quotes and line feeds in fields and read back."""
+    met = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    said = {"coverage": F.col("n_name"), "portal": F.concat(F.lit('portal, "'), "r_name", F.lit('"')), "official_url": F.concat(F.lit("https://example.invalid/"), F.col("n_nationkey").cast("string")), "data_type": F.when(F.col("n_nationkey") % 3 != 0, "bids"), "identifiers": F.col("n_nationkey").cast("string"), "gaps": F.lit("line one\nline two")}
+    path = Scratch(spark, "registry").path("csv")
+    met.select(*[said.get(c, F.lit(None).cast("string")).alias(c) for c in REGISTRY]).write.csv(path, header=True, escape='"')
+    return read_registry(spark, path).select(*said)
+
+
 # ---- duplicates and identities ----
 
 
@@ -208,9 +267,14 @@ def s38_validation_report(spark, sf_dir):
     return metrics.validation_report(met, _rules())
 
 
-@query("SELECT o_orderkey AS id, 'price_below_400k' AS rule FROM orders WHERE NOT coalesce(o_totalprice < 400000, false)")
+@query("""WITH o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 13 = 0 THEN -o_totalprice ELSE o_totalprice END AS price, CASE WHEN o_orderkey % 17 = 0 THEN 'X' WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 23 = 0 THEN -1 ELSE o_custkey END AS buyer FROM orders)
+SELECT id, 'price_positive' AS rule FROM o WHERE NOT coalesce(price > 0, false) UNION ALL SELECT id, 'price_below_400k' FROM o WHERE NOT coalesce(price < 400000, false)
+UNION ALL SELECT id, 'status_known' FROM o WHERE NOT coalesce(status IN ('F', 'O', 'P'), false) UNION ALL SELECT id, 'buyer_known' FROM o WHERE buyer NOT IN (SELECT c_custkey FROM customer)""")
 def s38_violations(spark, sf_dir):
-    met = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    """Of orders to some of which every rule is broken."""
+    k = F.col("o_orderkey")
+    broken = table(spark, sf_dir, "orders").withColumns({"o_totalprice": F.when(k % 13 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")), "o_orderstatus": F.when(k % 17 == 0, "X").when(k % 19 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")), "o_custkey": F.when(k % 23 == 0, -1).otherwise(F.col("o_custkey"))})
+    met = broken.join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left")
     return metrics.violations(met, "o_orderkey", _rules())
 
 
@@ -248,6 +312,16 @@ def s11_outcomes(spark, sf_dir):
     return metrics.counts_by(documents.with_outcomes(table(spark, sf_dir, "documents"), said, "doc_id", "outcome"), F.col("status"))
 
 
+@query("SELECT d.doc_id, source, sha256(text) AS sha256, n_chars, CASE WHEN l.doc_id IS NULL THEN 'not_attempted' ELSE 'processed' END AS status FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def s14_manifest(spark, sf_dir):
+    """Written as JSON lines and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("sha256"), "n_chars")
+    rows = documents.with_outcomes(docs, table(spark, sf_dir, "labels").select("doc_id", F.lit("processed").alias("state")), "doc_id", "state").drop("state")
+    path = Scratch(spark, "manifest").path("lines")
+    write_jsonl(rows, path)
+    return spark.read.schema("doc_id long, source string, sha256 string, n_chars long, status string").json(path)
+
+
 @query("SELECT doc_id AS id, CAST(unnest(range(len(string_split(text, chr(10))))) + 1 AS BIGINT) AS page_no, sha256(unnest(string_split(text, chr(10)))) AS page_hash FROM documents")
 def s13_page_texts(spark, sf_dir):
     return documents.page_texts(table(spark, sf_dir, "documents"), "doc_id", "text").select("id", "page_no", F.sha2("text", 256).alias("page_hash"))
@@ -285,7 +359,22 @@ SELECT record, predecessor, score, concat_ws(',', CASE WHEN pr THEN 'priority' E
 def s16_lineage_score(spark, sf_dir):
     c = F.col
     signals = {"priority": (2, c("a_o_orderpriority") == c("b_o_orderpriority")), "status": (1, c("a_o_orderstatus") == c("b_o_orderstatus")), "near": (1, F.datediff("a_o_orderdate", "b_o_orderdate") <= 90), "amount": (2, F.abs(c("a_o_totalprice") - c("b_o_totalprice")) <= 0.1 * c("a_o_totalprice"))}
-    return lineage.scored_links(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderdate", signals, 3, 365)
+    return lineage.scored_links(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "o_orderdate", signals, 3, 365)
+
+
+@query("""WITH o AS (SELECT orders.*, c_nationkey AS place, c_mktsegment AS segment, c_nationkey || '/' || CAST(floor(o_totalprice / 100) AS BIGINT) AS place_amount, c_mktsegment || '/' || CAST(floor(o_totalprice / 20) AS BIGINT) AS segment_amount FROM orders JOIN customer ON c_custkey = o_custkey),
+p AS (SELECT a.o_orderkey AS record, b.o_orderkey AS predecessor, a.o_custkey = b.o_custkey AS bu, a.place = b.place AS pl, a.segment = b.segment AS se, a.o_orderpriority = b.o_orderpriority AS pr, date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE)) AS d, abs(a.o_totalprice - b.o_totalprice) <= 0.1 * a.o_totalprice AS am
+  FROM o a JOIN o b ON a.o_custkey = b.o_custkey OR a.place_amount = b.place_amount OR a.segment_amount = b.segment_amount),
+s AS (SELECT *, CAST(CASE WHEN bu THEN 3 ELSE 0 END + CASE WHEN pl THEN 1 ELSE 0 END + CASE WHEN se THEN 1 ELSE 0 END + CASE WHEN pr THEN 2 ELSE 0 END + CASE WHEN am THEN 2 ELSE 0 END AS BIGINT) AS score FROM p WHERE d > 0 AND d <= 365)
+SELECT record, predecessor, score, concat_ws(',', CASE WHEN bu THEN 'buyer' END, CASE WHEN pl THEN 'place' END, CASE WHEN se THEN 'segment' END, CASE WHEN pr THEN 'priority' END, CASE WHEN am THEN 'amount' END) AS signals FROM s WHERE score >= 5""")
+def s16_lineage_by_any_signal(spark, sf_dir):
+    """Candidates by buyer, by place and amount, or by segment and amount."""
+    c, band = F.col, lambda by: F.floor(F.col("o_totalprice") / by).cast("string")
+    met = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    met = met.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", c("c_nationkey").alias("place"), c("c_mktsegment").alias("segment"), F.concat_ws("/", c("c_nationkey").cast("string"), band(100)).alias("place_amount"), F.concat_ws("/", "c_mktsegment", band(20)).alias("segment_amount"))
+    same = lambda x: c(f"a_{x}") == c(f"b_{x}")
+    signals = {"buyer": (3, same("o_custkey")), "place": (1, same("place")), "segment": (1, same("segment")), "priority": (2, same("o_orderpriority")), "amount": (2, F.abs(c("a_o_totalprice") - c("b_o_totalprice")) <= 0.1 * c("a_o_totalprice"))}
+    return lineage.scored_links(met, ["o_custkey", "place_amount", "segment_amount"], "o_orderkey", "o_orderdate", signals, 5, 365)
 
 
 @query("""WITH RECURSIVE e AS (SELECT o_orderkey AS node, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS parent FROM orders),
@@ -334,7 +423,7 @@ def s21_participation_counts(spark, sf_dir):
 @query(f"""WITH {BIDS} SELECT vendor, count(*) AS n_bids, count(*) FILTER (WHERE won) AS n_wins, CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE won) AS DOUBLE) AS won_value, median(amount) AS typical_amount,
   min(date) AS first_seen, max(date) AS last_seen, count(DISTINCT buyer) AS n_buyers, string_agg(DISTINCT category, ',' ORDER BY category) AS categories, count(*) FILTER (WHERE NOT won) AS n_losses FROM bids GROUP BY vendor""")
 def s24_vendor_profiles(spark, sf_dir):
-    return bidding.vendor_profiles(awarded(spark, sf_dir))
+    return bidding.vendor_profiles(stored(awarded(spark, sf_dir).select("vendor", "buyer", "won", "amount", "date", "category"), "bids"))
 
 
 @query("SELECT l_orderkey AS event, count(DISTINCT l_suppkey) AS n_known FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
@@ -391,39 +480,37 @@ def s31_factors(spark, sf_dir):
     return bidding.factors(_likely(spark, sf_dir))
 
 
-@query(f"""WITH {BIDS}, i AS (SELECT DISTINCT event, commodity FROM bids), n AS (SELECT event, count(*) AS n FROM i GROUP BY 1),
-a AS (SELECT i.* FROM i WHERE event IN (SELECT event FROM bids WHERE date >= TIMESTAMP '2001-07-01')),
-m AS (SELECT a.event, i.event AS other, count(*) AS common FROM a JOIN i ON i.commodity = a.commodity AND i.event <> a.event GROUP BY 1, 2),
-s AS (SELECT m.*, x.n + y.n - common AS either FROM m JOIN n x ON x.event = m.event JOIN n y ON y.event = m.other),
-r AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY (common / either) DESC, other) AS place FROM s)
-SELECT event, other AS similar, common, either, place FROM r WHERE place <= 3""")
-def s27_similar_events(spark, sf_dir):
-    b = bids(spark, sf_dir)
-    return bidding.similar_events(b, b.where("date >= TIMESTAMP '2001-07-01'").select("event").distinct())
-
-
 @query(f"""WITH {BIDS}, i AS (SELECT DISTINCT event, commodity FROM bids), n AS (SELECT event, count(*) AS n FROM i GROUP BY 1),
 m AS (SELECT a.event, i.event AS other, count(*) AS common FROM i a JOIN i ON i.commodity = a.commodity AND i.event <> a.event GROUP BY 1, 2),
 s AS (SELECT m.*, x.n + y.n - common AS either FROM m JOIN n x ON x.event = m.event JOIN n y ON y.event = m.other),
 r AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY (common / either) DESC, other) AS place FROM s)
 SELECT event, other AS similar, common, either, place FROM r WHERE place <= 3""")
-def s27_similar_events_all(spark, sf_dir):
-    """For every event; s27_similar_events is for those of the last month only."""
-    b = bids(spark, sf_dir)
+def s27_similar_events(spark, sf_dir):
+    """For every event."""
+    b = stored(bids(spark, sf_dir).select("event", "commodity").distinct(), "items")
     return bidding.similar_events(b, b.select("event").distinct())
 
 
-PRIMES = """f AS (SELECT vendor, count(*) FILTER (WHERE won) AS n_wins, count(DISTINCT buyer) AS n_buyers, max(date) AS last_seen, median(amount) AS typical_amount FROM bids GROUP BY vendor),
-g AS (SELECT vendor, (n_wins >= 10)::INT + (n_buyers >= 50)::INT + (last_seen >= TIMESTAMP '2001-01-01')::INT + (typical_amount >= 30000)::INT AS n_evidence,
-  concat_ws(',', CASE WHEN n_wins >= 10 THEN 'prime_awards' END, CASE WHEN n_buyers >= 50 THEN 'many_buyers' END, CASE WHEN last_seen >= TIMESTAMP '2001-01-01' THEN 'recent' END, CASE WHEN typical_amount >= 30000 THEN 'comparable_value' END) AS evidence FROM f),
-primes AS (SELECT vendor, evidence, CAST(n_evidence AS BIGINT) AS n_evidence FROM g WHERE n_evidence >= 3 AND vendor NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0))"""
+SCOPE = ("ECONOMY", "PROMO")
+IN_SCOPE = "category IN ('ECONOMY', 'PROMO')"
+PRIMES = f"""f AS (SELECT vendor, count(*) FILTER (WHERE won) AS n_wins, count(DISTINCT buyer) AS n_buyers, max(date) AS last_seen, median(amount) AS typical_amount, count(*) FILTER (WHERE won AND {IN_SCOPE}) AS scope_wins,
+  coalesce(bool_or(won AND category = 'ECONOMY'), false) AS economy, coalesce(bool_or(won AND category = 'PROMO'), false) AS promo FROM bids GROUP BY vendor),
+most AS (SELECT vendor, max(n) AS most FROM (SELECT vendor, buyer, count(*) AS n FROM bids WHERE won GROUP BY 1, 2) GROUP BY 1),
+known AS (SELECT f.*, coalesce(most, 0) AS most FROM f LEFT JOIN most USING (vendor)),
+told AS (SELECT vendor, (n_wins >= 10)::INT + (scope_wins >= 5)::INT + (most >= 2)::INT + (n_buyers >= 50)::INT + (last_seen >= TIMESTAMP '2001-01-01')::INT + (typical_amount >= 30000)::INT AS n_evidence,
+  concat_ws(',', CASE WHEN n_wins >= 10 THEN 'prime_awards' END, CASE WHEN scope_wins >= 5 THEN 'scope' END, CASE WHEN most >= 2 THEN 'same_agency' END, CASE WHEN n_buyers >= 50 THEN 'many_buyers' END, CASE WHEN last_seen >= TIMESTAMP '2001-01-01' THEN 'recent' END, CASE WHEN typical_amount >= 30000 THEN 'comparable_value' END) AS evidence,
+  concat_ws(',', CASE WHEN NOT economy THEN 'ECONOMY' END, CASE WHEN NOT promo THEN 'PROMO' END) AS capability_gap FROM known),
+primes AS (SELECT vendor, evidence, CAST(n_evidence AS BIGINT) AS n_evidence, capability_gap FROM told WHERE n_evidence >= 4 AND vendor NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0))"""
 
 
-def _primes(spark, sf_dir):
+def _primes(spark, sf_dir, b=None):
+    """Four of six kinds of evidence, from b or all bids."""
     c = F.col
-    rules = {"prime_awards": c("n_wins") >= 10, "many_buyers": c("n_buyers") >= 50, "recent": c("last_seen") >= F.lit("2001-01-01").cast("timestamp"), "comparable_value": c("typical_amount") >= 30000}
+    b = stored(awarded(spark, sf_dir).select("vendor", "buyer", "won", "amount", "date", "category"), "bids") if b is None else b
+    met = bidding.vendor_profiles(b).join(bidding.scope_evidence(b, SCOPE), "vendor", "left")
+    rules = {"prime_awards": c("n_wins") >= 10, "scope": c("scope_wins") >= 5, "same_agency": c("most_wins_with_one_buyer") >= 2, "many_buyers": c("n_buyers") >= 50, "recent": c("last_seen") >= F.lit("2001-01-01").cast("timestamp"), "comparable_value": c("typical_amount") >= 30000}
     barred = table(spark, sf_dir, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("vendor"))
-    return bidding.prime_candidates(bidding.vendor_profiles(awarded(spark, sf_dir)), rules, 3, barred)
+    return bidding.prime_candidates(met, rules, 4, barred)
 
 
 @query(f"WITH {BIDS}, {PRIMES} SELECT * FROM primes")
@@ -433,22 +520,16 @@ def s30_prime_candidates(spark, sf_dir):
 
 @query(f"WITH {LIKELY}, {PRIMES} SELECT vendor FROM likely INTERSECT SELECT vendor FROM primes")
 def s46_teaming_overlap(spark, sf_dir):
-    return _likely(spark, sf_dir).select("vendor").intersect(_primes(spark, sf_dir).select("vendor"))
-
-
-@query(f"""WITH {LIKELY}, a AS (SELECT DISTINCT event, vendor FROM bids WHERE event IN (SELECT event FROM likely)), hit AS (SELECT likely.*, (a.vendor IS NOT NULL)::INT AS hit FROM likely LEFT JOIN a ON a.event = likely.event AND a.vendor = likely.vendor)
-SELECT count(DISTINCT event) AS n_events, round(sum(hit) FILTER (WHERE place <= 3) / (count(DISTINCT event) * 3), 6) AS precision_at_3, round(sum(hit) FILTER (WHERE place <= 5) / (count(DISTINCT event) * 5), 6) AS precision_at_5, round(sum(hit) / (SELECT count(*) FROM a), 6) AS coverage FROM hit""")
-def s34_precision_at_k(spark, sf_dir):
-    b = awarded(spark, sf_dir)
-    return bidding.precision_at(bidding.likely_bidders(b, CUTOFF), b)
+    b = stored(awarded(spark, sf_dir).select("event", "vendor", "buyer", "won", "amount", "date", "category"), "bids")
+    return bidding.likely_bidders(b, CUTOFF).select("vendor").intersect(_primes(spark, sf_dir, b).select("vendor"))
 
 
 @query(f"""WITH {LIKELY}, a AS (SELECT DISTINCT event, vendor FROM bids WHERE date >= TIMESTAMP '{CUTOFF}'), hit AS (SELECT a.event, likely.place FROM a LEFT JOIN likely ON likely.event = a.event AND likely.vendor = a.vendor)
 SELECT count(DISTINCT event) AS n_events, round(count(*) FILTER (WHERE place <= 3) / (count(DISTINCT event) * 3), 6) AS precision_at_3, round(count(*) FILTER (WHERE place <= 5) / (count(DISTINCT event) * 5), 6) AS precision_at_5, round(count(place) / count(*), 6) AS coverage FROM hit""")
-def s34_precision_all_held_out(spark, sf_dir):
-    """Over all held-out events; s34_precision_at_k is over those with predictions only."""
-    b = awarded(spark, sf_dir)
-    return bidding.precision_at(bidding.likely_bidders(b, CUTOFF), b, held=b.where(F.col("date") >= F.lit(CUTOFF).cast("timestamp")))
+def s34_precision_at_k(spark, sf_dir):
+    """Over all held-out events; those without predictions are misses."""
+    b = stored(awarded(spark, sf_dir).select("event", "vendor", "buyer", "won", "date"), "bids")
+    return bidding.precision_at(stored(bidding.likely_bidders(b, CUTOFF), "likely"), b, held=b.where(F.col("date") >= F.lit(CUTOFF).cast("timestamp")))
 
 
 @query(f"SELECT CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'held_out' END AS part, count(*) AS n, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders GROUP BY 1")
@@ -457,11 +538,11 @@ def s35_holdout_split(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
 
 
-@query("""WITH s AS (SELECT l_suppkey AS vendor, list_distinct(list(p_type)) AS types FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity >= 49 GROUP BY 1)
+@query(f"""WITH {BIDS}, s AS (SELECT vendor, list_distinct(list(category)) AS types FROM bids WHERE won GROUP BY 1)
 SELECT vendor, len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) AS n_met, len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) = 3 AS compatible, least(CAST(len(list_intersect(types, ['ECONOMY', 'PROMO', 'STANDARD'])) AS BIGINT), 2) AS weight FROM s""")
 def s53_certification(spark, sf_dir):
-    met = table(spark, sf_dir, "lineitem").where("l_quantity >= 49").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return assemble.certification(met.select(F.col("l_suppkey").alias("vendor"), F.col("p_type").alias("held")), ["ECONOMY", "PROMO", "STANDARD"], 2)
+    """A vendor holds what it has won awards in."""
+    return assemble.certification(awarded(spark, sf_dir).where("won").select("vendor", F.col("category").alias("held")), ["ECONOMY", "PROMO", "STANDARD"], 2)
 
 
 # ---- assembly ----
@@ -482,12 +563,22 @@ def s40_upsert_latest(spark, sf_dir):
     return assemble.latest(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value", "ts"])
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS id, 'unreviewed' AS reason FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+@query(f"""WITH {RAW} SELECT CAST(doc_id AS VARCHAR) AS id, 'unreviewed' AS reason FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'low_quality' FROM labels WHERE quality = 0
-UNION ALL SELECT sha256(text), 'duplicate' FROM documents GROUP BY text HAVING count(*) > 1""")
+UNION ALL SELECT sha256(text), 'duplicate' FROM documents GROUP BY text HAVING count(*) > 1
+UNION ALL (WITH e AS (SELECT c_name AS entity, ltrim(lower(replace(c_name, 'Customer#', ''))) AS name, c_nationkey AS place FROM customer UNION ALL SELECT s_name, ltrim(lower(replace(s_name, 'Supplier#', ''))), s_nationkey FROM supplier)
+  SELECT entity, 'identity' FROM (SELECT entity, count(*) OVER (PARTITION BY name, place) AS a, count(*) OVER (PARTITION BY name) AS b FROM e) WHERE a = 1 AND b > 1)
+UNION ALL (WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS side FROM events),
+  p AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS v FROM e WHERE side = 0 GROUP BY 1, 2), d AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS v FROM e WHERE side = 1 GROUP BY 1, 2)
+  SELECT user_id || '/' || event_type, 'conflict' FROM p JOIN d USING (user_id, event_type) WHERE p.v IS DISTINCT FROM d.v)
+UNION ALL SELECT CAST(k AS VARCHAR), 'low_confidence' FROM raw WHERE error IS NULL AND k % 2 = 1""")
 def s32_review_queue(spark, sf_dir):
+    """What people should look at: identities, conflicts and low confidence besides documents."""
     d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     feeds = {"unreviewed": d.join(lab, "doc_id", "left_anti").select(F.col("doc_id").cast("string").alias("id")), "low_quality": lab.where("quality = 0").select(F.col("doc_id").cast("string").alias("id")), "duplicate": dedupe.exact_duplicates(d, F.sha2("text", 256), "doc_id", "source").select(F.col("content_hash").alias("id"))}
+    feeds["identity"] = s23_vendor_resolution(spark, sf_dir).where("verdict = 'review'").select(F.col("entity").alias("id"))
+    feeds["conflict"] = s15_conflicts(spark, sf_dir).where("conflict AND portal_value IS NOT NULL AND document_value IS NOT NULL").select(F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("id"))
+    feeds["low_confidence"] = normalize.opportunities(_raw(spark, sf_dir)).where("confidence < 1").select(F.col("file").alias("id"))
     return assemble.review_feed(feeds)
 
 

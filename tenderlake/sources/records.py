@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderlake.functions.expr import REQUIRED
+from tenderlake.operators.normalize import OPTIONAL
+
 
 def parse_records(files: DataFrame) -> DataFrame:
     """(file, pos, record, v) from (file, text): an array's elements, or the single value of a file that is no array.
@@ -25,7 +28,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """A source registry with a header line; all fields are text."""
-    return spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in REGISTRY), enforceSchema=False)
+    return spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in REGISTRY), enforceSchema=False, multiLine=True, escape='"')
 
 
 #: One column for each thing that a registry row tells about a source.
@@ -51,12 +54,24 @@ def canonical(records: DataFrame) -> DataFrame:
 
 
 def renamed_fields(names: dict[str, str]):
-    """An adapter for portals whose fields only have other names: {canonical: theirs}."""
+    """An adapter for portals whose fields have other names: {canonical: path of theirs, with dots}.
+
+    A field is read from its own name, and from theirs only where its own is absent, so that a false, zero or empty value
+    stays what it is.  The record that goes to review stays the portal's.
+    """
+    paths = {n: [n, *([names[n]] if n in names else [])] for n in (*REQUIRED, *OPTIONAL)}
+    at = lambda path: "$" + "".join(f"['{x}']" for x in path.split("."))
 
     def adapt(records: DataFrame) -> DataFrame:
-        theirs = F.create_map(*[F.lit(x) for own, other in names.items() for x in (other, own)])
-        entries = F.map_entries(F.from_json("record", "map<string,string>"))
-        said = F.to_json(F.map_from_entries(F.transform(entries, lambda e: F.struct(F.coalesce(F.try_element_at(theirs, e["key"]), e["key"]), e["value"]))))
-        return records.withColumn("record", F.coalesce(said, F.col("record"))).withColumn("v", F.try_parse_json("record"))
+        v = F.col("v")
+        found = {n: F.coalesce(*[F.try_variant_get(v, at(p), "variant") for p in own]) for n, own in paths.items()}
+        parts = F.filter(F.array(*[F.concat(F.lit(f'"{n}":'), F.to_json(x)) for n, x in found.items()]), lambda x: x.isNotNull())
+        own = F.try_parse_json(F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")))
+        return records.withColumn("v", F.when(F.schema_of_variant(v).startswith("OBJECT"), own).otherwise(v))
 
     return adapt
+
+
+#: Portals whose shapes are known: flat records with names of their own, and nested ones.
+ADAPTERS["flat_portal"] = renamed_fields({"source_id": "id", "source_url": "link", "solicitation": "bid_number", "title": "name", "agency": "department", "jurisdiction": "state", "observed_at": "fetched", "due_date": "closes", "status": "phase"})
+ADAPTERS["nested_portal"] = renamed_fields({"source_id": "meta.id", "source_url": "meta.url", "observed_at": "meta.seen", "solicitation": "notice.number", "title": "notice.title", "due_date": "notice.deadline", "agency": "buyer.name", "jurisdiction": "buyer.region"})

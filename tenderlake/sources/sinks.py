@@ -1,8 +1,9 @@
-"""Writing results: distributed tables, and the two small JSON arrays of a run."""
+"""Writing results: distributed tables, and the two JSON arrays of a run."""
 
 from __future__ import annotations
 
 import json
+import textwrap
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -20,24 +21,28 @@ def write_tables(rows: DataFrame, path: str) -> None:
     review_queue(rows).write.mode("overwrite").parquet(f"{path}/review_queue")
 
 
-def export_json(rows: DataFrame, folder: Path, most: int = 100_000) -> tuple[int, int]:
-    """opportunities.json and review_queue.json as indented ASCII arrays in the order of files and positions; for results of at most `most` rows."""
+def export_json(rows: DataFrame, folder: Path) -> tuple[int, int]:
+    """opportunities.json and review_queue.json as indented ASCII arrays in the order of files and positions, written row by row.
+
+    rows is a stored table; one partition of it is in memory at a time, so any number will do.  Where single files are no
+    use, write_tables() writes in parallel.
+    """
     folder.mkdir(parents=True, exist_ok=True)
     counts = []
     for name, part in (("opportunities", opportunities(rows)), ("review_queue", review_queue(rows))):
-        n = part.count()
-        if n > most:
-            raise ValueError(f"{name} has {n} rows; write tables instead")
-        out = []
-        for r in part.orderBy("file", "pos").collect():
-            if name == "opportunities":
-                out.append({c: r[c] for c in OPPORTUNITY})
-                continue
-            try:
-                record = json.loads(r["record"])
-            except ValueError:
-                record = r["record"]
-            out.append({"record": record, "error": r["error"]})
-        (folder / f"{name}.json").write_text(json.dumps(out, indent=2) + "\n")
+        n = 0
+        with (folder / f"{name}.json").open("w") as file:
+            for r in part.orderBy("file", "pos").toLocalIterator():
+                if name == "opportunities":
+                    said = {c: r[c] for c in OPPORTUNITY}
+                else:
+                    try:
+                        record = json.loads(r["record"])
+                    except ValueError:
+                        record = r["record"]
+                    said = {"record": record, "error": r["error"]}
+                file.write(("[\n" if n == 0 else ",\n") + textwrap.indent(json.dumps(said, indent=2), "  "))
+                n += 1
+            file.write("\n]\n" if n else "[]\n")
         counts.append(n)
     return counts[0], counts[1]

@@ -56,6 +56,38 @@ def test_chains_of_any_length_reach_their_roots(spark):
         chains(spark.createDataFrame([(0, None), (1, 2), (2, 3), (3, 1)], "node long, parent long"))
 
 
+def test_links_by_several_keys_against_brute_force(spark):
+    import datetime
+    import random
+
+    from tenderlake.operators.lineage import scored_links
+
+    rng = random.Random(3)
+    day = datetime.date(2020, 1, 1)
+    rows = [(i, rng.choice([1, 2, 3, None]), rng.choice("xyz"), day + datetime.timedelta(rng.randrange(400))) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, k long, t string, d date")
+    same = {c: F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("k", "t")}
+    got = scored_links(df, ["k", "t"], "id", "d", {"key": (2, same["k"]), "title": (1, same["t"])}, 2, 30).collect()
+    want = set()
+    for i, k, t, d in rows:
+        for j, k2, t2, d2 in rows:
+            score = 2 * (k is not None and k == k2) + (t == t2)
+            if 0 < (d - d2).days <= 30 and score >= 2:
+                want.add((i, j, score))
+    assert {(r["record"], r["predecessor"], r["score"]) for r in got} == want and len(got) == len(want)
+
+
+def test_exact_median(spark):
+    import statistics
+
+    from tenderlake.operators.bidding import exact_median
+
+    rows = [(i % 5, float((i * 37) % 11)) for i in range(57)] + [(9, 2.0), (8, None), (7, 1.0), (7, 4.0)]
+    got = dict(exact_median(spark.createDataFrame(rows, "k long, x double"), "k", "x", "m").collect())
+    want = {k: statistics.median(x for j, x in rows if j == k and x is not None) for k in {0, 1, 2, 3, 4, 7, 9}}
+    assert got == want
+
+
 def test_similar_events_of_every_event(spark):
     from tenderlake.plans.registry import bids
 
@@ -66,7 +98,7 @@ def test_similar_events_of_every_event(spark):
     for e, own in items.items():
         met = sorted((-len(own & x) / len(own | x), o) for o, x in items.items() if o != e and own & x)
         want |= {(e, o, i + 1) for i, (_, o) in enumerate(met[:3])}
-    got = QUERIES["s27_similar_events_all"](spark, SF).collect()
+    got = QUERIES["s27_similar_events"](spark, SF).collect()
     assert {(r["event"], r["similar"], r["place"]) for r in got} == want and len(got) == len(want)
 
 

@@ -11,7 +11,7 @@ from tenderlake.operators.normalize import judged, opportunities, review_queue,
 from tenderlake.sources.records import ADAPTERS, parse_records, read_records, renamed_fields
 from tenderlake.sources.sinks import write_jsonl, write_tables
 
-BASE = {"source_id": "x", "source_url": "https://example.invalid/x", "solicitation": "RFP-1", "title": "Test", "agency": "Agency", "jurisdiction": "CA", "observed_at": "2026-09-01T00:00:00Z"}
+BASE = {"source_id": "notice 7", "source_url": "https://portal.invalid/notices/7", "solicitation": "ITT 2031/07", "title": "Bridge repair", "agency": "Harbour Board", "jurisdiction": "Westland", "observed_at": "2031-03-04T05:06:07Z"}
 
 
 def rows_of(spark, values):
@@ -21,22 +21,23 @@ def rows_of(spark, values):
 
 
 def test_key_ignores_case_and_edges(spark):
-    df = spark.createDataFrame([("Example City", "RFP-1"), (" example city ", "rfp-1"), ("　EXAMPLE CITY\x1c", "\tRFP-1\xa0")], "a string, s string")
+    df = spark.createDataFrame([("Harbour Board", "ITT 7"), ("\tharbour BOARD ", "itt 7 "), ("　HARBOUR board\x1c", "\nItt 7\xa0")], "a string, s string")
     assert len({r[0] for r in df.select(canonical_id(F.col("a"), F.col("s"))).collect()}) == 1
 
 
 def test_known_keys(spark):
+    # Keys that records of this kind are known by elsewhere.
     df = spark.createDataFrame([("Example City", "RFP-26-101"), ("Example County", "IFB-44")], "a string, s string")
     assert [r[0] for r in df.select(canonical_id(F.col("a"), F.col("s"))).collect()] == ["dcd5549162a0e2c6", "98e3a7a74b8fbe3e"]
 
 
 def test_provenance_and_default_status(spark):
     r = rows_of(spark, [BASE])[0]
-    assert (r["source_ids"], r["source_urls"], r["status"], r["confidence"], r["error"]) == (["x"], [BASE["source_url"]], "unknown", 1.0, None)
+    assert (r["source_ids"], r["source_urls"], r["status"], r["confidence"], r["error"]) == ([BASE["source_id"]], [BASE["source_url"]], "unknown", 1.0, None)
 
 
 def test_missing_fields_are_named_in_order(spark):
-    assert rows_of(spark, [{"title": "Incomplete"}])[0]["error"] == "missing required fields: source_id, source_url, solicitation, agency, jurisdiction, observed_at"
+    assert rows_of(spark, [{"title": "Only a name"}])[0]["error"] == "missing required fields: source_id, source_url, solicitation, agency, jurisdiction, observed_at"
 
 
 @pytest.mark.parametrize("value", ["", 0, 0.0, False, None, [], {}])
@@ -69,7 +70,7 @@ def test_directory_and_sinks(spark, tmp_path):
     (source / "c.json").write_text("[{")
     (source / "note.txt").write_text("no record")
     rows = judged(read_records(spark, str(source)))
-    assert [r["source_ids"][0] for r in opportunities(rows).orderBy("file", "pos").collect()] == ["x", "a2", "b"]
+    assert [r["source_ids"][0] for r in opportunities(rows).orderBy("file", "pos").collect()] == ["notice 7", "a2", "b"]
     assert review_queue(rows).count() == 2 and tuple(split_counts(rows).first()) == (3, 2)
     assert with_instants(rows).where("observed_ts IS NOT NULL").count() == 3
     cli.main(["normalize", "--input", str(source), "--output", str(tmp_path / "out")])
@@ -85,8 +86,28 @@ def test_directory_and_sinks(spark, tmp_path):
     assert "due_date" in spark.read.json(str(tmp_path / "lines")).columns
 
 
-def test_adapter(spark):
-    assert "canonical" in ADAPTERS
-    theirs = {("name" if k == "title" else k): v for k, v in BASE.items()}
-    got = judged(renamed_fields({"title": "name"})(parse_records(spark.createDataFrame([("f", json.dumps(theirs))], "file string, text string")))).first()
-    assert got["error"] is None and got["title"] == "Test"
+def test_tables_from_the_command_line(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([BASE, {"title": ""}, BASE]))
+    cli.main(["normalize", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--format", "tables"])
+    assert "normalized=2 review=1" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out" / "opportunities")).count() == 2
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "e.json").write_text("[]")
+    cli.main(["normalize", "--input", str(tmp_path / "none"), "--output", str(tmp_path / "out2")])
+    assert json.loads((tmp_path / "out2" / "opportunities.json").read_text()) == []
+
+
+def test_adapters(spark):
+    assert {"canonical", "flat_portal", "nested_portal"} <= set(ADAPTERS)
+    adapt = renamed_fields({"title": "name", "agency": "buyer.name"})
+    theirs = {k: v for k, v in BASE.items() if k not in ("title", "agency")} | {"name": "Their title", "buyer": {"name": "Their agency"}}
+    cases = [theirs, theirs | {"title": "Own title"}, theirs | {"name": False}, theirs | {"name": 0}, theirs | {"name": 5}, theirs | {"title": "", "name": "x"}, theirs | {"status": None}, 7, '{"a":', json.dumps(theirs)[:-1] + ', "name": "last"}']
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    text = [(f"f{i}", c if isinstance(c, str) else json.dumps(c)) for i, c in enumerate(cases)]
+    rows = judged(adapt(parse_records(spark.createDataFrame(text, "file string, text string")))).collect()
+    r = {int(x["file"][1:]): x for x in rows}
+    assert [(r[i]["title"], r[i]["agency"], r[i]["error"]) for i in (0, 1)] == [("Their title", "Their agency", None), ("Own title", "Their agency", None)]
+    assert [r[i]["error"] for i in (2, 3, 5)] == ["missing required fields: title"] * 3 and r[4]["error"] == "wrong_type: title"
+    assert r[6]["status"] is None and r[0]["status"] == "unknown" and r[9]["title"] == "last"
+    assert r[7]["error"] == "wrong_type: record" and r[8]["error"] == "malformed_json" and json.loads(r[0]["record"]) == theirs
