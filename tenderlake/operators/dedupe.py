@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tenderlake.session import Scratch
+
 
 def exact_duplicates(df: DataFrame, key: Column, id_col: str, provenance: str) -> DataFrame:
     """One row per key that several rows share: how many, the first, and from how many origins."""
@@ -69,3 +71,58 @@ def resolve_identities(entities: DataFrame) -> DataFrame:
     found = named.withColumn("resolved", F.min("entity").over(by_place)).withColumn("n_aliases", F.count(F.lit(1)).over(by_place)).withColumn("same_name", F.count(F.lit(1)).over(by_name))
     verdict = F.when(F.col("n_aliases") > 1, "resolved").when(F.col("same_name") > 1, "review").otherwise("single")
     return found.select("entity", "resolved", "n_aliases", verdict.alias("verdict"))
+
+
+def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, label): the smallest node that each node of the edges (a, b) reaches.
+
+    Labels go down to the smallest of a node's neighbours and then to their labels' labels, over stored tables, until
+    none changes, so that distances halve with each round.
+    """
+    both = scratch.save(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
+    labels = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    while True:
+        of = labels.select(F.col("node").alias("b"), F.col("label").alias("l"))
+        near = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l"))
+        lower = labels.join(near, "node").select("node", F.least("label", "l").alias("at"), F.col("label").alias("old"))
+        jump = lower.join(of.select(F.col("b").alias("at"), "l"), "at", "left").select("node", F.least("at", F.coalesce("l", "at")).alias("label"), "old")
+        new = scratch.save(jump, "labels")
+        if new.where("label <> old").isEmpty():
+            return new.select("node", "label")
+        labels = new.drop("old")
+
+
+def resolve_vendors(entities: DataFrame) -> DataFrame:
+    """(entity, resolved, n_aliases, verdict) of (entity, name, place, tax_id): blocking, pair scores, components.
+
+    Records are one vendor if their tax ids agree, if their normalised names and places do, or if they are of one place,
+    have half of the words of both names in common, an edit similarity of 0.85 and the same digits.  Candidates of the
+    last kind are found under the rarest words of a name (an exact prefix filter), once for each name of a place.
+    Where such links would bring two tax ids together nothing is merged: the records go to review, as do those
+    whose name some record of another place has.
+    """
+    scratch = Scratch(entities.sparkSession, "vendors")
+    norm = normalized_name(F.col("name"))
+    named = scratch.save(entities.select("entity", norm.alias("norm"), "place", "tax_id"), "named")
+    by_tax = named.where("tax_id IS NOT NULL").withColumn("a", F.min("entity").over(Window.partitionBy("tax_id"))).select("a", F.col("entity").alias("b"))
+    classes = scratch.save(named.where("norm <> ''").groupBy("norm", "place").agg(F.min("entity").alias("id")), "classes")
+    by_name = named.join(classes, ["norm", "place"]).select(F.col("id").alias("a"), F.col("entity").alias("b"))
+
+    words = classes.select("id", "norm", "place", F.explode(F.array(F.array_distinct(F.split("norm", " ")))).alias("words"))
+    one = words.select("id", "norm", "place", "words", F.explode("words").alias("word"))
+    ranked = one.join(one.groupBy("place", "word").agg(F.count(F.lit(1)).alias("freq")), ["place", "word"])
+    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("freq", "word"))).where((F.col("r") <= F.size("words") - F.ceil(F.size("words") / 2) + 1) & (F.col("freq") > 1))
+    x, y = (ranked.select("place", "word", *[F.col(c).alias(f"{c}_{p}") for c in ("id", "norm", "words")]) for p in "ab")
+    digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
+    common = F.size(F.array_intersect("words_a", "words_b"))
+    alike = (2 * common >= F.size("words_a") + F.size("words_b") - common) & (digits("norm_a") == digits("norm_b"))
+    close = 100 * F.levenshtein("norm_a", "norm_b") <= 15 * F.greatest(F.length("norm_a"), F.length("norm_b"))
+    similar = x.join(y, ["place", "word"]).where((F.col("id_a") < F.col("id_b")) & alike & close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+    labels = connected(scratch.save(by_tax.unionByName(by_name).unionByName(similar), "edges"), scratch)
+    placed = named.join(labels.withColumnRenamed("node", "entity"), "entity", "left").withColumn("label", F.coalesce("label", "entity"))
+    sizes = placed.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tax_id").alias("taxes"))
+    elsewhere = classes.groupBy("norm").agg(F.count(F.lit(1)).alias("places"))
+    met = placed.join(sizes, "label").join(elsewhere, "norm", "left")
+    verdict = F.when(F.col("taxes") > 1, "review").when(F.col("n") > 1, "resolved").when(F.col("places") > 1, "review").otherwise("single")
+    return met.select("entity", F.when(F.col("taxes") > 1, F.col("entity")).otherwise(F.col("label")).alias("resolved"), F.when(F.col("taxes") > 1, 1).otherwise(F.col("n")).cast("long").alias("n_aliases"), verdict.alias("verdict"))

@@ -210,6 +210,44 @@ def s23_vendor_resolution(spark, sf_dir):
     return dedupe.resolve_identities(c.unionByName(s))
 
 
+FIRST, SECOND, THIRD = ("Northern Harbour Granite Silver Eastern Union Valley Summit".split(), "Bridge Paving Electric Timber Water Survey Glass Steel".split(), "Works Partners Group Services Supply".split())
+
+
+def _aliases(spark, sf_dir):
+    """Vendor records of suppliers: under a made-up name, some also with a legal form and in capitals, some misspelt; some with tax ids."""
+    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("place"))
+    pick = lambda xs, i: F.element_at(F.array(*[F.lit(x) for x in xs]), (i + 1).cast("int"))
+    k = F.col("k")
+    one, two, three = pick(FIRST, k % 8), pick(SECOND, F.floor(k / 8) % 8), pick(THIRD, k % 5)
+    name = F.concat_ws(" ", one, two, three)
+    tax = F.when(k % 4 == 0, F.concat(F.lit("T"), k.cast("string")))
+    told = lambda mark, name, tax: F.struct(F.concat(F.lit(mark), k.cast("string")).alias("entity"), name.alias("name"), tax.alias("tax_id"))
+    own = F.array(told("S-", name, tax), told("T-", F.concat(F.upper(name), F.lit(", Inc.")), F.when(k % 6 == 0, F.concat(F.lit("T"), k.cast("string")))), told("U-", F.concat_ws(" ", one, F.substr(two, F.lit(1), F.length(two) - 1), three), F.lit(None).cast("string")))
+    wanted = F.filter(own, lambda x: x["entity"].startswith("S-") | (x["entity"].startswith("T-") & (k % 3 == 0)) | (x["entity"].startswith("U-") & (k % 5 == 0)))
+    return sup.select("place", F.explode(wanted).alias("x")).select("x.entity", "x.name", "place", "x.tax_id")
+
+
+_LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+@query(rf"""WITH RECURSIVE b AS (SELECT s_suppkey AS k, s_nationkey AS place, {_LIST(FIRST)}[s_suppkey % 8 + 1] AS w1, {_LIST(SECOND)}[(s_suppkey // 8) % 8 + 1] AS w2, {_LIST(THIRD)}[s_suppkey % 5 + 1] AS w3 FROM supplier),
+e AS (SELECT 'S-' || k AS entity, lower(w1 || ' ' || w2 || ' ' || w3) AS norm, place, CASE WHEN k % 4 = 0 THEN 'T' || k END AS tax FROM b
+  UNION ALL SELECT 'T-' || k, lower(w1 || ' ' || w2 || ' ' || w3), place, CASE WHEN k % 6 = 0 THEN 'T' || k END FROM b WHERE k % 3 = 0
+  UNION ALL SELECT 'U-' || k, lower(w1 || ' ' || substr(w2, 1, length(w2) - 1) || ' ' || w3), place, NULL FROM b WHERE k % 5 = 0),
+c AS (SELECT norm, place, min(entity) AS id, string_split(norm, ' ') AS w FROM e GROUP BY 1, 2),
+l AS (SELECT x.entity AS a, y.entity AS b FROM e x JOIN e y ON x.tax = y.tax UNION SELECT id, entity FROM e JOIN c USING (norm, place)
+  UNION SELECT x.id, y.id FROM c x JOIN c y ON x.place = y.place AND x.id < y.id WHERE 2 * len(list_intersect(x.w, y.w)) >= len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)) AND 100 * levenshtein(x.norm, y.norm) <= 15 * greatest(length(x.norm), length(y.norm))),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(entity, reach) AS (SELECT entity, entity FROM e UNION SELECT u.b, r.reach FROM r JOIN u ON u.a = r.entity WHERE r.reach < u.b),
+m AS (SELECT entity, min(reach) AS label FROM r GROUP BY 1), p AS (SELECT e.*, label FROM e JOIN m USING (entity)),
+n AS (SELECT label, count(*) AS n, count(DISTINCT tax) AS taxes FROM p GROUP BY 1), o AS (SELECT norm, count(*) AS places FROM c GROUP BY 1)
+SELECT entity, CASE WHEN taxes > 1 THEN entity ELSE label END AS resolved, CASE WHEN taxes > 1 THEN 1 ELSE n END AS n_aliases, CASE WHEN taxes > 1 THEN 'review' WHEN n > 1 THEN 'resolved' WHEN places > 1 THEN 'review' ELSE 'single' END AS verdict
+FROM p JOIN n USING (label) JOIN o USING (norm)""")
+def s23_vendor_aliases(spark, sf_dir):
+    """Records of vendors under several names."""
+    return dedupe.resolve_vendors(_aliases(spark, sf_dir))
+
+
 # ---- metrics ----
 
 

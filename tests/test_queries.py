@@ -56,6 +56,35 @@ def test_chains_of_any_length_reach_their_roots(spark):
         chains(spark.createDataFrame([(0, None), (1, 2), (2, 3), (3, 1)], "node long, parent long"))
 
 
+def test_vendors_are_merged_by_evidence_and_never_across_tax_ids(spark):
+    from tenderlake.operators.dedupe import resolve_vendors
+
+    rows = [
+        ("a1", "Harbour Paving Works", 1, "T1"), ("a2", "HARBOUR PAVING WORKS, Inc.", 1, None), ("a3", "Harbour Pavng Works", 1, None), ("a4", "Something Else", 9, "T1"),  # one vendor
+        ("b1", "Harbour Paving Works", 2, None),  # the name alone: review
+        ("c1", "Route 66 Supply", 3, None), ("c2", "Route 67 Supply", 3, None),  # other digits
+        ("d1", "Summit Glass Group", 4, "T2"), ("d2", "Summit Glas Group", 4, None), ("d3", "Summit Gla Group", 4, "T3"),  # would join two tax ids
+        ("e1", None, 5, None), ("e2", "", 5, None), ("e3", "Inc.", 5, None), ("f1", "Lonely Valley", None, None),
+    ]
+    df = spark.createDataFrame(rows, "entity string, name string, place int, tax_id string")
+    got = {r["entity"]: (r["resolved"], r["n_aliases"], r["verdict"]) for r in resolve_vendors(df).collect()}
+    assert len(got) == len(rows)
+    assert {got[x] for x in ("a1", "a2", "a3", "a4")} == {("a1", 4, "resolved")}
+    assert got["b1"] == ("b1", 1, "review") and got["c1"] == ("c1", 1, "single") and got["c2"] == ("c2", 1, "single")
+    assert [got[x] for x in ("d1", "d2", "d3")] == [(x, 1, "review") for x in ("d1", "d2", "d3")]
+    assert all(got[x] == (x, 1, "single") for x in ("e1", "e2", "e3", "f1"))
+    assert resolve_vendors(df.limit(0)).count() == 0
+
+
+def test_connected_nodes_of_long_chains(spark):
+    from tenderlake.operators.dedupe import connected
+    from tenderlake.session import Scratch
+
+    edges = [(i, i + 1) for i in range(0, 130)] + [(200, 210), (205, 210), (300, 300)]
+    got = dict(connected(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect())
+    assert got == {**{i: 0 for i in range(131)}, 200: 200, 205: 200, 210: 200, 300: 300}
+
+
 def test_links_by_several_keys_against_brute_force(spark):
     import datetime
     import random
