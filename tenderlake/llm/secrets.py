@@ -339,6 +339,20 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, k: int) -> DataFrame:
+    """The k rows (word, n) with the largest n, ties by word; counts is a stored table.
+
+    A histogram of the counts tells from which on a word can be among them, so that not every task hands on k words.
+    """
+    size = F.floor(F.log2("n") * 16)
+    least, seen = 0, 0
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        least, seen = r["size"], seen + r["words"]
+        if seen >= k:
+            break
+    return counts.where(size >= least).orderBy(F.desc("n"), "word").limit(k)
+
+
 def learn(docs: DataFrame, text: str = "text") -> Language:
     """What Language.learn learns from all texts, counted by Spark."""
     counts = Scratch(docs.sparkSession, "words").save(word_counts(docs, text))
@@ -354,7 +368,7 @@ def learn(docs: DataFrame, text: str = "text") -> Language:
     pairs = np.zeros(28 * 28)
     for r in counts.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         pairs[r["at"]] = r["n"]
-    words = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()]
+    words = [r["word"] for r in most_frequent(counts, DICTIONARY).collect()]
     return Language.of(words, pairs.reshape(28, 28))
 
 

@@ -368,6 +368,15 @@ def test_language_is_learned_from_all_documents(spark, monkeypatch):
         assert got.words == want.words and np.allclose(got.transitions, want.transitions)
 
 
+def test_most_frequent_words(spark):
+    rows = [(f"w{i:04}", 1 + (i * 7919) % 50) for i in range(2000)] + [("top", 10**15)]
+    df = spark.createDataFrame(rows, "word string, n long").repartition(7)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for k in (1, 10, 500, 5000):
+        assert [tuple(r) for r in secrets.most_frequent(df, k).collect()] == want[:k]
+    assert secrets.most_frequent(df.limit(0), 5).count() == 0
+
+
 def test_transitions_against_counting():
     words, counts = ["ab", "é1", "z"], [3, 2, 5]
     want = np.zeros((28, 28))
