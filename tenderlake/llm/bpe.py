@@ -10,7 +10,8 @@ what comes later cannot change them, and a border lies behind by a few token len
 States and moves are made when first met and forgotten beyond MOST_STATES.
 
 Defined cases: a null text is an empty one and has no tokens; any valid text round-trips.
-Texts are encoded whole, whatever their length.  Other columns are ignored.
+Texts are encoded whole, whatever their length; repeated rows are encoded each.  Other columns are ignored.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations

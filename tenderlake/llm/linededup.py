@@ -24,10 +24,11 @@ from .common import Scratch, fresh, table
 STRIP = "".join(map(chr, (0x20, *range(0x09, 0x0E))))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A hash is hot from this share of all lines on; the sketch tracks enough items to find all of them.
-HOT_SHARE, TRACKED = 1 / 1000, 1 << 15
+#: A hash is hot from this share of all lines on; the sketch tracks enough items to find all of them (its error is under
+#: 1 / 18,000 of all). What is not hot fits a partition where there are some thousands, and its window spills.
+HOT_SHARE, TRACKED = 1 / 5000, 1 << 15
 #: Rows of the sketch's answer: no more than 1 / HOT_SHARE hashes can have that share.
-HOT_MOST = 2000
+HOT_MOST = 10_000
 
 
 def ascii_lower(c: Column) -> Column:

@@ -12,7 +12,7 @@ Packing needs no shuffle: each partition packs its own documents, and a partitio
 again after a loss gives the same rows.
 
 Defined cases: a null or empty text is just the end id; repeated rows are packed each; a
-document of any length is tokenised whole; other columns are ignored.
+document of any length is tokenised whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -111,6 +111,13 @@ def test_more_languages_than_bits_of_a_word(spark):
     assert all(r[0] == r[1] for r in said)
 
 
+def test_ties_go_to_the_language_that_sorts_first():
+    model = langid.train([("bb", "same words here"), ("aa", "same words here")] * 30)
+    for w in (model.weights, model.in_lexicon, model.first, model.then):
+        w[:] = 0
+    assert langid.predict_column(model, pa.array(["same words", "other"])) == (["aa", "aa"], [0.5, 0.5])
+
+
 def test_nothing_to_learn_from(spark):
     empty = corpus(spark).limit(0)
     assert langid.fit(empty) is None
@@ -172,7 +179,7 @@ def test_examples_and_round_trip(spark):
         turns = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1], r[2] or "", r[3] or ""))]
         assert [tuple(t) for t in back[conv]["turns"]] == turns
         assert back[conv]["loss"] == "".join(t for role, t in turns if role == "assistant")
-    assert chat.expand_prefixes(df.limit(0)).count() == 0
+    assert chat.expand_prefixes(df.limit(0)).count() == 0 and chat.read_back(chat.expand_prefixes(df.limit(0))).count() == 0
 
 
 # ---- BPE ----
@@ -213,6 +220,7 @@ def test_utf8_machine():
 def test_bpe_query_columns(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "doc_id long, text string").withColumn("n_tokens", F.lit("x"))
     got = bpe.round_trip(df, "doc_id", "text", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    assert bpe.round_trip(df.limit(0), "doc_id", "text", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
     assert [r["n_tokens"] for r in got] == [2, 2, 0] and got[0]["decoded_sha256"] == hashlib.sha256(b"a b").hexdigest()
 
 
@@ -255,6 +263,8 @@ def test_packing_keeps_every_id_once_without_padding(spark):
             at += r["length"]
         assert at <= 2048 and at & (at - 1) == 0
     assert packing.pack(df.limit(0), path).count() == 0
+    twice = packing.pack(df.where("doc_id = 3").unionByName(df.where("doc_id = 3")), path).agg(F.sum("length")).first()[0]
+    assert twice == 2 * len(want[3])
 
 
 # ---- secrets ----
