@@ -66,9 +66,10 @@ def resolve_identities(entities: DataFrame) -> DataFrame:
     goes to review, so that unrelated companies are not merged.
     """
     named = entities.withColumn("name", normalized_name(F.col("name")))
-    by_place = Window.partitionBy("name", "place")
-    by_name = Window.partitionBy("name")
-    found = named.withColumn("resolved", F.min("entity").over(by_place)).withColumn("n_aliases", F.count(F.lit(1)).over(by_place)).withColumn("same_name", F.count(F.lit(1)).over(by_name))
+    places = named.groupBy("name", "place").agg(F.min("entity").alias("resolved"), F.count(F.lit(1)).alias("n_aliases"))
+    names = places.groupBy("name").agg(F.sum("n_aliases").alias("same_name"))
+    both = places.alias("p").join(names.alias("n"), F.col("p.name").eqNullSafe(F.col("n.name"))).select("p.*", "same_name")
+    found = named.alias("x").join(both.alias("y"), F.col("x.name").eqNullSafe(F.col("y.name")) & F.col("x.place").eqNullSafe(F.col("y.place")))
     verdict = F.when(F.col("n_aliases") > 1, "resolved").when(F.col("same_name") > 1, "review").otherwise("single")
     return found.select("entity", "resolved", "n_aliases", verdict.alias("verdict"))
 
