@@ -20,7 +20,7 @@
 
 Defined cases: a null or empty text or one without words has an empty set and is linked with
 nothing; fewer words than a shingle are one shingle together; rows with the same doc_id are one
-document; rows with a null doc_id are linked with nothing and stay; repeated rows get the
+document, which is linked by any of their texts; rows with a null doc_id are linked with nothing and stay; repeated rows get the
 same answer each.  Texts count whole; other columns pass through.
 """
 
@@ -46,7 +46,7 @@ BROADCAST_IDS = 200_000
 #: Tasks at most over which the sets of one hub are dealt to be told of it.
 SALTS = 64
 #: Links that one task contracts.
-LINKS_PER_TASK = 1_000_000
+LINKS_PER_TASK = 500_000
 _RANDOM = np.random.default_rng(20)
 _XOR = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
 _ODD = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
@@ -117,25 +117,30 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text_hash, text): a doc_id and the hash of one of its texts name that text."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+
+
 def _features(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    names = ["doc_id", "n", "f1", "f2", *(f"s{i}" for i in range(LONGS))]
+    names = ["doc_id", "text_hash", "n", "f1", "f2", *(f"s{i}" for i in range(LONGS))]
 
     def told(part):
-        sets = shingle_sets(part.column(1), width)
+        sets = shingle_sets(part.column(2), width)
         n = np.array([len(s) for s in sets])
         full = np.flatnonzero(n)
         longs = np.zeros((len(sets), LONGS), np.int64)
         longs[full] = signatures([sets[i] for i in full]).view(np.int64)
         f1 = [int(_mix(s + np.uint64(1)).sum().view(np.int64)) if len(s) else None for s in sets]
         f2 = [int((_mix(s) * _mix(~s)).sum().view(np.int64)) if len(s) else None for s in sets]
-        return pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(LONGS))], names=names)
+        return pa.record_batch([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(LONGS))], names=names)
 
     def run(batches):
         with frugal():
             for batch in batches:
-                yield from map(told, chunks(batch, text, PIECE))
+                yield from map(told, chunks(batch, "text", PIECE))
 
-    return docs.select(doc_id, text).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return _keyed(docs, doc_id, text).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def allowed_distance(num: int, den: int) -> int:
@@ -178,12 +183,14 @@ def _contracted(batches):
             x = up
         return x
 
-    for batch in batches:
-        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            u, v = root(u), root(v)
-            parent[max(u, v)] = min(u, v)
-    pairs = [(x, r) for x in parent if (r := root(x)) != x]
-    yield pa.record_batch([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], names=["u", "v"])
+    with frugal():
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                u, v = root(u), root(v)
+                parent[max(u, v)] = min(u, v)
+        pairs = [(x, r) for x in parent if (r := root(x)) != x]
+        parent.clear()
+        yield pa.record_batch([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], names=["u", "v"])
 
 
 def components(links: DataFrame, scratch: Scratch, per_task: int = LINKS_PER_TASK) -> DataFrame:
@@ -307,8 +314,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     feats = scratch.save(_features(docs, doc_id, text, width), "features")
     known = feats.where("n > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"), *[F.max(s).alias(s) for s in sig])
+    classes = known.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"), *[F.max(s).alias(s) for s in sig])
+    classes = classes.select("f1", "f2", "first.*", F.col("first.doc_id").alias("id"), "n", "rows", *sig)
     classes = scratch.save(classes, "classes")
+    # A doc_id with several texts can be the first of several classes, which then need ids of their own.
+    shared = scratch.save(classes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", F.lit(True).alias("shared")), "shared")
+    unnamed = not shared.isEmpty()
+    if unnamed:
+        own = F.when(F.col("shared"), F.xxhash64(F.lit("class"), "f1", "f2")).otherwise(F.col("id"))
+        classes = scratch.save(classes.join(shared, "id", "left").withColumn("id", own).drop("shared"), "classes")
+    repeated = not known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     # A set that is its own size away from the next possible one has no partner.
     nodes = classes.where(F.col("n") * den >= (F.col("n") + 1) * num).select("id", "n", *sig)
 
@@ -322,9 +337,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     scratch.drop(buckets, members, hubs)
 
     def texts_of(pairs: DataFrame) -> DataFrame:
-        ids = scratch.save(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS  # 8 bytes each
-        return scratch.save(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        ids = scratch.save(classes.select("id", "doc_id", "text_hash").join(ids, "id", "left_semi"), "ids")
+        few = ids.count() <= BROADCAST_IDS  # 24 bytes each
+        texts = _keyed(docs, doc_id, text).where("text IS NOT NULL").join(F.broadcast(ids) if few else ids, ["doc_id", "text_hash"]).select("id", "text")
+        return scratch.save(texts.dropDuplicates(["id"]) if repeated else texts, "texts")
 
     # First each set with the central one that it shares most keys with.
     a_side, b_side = (nodes.select(F.col("id").alias(p), F.col("n").alias(f"{p}_n"), *[F.col(s).alias(f"{p}{s}") for s in sig]) for p in "ab")
@@ -359,7 +376,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         labels = scratch.save(components(links, scratch), "labels")
 
     # Only classes of several rows or with links need to be told their component.
-    told = classes.join(labels, "id", "left").where("rows > 1 OR component IS NOT NULL").select("f1", "f2", F.coalesce("component", "id").alias("component"))
+    told = classes.join(labels, "id", "left").where("rows > 1 OR component IS NOT NULL OR id <> doc_id").withColumn("component", F.coalesce("component", "id"))
+    if unnamed:  # the smallest id of a component need not be a doc_id then
+        told = told.join(told.groupBy("component").agg(F.min("doc_id").alias("least")), "component").withColumn("component", F.col("least"))
+    told = told.select("f1", "f2", "component")
     told = scratch.save(told, "told")
     out = feats.select("doc_id", "n", "f1", "f2").join(told, ["f1", "f2"], "left")
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))

@@ -207,6 +207,8 @@ def brute_components(rows, width, num, den):
             x = up[x]
         return x
 
+    for i, _ in rows:
+        root(i)
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
             if a and b and den * len(a & b) >= num * len(a | b):
@@ -271,6 +273,17 @@ def test_links_between_sets_apart_from_their_hub(spark):
     assert got == brute_components(rows, 3, 85, 100)
 
 
+def test_documents_with_several_texts(spark):
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(100)] for _ in range(6)]
+    rows = [(i, near_copies(rng, base[i % 6], 0, 6)) for i in range(60)]
+    rows += [(i, near_copies(rng, base[(i + 1) % 6], 0, 6)) for i in (0, 7, 20)]  # these join two groups
+    rows += [(i, " ".join(base[0])) for i in (70, 70, 71)] + [(72, t) for t in ("a b c d", "e f g h", "", None)] + [(73, "e f g h")]
+    rows += [(74, " ".join(base[2]))] * 30
+    got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, num=85).collect())
+    assert got == brute_components(rows, 3, 85, 100)
+
+
 def test_recall_of_pairs_near_the_threshold(spark):
     rng, rows, links = random.Random(10), [], 0
     while links < 300:
