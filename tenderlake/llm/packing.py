@@ -17,9 +17,11 @@ document of any length is tokenised whole; other columns are ignored; an empty t
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
-from collections import defaultdict, deque
+from collections import deque
+from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from .common import Pool, chunks, frugal, spread, table, units
 
 #: Pieces that wait in a partition before bins are made, and that are left for the next ones.
 WAITING, LEFT = 4096, 2048
+#: Bytes of text that are tokenised at a time: each distinct word once.
+CHUNK = 16 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -57,6 +61,15 @@ class WordPieces:
         if len(known) > 200_000:
             known.clear()
         for text in texts:
+            if text.isascii() and text.isalpha():  # one piece, as most are
+                low = text.lower()
+                got = known.get(low)
+                if got is None:
+                    got = [t.id for t in tokenize(low)]
+                    if len(low) <= 32:
+                        known[low] = got
+                out.append(got)
+                continue
             if not text.isascii() and simple(text):
                 out.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
                 continue
@@ -86,10 +99,12 @@ class WordPieces:
             yield np.concatenate((flat[bounds[row] : bounds[row + 1]], last))
 
 
-def closest_sum(counts: dict[int, int], target: int) -> dict[int, int]:
-    """How many of each length to take so that their sum comes closest to target from below; counts has the lengths at hand."""
+def closest_sum(counts: Mapping[int, int], target: int, lengths: list[int] | None = None) -> dict[int, int]:
+    """How many of each length to take so that their sum comes closest to target from below; counts has the lengths at hand, `lengths` them in order if known."""
     reach, trail, full = 1, [], (1 << (target + 1)) - 1
-    for length in sorted((x for x in counts if x <= target), reverse=True):
+    lengths = sorted(counts) if lengths is None else lengths
+    for i in range(bisect.bisect_right(lengths, target) - 1, -1, -1):
+        length = lengths[i]
         trail.append((length, reach))
         left, some = counts[length], 1
         while left > 0 and some * length <= target:  # 1, 2, 4, ... of this length together, up to as many as there are
@@ -115,18 +130,28 @@ class Packer:
 
     def __init__(self, capacity: int, partition: int):
         self.capacity, self.next = capacity, partition << 40
-        self.waiting: dict[int, deque] = defaultdict(deque)
+        self.waiting: dict[int, deque] = {}
+        self.lengths: list[int] = []  # of what waits, in order
+        self.counts: dict[int, int] = {}
         self.size = 0
 
     def _put(self, piece) -> None:
-        self.waiting[len(piece[2])].append(piece)
+        length = len(piece[2])
+        if length not in self.waiting:
+            self.waiting[length] = deque()
+            self.counts[length] = 0
+            bisect.insort(self.lengths, length)
+        self.waiting[length].append(piece)
+        self.counts[length] += 1
         self.size += 1
 
     def _take(self, length: int):
         self.size -= 1
+        self.counts[length] -= 1
         piece = self.waiting[length].popleft()
-        if not self.waiting[length]:
-            del self.waiting[length]
+        if not self.counts[length]:
+            del self.waiting[length], self.counts[length]
+            del self.lengths[bisect.bisect_left(self.lengths, length)]
         return piece
 
     def _rows(self, pieces) -> list[tuple]:
@@ -150,15 +175,16 @@ class Packer:
 
     def _bin(self, capacity: int) -> list[tuple]:
         """One full sequence of what waits, which holds at least capacity ids."""
-        longest = max((x for x in self.waiting if x <= capacity), default=0)
+        fit = bisect.bisect_right(self.lengths, capacity)
+        longest = self.lengths[fit - 1] if fit else 0
         pieces = [self._take(longest)] if longest else []
         gap = capacity - longest
         if gap:
-            for length, n in closest_sum({x: len(q) for x, q in self.waiting.items() if x <= gap}, gap).items():
+            for length, n in closest_sum(self.counts, gap, self.lengths).items():
                 pieces += [self._take(length) for _ in range(n)]
                 gap -= n * length
         if gap:  # every piece that waits is longer than the gap
-            doc_id, start, ids, total = self._take(min(x for x in self.waiting if x > gap))
+            doc_id, start, ids, total = self._take(self.lengths[bisect.bisect_right(self.lengths, gap)])
             pieces.append((doc_id, start, ids[:gap], total))
             self._put((doc_id, start + gap, ids[gap:], total))
         return self._rows(pieces)
@@ -182,7 +208,7 @@ def pack(docs, path: str, doc_id: str = "doc_id", text: str = "text", capacity:
     def packed(batches):
         own, packer = WordPieces(path), Packer(capacity, TaskContext.get().partitionId())
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, CHUNK):
                 rows = []
                 for key, ids in zip(part.column(0).to_pylist(), own.encode_column(part.column(1), end), strict=True):
                     rows += packer.add(key, ids)
