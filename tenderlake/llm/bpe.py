@@ -28,6 +28,8 @@ import regex
 
 from .common import Pool, chunks, frugal, plain, spread, table, units
 
+#: Bytes of text that are encoded at a time: each distinct unit once.
+CHUNK = 16 << 20
 #: Bounds of what a worker keeps; bytes after which a long piece is looked at for tokens that are settled.
 MOST_STATES, MOST_PAIRS, BLOCK = 250_000, 300_000, 1024
 #: A space after one of these does not begin a piece of its own; such texts are split whole.
@@ -302,7 +304,7 @@ def round_trip(docs, doc_id: str, text: str, path: str, pattern: str):
     def told(batches):
         own = Codec(path, pattern)
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, CHUNK):
                 rows = []
                 for ids, decimal in own.encode_column(part.column(1)):
                     digest = hashlib.sha256()
