@@ -58,6 +58,7 @@ PIECE = 4 << 20
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
+    # The multipliers and shifts of a public mixing function (splitmix64).
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -106,6 +107,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
             end += 1
         flat = np.concatenate(sets[at:end])
         x = (flat ^ (flat >> np.uint64(32))).astype(np.uint32)
+        # Fixed value below: the multiplier of a public mixing function of 32 bits.
         starts = np.cumsum([0, *map(len, sets[at : end - 1])])
         for j in range(SYMBOLS):
             y = (x ^ _XOR[j]) * _ODD[j]
