@@ -54,9 +54,8 @@ def dropped_lines(lines: DataFrame, min_docs: int = 3) -> DataFrame:
     """(doc, row_hash, pos) of the lines that go; `lines` is read several times and must be a stored table."""
     # One row of fixed size: every hash with HOT_SHARE of the rows is in it, whatever the data.
     seen = lines.agg(F.expr(f"approx_top_k(h1, {HOT_MOST}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).select(F.explode("top").alias("top"), "n")
-    hot = [r[0] for r in seen.where(F.col("top.count") >= F.col("n") * HOT_SHARE).select("top.item").collect()]
-    spark = lines.sparkSession
-    hot_keys = F.broadcast(spark.createDataFrame([(h,) for h in hot], "h1 long"))
+    hot = Scratch(lines.sparkSession, "hot").save(seen.where(F.col("top.count") >= F.col("n") * HOT_SHARE).select(F.col("top.item").alias("h1")))
+    hot_keys = F.broadcast(hot)  # 1 / HOT_SHARE rows at most
 
     often = lines.join(hot_keys, "h1", "left_semi")
     of_hot = often.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
@@ -68,7 +67,7 @@ def dropped_lines(lines: DataFrame, min_docs: int = 3) -> DataFrame:
     rest = rest.withColumn("first", first).withColumn("n_docs", F.sum("first").over(key)).withColumn("keeper", F.max("doc").over(key))
     from_rest = rest.where((F.col("n_docs") >= min_docs) & (F.col("doc") < F.col("keeper")))
     cols = ["doc", "row_hash", "pos"]
-    return from_hot.select(cols).unionByName(from_rest.select(cols)) if hot else from_rest.select(cols)
+    return from_hot.select(cols).unionByName(from_rest.select(cols))
 
 
 def keep_bitmaps(dropped: DataFrame) -> DataFrame:
