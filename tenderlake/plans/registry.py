@@ -374,9 +374,11 @@ def s17_reference_mining(spark, sf_dir):
     return documents.references(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
 
 
-@query("SELECT doc_id, quality, doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 1000) AS cited FROM labels")
+@query("SELECT doc_id, quality, doc_id IN (SELECT min(doc_id) FROM documents GROUP BY sha256(text)) AS cited FROM labels")
 def s49_evidence_integrity(spark, sf_dir):
-    return documents.cited(table(spark, sf_dir, "labels").select("doc_id", "quality"), table(spark, sf_dir, "documents").where("n_chars >= 1000"), "doc_id")
+    """Evidence is the first copy of each content."""
+    kept = dedupe.keep_first(table(spark, sf_dir, "documents"), F.sha2("text", 256), "doc_id", "source").select(F.col("kept_id").alias("doc_id"))
+    return documents.cited(table(spark, sf_dir, "labels").select("doc_id", "quality"), kept, "doc_id")
 
 
 # ---- lineage ----
@@ -625,11 +627,11 @@ def s39_local_uuids(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", expr.local_uuid(F.lit("nation"), F.col("n_nationkey")).alias("local_id"))
 
 
-@query("""SELECT c_custkey, count(o_orderkey) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderdate < TIMESTAMP '1995-07-01' GROUP BY 1""")
+@query("""SELECT c_custkey, count(o_orderkey) AS n_orders, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS pending_value FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
 def s41_unknown_not_zero(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderdate < TIMESTAMP '1995-07-01'")
-    met = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return met.groupBy("c_custkey").agg(F.count("o_orderkey").alias("n_orders"), F.sum(bidding.money("o_totalprice")).cast("double").alias("spent"))
+    """A buyer without pending orders has no pending value, not one of 0."""
+    met = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return met.groupBy("c_custkey").agg(F.count("o_orderkey").alias("n_orders"), F.sum(F.when(F.col("o_orderstatus") == "P", bidding.money("o_totalprice"))).cast("double").alias("pending_value"))
 
 
 @query("SELECT event_id, ts AS generated_at, ts + INTERVAL 30 DAYS AS expires_at, ts + INTERVAL 30 DAYS > TIMESTAMP '2024-02-15' AS valid FROM events")
