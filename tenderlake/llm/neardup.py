@@ -43,6 +43,8 @@ SYMBOLS, CHUNKS, SIGMAS = 100, 20, 4.75
 LONGS = -(-SYMBOLS // 8)
 #: Ids of documents that take part in pairs: up to so many are broadcast to pick their texts, more are joined.
 BROADCAST_IDS = 200_000
+#: Index keys and shared items, of 16 to 24 bytes each, that are broadcast at most to those who have them; more are joined.
+BROADCAST_ITEMS = 400_000
 #: Tasks at most over which the sets of one hub are dealt to be told of it.
 SALTS = 64
 #: Links that one task contracts.
@@ -259,6 +261,11 @@ def _differences(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return _compared(pairs, texts, width, "id long, hub long, n long, n_hub long, items array<long>", told)
 
 
+def _small(df: DataFrame, most: int) -> DataFrame:
+    """The stored table df, to be broadcast if it has at most so many rows."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
     """Links (a, b) between sets of different components that have a hub in common; diffs is a stored table.
 
@@ -274,10 +281,14 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     """
     u, v = den + num, den - num
     of = labels.withColumnRenamed("component", "c")
-    told = diffs.join(of, "id", "left").withColumns({"c": F.coalesce("c", "id"), "d": F.size("items").cast("long"), "salt": F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")})
+    told = diffs.join(_small(of, BROADCAST_IDS), "id", "left").withColumns({"c": F.coalesce("c", "id"), "d": F.size("items").cast("long")})
     hubs = told.groupBy("hub").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).join(of.select(F.col("id").alias("hub"), F.col("c").alias("hub_c")), "hub", "left")
-    hubs = hubs.withColumn("hub_c", F.coalesce("hub_c", "hub")).where("c_low <> hub_c OR c_high <> hub_c").select("hub", "hub_c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    known = told.join(hubs, ["hub", "salt"]).drop("salt")  # salted: one hub may have a large part of all sets
+    hubs = scratch.save(hubs.withColumn("hub_c", F.coalesce("hub_c", "hub")).where("c_low <> hub_c OR c_high <> hub_c").select("hub", "hub_c"), "hubs")
+    if hubs.count() <= BROADCAST_IDS:
+        known = told.join(F.broadcast(hubs), "hub")
+    else:  # salted: one hub may have a large part of all sets
+        salted = hubs.select("hub", "hub_c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        known = told.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["hub", "salt"]).drop("salt")
     known = known.withColumn("apart", F.col("c") != F.col("hub_c"))
     up = lambda x, by: F.floor((x + (by - 1)) / F.lit(by))
     least_any = F.greatest(F.lit(1), up(F.col("d") * u - (F.col("n") + F.col("n_hub")) * v, u + v))
@@ -287,13 +298,17 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     with_near = F.when(F.col("apart"), F.col("d") + 1 - least_any).otherwise(0)
     known = known.withColumns({"with_apart": with_apart, "with_near": with_near})
     known = scratch.save(known.where("with_apart > 0 OR with_near > 0"), "known")
+    scratch.drop(diffs)
 
+    # Items that only one component holds, or none that is apart, pair nobody. They come first in the order, so that they
+    # only have to be counted.
     each = known.select("hub", F.explode("items").alias("item"), "id", "n", "d", "c", "apart", "with_apart", "with_near")
-    held = each.where("apart").groupBy("hub", "item").agg(F.count(F.lit(1)).alias("sets"), F.min("c").alias("c_low"), F.max("c").alias("c_high"))
-    each = each.join(scratch.save(held, "held"), ["hub", "item"], "left")
-    each = each.withColumn("place", F.row_number().over(Window.partitionBy("hub", "id").orderBy(F.coalesce("sets", F.lit(0)), "item")))
-    each = each.where((F.col("place") <= F.greatest("with_apart", "with_near")) & ((F.col("c_low") != F.col("c")) | (F.col("c_high") != F.col("c")) | F.col("apart"))).drop("sets", "c_low", "c_high")
-    each = scratch.save(each, "each")
+    held = each.groupBy("hub", "item").agg(F.count(F.lit(1)).alias("sets"), F.min("c").alias("c_low"), F.max("c").alias("c_high"), F.max("apart").alias("any_apart"))
+    held = scratch.save(held.where("c_low <> c_high AND any_apart").select("hub", "item", "sets"), "held")
+    mine = Window.partitionBy("hub", "id")
+    each = each.join(_small(held, BROADCAST_ITEMS), ["hub", "item"])
+    each = each.withColumn("place", F.col("d") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("sets", "item"))).drop("sets")
+    each = scratch.save(each.where(F.col("place") <= F.greatest("with_apart", "with_near")), "each")
     side = lambda df, p: df.select("hub", "item", *[F.col(x).alias(f"{p}_{x}") for x in ("n", "d", "c", "apart", "with_apart", "with_near", "place")], F.col("id").alias(p))
     left, right = side(each.where("apart"), "a"), side(each.where("place <= with_apart"), "b")
     other = (F.col("a_c") != F.col("b_c")) & F.when(F.col("b_apart"), (F.col("a") < F.col("b")) & (F.col("a_place") <= F.col("a_with_apart"))).otherwise(F.col("a_place") <= F.col("a_with_near"))
@@ -301,7 +316,9 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     fits = 2 * u * still >= u * (F.col("a_d") + F.col("b_d")) - v * (F.col("a_n") + F.col("b_n"))
     pairs = left.join(right, ["hub", "item"]).where(other & fits).groupBy("a", "b").agg(F.min("hub").alias("hub"))
     full = lambda p: known.select(F.col("id").alias(p), "hub", F.col("n").alias(f"{p}_n"), F.col("items").alias(f"{p}_items"))
-    met = scratch.save(pairs, "pairs").join(full("a"), ["hub", "a"]).join(full("b"), ["hub", "b"])
+    pairs = scratch.save(pairs, "pairs")
+    scratch.drop(each, held)
+    met = pairs.join(full("a"), ["hub", "a"]).join(full("b"), ["hub", "b"])
     d = F.size("a_items") + F.size("b_items") - 2 * F.size(F.array_intersect("a_items", "b_items"))
     return met.where(d * u <= (F.col("a_n") + F.col("b_n")) * v).select("a", "b")
 
@@ -331,7 +348,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     keys = nodes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), *[F.col(f"s{at}").bitwiseAND(F.lit(mask)) for at, mask in m.items()]) for i, m in enumerate(masks)])).alias("key"))
     buckets = scratch.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    members = scratch.save(keys.join(buckets, "key"), "members")
+    members = scratch.save(keys.join(_small(buckets, BROADCAST_ITEMS), "key"), "members")
     # A set whose keys many others have lies in the middle of its group, where most links go.
     central = members.groupBy("id").agg(F.sum("members").alias("rank"))
     hubs = scratch.save(members.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("rank", "id")).alias("hub")), "hubs")
