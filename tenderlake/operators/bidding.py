@@ -35,14 +35,13 @@ def exact_median(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 
 def vendor_profiles(bids: DataFrame) -> DataFrame:
-    """bids are with `won`; they are read twice.  Each vendor's bids are summed up by buyer first, so no state holds all buyers."""
+    """bids are with `won`; they are read three times.  Each vendor's bids are summed up by buyer first, so no state holds all buyers."""
     pairs = bids.groupBy("vendor", "buyer").agg(
         F.count(F.lit(1)).alias("n_bids"),
         F.count_if("won").alias("n_wins"),
         F.sum(F.when(F.col("won"), money("amount"))).alias("won_value"),
         F.min("date").alias("first_seen"),
         F.max("date").alias("last_seen"),
-        F.collect_set("category").alias("categories"),
     )
     out = pairs.groupBy("vendor").agg(
         F.sum("n_bids").alias("n_bids"),
@@ -51,9 +50,9 @@ def vendor_profiles(bids: DataFrame) -> DataFrame:
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.count("buyer").alias("n_buyers"),
-        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("categories")))), ",").alias("categories"),
     )
-    met = out.join(exact_median(bids, "vendor", "amount", "typical_amount"), "vendor", "left")
+    held = bids.select("vendor", "category").distinct().groupBy("vendor").agg(F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"))
+    met = out.join(held, "vendor", "left").join(exact_median(bids, "vendor", "amount", "typical_amount"), "vendor", "left")
     return met.select("vendor", "n_bids", "n_wins", "won_value", "typical_amount", "first_seen", "last_seen", "n_buyers", "categories", (F.col("n_bids") - F.col("n_wins")).alias("n_losses"))
 
 
