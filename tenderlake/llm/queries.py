@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import bpe, chat, langid, linededup, media, neardup, packing, secrets, topk, warc
+from . import alignment, bpe, chat, langid, linededup, media, neardup, packing, secrets, spelling, topk, warc
 
 QUERIES = {
     "op2_revisit_resolution": warc.op2_revisit_resolution,
@@ -13,6 +13,8 @@ QUERIES = {
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
     "op5_prefix_target": chat.op5_prefix_target,
     "op6_line_dedup": linededup.op6_line_dedup,
+    "op12_anagram_variants": spelling.op12_anagram_variants,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 SQL = {
@@ -21,4 +23,5 @@ SQL = {
     "op7_minhash_hamming": neardup.OP7_SQL,
     "op5_prefix_target": chat.OP5_SQL,
     "op6_line_dedup": linededup.OP6_SQL,
+    "op12_anagram_variants": spelling.OP12_SQL,
 }
