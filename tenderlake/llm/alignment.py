@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 
 from tenderlake.session import Scratch
 
-from .coded import coded, put_back, words_of
+from .coded import coded, put_back, save, words_of
 from .common import frugal, plain, spread, table, units
 
 #: Texts that are not simply split at all spaces: with white space before one, or one at an end.
@@ -110,7 +110,8 @@ def aligned(tokens: DataFrame) -> DataFrame:
     order = Window.partitionBy("wid").orderBy("pos")
 
     def ends(side: str) -> DataFrame:
-        one = tokens.where("ok").select("wid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("len"))).alias("pos", "t"))
+        one = tokens.where("ok").select("wid", side, f"{side}_len").repartition("wid")  # the arrays, not the tokens
+        one = one.select("wid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("len"))).alias("pos", "t"))
         return one.select("wid", F.sum("t.len").over(order).alias("end"), F.col("t.id").alias(side))
 
     met = ends("a").join(ends("b"), ["wid", "end"], "full")
@@ -119,18 +120,19 @@ def aligned(tokens: DataFrame) -> DataFrame:
     return met.select("wid", "end", "a", "b", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp"))
 
 
-def word_links(rows: DataFrame) -> DataFrame:
-    """(wid, a, b, m) of aligned(): how often each pair of ids is linked in a word.  Ids are counted by group first, so no group is squared by occurrences."""
-    side = lambda s: rows.where(F.col(s).isNotNull()).groupBy("wid", "grp", s).agg(F.count(F.lit(1)).alias(f"n_{s}"))
-    return side("a").join(side("b"), ["wid", "grp"]).groupBy("wid", "a", "b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("m"))
+def word_groups(rows: DataFrame) -> DataFrame:
+    """(wid, groups) of aligned(): for each group the ids of both sides in order."""
+    one = rows.groupBy("wid", "grp").agg(*[F.collect_list(F.when(F.col(s).isNotNull(), F.struct("end", F.col(s).alias("id")))).alias(s) for s in "ab"])
+    ids = lambda s: F.transform(F.sort_array(s), lambda x: x["id"]).alias(s)
+    return one.groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("grp", ids("a"), ids("b")))).alias("groups"))
 
 
-def word_groups(rows: DataFrame) -> DataFrame:
-    """(wid, n_a, n_b, n_groups, groups) of aligned(); groups is `a1,a2|b1;a3|b2,b3`."""
-    ids = lambda s: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col(s).isNotNull(), F.struct("end", s)))), lambda x: x[s]), ",")
-    one = rows.groupBy("wid", "grp").agg(F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.concat(ids("a"), F.lit("|"), ids("b")).alias("said"))
-    said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("grp", "said"))), lambda x: x["said"]), ";")
-    return one.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), said.alias("groups"))
+def word_links(words: DataFrame) -> DataFrame:
+    """(wid, a, b, m) of word_groups(): how often each pair of ids is linked.  Both sides of a group meet by distinct ids, so none is squared by its occurrences."""
+    counted = lambda ids: F.transform(F.array_distinct(ids), lambda x: F.struct(x.alias("id"), F.size(F.filter(ids, lambda y: y == x)).cast("long").alias("n")))
+    one = words.select("wid", F.explode("groups").alias("g")).select("wid", counted(F.col("g.a")).alias("a"), counted(F.col("g.b")).alias("b"))
+    met = one.select("wid", "b", F.explode("a").alias("x")).select("wid", "x", F.explode("b").alias("y"))
+    return met.groupBy("wid", F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.sum(F.col("x.n") * F.col("y.n")).alias("m"))
 
 
 def _by_code(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
@@ -148,26 +150,31 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     A pair's count is the number of documents that hold it linked; n_best is how many links have the highest count of their first id.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
-    chunked = scratch.save(coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders), "chunks")
-    tokens = scratch.save(tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
-    rows = scratch.save(aligned(tokens), "rows")
-    links = scratch.save(word_links(rows), "links")
+    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders), "chunks")
+    tokens = save(scratch, tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
+    groups = word_groups(aligned(tokens))
+    # Partitions by word number serve joins on number and end as well.
+    words = save(scratch, tokens.select("wid", "word", "ok").join(groups, "wid", "left"), "words", requireAllClusterKeysForCoPartition="false")
+    scratch.drop(tokens)
+    groups = F.coalesce("groups", F.array().cast(words.schema["groups"].dataType))
     at = lambda field, c: F.element_at(F.col(f"x.{field}"), c + 1)
 
     # How many documents hold each pair: the distinct pairs of the distinct words of each.
-    key = F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")
-    held = links.groupBy("wid").agg(F.collect_list(key).alias("pairs"))
-    named = tokens.select("wid", "word", "ok").join(held, "wid", "left").select("word", "ok", F.coalesce("pairs", F.array().cast("array<long>")).alias("pairs"))
+    key = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
+    pairs = F.flatten(F.transform(groups, lambda g: F.flatten(F.transform(F.array_distinct(g["a"]), lambda a: F.transform(F.array_distinct(g["b"]), lambda b: key(a, b))))))
     fine = lambda d: F.forall(d["codes"], lambda c: at("ok", c))
     own = F.transform(F.filter("docs", fine), lambda d: F.array_distinct(F.flatten(F.transform(F.array_distinct(d["codes"]), lambda c: at("pairs", c)))))
-    found = _by_code(chunked, named, ["ok", "pairs"]).select(F.explode(own).alias("own")).select(F.explode("own").alias("pair"))
-    counts = scratch.save(found.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).select(F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"), "n"), "counts")
+    found = _by_code(chunked, words.select("word", "ok", pairs.alias("pairs")), ["ok", "pairs"]).select(F.explode(own).alias("own")).select(F.explode("own").alias("pair"))
+    counts = found.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).select(F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"), "n")
+    counts = save(scratch, counts, "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a")
-    weighed = links.join(best, ["a", "b"], "left").groupBy("wid").agg(F.sum("m").alias("n_links"), F.sum(F.when(F.col("n") == F.col("most"), F.col("m")).otherwise(0)).alias("n_best"), F.coalesce(F.sum(F.col("m") * F.col("n")), F.lit(0)).alias("count_sum"))
-    sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    told = tokens.select("wid", "word", "ok").join(word_groups(rows), "wid", "left").join(weighed, "wid", "left")
-    told = told.select("word", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
+    weighed = word_links(words).join(best, ["a", "b"], "left").groupBy("wid").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("m")).otherwise(0)).alias("n_best"), F.coalesce(F.sum(F.col("m") * F.col("n")), F.lit(0)).alias("count_sum"))
+    size = lambda f: F.aggregate(groups, F.lit(0).cast("long"), lambda n, g: n + f(g))
+    of_word = {"n_a": size(lambda g: F.size(g["a"])), "n_b": size(lambda g: F.size(g["b"])), "n_groups": F.size(groups).cast("long"), "n_links": size(lambda g: F.size(g["a"]).cast("long") * F.size(g["b"]))}
+    sums = [*of_word, "n_best", "count_sum"]
+    said = F.array_join(F.transform(groups, lambda g: F.concat(F.array_join(g["a"], ","), F.lit("|"), F.array_join(g["b"], ","))), ";")
+    told = words.join(weighed, "wid", "left").select("word", "ok", *[c.alias(n) for n, c in of_word.items()], *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums[-2:]], said.alias("groups"))
 
     def of(d):
         total = lambda s: F.when(d["good"], F.aggregate(d["codes"], F.lit(0).cast("long"), lambda n, c: n + at(s, c))).otherwise(0)
@@ -175,7 +182,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
         return F.struct(d["doc_id"].alias("doc_id"), *[total(s).alias(s) for s in sums], whole.alias("groups"))
 
     judged = F.transform("docs", lambda d: F.struct(d["doc_id"].alias("doc_id"), d["codes"].alias("codes"), fine(d).alias("good")))
-    met = _by_code(chunked, told, ["ok", *sums, "groups"]).select("x", F.explode(F.array(judged)).alias("docs"))
+    met = _by_code(chunked, save(scratch, told, "told"), ["ok", *sums, "groups"]).select("x", F.explode(F.array(judged)).alias("docs"))
     return met.select(F.explode(F.transform("docs", of)).alias("d")).select("d.*")
 
 

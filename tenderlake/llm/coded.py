@@ -7,15 +7,18 @@ on the word, and back to the documents by position.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderlake.session import Scratch
+
 from .common import chunks, frugal, plain, units
 
 #: Bytes of text of a chunk.
@@ -23,6 +26,26 @@ CHUNK = 8 << 20
 Split = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]]
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """These settings of spark.sql, with `_` for `.`, while a table is written."""
+    names = {f"spark.sql.{k.replace('_', '.')}": v for k, v in values.items()}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def save(scratch: Scratch, df: DataFrame, name: str, **more: str) -> DataFrame:
+    """A scratch table whose shuffles go once it is written, as nothing reads them again."""
+    with settings(scratch.spark, classic_shuffleDependency_fileCleanup_enabled="true", **more):
+        return scratch.save(df, name)
+
+
 def byte_table(lower: bool = True, space: str = "\t\n\v\f\r ") -> np.ndarray:
     """What each byte becomes: A-Z in lower case, and white space a U+0020."""
     out = np.arange(256, dtype=np.uint8)
