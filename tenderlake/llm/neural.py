@@ -30,15 +30,17 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import Scratch
 
-from .coded import coded, put_back, split_words
+from .coded import coded, put_back, save, split_words
 from .common import frugal, spread, table
 
 #: Classes, with the one for all other tokens; numbers of a vector.
 CLASSES, WIDTH = 2048, 32
 #: Tokens of a step, noise tokens they share, rate and first squared gradient of AdaGrad.
-STEP, NOISE, RATE, FLOOR = 1024, 64, 0.2, 1.0
+STEP, NOISE, RATE, FLOOR = 512, 64, 0.1, 0.1
+#: Equal tokens in equal contexts that count as one row of a step at most.
+TOGETHER = 8
 #: Averagings; tokens that training sees at least, by going over small corpora again, but not more often than PASSES times.
-ROUNDS, TOKENS, PASSES = 2, 20_000_000, 16
+ROUNDS, TOKENS, PASSES = 2, 2_000_000, 4
 #: Tokens that are scored at a time.
 BLOCK = 1 << 20
 LN10 = float(np.log(10))
@@ -110,36 +112,42 @@ class Learner:
         self.ends = np.cumsum(model.noise)
         self.log_noise = np.log(NOISE * model.noise).astype(np.float32)
 
-    def _change(self, which: int, rows: np.ndarray, gradient: np.ndarray, count: bool = True) -> None:
+    def _change(self, which: int, rows: np.ndarray, gradient: np.ndarray, weight: np.ndarray) -> None:
         """Adds the gradients of equal rows and takes one AdaGrad step up for each row."""
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
         at = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        total, rows, n = np.add.reduceat(gradient[order], at, axis=0), rows[at], np.diff(np.append(at, len(rows)))
-        self.squares[which][rows] += total * total
-        self.params[which][rows] += RATE * total / np.sqrt(self.squares[which][rows])
-        self.used[which][rows] += n if count else 0
+        total, rows = np.add.reduceat(gradient[order], at, axis=0), rows[at]
+        squares = self.squares[which][rows] + total * total
+        self.squares[which][rows] = squares
+        self.params[which][rows] += RATE * total / np.sqrt(squares)
+        self.used[which][rows] += np.add.reduceat(weight[order], at)
 
-    def step(self, i: np.ndarray, j: np.ndarray, v: np.ndarray) -> None:
+    def step(self, i: np.ndarray, j: np.ndarray, v: np.ndarray, weight: np.ndarray) -> None:
         a, b, q = self.params
         h = a[i] + b[j]
         h[:, -1] = 1  # for the bias
         noise = np.minimum(np.searchsorted(self.ends, self.rng.random(NOISE)), len(self.ends) - 1)
         qv, qn = q[v], q[noise]
-        true = 1 / (1 + np.exp(np.einsum("ij,ij->i", h, qv) - self.log_noise[v]))  # 1 - P(true)
-        false = -1 / (1 + np.exp(self.log_noise[noise] - h @ qn.T))  # - P(true) of noise
+        true = weight / (1 + np.exp(np.einsum("ij,ij->i", h, qv) - self.log_noise[v]))  # 1 - P(true)
+        false = -weight[:, None] / (1 + np.exp(self.log_noise[noise] - h @ qn.T))  # - P(true) of noise
         up = true[:, None] * qv + false @ qn
         up[:, -1] = 0
-        self._change(2, np.concatenate((v, noise)), np.concatenate((true[:, None] * h, false.T @ h)))
-        self._change(0, i, up)
-        self._change(1, j, up)
+        self._change(2, np.concatenate((v, noise)), np.concatenate((true[:, None] * h, false.T @ h)), np.concatenate((weight, np.ones(NOISE, np.float32))))
+        self._change(0, i, up, weight)
+        self._change(1, j, up, weight)
 
     def learn(self, classes: np.ndarray, firsts: np.ndarray) -> None:
-        i, j = contexts(classes, firsts, self.model.start)
-        order = self.rng.permutation(len(classes))
+        """Once over all tokens: equal ones in equal contexts together, at most TOGETHER in a step's row."""
+        k = len(self.model.noise)
+        i, j = contexts(classes.astype(np.int64), firsts, self.model.start)
+        keys, n = np.unique((i * k + j) * k + classes, return_counts=True)
+        times = -(-n // TOGETHER)
+        keys, weights = np.repeat(keys, times), np.repeat((n / times).astype(np.float32), times)
+        order = self.rng.permutation(len(keys))
         for at in range(0, len(order), STEP):
-            some = order[at : at + STEP]
-            self.step(i[some], j[some], classes[some])
+            some = keys[order[at : at + STEP]]
+            self.step(some // (k * k), some // k % k, some % k, weights[order[at : at + STEP]])
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.StructArray, np.ndarray, np.ndarray]]:
@@ -212,8 +220,8 @@ def score(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
     base_score is that of the smoothed counts alone.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "neural")
-    chunked = scratch.save(coded(docs.select(F.col(doc_id).alias("doc_id"), held.alias("held"), F.col(text).alias("text")), "text", split_words), "chunks")
-    counts = scratch.save(token_counts(chunked), "counts")
+    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), held.alias("held"), F.col(text).alias("text")), "text", split_words), "chunks")
+    counts = save(scratch, token_counts(chunked), "counts")
     n, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "word").limit(CLASSES - 1).collect()]
     model = train(chunked, Model.fresh(top, n, distinct))

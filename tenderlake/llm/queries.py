@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import alignment, bpe, chat, langid, linededup, media, neardup, packing, secrets, spelling, topk, warc
+from . import alignment, bpe, chat, langid, linededup, media, neardup, neural, packing, secrets, spelling, topk, warc
 
 QUERIES = {
     "op2_revisit_resolution": warc.op2_revisit_resolution,
@@ -13,6 +13,7 @@ QUERIES = {
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
     "op5_prefix_target": chat.op5_prefix_target,
     "op6_line_dedup": linededup.op6_line_dedup,
+    "op11_log_bilinear": neural.op11_log_bilinear,
     "op12_anagram_variants": spelling.op12_anagram_variants,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
