@@ -16,6 +16,7 @@ for the highest count are all best; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
@@ -31,13 +32,17 @@ from tokenizers import Tokenizer
 from tenderlake.session import Scratch
 
 from .coded import coded, put_back, save, words_of
-from .common import frugal, plain, spread, table, units
+from .common import frugal, gather, plain, spread, table, units
 
 #: Texts that are not simply split at all spaces: with white space before one, or one at an end.
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] |^ | $"
 BORDER = re.compile(r"(?<=\S) (?!\Z)")
-#: Words that are tokenised at a time.
-AT_ONCE = 20_000
+#: Bytes of text of a chunk: the larger, the fewer words stand in several.
+CHUNK = 16 << 20
+#: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
+AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
+#: Pairs that are sent to all tasks at most; more are shuffled.
+SENT = 1_000_000
 TOKENS = "wid long, word string, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>"
 
 
@@ -56,46 +61,62 @@ def split_at_borders(col: pa.Array):
     return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.array(list(known), pa.large_string())
 
 
-class Bytes:
-    """Both tokenizers, with the bytes of each of their tokens."""
-
-    def __init__(self, a_path: str, b_path: str):
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True  # their strings in texts are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        # Byte-level tokens show bytes as characters: printable ones of Latin-1 as themselves, the others from U+0100 on.
-        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        byte_of = {chr(x): x for x in shown} | {chr(0x100 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
-        vocab = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-        pieces = ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
-
-    def rows(self, words: list[str]):
-        """For each word whether both give it back with a space before it, and the ids and lengths of both."""
-        first = self.a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)
-        second = self.b.encode(words, num_threads=1)
-        for word, one, b in zip(words, first, second, strict=True):
-            a = one.ids
-            a_parts, b_parts, true = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], f" {word}".encode()
-            if word and b"".join(a_parts) == true and b"".join(b_parts) == true:
-                yield True, a, list(map(len, a_parts)), b, list(map(len, b_parts))
-            else:
-                yield False, [], [], [], []
+class Tokens:
+    """One tokenizer's ids with the bytes of each."""
+
+    def __init__(self, encode, bytes_of: list[bytes]):
+        self.encode = encode
+        self.lengths = np.array([len(x) for x in bytes_of], np.int64)
+        self.starts, self.flat = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(bytes_of), np.uint8)
+
+    def of(self, words: list[str], data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Whether each word, with a space before it, is the bytes of its ids; ids and their lengths.  data and ends: the words with their spaces."""
+        found = self.encode(words)
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))))
+        sizes = self.lengths[ids]
+        upto = np.concatenate(([0], np.cumsum(sizes)))[offsets]
+        good = np.diff(upto) == np.diff(ends, prepend=0)
+        own, _ = gather(self.starts, self.lengths, self.flat, ids)
+        # Where the lengths agree, so must the bytes.
+        n = np.diff(upto)[good]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        here, there = np.repeat(upto[:-1][good], n) + at, np.repeat((ends - np.diff(ends, prepend=0))[good], n) + at
+        wrong = np.bincount(np.repeat(np.flatnonzero(good), n), weights=own[here] != data[there], minlength=len(words))
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, pa.int32()))
+        return good & (wrong == 0), lists(ids), lists(sizes)
+
+
+def both_tokenizers(a_path: str, b_path: str) -> tuple[Tokens, Tokens]:
+    a = Tokenizer.from_file(a_path)
+    a.encode_special_tokens = True  # their strings in texts are plain text
+    # Byte-level tokens show bytes as characters: printable ones of Latin-1 as themselves, the others from U+0100 on.
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(x): x for x in shown} | {chr(0x100 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
+    vocab = a.get_vocab()
+    a_bytes = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+    b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+    pieces = ((i, b.id_to_piece(i)) for i in range(b.get_piece_size()))
+    b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in pieces]
+    first = lambda words: [e.ids for e in a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
+    return Tokens(first, a_bytes), Tokens(lambda words: b.encode(words, num_threads=1), b_bytes)
 
 
 def tokens_of(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """TOKENS of the distinct words; the numbers are those of one run."""
 
     def told(batches):
-        both, number = Bytes(a_path, b_path), TaskContext.get().partitionId() << 33
+        two, number = both_tokenizers(a_path, b_path), TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, AT_ONCE):
-                some = batch.column(0).slice(at, AT_ONCE).to_pylist()
-                cols = list(zip(*both.rows(some), strict=True))
-                yield pa.record_batch([pa.array(range(number, number + len(some)), pa.int64()), pa.array(some, pa.string()), pa.array(cols[0]), *[pa.array(c, pa.list_(pa.int32())) for c in cols[1:]]], names=["wid", "word", "ok", "a", "a_len", "b", "b_len"])
+                some = plain(batch.column(0).slice(at, AT_ONCE))
+                spaced = pc.binary_join_element_wise(pa.scalar("", some.type), some, pa.scalar(" ", some.type))
+                data, ends = np.frombuffer(spaced.buffers()[2], np.uint8), np.asarray(pc.binary_length(spaced)).cumsum()
+                (good_a, *a), (good_b, *b) = (t.of(some.to_pylist(), data, ends) for t in two)
+                ok = good_a & good_b & np.asarray(pc.not_equal(some, ""))
+                yield pa.record_batch([pa.array(range(number, number + len(some)), pa.int64()), some.cast(pa.string()), pa.array(ok), *a, *b], names=["wid", "word", "ok", "a", "a_len", "b", "b_len"])
                 number += len(some)
 
     def run(batches):
@@ -120,19 +141,30 @@ def aligned(tokens: DataFrame) -> DataFrame:
     return met.select("wid", "end", "a", "b", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp"))
 
 
-def word_groups(rows: DataFrame) -> DataFrame:
-    """(wid, groups) of aligned(): for each group the ids of both sides in order."""
-    one = rows.groupBy("wid", "grp").agg(*[F.collect_list(F.when(F.col(s).isNotNull(), F.struct("end", F.col(s).alias("id")))).alias(s) for s in "ab"])
-    ids = lambda s: F.transform(F.sort_array(s), lambda x: x["id"]).alias(s)
-    return one.groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("grp", ids("a"), ids("b")))).alias("groups"))
+def pair(a: Column, b: Column) -> Column:
+    """Two ids as one number."""
+    return F.shiftleft(a.cast("long"), 32) + b
 
 
-def word_links(words: DataFrame) -> DataFrame:
-    """(wid, a, b, m) of word_groups(): how often each pair of ids is linked.  Both sides of a group meet by distinct ids, so none is squared by its occurrences."""
+def word_links(rows: DataFrame) -> DataFrame:
+    """(wid, n_a, n_b, n_groups, groups, pairs, many) of aligned().
+
+    groups is `a1,a2|b1;a3|b2,b3`; pairs has the linked pairs of small groups, each as often as it is linked; many those of large ones as
+    structs (pair, m), whose ids are counted first, so that no group is squared by its occurrences.
+    """
+    # An id and its end are one number while they are put in order.
+    one = rows.groupBy("wid", "grp").agg(*[F.collect_list(F.shiftleft("end", 32) + F.col(s)).alias(s) for s in "ab"])
+    ids = lambda s: F.transform(F.sort_array(s), lambda x: x.bitwiseAND(F.lit(LOW))).alias(s)
+    one = one.select("wid", "grp", ids("a"), ids("b"))
+    said = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
+    each = F.flatten(F.transform("a", lambda a: F.transform("b", lambda b: pair(a, b))))
     counted = lambda ids: F.transform(F.array_distinct(ids), lambda x: F.struct(x.alias("id"), F.size(F.filter(ids, lambda y: y == x)).cast("long").alias("n")))
-    one = words.select("wid", F.explode("groups").alias("g")).select("wid", counted(F.col("g.a")).alias("a"), counted(F.col("g.b")).alias("b"))
-    met = one.select("wid", "b", F.explode("a").alias("x")).select("wid", "x", F.explode("b").alias("y"))
-    return met.groupBy("wid", F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.sum(F.col("x.n") * F.col("y.n")).alias("m"))
+    large = F.flatten(F.transform(counted(F.col("a")), lambda a: F.transform(counted(F.col("b")), lambda b: F.struct(pair(a["id"], b["id"]).alias("pair"), (a["n"] * b["n"]).alias("m")))))
+    small = F.size("a").cast("long") * F.size("b") <= LARGE
+    told = one.select("wid", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.struct("grp", said.alias("said")).alias("said"), F.when(small, each).alias("pairs"), F.when(~small, large).alias("many"))
+    lists = {x: F.flatten(F.collect_list(x)).alias(x) for x in ("pairs", "many")}
+    groups = F.array_join(F.sort_array(F.collect_list("said")).getField("said"), ";")
+    return told.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), groups.alias("groups"), *lists.values())
 
 
 def _by_code(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
@@ -145,45 +177,44 @@ def _by_code(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFra
 
 
 def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -> DataFrame:
-    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups): the alignment of each document, as written by word_groups().
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups): the alignment of each document, as written by word_links().
 
     A pair's count is the number of documents that hold it linked; n_best is how many links have the highest count of their first id.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
-    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders), "chunks")
+    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks")
     tokens = save(scratch, tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
-    groups = word_groups(aligned(tokens))
     # Partitions by word number serve joins on number and end as well.
-    words = save(scratch, tokens.select("wid", "word", "ok").join(groups, "wid", "left"), "words", requireAllClusterKeysForCoPartition="false")
+    words = tokens.select("wid", "word", "ok").join(word_links(aligned(tokens)), "wid", "left")
+    words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
-    groups = F.coalesce("groups", F.array().cast(words.schema["groups"].dataType))
     at = lambda field, c: F.element_at(F.col(f"x.{field}"), c + 1)
 
     # How many documents hold each pair: the distinct pairs of the distinct words of each.
-    key = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
-    pairs = F.flatten(F.transform(groups, lambda g: F.flatten(F.transform(F.array_distinct(g["a"]), lambda a: F.transform(F.array_distinct(g["b"]), lambda b: key(a, b))))))
     fine = lambda d: F.forall(d["codes"], lambda c: at("ok", c))
     own = F.transform(F.filter("docs", fine), lambda d: F.array_distinct(F.flatten(F.transform(F.array_distinct(d["codes"]), lambda c: at("pairs", c)))))
-    found = _by_code(chunked, words.select("word", "ok", pairs.alias("pairs")), ["ok", "pairs"]).select(F.explode(own).alias("own")).select(F.explode("own").alias("pair"))
-    counts = found.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).select(F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"), "n")
-    counts = save(scratch, counts, "counts")
-
-    best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a")
-    weighed = word_links(words).join(best, ["a", "b"], "left").groupBy("wid").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("m")).otherwise(0)).alias("n_best"), F.coalesce(F.sum(F.col("m") * F.col("n")), F.lit(0)).alias("count_sum"))
-    size = lambda f: F.aggregate(groups, F.lit(0).cast("long"), lambda n, g: n + f(g))
-    of_word = {"n_a": size(lambda g: F.size(g["a"])), "n_b": size(lambda g: F.size(g["b"])), "n_groups": F.size(groups).cast("long"), "n_links": size(lambda g: F.size(g["a"]).cast("long") * F.size(g["b"]))}
-    sums = [*of_word, "n_best", "count_sum"]
-    said = F.array_join(F.transform(groups, lambda g: F.concat(F.array_join(g["a"], ","), F.lit("|"), F.array_join(g["b"], ","))), ";")
-    told = words.join(weighed, "wid", "left").select("word", "ok", *[c.alias(n) for n, c in of_word.items()], *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums[-2:]], said.alias("groups"))
+    named = words.select("word", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
+    found = _by_code(chunked, named, ["ok", "pairs"]).select(F.explode(own).alias("own")).select(F.explode("own").alias("pair"))
+    counts = save(scratch, found.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).withColumn("a", F.shiftright("pair", 32)), "counts")
+
+    best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
+    best = F.broadcast(best) if counts.count() <= SENT else best
+    held = words.select("wid", F.explode("pairs").alias("pair"), F.lit(1).cast("long").alias("m")).unionByName(words.select("wid", F.inline("many")))
+    weighed = held.join(best, "pair").groupBy("wid").agg(F.sum(F.when(F.col("top"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum"))
+    sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    n_links = F.size("pairs") + F.aggregate("many", F.lit(0).cast("long"), lambda n, x: n + x["m"])
+    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", F.struct(*[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums]).alias("sums"), F.coalesce("groups", F.lit("")).alias("groups"))
 
     def of(d):
-        total = lambda s: F.when(d["good"], F.aggregate(d["codes"], F.lit(0).cast("long"), lambda n, c: n + at(s, c))).otherwise(0)
+        zero = F.struct(*[F.lit(0).cast("long").alias(s) for s in sums])
+        add = lambda n, x: F.struct(*[(n[s] + x[s]).alias(s) for s in sums])
+        total = F.when(d["good"], F.aggregate(F.transform(d["codes"], lambda c: at("sums", c)), zero, add)).otherwise(zero)
         whole = F.when(d["good"], F.array_join(F.transform(d["codes"], lambda c: at("groups", c)), ";")).otherwise("")
-        return F.struct(d["doc_id"].alias("doc_id"), *[total(s).alias(s) for s in sums], whole.alias("groups"))
+        return F.struct(d["doc_id"].alias("doc_id"), total.alias("sums"), whole.alias("groups"))
 
     judged = F.transform("docs", lambda d: F.struct(d["doc_id"].alias("doc_id"), d["codes"].alias("codes"), fine(d).alias("good")))
-    met = _by_code(chunked, save(scratch, told, "told"), ["ok", *sums, "groups"]).select("x", F.explode(F.array(judged)).alias("docs"))
-    return met.select(F.explode(F.transform("docs", of)).alias("d")).select("d.*")
+    met = _by_code(chunked, save(scratch, told, "told"), ["ok", "sums", "groups"]).select("x", F.explode(F.array(judged)).alias("docs"))
+    return met.select(F.explode(F.transform("docs", of)).alias("d")).select("d.doc_id", "d.sums.*", "d.groups")
 
 
 def op13_token_alignment(spark, sf_dir):
