@@ -53,25 +53,31 @@ def fuzzy_pairs(df: DataFrame, id_col: str, text: str, width: int = 5, num: int
     return met.where(F.col("common") * den >= F.col("either") * num)
 
 
+#: Legal forms of companies, as they stand at the end of a name (fixed values).
+LEGAL_FORMS = ("ab", "ag", "as", "bv", "co", "company", "corp", "corporation", "gmbh", "inc", "incorporated", "kg", "limited", "llc", "llp", "lp", "ltd", "nv", "oy", "plc", "pllc", "pte", "pty", "sa", "sarl", "srl")
+
+
 def normalized_name(name: Column) -> Column:
-    """Lower case, without punctuation and legal forms."""
-    plain = F.regexp_replace(F.lower(name), r"[^a-z0-9 ]+", " ")
-    return F.btrim(F.regexp_replace(F.regexp_replace(plain, r"\b(inc|llc|ltd|corp|co|company|customer|supplier)\b", " "), r"\s+", " "))
+    """Lower case, the letters and digits of all scripts, without legal forms at the end (`L.L.C.` is one); '' where nothing else is left."""
+    short = F.regexp_replace(F.lower(name), r"(?<=(?:^|[^\p{L}\p{N}])\p{L})\.(?=\p{L}(?:[^\p{L}\p{N}]|$))", "")
+    plain = F.rtrim(F.concat(F.lit(" "), F.regexp_replace(short, r"[^\p{L}\p{M}\p{N}]+", " ")))
+    return F.btrim(F.regexp_replace(plain, rf"(?: +(?:{'|'.join(LEGAL_FORMS)}))+$", ""))
 
 
 def resolve_identities(entities: DataFrame) -> DataFrame:
-    """(entity, resolved, n_aliases, verdict) of (entity, name, place).
+    """(entity, resolved, n_aliases, verdict) of (entity, name, place), a row for each distinct record.
 
     Two records are one vendor if their normalised names agree and their place does too; a name alone
-    goes to review, so that unrelated companies are not merged.
+    goes to review, so that unrelated companies are not merged.  Null, empty and merely legal names match nothing, null
+    places none but by name.
     """
-    named = entities.withColumn("name", normalized_name(F.col("name")))
-    places = named.groupBy("name", "place").agg(F.min("entity").alias("resolved"), F.count(F.lit(1)).alias("n_aliases"))
-    names = places.groupBy("name").agg(F.sum("n_aliases").alias("same_name"))
-    both = places.alias("p").join(names.alias("n"), F.col("p.name").eqNullSafe(F.col("n.name"))).select("p.*", "same_name")
-    found = named.alias("x").join(both.alias("y"), F.col("x.name").eqNullSafe(F.col("y.name")) & F.col("x.place").eqNullSafe(F.col("y.place")))
+    norm = normalized_name(F.col("name"))
+    named = entities.select("entity", "name", "place").distinct().withColumn("name", F.when(norm != "", norm))
+    places = named.where("name IS NOT NULL AND place IS NOT NULL").groupBy("name", "place").agg(F.min("entity").alias("resolved"), F.count_distinct("entity").alias("n_aliases"))
+    names = named.where("name IS NOT NULL").groupBy("name").agg(F.count_distinct("entity").alias("same_name"))
+    found = named.join(places, ["name", "place"], "left").join(names, "name", "left")
     verdict = F.when(F.col("n_aliases") > 1, "resolved").when(F.col("same_name") > 1, "review").otherwise("single")
-    return found.select("entity", "resolved", "n_aliases", verdict.alias("verdict"))
+    return found.select("entity", F.coalesce("resolved", "entity").alias("resolved"), F.coalesce("n_aliases", F.lit(1)).cast("long").alias("n_aliases"), verdict.alias("verdict"))
 
 
 def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -93,37 +99,44 @@ def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
         labels = new.drop("old")
 
 
+def names_alike(a: Column, b: Column) -> Column:
+    """Whether normalised names have half of the words of both in common, an edit similarity of 0.85 and the same digits."""
+    digits = lambda c: F.regexp_replace(c, r"[^\p{N}]", "")
+    words = [F.array_distinct(F.split(c, " ")) for c in (a, b)]
+    common = F.size(F.array_intersect(*words))
+    return (2 * common >= F.size(words[0]) + F.size(words[1]) - common) & (digits(a) == digits(b)) & (100 * F.levenshtein(a, b) <= 15 * F.greatest(F.length(a), F.length(b)))
+
+
+def similar_names(names: DataFrame) -> DataFrame:
+    """(a, b) of (id, norm, place), a row for each name of a place: ids of alike names of one place, found under their rarest words (an exact prefix filter)."""
+    words = names.select("id", "norm", "place", F.explode(F.array(F.array_distinct(F.split("norm", " ")))).alias("words"))
+    one = words.select("id", "norm", "place", "words", F.explode("words").alias("word"))
+    ranked = one.join(one.groupBy("place", "word").agg(F.count(F.lit(1)).alias("freq")), ["place", "word"])
+    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("freq", "word"))).where((F.col("r") <= F.size("words") - F.ceil(F.size("words") / 2) + 1) & (F.col("freq") > 1))
+    x, y = (ranked.select("place", "word", *[F.col(c).alias(f"{c}_{p}") for c in ("id", "norm")]) for p in "ab")
+    return x.join(y, ["place", "word"]).where((F.col("id_a") < F.col("id_b")) & names_alike(F.col("norm_a"), F.col("norm_b"))).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def resolve_vendors(entities: DataFrame) -> DataFrame:
     """(entity, resolved, n_aliases, verdict) of (entity, name, place, tax_id): blocking, pair scores, components.
 
-    Records are one vendor if their tax ids agree, if their normalised names and places do, or if they are of one place,
-    have half of the words of both names in common, an edit similarity of 0.85 and the same digits.  Candidates of the
-    last kind are found under the rarest words of a name (an exact prefix filter), once for each name of a place.
-    Where such links would bring two tax ids together nothing is merged: the records go to review, as do those
-    whose name some record of another place has.
+    Records are one vendor if their tax ids agree, if their normalised names and places do, or if they are of one place
+    and their names are alike.  Where such links would bring two tax ids together nothing is merged: the records go to
+    review, as do those whose name some other record has.  Null, empty and merely legal names match nothing; repeated rows
+    count once.  See `linkage` for weights, scores and reasons.
     """
     scratch = Scratch(entities.sparkSession, "vendors")
     norm = normalized_name(F.col("name"))
-    named = scratch.save(entities.select("entity", norm.alias("norm"), "place", "tax_id"), "named")
-    by_tax = named.where("tax_id IS NOT NULL").withColumn("a", F.min("entity").over(Window.partitionBy("tax_id"))).select("a", F.col("entity").alias("b"))
-    classes = scratch.save(named.where("norm <> ''").groupBy("norm", "place").agg(F.min("entity").alias("id")), "classes")
+    named = scratch.save(entities.select("entity", F.when(norm != "", norm).alias("norm"), "place", "tax_id").distinct(), "named")
+    firsts = named.where("tax_id IS NOT NULL").groupBy("tax_id").agg(F.min("entity").alias("a"))
+    by_tax = named.join(firsts, "tax_id").select("a", F.col("entity").alias("b"))
+    classes = scratch.save(named.where("norm IS NOT NULL").groupBy("norm", "place").agg(F.min("entity").alias("id")), "classes")
     by_name = named.join(classes, ["norm", "place"]).select(F.col("id").alias("a"), F.col("entity").alias("b"))
-
-    words = classes.select("id", "norm", "place", F.explode(F.array(F.array_distinct(F.split("norm", " ")))).alias("words"))
-    one = words.select("id", "norm", "place", "words", F.explode("words").alias("word"))
-    ranked = one.join(one.groupBy("place", "word").agg(F.count(F.lit(1)).alias("freq")), ["place", "word"])
-    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("freq", "word"))).where((F.col("r") <= F.size("words") - F.ceil(F.size("words") / 2) + 1) & (F.col("freq") > 1))
-    x, y = (ranked.select("place", "word", *[F.col(c).alias(f"{c}_{p}") for c in ("id", "norm", "words")]) for p in "ab")
-    digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    alike = (2 * common >= F.size("words_a") + F.size("words_b") - common) & (digits("norm_a") == digits("norm_b"))
-    close = 100 * F.levenshtein("norm_a", "norm_b") <= 15 * F.greatest(F.length("norm_a"), F.length("norm_b"))
-    similar = x.join(y, ["place", "word"]).where((F.col("id_a") < F.col("id_b")) & alike & close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-
+    similar = similar_names(classes.where("place IS NOT NULL"))
     labels = connected(scratch.save(by_tax.unionByName(by_name).unionByName(similar), "edges"), scratch)
     placed = named.join(labels.withColumnRenamed("node", "entity"), "entity", "left").withColumn("label", F.coalesce("label", "entity"))
-    sizes = placed.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tax_id").alias("taxes"))
-    elsewhere = classes.groupBy("norm").agg(F.count(F.lit(1)).alias("places"))
+    sizes = placed.groupBy("label").agg(F.count_distinct("entity").alias("n"), F.count_distinct("tax_id").alias("taxes"))
+    elsewhere = named.where("norm IS NOT NULL").groupBy("norm").agg(F.count_distinct("entity").alias("held"))
     met = placed.join(sizes, "label").join(elsewhere, "norm", "left")
-    verdict = F.when(F.col("taxes") > 1, "review").when(F.col("n") > 1, "resolved").when(F.col("places") > 1, "review").otherwise("single")
+    verdict = F.when(F.col("taxes") > 1, "review").when(F.col("n") > 1, "resolved").when(F.col("held") > 1, "review").otherwise("single")
     return met.select("entity", F.when(F.col("taxes") > 1, F.col("entity")).otherwise(F.col("label")).alias("resolved"), F.when(F.col("taxes") > 1, 1).otherwise(F.col("n")).cast("long").alias("n_aliases"), verdict.alias("verdict"))

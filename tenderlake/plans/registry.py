@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenderlake.functions import expr
-from tenderlake.operators import assemble, bidding, dedupe, documents, lineage, metrics, normalize
+from tenderlake.operators import assemble, bidding, dedupe, documents, lineage, linkage, metrics, normalize
 from tenderlake.session import Scratch, table
 from tenderlake.sources.records import ADAPTERS, REGISTRY, parse_records, read_registry
 from tenderlake.sources.sinks import write_jsonl
@@ -205,8 +205,8 @@ def s10_content_dedupe(spark, sf_dir):
 SELECT entity, min(entity) OVER (PARTITION BY name, place) AS resolved, count(*) OVER (PARTITION BY name, place) AS n_aliases,
   CASE WHEN count(*) OVER (PARTITION BY name, place) > 1 THEN 'resolved' WHEN count(*) OVER (PARTITION BY name) > 1 THEN 'review' ELSE 'single' END AS verdict FROM e""")
 def s23_vendor_resolution(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("entity"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("place"))
-    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("entity"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("place"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("entity"), F.regexp_replace("c_name", "^Customer#", "").alias("name"), F.col("c_nationkey").alias("place"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("entity"), F.regexp_replace("s_name", "^Supplier#", "").alias("name"), F.col("s_nationkey").alias("place"))
     return dedupe.resolve_identities(c.unionByName(s))
 
 
@@ -230,10 +230,13 @@ def _aliases(spark, sf_dir):
 _LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 
-@query(rf"""WITH RECURSIVE b AS (SELECT s_suppkey AS k, s_nationkey AS place, {_LIST(FIRST)}[s_suppkey % 8 + 1] AS w1, {_LIST(SECOND)}[(s_suppkey // 8) % 8 + 1] AS w2, {_LIST(THIRD)}[s_suppkey % 5 + 1] AS w3 FROM supplier),
+ALIASES = rf"""b AS (SELECT s_suppkey AS k, s_nationkey AS place, {_LIST(FIRST)}[s_suppkey % 8 + 1] AS w1, {_LIST(SECOND)}[(s_suppkey // 8) % 8 + 1] AS w2, {_LIST(THIRD)}[s_suppkey % 5 + 1] AS w3 FROM supplier),
 e AS (SELECT 'S-' || k AS entity, lower(w1 || ' ' || w2 || ' ' || w3) AS norm, place, CASE WHEN k % 4 = 0 THEN 'T' || k END AS tax FROM b
   UNION ALL SELECT 'T-' || k, lower(w1 || ' ' || w2 || ' ' || w3), place, CASE WHEN k % 6 = 0 THEN 'T' || k END FROM b WHERE k % 3 = 0
-  UNION ALL SELECT 'U-' || k, lower(w1 || ' ' || substr(w2, 1, length(w2) - 1) || ' ' || w3), place, NULL FROM b WHERE k % 5 = 0),
+  UNION ALL SELECT 'U-' || k, lower(w1 || ' ' || substr(w2, 1, length(w2) - 1) || ' ' || w3), place, NULL FROM b WHERE k % 5 = 0)"""
+
+
+@query(rf"""WITH RECURSIVE {ALIASES},
 c AS (SELECT norm, place, min(entity) AS id, string_split(norm, ' ') AS w FROM e GROUP BY 1, 2),
 l AS (SELECT x.entity AS a, y.entity AS b FROM e x JOIN e y ON x.tax = y.tax UNION SELECT id, entity FROM e JOIN c USING (norm, place)
   UNION SELECT x.id, y.id FROM c x JOIN c y ON x.place = y.place AND x.id < y.id WHERE 2 * len(list_intersect(x.w, y.w)) >= len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)) AND 100 * levenshtein(x.norm, y.norm) <= 15 * greatest(length(x.norm), length(y.norm))),
@@ -248,6 +251,38 @@ def s23_vendor_aliases(spark, sf_dir):
     return dedupe.resolve_vendors(_aliases(spark, sf_dir))
 
 
+_ALIKE = "(2 * len(list_intersect(x.w, y.w)) >= len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)) AND 100 * levenshtein(x.norm, y.norm) <= 15 * greatest(length(x.norm), length(y.norm)))"
+_CHANCE = lambda c: f"(SELECT (sum(c * (c - 1) / 2) + 0.5) / (sum(c) * (sum(c) - 1) / 2 + 1) FROM (SELECT CAST(sum(n) AS DOUBLE) AS c FROM k WHERE {c} IS NOT NULL GROUP BY {c}))"
+_EXPECTED = lambda f, levels: "[" + ", ".join(f"list_sum(list_transform(q, lambda x: CASE WHEN x.{f} = {v} THEN x.w ELSE 0 END)) + 0.5" for v in levels) + "]"
+_SHARES = lambda c: f"list_transform({c}, lambda x: x / list_sum({c}))"
+_LIKELY = lambda n, p, t: f"CASE WHEN x.name < 0 THEN 1 ELSE {n}[3 - x.name] END * CASE WHEN x.place < 0 THEN 1 ELSE {p}[2 - x.place] END * CASE WHEN x.tax < 0 THEN 1 ELSE {t}[2 - x.tax] END"
+LINKS = f"""k AS MATERIALIZED (SELECT min(entity) AS id, norm, place, tax, count(DISTINCT entity) AS n, string_split(any_value(norm), ' ') AS w FROM e GROUP BY norm, place, tax),
+r AS (SELECT norm, place, coalesce(min(id) FILTER (WHERE tax IS NULL), min(id)) AS id, any_value(w) AS w FROM k GROUP BY norm, place),
+cand AS (SELECT h.id AS a, k.id AS b FROM k JOIN (SELECT tax, min(id) AS id FROM k WHERE tax IS NOT NULL GROUP BY tax) h USING (tax)
+  UNION SELECT x.id, y.id FROM k x JOIN k y USING (norm, place) WHERE x.tax IS NULL AND y.tax IS NOT NULL
+  UNION SELECT h.id, k.id FROM k JOIN (SELECT norm, min(id) AS id, arg_min(place, id) AS place FROM k WHERE tax IS NULL GROUP BY norm) h USING (norm) WHERE k.place <> h.place
+  UNION SELECT x.id, y.id FROM r x JOIN r y ON x.place = y.place AND x.norm < y.norm AND {_ALIKE}),
+lev AS MATERIALIZED (SELECT a, b, CASE WHEN x.norm = y.norm THEN 2 WHEN {_ALIKE} THEN 1 ELSE 0 END AS name, CASE WHEN x.place = y.place THEN 1 ELSE 0 END AS place, CASE WHEN x.tax IS NULL OR y.tax IS NULL THEN -1 WHEN x.tax = y.tax THEN 1 ELSE 0 END AS tax, CASE WHEN x.norm = y.norm THEN x.norm END AS norm, x.n * y.n AS n_pairs
+  FROM (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM cand WHERE a <> b) JOIN k x ON x.id = a JOIN k y ON y.id = b),
+ch AS (SELECT {_CHANCE("norm")} AS eq, (SELECT coalesce(sum(n_pairs) FILTER (WHERE name = 1 AND place = 1), 0) + 0.5 FROM lev) / ((SELECT sum(c * (c - 1) / 2) FROM (SELECT CAST(sum(n) AS DOUBLE) AS c FROM k GROUP BY place)) + 1) AS near, {_CHANCE("place")} AS pl, {_CHANCE("tax")} AS tx),
+u AS MATERIALIZED (SELECT [eq, least(near, (1 - eq) / 2), 1 - eq - least(near, (1 - eq) / 2)] AS un, [pl, 1 - pl] AS up, [tx, 1 - tx] AS ut, (SELECT list({{'name': name, 'place': place, 'tax': tax, 'c': c}} ORDER BY name, place, tax) FROM (SELECT name, place, tax, count(*) AS c FROM lev GROUP BY ALL)) AS pats FROM ch),
+em(it, mn, mp, mt, s) AS (SELECT 0, [0.6::DOUBLE, 0.3, 0.1], [0.9::DOUBLE, 0.1], [0.95::DOUBLE, 0.05], 0.5::DOUBLE
+  UNION ALL SELECT it + 1, {_SHARES("gn")}, {_SHARES("gp")}, {_SHARES("gt")}, g / total FROM (SELECT it, {_EXPECTED("name", (2, 1, 0))} AS gn, {_EXPECTED("place", (1, 0))} AS gp, {_EXPECTED("tax", (1, 0))} AS gt, list_sum(list_transform(q, lambda x: x.w)) + 0.5 AS g, list_sum(list_transform(q, lambda x: x.c)) + 1 AS total
+    FROM (SELECT it, list_transform(pats, lambda x: {{'name': x.name, 'place': x.place, 'tax': x.tax, 'c': x.c, 'w': x.c * s * {_LIKELY("mn", "mp", "mt")} / (s * {_LIKELY("mn", "mp", "mt")} + (1 - s) * {_LIKELY("un", "up", "ut")})}}) AS q FROM em, u WHERE it < 30))),
+sc AS (SELECT x.*, log2({_LIKELY("mn", "mp", "mt")}) - log2({_LIKELY("un", "up", "ut")}) + CASE WHEN name = 2 THEN log2(un[1] * (SELECT sum(n) FROM k) / held) ELSE 0 END AS weight, log2(s / (1 - s)) AS odds
+  FROM lev x LEFT JOIN (SELECT norm, sum(n) AS held FROM k GROUP BY norm) USING (norm), em, u WHERE it = 30),
+pr AS (SELECT *, 1 / (1 + pow(2, -(weight + odds))) AS p FROM sc)"""
+
+
+@query(f"""WITH RECURSIVE {ALIASES}, {LINKS}
+SELECT a, b, name, place, tax, round(weight, 4) AS weight, round(p, 6) AS probability, concat_ws(',', CASE WHEN tax = 1 THEN 'tax_id' END, CASE name WHEN 2 THEN 'name' WHEN 1 THEN 'similar_name' END, CASE WHEN place = 1 THEN 'place' END) AS reason,
+  CASE WHEN tax = 0 THEN 'no' WHEN (tax = 1 OR (name >= 1 AND place = 1)) AND p >= 0.95 THEN 'match' WHEN p >= 0.5 OR name = 2 THEN 'possible' ELSE 'no' END AS decision FROM pr""")
+def s23_linkage_scores(spark, sf_dir):
+    """The candidates among the records of s23_vendor_aliases, with weights fitted on them."""
+    pairs = linkage.link(_aliases(spark, sf_dir))[1]
+    return pairs.withColumns({"weight": F.round("weight", 4), "probability": F.round("probability", 6)})
+
+
 # ---- metrics ----
 
 
