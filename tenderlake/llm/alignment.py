@@ -6,7 +6,7 @@ tokenizers cut, the running count of cuts is a token's group, and a join of the
 Both tokenizers cut before a space that follows anything but white space: pieces of the first begin there, and no piece of
 the second has a space after another character.  What lies between is a word here.  A word has the same tokens, groups and links
 wherever it occurs, so the relational work is done once for each distinct word of all documents; documents
-hold words by code (see `coded`) and get the sums, counts and groups of theirs.
+hold words by code (see `coded`), and what is known of these is added up, counted and strung together for them in Arrow batches.
 
 Defined cases: a null or empty text, and one that either tokenizer doesn't give back byte for byte, has no tokens: zeros and '';
 it holds no pair either.  Texts are read whole; one of any length may be a single word.  Repeated rows are documents each; ties
@@ -16,6 +16,7 @@ for the highest count are all best; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,7 +39,7 @@ from .common import frugal, gather, plain, spread, table, units
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] |^ | $"
 BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
-CHUNK = 16 << 20
+CHUNK = 12 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
 AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
 #: Pairs that are sent to all tasks at most; more are shuffled.
@@ -167,13 +168,59 @@ def word_links(rows: DataFrame) -> DataFrame:
     return told.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), groups.alias("groups"), *lists.values())
 
 
-def _by_code(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """(chunk, docs, x): x has an array of each field, in the order of codes.
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, pa.StructArray]]:
+    """Documents, their codes and offsets, which documents have tokens, and what is known of the words, in the order of codes."""
+    for at in range(batch.num_rows):
+        docs, found = pa.concat_arrays([batch.column("docs")[at].values]), pa.concat_arrays([batch.column("found")[at].values])
+        found = found.take(pa.array(np.argsort(np.asarray(found.field("pos")))))
+        lists = docs.field("codes")
+        offsets = np.asarray(lists.offsets, dtype=np.int64)
+        codes = np.asarray(lists.values, dtype=np.int64)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        good = np.logical_and.reduceat(np.asarray(found.field("ok"))[codes], offsets[:-1])
+        yield docs, codes, offsets, good, found
+
+
+def document_counts(found: DataFrame) -> DataFrame:
+    """(pair, n): how many documents hold each pair linked, of chunks with (pos, ok, pairs) of their words; chunks count first."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, codes, offsets, good, known in _chunks(batch):
+                lists = known.field("pairs")
+                names, number = np.unique(np.asarray(lists.flatten(), dtype=np.int64), return_inverse=True)
+                lengths = np.asarray(pc.list_value_length(lists), dtype=np.int64)
+                of = np.repeat(np.arange(len(good)), np.diff(offsets))
+                own = np.unique((of * len(lengths) + codes)[good[of]])  # distinct words of each document
+                doc, word = np.divmod(own, len(lengths))
+                held, _ = gather(np.cumsum(lengths) - lengths, lengths, number, word)
+                each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + held)
+                yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with frugal():
+            yield from told(batches)
+
+    return found.select("docs", "found").mapInArrow(run, "pair long, n long").where("n > 0").groupBy("pair").agg(F.sum("n").alias("n"))
 
-    They come out of generators of one row, because an expression that a lambda refers to would be evaluated anew for every element.
-    """
-    found = put_back(chunked, known, fields).select("chunk", "docs", F.explode(F.array(F.sort_array("found"))).alias("f"))
-    return found.select("chunk", "docs", F.explode(F.array(F.struct(*[F.col(f"f.{x}").alias(x) for x in fields]))).alias("x"))
+
+def documents_of(found: DataFrame, sums: list[str]) -> DataFrame:
+    """(doc_id, sums, groups) of chunks with (pos, ok, sums, groups) of their words."""
+    key = found.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for docs, codes, offsets, good, known in _chunks(batch):
+                totals = [np.where(good, np.add.reduceat(np.asarray(known.field(s), dtype=np.int64)[codes], offsets[:-1]), 0) for s in sums]
+                said = np.array(known.field("groups").to_pylist(), dtype=object)
+                whole = [";".join(said[codes[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
+                yield pa.record_batch([docs.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with frugal():
+            yield from told(batches)
+
+    return found.select("docs", "found").mapInArrow(run, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
 
 
 def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -> DataFrame:
@@ -188,14 +235,8 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     words = tokens.select("wid", "word", "ok").join(word_links(aligned(tokens)), "wid", "left")
     words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
-    at = lambda field, c: F.element_at(F.col(f"x.{field}"), c + 1)
-
-    # How many documents hold each pair: the distinct pairs of the distinct words of each.
-    fine = lambda d: F.forall(d["codes"], lambda c: at("ok", c))
-    own = F.transform(F.filter("docs", fine), lambda d: F.array_distinct(F.flatten(F.transform(F.array_distinct(d["codes"]), lambda c: at("pairs", c)))))
     named = words.select("word", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    found = _by_code(chunked, named, ["ok", "pairs"]).select(F.explode(own).alias("own")).select(F.explode("own").alias("pair"))
-    counts = save(scratch, found.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).withColumn("a", F.shiftright("pair", 32)), "counts")
+    counts = save(scratch, document_counts(put_back(chunked, named, ["ok", "pairs"])).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
     best = F.broadcast(best) if counts.count() <= SENT else best
@@ -203,18 +244,8 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     weighed = held.join(best, "pair").groupBy("wid").agg(F.sum(F.when(F.col("top"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum"))
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     n_links = F.size("pairs") + F.aggregate("many", F.lit(0).cast("long"), lambda n, x: n + x["m"])
-    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", F.struct(*[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums]).alias("sums"), F.coalesce("groups", F.lit("")).alias("groups"))
-
-    def of(d):
-        zero = F.struct(*[F.lit(0).cast("long").alias(s) for s in sums])
-        add = lambda n, x: F.struct(*[(n[s] + x[s]).alias(s) for s in sums])
-        total = F.when(d["good"], F.aggregate(F.transform(d["codes"], lambda c: at("sums", c)), zero, add)).otherwise(zero)
-        whole = F.when(d["good"], F.array_join(F.transform(d["codes"], lambda c: at("groups", c)), ";")).otherwise("")
-        return F.struct(d["doc_id"].alias("doc_id"), total.alias("sums"), whole.alias("groups"))
-
-    judged = F.transform("docs", lambda d: F.struct(d["doc_id"].alias("doc_id"), d["codes"].alias("codes"), fine(d).alias("good")))
-    met = _by_code(chunked, save(scratch, told, "told"), ["ok", "sums", "groups"]).select("x", F.explode(F.array(judged)).alias("docs"))
-    return met.select(F.explode(F.transform("docs", of)).alias("d")).select("d.doc_id", "d.sums.*", "d.groups")
+    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
+    return documents_of(put_back(chunked, save(scratch, told, "told"), ["ok", *sums, "groups"]), sums)
 
 
 def op13_token_alignment(spark, sf_dir):
