@@ -114,6 +114,6 @@ def words_of(chunked: DataFrame, *more: str) -> DataFrame:
 
 
 def put_back(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """The chunks with `found`: structs of (pos, fields) of their words as `known` by (word, fields) has them, in no order."""
+    """The chunks with the number of their words, `n_words`, instead of them, and `found`: structs of (pos, fields) of their words as `known` by (word, fields) has them, in no order."""
     met = words_of(chunked).join(known, "word").groupBy("chunk").agg(F.collect_list(F.struct("pos", *fields)).alias("found"))
-    return chunked.join(met, "chunk", "left")
+    return chunked.withColumn("words", F.size("words")).withColumnRenamed("words", "n_words").join(met, "chunk", "left")

@@ -41,8 +41,8 @@ STEP, NOISE, RATE, FLOOR = 512, 64, 0.1, 0.1
 TOGETHER = 8
 #: Averagings; tokens that training sees at least, by going over small corpora again, but not more often than PASSES times.
 ROUNDS, TOKENS, PASSES = 2, 2_000_000, 4
-#: Tokens that are scored at a time.
-BLOCK = 1 << 20
+#: Tokens that are scored at a time, and contexts that are normalised at a time.
+BLOCK, ROWS = 1 << 20, 256
 LN10 = float(np.log(10))
 
 
@@ -84,11 +84,16 @@ class Model:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log-probabilities of classes: those of v after (i, j) are first[i, v] + second[j, v] - norm[i, j]."""
-        vectors, bias = self.q[:, :-1].astype(float), self.q[:, -1].astype(float)
+        vectors, bias = self.q[:, :-1], self.q[:, -1]
         first, second = self.a[:, :-1] @ vectors.T + bias, self.b[:, :-1] @ vectors.T
-        most, more = first.max(1, keepdims=True), second.max(1, keepdims=True)
-        norm = np.log(np.exp(first - most) @ np.exp(second - more).T) + most + more.T
-        return first.astype(np.float32), second.astype(np.float32), norm.astype(np.float32)
+        more = second.max(1, keepdims=True)
+        right = np.exp((second - more).astype(float)).T
+        norm = np.empty_like(first)
+        for s in range(0, len(first), ROWS):
+            some = first[s : s + ROWS]
+            most = some.max(1, keepdims=True)
+            norm[s : s + ROWS] = np.log(np.exp((some - most).astype(float)) @ right) + most + more.T
+        return first, second, norm
 
 
 def contexts(classes: np.ndarray, firsts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,13 +155,19 @@ class Learner:
             self.step(some // (k * k), some // k % k, some % k, weights[order[at : at + STEP]])
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.StructArray, np.ndarray, np.ndarray]]:
-    """Number, words, documents, codes and offsets of each chunk of a batch of (chunk, words, docs, ...)."""
+def _docs(batch: pa.RecordBatch) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray]]:
+    """Documents, codes and offsets of each chunk of a batch."""
     for at in range(batch.num_rows):
-        words, docs = batch.column("words")[at].values, pa.concat_arrays([batch.column("docs")[at].values])
+        docs = pa.concat_arrays([batch.column("docs")[at].values])
         codes = docs.field("codes")
         offsets = np.asarray(codes.offsets, dtype=np.int64)
-        yield batch.column("chunk")[at].as_py(), words, docs, np.asarray(codes.values, dtype=np.int64)[offsets[0] : offsets[-1]], offsets - offsets[0]
+        yield docs, np.asarray(codes.values, dtype=np.int64)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.StructArray, np.ndarray, np.ndarray]]:
+    """Number, words, documents, codes and offsets of each chunk of a batch of (chunk, words, docs)."""
+    for at, told in enumerate(_docs(batch)):
+        yield (batch.column("chunk")[at].as_py(), batch.column("words")[at].values, *told)
 
 
 def _part(codes: np.ndarray, offsets: np.ndarray, stay: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,17 +237,21 @@ def score(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
     top = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "word").limit(CLASSES - 1).collect()]
     model = train(chunked, Model.fresh(top, n, distinct))
     sent = spark.sparkContext.broadcast((model, model.tables()))
+    # Chunks are shuffled without their words: what counts say of these comes by position.
+    named = spark.createDataFrame([(t, k) for k, t in enumerate(model.tokens)], "word string, class int")  # at most CLASSES rows
+    known = counts.join(F.broadcast(named), "word", "left").select("word", "n", F.coalesce("class", F.lit(len(model.tokens))).alias("class"))
 
     def told(batches):
         model, (first, second, norm) = sent.value
         rest, floor = len(model.tokens), np.log10(model.n + 0.5 * (model.distinct + 1))
         for batch in batches:
-            for at, (_, words, docs, codes, offsets) in enumerate(_rows(batch)):
-                c = np.zeros(len(words))
+            for at, (docs, codes, offsets) in enumerate(_docs(batch)):
+                c, own = np.zeros(batch.column("n_words")[at].as_py()), np.full(batch.column("n_words")[at].as_py(), rest, np.int32)
                 if batch.column("found")[at].is_valid:
                     found = pa.concat_arrays([batch.column("found")[at].values])
-                    c[np.asarray(found.field("pos"))] = np.asarray(found.field("n"))
-                own, logs = model.classes(words), np.log10(c + 0.5)
+                    pos = np.asarray(found.field("pos"))
+                    c[pos], own[pos] = np.asarray(found.field("n")), np.asarray(found.field("class"))
+                logs = np.log10(c + 0.5)
                 base, within = logs - floor, np.where(own == rest, logs - np.log10(model.rest), 0)
                 classes, of = own[codes], np.repeat(np.arange(len(docs)), np.diff(offsets))
                 one, two = contexts(classes, offsets[:-1], model.start)
@@ -255,7 +270,7 @@ def score(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
             yield from told(batches)
 
     key = chunked.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
-    return put_back(chunked, counts, ["n"]).select("chunk", "words", "docs", "found").mapInArrow(run, f"doc_id {key}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return put_back(chunked, known, ["n", "class"]).select("docs", "n_words", "found").mapInArrow(run, f"doc_id {key}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op11_log_bilinear(spark, sf_dir):
