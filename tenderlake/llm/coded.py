@@ -114,6 +114,10 @@ def words_of(chunked: DataFrame, *more: str) -> DataFrame:
 
 
 def put_back(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """The chunks with the number of their words, `n_words`, instead of them, and `found`: structs of (pos, fields) of their words as `known` by (word, fields) has them, in no order."""
+    """The chunks with the number of their words, `n_words`, instead of them, and `found`: structs of (pos, fields) of their words as `known` by (word, fields) has them, in no order.
+
+    There are as many partitions as chunks, so that no task holds many of them at once.
+    """
     met = words_of(chunked).join(known, "word").groupBy("chunk").agg(F.collect_list(F.struct("pos", *fields)).alias("found"))
-    return chunked.withColumn("words", F.size("words")).withColumnRenamed("words", "n_words").join(met, "chunk", "left")
+    others = [c for c in chunked.columns if c != "words"]
+    return chunked.select(*others, F.size("words").alias("n_words")).repartition(max(1, chunked.count()), "chunk").join(met, "chunk", "left")
