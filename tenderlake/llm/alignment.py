@@ -39,9 +39,11 @@ from .common import frugal, gather, plain, spread, table, units
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] |^ | $"
 BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
-CHUNK = 12 << 20
+CHUNK = 8 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
 AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
+#: Words of documents that are put together at a time.
+BLOCK = 1 << 18
 #: Pairs that are sent to all tasks at most; more are shuffled.
 SENT = 1_000_000
 TOKENS = "wid long, word string, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>"
@@ -168,40 +170,42 @@ def word_links(rows: DataFrame) -> DataFrame:
     return told.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), groups.alias("groups"), *lists.values())
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, pa.StructArray]]:
-    """Documents, their codes and offsets, which documents have tokens, and what is known of the words, in the order of codes."""
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, pa.StructArray]]:
+    """By blocks of the documents of a chunk: these, their codes and offsets, which have tokens, and what is known of the chunk's words, in the order of codes."""
     for at in range(batch.num_rows):
-        docs, found = pa.concat_arrays([batch.column("docs")[at].values]), pa.concat_arrays([batch.column("found")[at].values])
+        docs, found = pa.concat_arrays([batch.column("docs")[at].values]), batch.column("found")[at].values
         found = found.take(pa.array(np.argsort(np.asarray(found.field("pos")))))
+        ok = np.asarray(found.field("ok"))
         lists = docs.field("codes")
         offsets = np.asarray(lists.offsets, dtype=np.int64)
-        codes = np.asarray(lists.values, dtype=np.int64)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        good = np.logical_and.reduceat(np.asarray(found.field("ok"))[codes], offsets[:-1])
-        yield docs, codes, offsets, good, found
+        start = 0
+        while start < len(docs):
+            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BLOCK, side="right")) - 1)
+            codes, own = np.asarray(lists.values.slice(offsets[start], offsets[end] - offsets[start]), dtype=np.int64), offsets[start : end + 1] - offsets[start]
+            yield docs.slice(start, end - start), codes, own, np.logical_and.reduceat(ok[codes], own[:-1]), found
+            start = end
 
 
 def document_counts(found: DataFrame) -> DataFrame:
-    """(pair, n): how many documents hold each pair linked, of chunks with (pos, ok, pairs) of their words; chunks count first."""
+    """(pair, n): how many documents hold each pair linked, of chunks with (pos, ok, pairs) of their words; blocks count first."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, codes, offsets, good, known in _chunks(batch):
+            for _, codes, offsets, good, known in _blocks(batch):
                 lists = known.field("pairs")
-                names, number = np.unique(np.asarray(lists.flatten(), dtype=np.int64), return_inverse=True)
                 lengths = np.asarray(pc.list_value_length(lists), dtype=np.int64)
                 of = np.repeat(np.arange(len(good)), np.diff(offsets))
-                own = np.unique((of * len(lengths) + codes)[good[of]])  # distinct words of each document
-                doc, word = np.divmod(own, len(lengths))
-                held, _ = gather(np.cumsum(lengths) - lengths, lengths, number, word)
-                each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + held)
+                doc, word = np.divmod(np.unique((of * len(lengths) + codes)[good[of]]), len(lengths))  # distinct words of each document
+                held, _ = gather(np.cumsum(lengths) - lengths, lengths, np.asarray(lists.flatten(), dtype=np.int64), word)
+                names, number = np.unique(held, return_inverse=True)
+                each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + number)
                 yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with frugal():
             yield from told(batches)
 
-    return found.select("docs", "found").mapInArrow(run, "pair long, n long").where("n > 0").groupBy("pair").agg(F.sum("n").alias("n"))
+    return found.select("docs", "found").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def documents_of(found: DataFrame, sums: list[str]) -> DataFrame:
@@ -210,10 +214,11 @@ def documents_of(found: DataFrame, sums: list[str]) -> DataFrame:
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, codes, offsets, good, known in _chunks(batch):
+            for docs, codes, offsets, good, known in _blocks(batch):
                 totals = [np.where(good, np.add.reduceat(np.asarray(known.field(s), dtype=np.int64)[codes], offsets[:-1]), 0) for s in sums]
-                said = np.array(known.field("groups").to_pylist(), dtype=object)
-                whole = [";".join(said[codes[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
+                words, at = np.unique(codes, return_inverse=True)
+                said = np.array(known.field("groups").take(pa.array(words)).to_pylist(), dtype=object)
+                whole = [";".join(said[at[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
                 yield pa.record_batch([docs.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

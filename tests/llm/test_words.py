@@ -193,6 +193,7 @@ def brute_alignment(rows):
 @pytest.mark.parametrize("large", [alignment.LARGE, 1])
 def test_alignment_against_brute_force(spark, monkeypatch, large):
     monkeypatch.setattr(alignment, "LARGE", large)
+    monkeypatch.setattr(alignment, "BLOCK", 50 * large)
     rng = random.Random(5)
     texts = [t for t in ODD if t]
     rows = list(enumerate(ODD)) + [(100 + i, " ".join(rng.choices(texts, k=3))) for i in range(20)] + [(7, "a b"), (7, "a b"), (None, "c d")]
