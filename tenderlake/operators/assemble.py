@@ -14,12 +14,18 @@ def latest(df: DataFrame, key: list[str], order: list[str], fields: list[str]) -
 
 
 def conflicts(portal: DataFrame, document: DataFrame, key: list[str], value: str, order: list[str]) -> DataFrame:
-    """Both values of each key, whether they differ, and the one that controls: the more recent, the document's in a tie."""
+    """Both values of each key, whether they differ, and the one that controls: the more recent, the document's in a tie.
+
+    An absent or null value is unknown: whether it differs is null.  Null keys are keys like others.
+    """
     when = F.struct(*order)
     side = lambda df, name: df.groupBy(*key).agg(F.max_by(value, when).alias(f"{name}_value"), F.max(order[0]).alias(f"{name}_ts"))
-    met = side(portal, "portal").join(side(document, "document"), key, "full")
+    # One aggregation of both sides instead of an outer join, so that null keys meet.
+    none = [F.lit(None).alias(c) for c in ("portal_value", "portal_ts", "document_value", "document_ts")]
+    both = side(portal, "portal").select(*key, "portal_value", "portal_ts", *none[2:]).unionByName(side(document, "document").select(*key, *none[:2], "document_value", "document_ts"))
+    met = both.groupBy(*key).agg(*[F.max(c).alias(c) for c in ("portal_value", "portal_ts", "document_value", "document_ts")])
     newer = F.col("document_ts").isNull() | (F.col("portal_ts") > F.col("document_ts"))
-    return met.select(*key, "portal_value", "document_value", (~F.col("portal_value").eqNullSafe(F.col("document_value"))).alias("conflict"), F.when(newer, F.col("portal_value")).otherwise(F.col("document_value")).alias("controlling"))
+    return met.select(*key, "portal_value", "document_value", (F.col("portal_value") != F.col("document_value")).alias("conflict"), F.when(newer, F.col("portal_value")).otherwise(F.col("document_value")).alias("controlling"))
 
 
 def review_feed(feeds: dict[str, DataFrame]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tenderlake.operators.asof import as_of
+
 MONEY = "decimal(18,2)"
 PARTICIPATION = ("interested", "planholder", "respondent", "bidder", "awardee", "incumbent", "unknown")
 
@@ -24,18 +26,34 @@ def with_awards(bids: DataFrame) -> DataFrame:
     return bids.withColumn("won", F.row_number().over(first) == 1)
 
 
+#: Parts of a key's range of values in which the middle is looked for.
+BINS = 1024
+
+
 def exact_median(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """(key, name): the median of each key's values, from counted values in order; sorts spill, where an aggregate would hold all values of a key."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.groupBy(key).agg(F.sum("n").alias("total"))
-    upto = F.sum("n").over(Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("upto", upto).join(total, key)
-    middle = placed.groupBy(key).agg(*[F.min(F.when(F.col("upto") >= F.floor(at), F.col(value))).alias(n) for n, at in (("low", (F.col("total") + 1) / 2), ("high", F.col("total") / 2 + 1))])
-    return middle.select(key, (F.col("low") * 0.5 + F.col("high") * 0.5).alias(name))
+    """(key, name): the median of each key's values.
+
+    The range of each key is cut into BINS parts, whose counts come from partial aggregation; only the one or two that hold the
+    middle are put in order, so that no task holds all values of a hot key.  A null key is one as well.  df is read three times.
+    """
+    known = df.where(F.col(value).isNotNull()).select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
+    ends = known.groupBy("_k").agg(F.min("_v").alias("low"), F.max("_v").alias("high"), F.count(F.lit(1)).alias("total"))
+    same = lambda x, y: F.col(f"{x}._k").eqNullSafe(F.col(f"{y}._k"))
+    part = F.coalesce(F.least(F.floor(F.try_divide((F.col("_v") - F.col("low")) * BINS, F.col("high") - F.col("low"))), F.lit(BINS - 1)), F.lit(0)).cast("int")
+    placed = known.alias("x").join(ends.alias("y"), same("x", "y")).select("x._k", "_v", part.alias("part"))
+    counts = placed.groupBy("_k", "part").agg(F.count(F.lit(1)).alias("n"))
+    by_key = Window.partitionBy("_k")
+    upto = counts.select("_k", "part", "n", F.sum("n").over(by_key.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.sum("n").over(by_key).alias("total"))
+    first, second = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2 + 1)  # the places of the one or two middle values
+    held = upto.withColumn("before", F.col("upto") - F.col("n")).where((F.col("upto") >= first) & (F.col("before") < second)).select(F.col("_k").alias("_h"), F.col("part").alias("_p"), "before", first.alias("first"), second.alias("second"))
+    few = placed.join(held, F.col("_k").eqNullSafe(F.col("_h")) & (F.col("part") == F.col("_p"))).groupBy("_k", "part", "_v", "before", "first", "second").agg(F.count(F.lit(1)).alias("n"))
+    here = F.col("before") + F.sum("n").over(Window.partitionBy("_k", "part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    middle = few.withColumn("upto", here).groupBy("_k").agg(*[F.min(F.when(F.col("upto") >= F.col(at), F.col("_v"))).alias(at) for at in ("first", "second")])
+    return middle.select(F.col("_k").alias(key), (F.col("first") * 0.5 + F.col("second") * 0.5).alias(name))
 
 
 def vendor_profiles(bids: DataFrame) -> DataFrame:
-    """bids are with `won`; they are read three times.  Each vendor's bids are summed up by buyer first, so no state holds all buyers."""
+    """bids are with `won`.  Each vendor's bids are summed up by buyer first, so no state holds all buyers; bids without a vendor are one profile, of a null vendor."""
     pairs = bids.groupBy("vendor", "buyer").agg(
         F.count(F.lit(1)).alias("n_bids"),
         F.count_if("won").alias("n_wins"),
@@ -52,8 +70,10 @@ def vendor_profiles(bids: DataFrame) -> DataFrame:
         F.count("buyer").alias("n_buyers"),
     )
     held = bids.select("vendor", "category").distinct().groupBy("vendor").agg(F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"))
-    met = out.join(held, "vendor", "left").join(exact_median(bids, "vendor", "amount", "typical_amount"), "vendor", "left")
-    return met.select("vendor", "n_bids", "n_wins", "won_value", "typical_amount", "first_seen", "last_seen", "n_buyers", "categories", (F.col("n_bids") - F.col("n_wins")).alias("n_losses"))
+    median = exact_median(bids, "vendor", "amount", "typical_amount")
+    same = lambda x: F.col("o.vendor").eqNullSafe(F.col(f"{x}.vendor"))
+    met = out.alias("o").join(held.alias("h"), same("h"), "left").join(median.alias("m"), same("m"), "left")
+    return met.select("o.vendor", "n_bids", "n_wins", "won_value", "typical_amount", "first_seen", "last_seen", "n_buyers", "categories", (F.col("n_bids") - F.col("n_wins")).alias("n_losses"))
 
 
 def incumbents(bids: DataFrame, cutoff: str) -> DataFrame:
@@ -63,11 +83,32 @@ def incumbents(bids: DataFrame, cutoff: str) -> DataFrame:
     return old.groupBy("buyer").agg(F.max_by("vendor", latest).alias("incumbent"), F.max("date").alias("awarded"))
 
 
+def incumbents_at_events(bids: DataFrame, events: DataFrame) -> DataFrame:
+    """events (event, buyer, date, ...) with the vendor and date of the buyer's latest award strictly before, how many there were and their value.  Latest of a day: the largest event."""
+    won = bids.where("won").select("buyer", "date", "event", "vendor", money("amount").alias("amount"))
+    found = as_of(events, won, ["buyer"], "date", ["event", "vendor"], {"incumbent": F.col("vendor"), "awarded": F.col("date")}, {"n_awards": F.lit(1).cast("long"), "awarded_value": F.col("amount")})
+    return found.withColumn("awarded_value", F.col("awarded_value").cast("double"))
+
+
+def features_at_bids(bids: DataFrame) -> DataFrame:
+    """The bids (event, vendor, buyer, date, won, ...) with what was known strictly before their dates: of the vendor, of the vendor with the buyer, and the buyer's incumbent.
+
+    Nothing of the bid's own day or later is used, so these are features of a prediction for that event.
+    """
+    past = bids.select("vendor", "buyer", "date", "event", "won")
+    wins = F.when(F.col("won"), 1).otherwise(0).cast("long")
+    one = as_of(bids, past, ["vendor"], "date", ["event"], {"vendor_last": F.col("date")}, {"vendor_bids": F.lit(1).cast("long"), "vendor_wins": wins})
+    two = as_of(one, past, ["vendor", "buyer"], "date", ["event"], {"pair_last": F.col("date")}, {"pair_bids": F.lit(1).cast("long"), "pair_wins": wins})
+    three = as_of(two, past.where("won"), ["buyer"], "date", ["event", "vendor"], {"incumbent": F.col("vendor")}, {})
+    days = lambda c: F.datediff(F.col("date").cast("date"), F.col(c).cast("date")).cast("long")
+    return three.withColumns({"vendor_idle_days": days("vendor_last"), "pair_idle_days": days("pair_last"), "is_incumbent": F.col("incumbent") == F.col("vendor")}).drop("vendor_last", "pair_last")
+
+
 def intensity(bids: DataFrame) -> DataFrame:
-    """(event, n_bidders, concentration): concentration is the sum of squared shares of the amounts."""
+    """(event, n_bidders, concentration): concentration is the sum of squared shares of the amounts; null where these sum to 0."""
     one = bids.groupBy("event", "vendor").agg(F.sum(money("amount")).alias("a"))
     share = F.sum("a").over(Window.partitionBy("event"))
-    squared = one.select("event", F.pow(F.col("a").cast("double") / share.cast("double"), 2).alias("s2"))
+    squared = one.select("event", F.pow(F.try_divide(F.col("a").cast("double"), share.cast("double")), 2).alias("s2"))
     return squared.groupBy("event").agg(F.count(F.lit(1)).alias("n_bidders"), F.round(F.sum("s2"), 6).alias("concentration"))
 
 

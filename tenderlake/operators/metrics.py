@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def completeness(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(field, filled, total, share) in one pass."""
+    """(field, filled, total, share) in one pass; the shares of an empty table are null."""
     one = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(f).alias(f) for f in fields])
-    return one.unpivot("total", fields, "field", "filled").select("field", "filled", "total", F.round(F.col("filled") / F.col("total"), 6).alias("share"))
+    return one.unpivot("total", fields, "field", "filled").select("field", "filled", "total", F.round(F.try_divide("filled", "total"), 6).alias("share"))
 
 
 def freshness(df: DataFrame, source: str, ts: str, as_of: str) -> DataFrame:
@@ -17,6 +18,19 @@ def freshness(df: DataFrame, source: str, ts: str, as_of: str) -> DataFrame:
     return df.groupBy(F.col(source).alias("source")).agg(F.max(ts).alias("latest")).select("source", "latest", F.datediff(F.lit(as_of).cast("date"), F.to_date("latest")).cast("long").alias("age_days"))
 
 
+def source_gaps(df: DataFrame, source: str, ts: str, least_hours: int, as_of: str) -> DataFrame:
+    """(source, gap_from, gap_to, hours, open): where a source was silent for at least least_hours between two hours that have observations, or up to as_of.
+
+    Observations become hours by partial aggregation first, so a hot source's window holds its hours, not its rows.  Null times are no observations;
+    a null source is one as well.
+    """
+    hours = df.where(F.col(ts).isNotNull()).groupBy(F.col(source).alias("source"), F.date_trunc("hour", ts).alias("gap_from")).agg(F.lit(1).alias("one"))
+    after = F.lead("gap_from").over(Window.partitionBy("source").orderBy("gap_from"))
+    found = hours.select("source", "gap_from", F.coalesce(after, F.lit(as_of).cast("timestamp")).alias("gap_to"), after.isNull().alias("open"))
+    length = F.floor((F.unix_timestamp("gap_to") - F.unix_timestamp("gap_from")) / 3600).cast("long")
+    return found.select("source", "gap_from", "gap_to", length.alias("hours"), "open").where(F.col("hours") >= least_hours)
+
+
 def counts_by(df: DataFrame, reason: Column) -> DataFrame:
     return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 

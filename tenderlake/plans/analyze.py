@@ -15,8 +15,8 @@ from typing import TextIO
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.operators import bidding, documents
-from tenderlake.plans import registry
+from tenderlake.operators import bidding, contracts, documents
+from tenderlake.plans import exports, registry
 from tenderlake.session import table
 from tenderlake.sources.sinks import write_jsonl
 
@@ -93,8 +93,14 @@ def analyze_order(spark: SparkSession, sf_dir: str, order: int, out: Path) -> di
     unsure = registry.QUERIES["s23_vendor_resolution"](spark, sf_dir).where("verdict = 'review'").orderBy("entity")
     counts["review_queue"] = _put_stream(out / "review_queue.json", unsure)
 
-    for name, df in {"records": table(spark, sf_dir, "orders"), "participants": registry.QUERIES["s20_bidder_events"](spark, sf_dir), "documents": attempts, "partner_payloads": registry.QUERIES["s51_partner_payload"](spark, sf_dir)}.items():
+    handed = registry.import_exports(spark, sf_dir)
+    for name, df in handed.items():
         write_jsonl(df, str(out / "import" / f"{name}.jsonl"))
+    breaches = contracts.report(contracts.validate(handed, exports.CONTRACTS)).orderBy("table", "path", "rule")
+    with (out / "import" / "validation_report.json").open("w") as file:
+        file.write(f'{{"contracts": {json.dumps(list(exports.CONTRACTS))}, "breaches": ')
+        counts["breaches"] = _stream(file, breaches)
+        file.write("}\n")
     lines = [f"# Event {order}", "", f"Known bidders (observed): {', '.join(str(x['vendor']) for x in known) or 'none'}", "", "Likely bidders (predicted, not confirmed):", "", *[f"{x['place']}. vendor {x['vendor']}, score {x['score']}" for x in predicted], "", "Primes with evidence:", "", *[f"- vendor {x['vendor']}: {x['evidence']}" for x in primes]]
     (out / "report.md").write_text("\n".join(lines) + "\n")
     return counts

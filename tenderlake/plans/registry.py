@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenderlake.functions import expr
-from tenderlake.operators import assemble, bidding, dedupe, documents, lineage, linkage, metrics, normalize
+from tenderlake.operators import assemble, bidding, contracts, dedupe, differences, documents, lineage, linkage, metrics, normalize, prediction, spend
+from tenderlake.plans import exports
 from tenderlake.session import Scratch, table
 from tenderlake.sources.records import ADAPTERS, REGISTRY, parse_records, read_registry
 from tenderlake.sources.sinks import write_jsonl
@@ -313,6 +314,12 @@ def s33_source_coverage(spark, sf_dir):
     return _labelled(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("n_langs"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("quality").alias("n_labelled"))
 
 
+@query("""WITH h AS (SELECT DISTINCT event_type AS source, date_trunc('hour', ts) AS gap_from FROM events), g AS (SELECT source, gap_from, lead(gap_from) OVER (PARTITION BY source ORDER BY gap_from) AS after FROM h)
+SELECT source, gap_from, coalesce(after, TIMESTAMP '2025-01-01') AS gap_to, date_diff('hour', gap_from, coalesce(after, TIMESTAMP '2025-01-01')) AS hours, after IS NULL AS open FROM g WHERE date_diff('hour', gap_from, coalesce(after, TIMESTAMP '2025-01-01')) >= 3""")
+def s33_source_gaps(spark, sf_dir):
+    return metrics.source_gaps(table(spark, sf_dir, "events"), "event_type", "ts", 3, "2025-01-01")
+
+
 @query("SELECT source AS grp, count(*) AS n, count(quality) AS n_ok, round(count(quality) / count(*), 6) AS rate, count(quality) >= 0.95 * count(*) AS passed FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
 def s36_acquisition_gate(spark, sf_dir):
     return metrics.gate(_labelled(spark, sf_dir), "source", F.col("quality").isNotNull(), 0.95)
@@ -351,6 +358,27 @@ def s38_violations(spark, sf_dir):
     return metrics.violations(met, "o_orderkey", _rules())
 
 
+CONTRACTS = {
+    "orders": {"key": ["o_orderkey"], "columns": {"o_orderkey": {"required": True}, "o_orderstatus": {"required": True, "enum": ["F", "O", "P"]}, "o_orderpriority": {"pattern": r"[1-5]-[A-Z ]+"}, "o_totalprice": {"required": True, "least": 0, "most": 400000}, "o_orderdate": {"format": "timestamp"}}, "unique": [["o_orderkey"]], "references": [{"columns": ["o_custkey"], "table": "customer", "to": ["c_custkey"]}]},
+    "customer": {"key": ["c_custkey"], "columns": {"c_name": {"required": True, "pattern": r"Customer#\d{9}"}, "c_fax": {"pattern": r"\d+"}}, "unique": [["c_custkey"], ["c_name"]]},
+}
+
+
+@query("""WITH o AS (SELECT CASE WHEN o_orderkey % 29 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS k, CASE WHEN o_orderkey % 13 = 0 THEN -o_totalprice ELSE o_totalprice END AS price, CASE WHEN o_orderkey % 17 = 0 THEN 'X' WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 23 = 0 THEN -1 ELSE o_custkey END AS buyer,
+  CASE WHEN o_orderkey % 31 = 0 THEN 'none' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS priority, CASE WHEN o_orderkey % 37 = 0 THEN '2020-13-45 00:00:00' ELSE '2020-01-02 00:00:00' END AS date FROM orders)
+SELECT 'orders' AS "table", CAST(k AS VARCHAR) AS key, 'o_orderstatus' AS path, 'required' AS rule FROM o WHERE status IS NULL UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_orderstatus', 'enum' FROM o WHERE status NOT IN ('F', 'O', 'P')
+UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_totalprice', 'least' FROM o WHERE price < 0 UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_totalprice', 'most' FROM o WHERE price > 400000
+UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_orderpriority', 'pattern' FROM o WHERE NOT regexp_full_match(priority, '[1-5]-[A-Z ]+') UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_orderdate', 'format' FROM o WHERE date LIKE '2020-13%'
+UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_orderkey', 'unique' FROM o WHERE k IN (SELECT k FROM o GROUP BY k HAVING count(*) > 1) UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'o_custkey', 'reference' FROM o WHERE buyer NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'customer', NULL, 'c_fax', 'missing_column'""")
+def s38_contract_violations(spark, sf_dir):
+    """Of orders that break every rule of a contract somewhere, and customers that lack a column."""
+    k, c = F.col("o_orderkey"), F.col
+    made = {"o_totalprice": F.when(k % 13 == 0, -c("o_totalprice")).otherwise(c("o_totalprice")), "o_orderstatus": F.when(k % 17 == 0, "X").when(k % 19 == 0, F.lit(None)).otherwise(c("o_orderstatus")), "o_custkey": F.when(k % 23 == 0, -1).otherwise(c("o_custkey")), "o_orderpriority": F.when(k % 31 == 0, "none").when(c("o_orderpriority") != "4-NOT SPECIFIED", c("o_orderpriority")), "o_orderdate": F.when(k % 37 == 0, "2020-13-45 00:00:00").otherwise("2020-01-02 00:00:00")}
+    orders = table(spark, sf_dir, "orders").withColumns(made).withColumn("o_orderkey", F.when(k % 29 == 0, k + 1).otherwise(k))
+    return contracts.validate({"orders": orders, "customer": table(spark, sf_dir, "customer")}, CONTRACTS)
+
+
 @query("""SELECT 'events' AS gate, count(*) AS n, count(*) >= 30 AS passed FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
 UNION ALL SELECT 'observations', count(*), count(*) >= 100 FROM lineitem UNION ALL SELECT 'vendors', count(DISTINCT l_suppkey), count(DISTINCT l_suppkey) >= 25 FROM lineitem
 UNION ALL SELECT 'held_out', count(*), count(*) >= 10 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""")
@@ -368,12 +396,23 @@ def s44_volume_gates(spark, sf_dir):
 # ---- documents ----
 
 
-@query("""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS h FROM pages)
-SELECT page_id AS id, CAST(unnest(range(len(h))) AS BIGINT) AS pos, unnest(h) AS href FROM l""")
+@query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '(?i)[\s"''/]href\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)', 0) AS h FROM pages),
+o AS (SELECT page_id, CAST(unnest(range(len(h))) AS BIGINT) AS pos, regexp_replace(regexp_replace(unnest(h), '(?i)^[\s"''/]href\s*=\s*', ''), '^["'']|["'']$', '', 'g') AS s FROM l)
+SELECT page_id AS id, pos, replace(replace(replace(replace(replace(replace(replace(replace(s, '&quot;', '"'), '&#34;', '"'), '&apos;', ''''), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&#38;', '&'), '&amp;', '&') AS href FROM o""")
 def s08_link_enumeration(spark, sf_dir):
     return documents.links(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
+@query("""WITH p AS (SELECT page_id, html, CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 7 = 0 THEN 404 WHEN page_id % 5 = 0 THEN 204 ELSE 200 END AS status, CASE WHEN page_id % 13 = 0 THEN NULL WHEN page_id % 9 = 0 THEN 'application/pdf' WHEN page_id % 2 = 0 THEN 'Text/HTML; charset=utf-8' ELSE 'text/html' END AS kind FROM pages)
+SELECT page_id, CASE WHEN coalesce(status NOT BETWEEN 200 AND 299, true) THEN 'bad_status' WHEN html IS NULL THEN 'missing' WHEN coalesce(lower(trim(split_part(kind, ';', 1))) <> 'text/html', true) THEN 'bad_content_type' WHEN strlen(html) < 1000 THEN 'too_small' WHEN strlen(html) > 10000 THEN 'too_large' WHEN lower(substr(html, 1, 9)) <> '<!doctype' THEN 'bad_signature' ELSE 'ok' END AS verdict FROM p""")
+def s09_fetch_with_status(spark, sf_dir):
+    """With statuses and content types by fixed rules, as the pages come without."""
+    k = F.col("page_id")
+    status = F.when(k % 11 == 0, F.lit(None)).when(k % 7 == 0, 404).when(k % 5 == 0, 204).otherwise(200)
+    kind = F.when(k % 13 == 0, F.lit(None)).when(k % 9 == 0, "application/pdf").when(k % 2 == 0, "Text/HTML; charset=utf-8").otherwise("text/html")
+    return table(spark, sf_dir, "pages").select("page_id", documents.fetch_verdict(F.col("html"), 1000, 10000, "<!doctype", status, kind).alias("verdict"))
+
+
 @query("""SELECT page_id, CASE WHEN html IS NULL THEN 'missing' WHEN strlen(html) < 1000 THEN 'too_small' WHEN strlen(html) > 10000 THEN 'too_large' WHEN lower(substr(html, 1, 9)) <> '<!doctype' THEN 'bad_signature' ELSE 'ok' END AS verdict FROM pages""")
 def s09_fetch_validation(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", documents.fetch_verdict(F.col("html"), 1000, 10000, "<!doctype").alias("verdict"))
@@ -409,6 +448,23 @@ def s17_reference_mining(spark, sf_dir):
     return documents.references(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
 
 
+@query(r"""WITH b AS (SELECT item_id AS item, string_split(lower(replace(text, chr(10), ' ')), ' ') AS w FROM benchmark),
+k AS (SELECT DISTINCT item, unnest([array_to_string(w[1:3], ' '), array_to_string(w[2:3], ' '), array_to_string(w[2:6], ' ')]) AS matched FROM b),
+d AS (SELECT doc_id, CAST(unnest(range(len(string_split(text, chr(10))))) + 1 AS BIGINT) AS page_no, lower(unnest(string_split(text, chr(10)))) AS text FROM documents),
+f AS (SELECT DISTINCT matched FROM k WHERE matched <> ''),
+h AS (SELECT doc_id, page_no, matched, text, unnest(list_filter(range(1, length(text) - length(matched) + 2), lambda i: substr(text, i, length(matched)) = matched)) AS position FROM d JOIN f ON contains(text, matched))
+SELECT doc_id, page_no, CAST(position AS BIGINT) AS position, item, k.matched FROM h JOIN k USING (matched)
+WHERE NOT (regexp_matches(substr(text, position - 1, CASE WHEN position > 1 THEN 1 ELSE 0 END), '[\p{L}\p{N}]') AND regexp_matches(substr(k.matched, 1, 1), '[\p{L}\p{N}]'))
+AND NOT (regexp_matches(substr(text, position + length(k.matched), 1), '[\p{L}\p{N}]') AND regexp_matches(right(k.matched, 1), '[\p{L}\p{N}]'))""")
+def s17_mentions(spark, sf_dir):
+    """Where the first words of known items, in three overlapping patterns each, stand in the pages of documents."""
+    words = F.split(F.lower(F.translate("text", "\n", " ")), " ")
+    run = lambda start, n: F.array_join(F.slice("w", start, n), " ")
+    known = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), words.alias("w")).select("id", F.explode(F.array(run(1, 3), run(2, 2), run(2, 5))).alias("pattern"))
+    pages = documents.page_texts(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+    return documents.mentions(pages, ["doc_id", "page_no"], "text", known, "id", "pattern")
+
+
 @query("SELECT doc_id, quality, doc_id IN (SELECT min(doc_id) FROM documents GROUP BY sha256(text)) AS cited FROM labels")
 def s49_evidence_integrity(spark, sf_dir):
     """Evidence is the first copy of each content."""
@@ -460,6 +516,18 @@ def s18_lineage_chain(spark, sf_dir):
     return lineage.chains(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("node"), F.lag("o_orderkey").over(w).alias("parent")))
 
 
+@query("""WITH RECURSIVE p AS (SELECT a.o_orderkey AS node, b.o_orderkey AS parent, CASE WHEN a.o_orderpriority = b.o_orderpriority THEN 2 ELSE 0 END + CASE WHEN a.o_orderstatus = b.o_orderstatus THEN 1 ELSE 0 END + CASE WHEN date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE)) <= 90 THEN 1 ELSE 0 END + CASE WHEN abs(a.o_totalprice - b.o_totalprice) <= 0.1 * a.o_totalprice THEN 2 ELSE 0 END AS score
+  FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey WHERE date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE)) BETWEEN 1 AND 365),
+e AS MATERIALIZED (SELECT node, parent, round(score / 6, 9) AS c FROM p WHERE score >= 3),
+r(node, ancestor, confidence, hops) AS (SELECT node, parent, c, 1 FROM e UNION SELECT r.node, e.parent, round(r.confidence * e.c, 9), hops + 1 FROM r JOIN e ON e.node = r.ancestor),
+m AS (SELECT node, ancestor, max({'c': confidence, 'h': -hops}) AS best FROM r GROUP BY 1, 2)
+SELECT node, ancestor, best.c AS confidence, CAST(-best.h AS BIGINT) AS hops, ancestor IN (SELECT node FROM e) AS known FROM m""")
+def s18_lineage_closure(spark, sf_dir):
+    """All predecessors over any number of the links of s16, with the confidence of the best way."""
+    links = s16_lineage_score(spark, sf_dir)
+    return lineage.closure(links.select(F.col("record").alias("node"), F.col("predecessor").alias("parent"), (F.col("score") / 6).alias("confidence")))
+
+
 @query("""SELECT c_custkey AS target, 'orders' AS sources, '1995-01-01/1995-06-30' AS date_range, 'no match in searched sources' AS result FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-07-01')""")
 def s19_no_match_trace(spark, sf_dir):
@@ -474,6 +542,27 @@ def s48_predecessor_diff(spark, sf_dir):
     return lineage.version_changes(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")})
 
 
+@query(f"""WITH {BIDS}, w AS (SELECT o_orderkey AS record, lag(o_orderkey) OVER o AS predecessor, CAST(o_orderdate AS DATE) AS d, CAST(lag(o_orderdate) OVER o AS DATE) AS d0, CAST(o_totalprice AS DECIMAL(18,2)) AS a, CAST(lag(o_totalprice) OVER o AS DECIMAL(18,2)) AS a0 FROM orders WINDOW o AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+i AS (SELECT event, list(DISTINCT commodity) AS scope FROM bids GROUP BY 1)
+SELECT record, predecessor, date_diff('day', d0, d) AS days_later, CAST(a - a0 AS DOUBLE) AS amount_change, array_to_string(list_sort(list_filter(coalesce(x.scope, []), lambda c: NOT list_contains(coalesce(y.scope, []), c))), ',') AS scope_added,
+  array_to_string(list_sort(list_filter(coalesce(y.scope, []), lambda c: NOT list_contains(coalesce(x.scope, []), c))), ',') AS scope_removed
+FROM w LEFT JOIN i x ON x.event = record LEFT JOIN i y ON y.event = predecessor WHERE predecessor IS NOT NULL""")
+def s48_scope_dates_amounts(spark, sf_dir):
+    """What each order changed against its predecessor: its date, amount and scope, the commodities of its bids."""
+    order = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record"), F.col("o_custkey").alias("parent"), F.to_date("o_orderdate").alias("date"), bidding.money("o_totalprice").alias("amount"), "o_orderdate")
+    scope = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record"), F.col("l_partkey").alias("item"))
+    return lineage.field_changes(order, "parent", ["o_orderdate", "record"], "record", "date", "amount", scope)
+
+
+def s48_text_changes(spark, sf_dir):
+    """Runs of words that near copies of documents keep, delete and insert; pairs are those of s02.  SQL has no longest common subsequence: a test compares with brute force."""
+    docs = table(spark, sf_dir, "documents")
+    pairs = dedupe.fuzzy_pairs(docs, "doc_id", "text").select(F.col("id_a").alias("old"), F.col("id_b").alias("new"))
+    return differences.text_changes(pairs, docs, "doc_id", "text").select("old", "new", "run", "change", "old_from", "old_to", "new_from", "new_to", F.sha2("said", 256).alias("said_sha256"))
+
+
+QUERIES["s48_text_changes"] = s48_text_changes
+
 # ---- participation and profiles ----
 
 ROLE = {"A": "awardee", "R": "respondent"}
@@ -513,6 +602,29 @@ def s28_incumbent_asof(spark, sf_dir):
     return bidding.incumbents(awarded(spark, sf_dir), CUTOFF)
 
 
+@query(f"""WITH {BIDS}, e AS (SELECT o_orderkey AS event, o_custkey AS buyer, o_orderdate AS date FROM orders),
+d AS (SELECT buyer, date, arg_max(vendor, (event, vendor)) AS incumbent, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS v FROM bids WHERE won GROUP BY 1, 2),
+c AS (SELECT buyer, date, incumbent, sum(n) OVER w AS n, sum(v) OVER w AS v FROM d WINDOW w AS (PARTITION BY buyer ORDER BY date))
+SELECT e.event, e.buyer, e.date, c.incumbent, c.date AS awarded, CAST(coalesce(c.n, 0) AS BIGINT) AS n_awards, CAST(coalesce(c.v, 0) AS DOUBLE) AS awarded_value FROM e ASOF LEFT JOIN c ON e.buyer = c.buyer AND e.date > c.date""")
+def s28_incumbent_at_event(spark, sf_dir):
+    """For every order, as its buyer stood before it."""
+    events = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event"), F.col("o_custkey").alias("buyer"), F.col("o_orderdate").alias("date"))
+    return bidding.incumbents_at_events(stored(awarded(spark, sf_dir).select("buyer", "date", "event", "vendor", "amount", "won"), "bids"), events)
+
+
+@query(f"""WITH {BIDS},
+v AS (SELECT vendor, date, sum(count(*)) OVER w AS n, sum(count(*) FILTER (WHERE won)) OVER w AS wins FROM bids GROUP BY vendor, date WINDOW w AS (PARTITION BY vendor ORDER BY date)),
+p AS (SELECT vendor, buyer, date, sum(count(*)) OVER w AS n, sum(count(*) FILTER (WHERE won)) OVER w AS wins FROM bids GROUP BY vendor, buyer, date WINDOW w AS (PARTITION BY vendor, buyer ORDER BY date)),
+i AS (SELECT buyer, date, arg_max(vendor, (event, vendor)) AS incumbent FROM bids WHERE won GROUP BY 1, 2)
+SELECT b.event, b.vendor, b.line, b.commodity, b.won, CAST(coalesce(v.n, 0) AS BIGINT) AS vendor_bids, CAST(coalesce(v.wins, 0) AS BIGINT) AS vendor_wins, CAST(coalesce(p.n, 0) AS BIGINT) AS pair_bids, CAST(coalesce(p.wins, 0) AS BIGINT) AS pair_wins,
+  date_diff('day', CAST(v.date AS DATE), CAST(b.date AS DATE)) AS vendor_idle_days, date_diff('day', CAST(p.date AS DATE), CAST(b.date AS DATE)) AS pair_idle_days, i.incumbent, i.incumbent = b.vendor AS is_incumbent
+FROM bids b ASOF LEFT JOIN v ON b.vendor = v.vendor AND b.date > v.date ASOF LEFT JOIN p ON b.vendor = p.vendor AND b.buyer = p.buyer AND b.date > p.date ASOF LEFT JOIN i ON b.buyer = i.buyer AND b.date > i.date""")
+def s26_features_at_bids(spark, sf_dir):
+    """For every bid, from before its day only."""
+    b = stored(awarded(spark, sf_dir).select("event", "vendor", "buyer", "date", "won", "line", "commodity"), "bids")
+    return bidding.features_at_bids(b).drop("buyer", "date")
+
+
 @query(f"""WITH {BIDS}, a AS (SELECT event, vendor, sum(CAST(amount AS DECIMAL(18,2))) AS a FROM bids GROUP BY 1, 2), s AS (SELECT event, pow(CAST(a AS DOUBLE) / CAST(sum(a) OVER (PARTITION BY event) AS DOUBLE), 2) AS s2 FROM a)
 SELECT event, count(*) AS n_bidders, round(sum(s2), 6) AS concentration FROM s GROUP BY event""")
 def s29_intensity(spark, sf_dir):
@@ -525,7 +637,29 @@ def s47_agency_share(spark, sf_dir):
     met = bids(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("buyer") == F.col("c_custkey"))
     one = met.groupBy(F.col("c_nationkey").alias("agency"), "vendor").agg(F.sum(bidding.money("amount")).alias("a"))
     total = F.sum("a").over(Window.partitionBy("agency"))
-    return one.select("agency", "vendor", F.col("a").cast("double").alias("spent"), F.round(F.col("a").cast("double") / total.cast("double"), 6).alias("share"))
+    return one.select("agency", "vendor", F.col("a").cast("double").alias("spent"), F.round(F.try_divide(F.col("a").cast("double"), total.cast("double")), 6).alias("share"))
+
+
+def _awards(spark, sf_dir):
+    met = awarded(spark, sf_dir).where("won").join(table(spark, sf_dir, "customer"), F.col("buyer") == F.col("c_custkey"))
+    return met.select(F.col("c_nationkey").alias("agency"), "vendor", "date", "amount")
+
+
+MONTHLY = f"{BIDS}, m AS (SELECT c_nationkey AS agency, vendor, CAST(year(date) * 12 + month(date) - 1 AS INT) AS month, sum(CAST(amount AS DECIMAL(18,2))) AS spent, count(*) AS n FROM bids JOIN customer ON c_custkey = buyer WHERE won GROUP BY ALL)"
+
+
+@query(f"""WITH {MONTHLY} SELECT CASE WHEN grouping(month) + grouping(agency) + grouping(vendor) = 3 THEN 'all' ELSE concat_ws(',', CASE WHEN grouping(month) = 0 THEN 'month' END, CASE WHEN grouping(agency) = 0 THEN 'agency' END, CASE WHEN grouping(vendor) = 0 THEN 'vendor' END) END AS level,
+  month, agency, vendor, CAST(sum(spent) AS DOUBLE) AS spent, CAST(sum(n) AS BIGINT) AS n FROM m GROUP BY GROUPING SETS ((month, agency, vendor), (month, agency), (month), (agency, vendor), (agency), ())""")
+def s47_spend_rollup(spark, sf_dir):
+    return spend.rollup(spend.monthly(_awards(spark, sf_dir)))
+
+
+@query(f"""WITH {MONTHLY}, c AS (SELECT agency, CAST(unnest(range(min(month), (SELECT max(month) + 1 FROM m))) AS INT) AS month FROM m GROUP BY 1),
+v AS (SELECT c.agency, c.month, m.vendor, CAST(sum(m.spent) AS DOUBLE) AS v FROM c JOIN m ON m.agency = c.agency AND m.month BETWEEN c.month - 11 AND c.month GROUP BY ALL),
+y AS (SELECT agency, month, sum(v) AS spent_year, count(*) AS n_vendors, sum(v * v) AS squares FROM v GROUP BY ALL)
+SELECT c.agency, c.month, round(coalesce(spent_year, 0), 2) AS spent_year, coalesce(n_vendors, 0) AS n_vendors, round(squares / nullif(spent_year * spent_year, 0), 6) AS concentration FROM c LEFT JOIN y USING (agency, month)""")
+def s47_trailing_concentration(spark, sf_dir):
+    return spend.trailing_years(spend.monthly(_awards(spark, sf_dir)))
 
 
 @query(f"WITH {BIDS} SELECT event, vendor, line, amount, rank() OVER (PARTITION BY event ORDER BY amount) AS bid_rank FROM bids")
@@ -599,6 +733,34 @@ def s46_teaming_overlap(spark, sf_dir):
     return bidding.likely_bidders(b, CUTOFF).select("vendor").intersect(_primes(spark, sf_dir, b).select("vendor"))
 
 
+def _model_bids(spark, sf_dir):
+    return stored(awarded(spark, sf_dir).select("event", "vendor", "buyer", "category", "amount", "date", "won"), "bids")
+
+
+def s26_predicted_bidders(spark, sf_dir):
+    """The best five candidates of each held-out order by a calibrated model of ten features, learned before the cutoff.  SQL has no such fit: tests hold it against closed cases."""
+    b = _model_bids(spark, sf_dir)
+    old = b.where(F.col("date") < F.lit(CUTOFF).cast("timestamp"))
+    pairs = stored(prediction.candidate_features(prediction.training_pairs(old), old), "pairs")
+    held = prediction.events_of(b.where(F.col("date") >= F.lit(CUTOFF).cast("timestamp")))
+    return prediction.predicted_bidders(prediction.fit(pairs), held, b, CUTOFF)
+
+
+QUERIES["s26_predicted_bidders"] = s26_predicted_bidders
+
+
+def s34_precision_of_model(spark, sf_dir):
+    """Precision and coverage of s26_predicted_bidders over all held-out events, beside those of the fixed weights (s34_precision_at_k)."""
+    b = stored(awarded(spark, sf_dir).select("event", "vendor", "buyer", "won", "date"), "bids")
+    held = b.where(F.col("date") >= F.lit(CUTOFF).cast("timestamp"))
+    ways = {"model": s26_predicted_bidders(spark, sf_dir).select("event", "vendor", "place"), "fixed_weights": bidding.likely_bidders(b, CUTOFF).select("event", "vendor", "place")}
+    told = [bidding.precision_at(stored(df, "predicted"), b, held=held).withColumn("way", F.lit(way)) for way, df in ways.items()]
+    return told[0].unionByName(told[1])
+
+
+QUERIES["s34_precision_of_model"] = s34_precision_of_model
+
+
 @query(f"""WITH {LIKELY}, a AS (SELECT DISTINCT event, vendor FROM bids WHERE date >= TIMESTAMP '{CUTOFF}'), hit AS (SELECT a.event, likely.place FROM a LEFT JOIN likely ON likely.event = a.event AND likely.vendor = a.vendor)
 SELECT count(DISTINCT event) AS n_events, round(count(*) FILTER (WHERE place <= 3) / (count(DISTINCT event) * 3), 6) AS precision_at_3, round(count(*) FILTER (WHERE place <= 5) / (count(DISTINCT event) * 5), 6) AS precision_at_5, round(count(place) / count(*), 6) AS coverage FROM hit""")
 def s34_precision_at_k(spark, sf_dir):
@@ -626,7 +788,7 @@ def s53_certification(spark, sf_dir):
 @query("""WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 AS side FROM events),
 p AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS portal_value, max(ts) AS portal_ts FROM e WHERE side = 0 GROUP BY 1, 2),
 d AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS document_value, max(ts) AS document_ts FROM e WHERE side = 1 GROUP BY 1, 2)
-SELECT user_id, event_type, portal_value, document_value, portal_value IS DISTINCT FROM document_value AS conflict, CASE WHEN document_ts IS NULL OR portal_ts > document_ts THEN portal_value ELSE document_value END AS controlling
+SELECT user_id, event_type, portal_value, document_value, portal_value <> document_value AS conflict, CASE WHEN document_ts IS NULL OR portal_ts > document_ts THEN portal_value ELSE document_value END AS controlling
 FROM p FULL JOIN d USING (user_id, event_type)""")
 def s15_conflicts(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("side", F.get_json_object("props", "$.k").cast("long") % 2)
@@ -652,7 +814,7 @@ def s32_review_queue(spark, sf_dir):
     d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     feeds = {"unreviewed": d.join(lab, "doc_id", "left_anti").select(F.col("doc_id").cast("string").alias("id")), "low_quality": lab.where("quality = 0").select(F.col("doc_id").cast("string").alias("id")), "duplicate": dedupe.exact_duplicates(d, F.sha2("text", 256), "doc_id", "source").select(F.col("content_hash").alias("id"))}
     feeds["identity"] = s23_vendor_resolution(spark, sf_dir).where("verdict = 'review'").select(F.col("entity").alias("id"))
-    feeds["conflict"] = s15_conflicts(spark, sf_dir).where("conflict AND portal_value IS NOT NULL AND document_value IS NOT NULL").select(F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("id"))
+    feeds["conflict"] = s15_conflicts(spark, sf_dir).where("conflict").select(F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("id"))
     feeds["low_confidence"] = normalize.opportunities(_raw(spark, sf_dir)).where("confidence < 1").select(F.col("file").alias("id"))
     return assemble.review_feed(feeds)
 
@@ -681,6 +843,28 @@ def s51_partner_payload(spark, sf_dir):
     return assemble.partner_payload(met.groupBy(F.col("s_nationkey").alias("place"), "vendor").agg(F.count_if("won").alias("wins")), 3)
 
 
+def import_exports(spark, sf_dir):
+    """What an analysis hands over, in the order of import."""
+    return exports.exports(spark, sf_dir, awarded(spark, sf_dir), s51_partner_payload(spark, sf_dir))
+
+
+_UUID = lambda *parts: "regexp_replace(substr(sha256(" + " || ".join(f"length(CAST({p} AS VARCHAR)) || ':' || {p}" for p in parts) + r"), 1, 32), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5')"
+
+
+@query(f"""WITH {BIDS} SELECT 'sources' AS export, count(DISTINCT source) AS n, min({_UUID("'source'", "source")}) AS first_id FROM documents
+UNION ALL SELECT 'records', count(*), min({_UUID("'record'", "o_orderkey")}) FROM orders UNION ALL SELECT 'competitors', count(*), min({_UUID("'competitor'", "s_suppkey")}) FROM supplier
+UNION ALL SELECT 'documents', count(*), min({_UUID("'document'", "doc_id")}) FROM documents UNION ALL SELECT 'participants', count(*), min({_UUID("'participant'", "event", "line", "vendor", "commodity")}) FROM bids
+UNION ALL SELECT 'document_content_handoff', sum(len(string_split(text, chr(10)))), min({_UUID("'document'", "doc_id")}) FROM documents
+UNION ALL SELECT 'partner_match_payloads', count(DISTINCT s_nationkey), min({_UUID("'payload'", "s_nationkey")}) FROM bids JOIN supplier ON s_suppkey = vendor""")
+def s50_import_exports(spark, sf_dir):
+    """How many rows each export has, and the first of their ids."""
+    found = [df.agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("n"), F.min(df.columns[0]).alias("first_id")) for name, df in import_exports(spark, sf_dir).items()]
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 @query("SELECT window_start, event_type, n, total FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2)")
 def x_daily_observations(spark, sf_dir):
     from tenderlake.streaming.observations import daily

@@ -23,7 +23,7 @@ def told(df):
     return list(df.columns), sorted(map(tuple, df.itertuples(index=False)))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, db, name):
     assert told(QUERIES[name](spark, SF).toPandas()) == told(db.execute(SQL[name]).df())
 
@@ -154,12 +154,16 @@ def test_stream_and_batch_agree(spark, tmp_path):
 
 
 def test_analyze_writes_all_artifacts(spark, tmp_path):
+    import json
+
     from tenderlake import cli
 
     order = QUERIES["s26_likely_bidders"](spark, SF).first()["event"]
     cli.main(["analyze", "--tables", SF, "--order", str(order), "--output", str(tmp_path / "out")])
     names = {p.name for p in (tmp_path / "out").iterdir()}
     assert names == {"opportunity_intelligence.json", "procurement_lineage.json", "documents_manifest.jsonl", "document_pages.jsonl", "vendor_profiles.json", "prime_candidates.json", "source_coverage.json", "review_queue.json", "report.md", "import"}
+    assert {p.name for p in (tmp_path / "out" / "import").iterdir()} == {"validation_report.json", *(f"{x}.jsonl" for x in ("sources", "records", "participants", "documents", "document_content_handoff", "competitors", "partner_match_payloads"))}
+    assert json.loads((tmp_path / "out" / "import" / "validation_report.json").read_text())["breaches"] == []
 
 
 def test_analyze_writes_all_rows_or_says_so(spark, tmp_path, monkeypatch):
