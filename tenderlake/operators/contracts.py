@@ -28,7 +28,7 @@ def _checks(value: Column, rules: dict[str, Any]) -> dict[str, Column]:
         "required": lambda x: value.isNull() if x else F.lit(False),
         "enum": lambda x: ~text.isin([str(v) for v in x]),
         "pattern": whole,
-        "format": lambda x: whole(FORMATS[x]) | real.get(x, F.lit(False)),
+        "format": lambda x: text.isNotNull() & (whole(FORMATS[x]) | real.get(x, F.lit(False))),
         "least": lambda x: value < x,
         "most": lambda x: value > x,
     }

@@ -144,13 +144,15 @@ def scored(classes: DataFrame, pairs: DataFrame, model: Model) -> DataFrame:
     return met.select("a", "b", "name", "place", "tax", "weight", "probability", told.alias("reason"), decision.alias("decision"))
 
 
-def link(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Scratch]:
-    """Classes, scored pairs and records, all stored."""
+def link(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Scratch]:
+    """Classes, scored pairs, the scores of classes of several records (a and b are the class), and records, all stored."""
     scratch = Scratch(records.sparkSession, "linkage")
     records = scratch.save(records.select("entity", "name", "place", "tax_id").distinct(), "records")
     classes = scratch.save(classes_of(records), "classes")
     pairs = scratch.save(compared(classes, candidates(classes)), "pairs")
-    return classes, scratch.save(scored(classes, pairs, fit(classes, pairs)), "scored"), records, scratch
+    model = fit(classes, pairs)
+    own = compared(classes, classes.where("n > 1").select(F.col("id").alias("a"), F.col("id").alias("b")))
+    return classes, scratch.save(scored(classes, pairs, model), "scored"), scored(classes, own, model), records, scratch
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -161,7 +163,7 @@ def resolve(records: DataFrame) -> DataFrame:
     those of the record's best match.  Defined cases: a null, empty or merely legal name, and null places, match nothing; a record without
     name and tax id is single; repeated rows count once; ties of score go to the smaller pair; an empty table gives no rows.
     """
-    classes, pairs, records, scratch = link(records)
+    classes, pairs, own, records, scratch = link(records)
     matches = pairs.where("decision = 'match'")
     labels = dedupe.connected(matches.select("a", "b"), scratch).withColumnRenamed("node", "id")
     placed = classes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -170,14 +172,14 @@ def resolve(records: DataFrame) -> DataFrame:
     settled = placed.join(taxes, "label").join(firsts, "tax", "left").withColumn("resolved", F.when(F.col("taxes") <= 1, F.col("label")).otherwise(F.coalesce("first", "id")))
 
     both = lambda df: df.select(F.col("a").alias("id"), "weight", "reason", "decision", "a", "b").unionByName(df.select(F.col("b").alias("id"), "weight", "reason", "decision", "a", "b"))
-    best = both(pairs).where("decision <> 'no'").groupBy("id").agg(F.max_by(F.struct(F.round("weight", 6).alias("score"), "reason"), F.struct(F.when(F.col("decision") == "match", 1).otherwise(0), "weight", "b", "a")).alias("best"), F.count_if(F.col("decision") == "possible").alias("possible"))
+    alike = own.select(F.col("a").alias("id"), "weight", "reason", F.lit("match").alias("decision"), "a", "b")
+    best = both(pairs).where("decision <> 'no'").unionByName(alike).groupBy("id").agg(F.max_by(F.struct(F.round("weight", 6).alias("score"), "reason"), F.struct(F.when(F.col("decision") == "match", 1).otherwise(0), "weight", "b", "a")).alias("best"), F.count_if(F.col("decision") == "possible").alias("possible"))
     told = settled.join(best, "id", "left")
     norm = dedupe.normalized_name(F.col("name"))
     named = records.select("entity", F.when(norm != "", norm).alias("norm"), "place", F.col("tax_id").alias("tax"))
     own = F.when(F.col("place").isNull() & F.col("tax").isNull(), F.col("entity"))
     members = named.withColumn("own", own).alias("x").join(told.withColumn("own", F.when(F.col("place").isNull() & F.col("tax").isNull(), F.col("id"))).alias("y"), F.expr("x.norm <=> y.norm AND x.place <=> y.place AND x.tax <=> y.tax AND x.own <=> y.own"), "left")
-    one = members.select("x.entity", F.coalesce("y.resolved", "x.entity").alias("resolved"), F.coalesce(F.col("taxes") > 1, F.lit(False)).alias("torn"), F.coalesce("possible", F.lit(0)).alias("possible"), F.col("best.score").alias("score"), F.col("best.reason").alias("reason"), F.col("n").alias("copies"))
+    one = members.select("x.entity", F.coalesce("y.resolved", "x.entity").alias("resolved"), F.coalesce(F.col("taxes") > 1, F.lit(False)).alias("torn"), F.coalesce("possible", F.lit(0)).alias("possible"), F.col("best.score").alias("score"), F.col("best.reason").alias("reason"))
     sizes = one.groupBy("resolved").agg(F.count_distinct("entity").alias("n_aliases"))
     verdict = F.when(F.col("n_aliases") > 1, "resolved").when(F.col("torn") | (F.col("possible") > 0), "review").otherwise("single")
-    reason = F.when((F.col("n_aliases") > 1) & F.col("reason").isNull(), "same_record").otherwise(F.col("reason"))
-    return one.join(sizes, "resolved").select("entity", "resolved", "n_aliases", verdict.alias("verdict"), "score", reason.alias("reason"))
+    return one.join(sizes, "resolved").select("entity", "resolved", "n_aliases", verdict.alias("verdict"), "score", "reason")

@@ -22,6 +22,8 @@ from tenderlake.operators.asof import as_of
 FEATURES = ("pair_bids", "pair_wins", "pair_recent", "is_incumbent", "category_bids", "category_wins", "vendor_bids", "vendor_win_rate", "vendor_recent", "size_fit")
 #: Vendors drawn for an event that did not bid; days after which recency is 1/e; parts of 10 that calibrate; least probability that is called confident.
 NEGATIVES, FADE, CALIBRATION, CONFIDENT = 4, 365.0, 3, 0.5
+#: Parts in which vendors are numbered.
+PARTS = 64
 
 
 def _ago(ts: str) -> Column:
@@ -68,12 +70,15 @@ def training_pairs(bids: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     """
     events = events_of(bids)
     actual = bids.where("vendor IS NOT NULL").select("event", "vendor").distinct()
-    vendors = actual.select("vendor").distinct().withColumn("number", F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("vendor"), F.lit(64))).orderBy("vendor")))
-    # Numbers within 64 parts by hash, so that no task numbers all vendors.
-    vendors = vendors.withColumn("part", F.pmod(F.xxhash64("vendor"), F.lit(64)))
+    # Numbers within parts by hash, so that no task numbers all vendors; a draw is one of the parts that have any, and a number there.
+    part = F.pmod(F.xxhash64("vendor"), F.lit(PARTS)).alias("part")
+    vendors = actual.select("vendor").distinct().select("vendor", part).withColumn("number", F.row_number().over(Window.partitionBy("part").orderBy("vendor")))
     sizes = vendors.groupBy("part").agg(F.max("number").alias("most"))
-    drawn = events.select("event", F.explode(F.sequence(F.lit(1), F.lit(negatives))).alias("draw")).withColumn("h", F.xxhash64("event", "draw")).withColumn("part", F.pmod(F.col("h"), F.lit(64)))
-    drawn = drawn.join(F.broadcast(sizes), "part").withColumn("number", (1 + F.pmod(F.shiftright("h", 6), F.col("most"))).cast("int"))
+    every = Window.partitionBy(F.lit(1))  # PARTS rows at most
+    sizes = sizes.select("part", "most", F.row_number().over(every.orderBy("part")).alias("slot"), F.count(F.lit(1)).over(every).alias("slots"))
+    slots = sizes.agg(F.max("slots").alias("slots"))
+    drawn = events.select("event", F.explode(F.sequence(F.lit(1), F.lit(negatives))).alias("draw")).withColumn("h", F.xxhash64("event", "draw")).join(F.broadcast(slots))
+    drawn = drawn.withColumn("slot", 1 + F.pmod("h", "slots")).drop("slots").join(F.broadcast(sizes), "slot").withColumn("number", (1 + F.pmod(F.shiftright("h", 16), F.col("most"))).cast("int"))
     others = drawn.join(vendors, ["part", "number"]).select("event", "vendor").distinct().join(actual, ["event", "vendor"], "left_anti")
     both = actual.withColumn("label", F.lit(1.0)).unionByName(others.withColumn("label", F.lit(0.0)))
     return both.join(events, "event")

@@ -144,7 +144,7 @@ def test_as_of_against_brute_force(spark, bin_days):
             want.append((i, k, t, None, None, None, None))
             continue
         old = sorted((u, r, v) for r, k2, u, v in right if k2 == k and u is not None and u < t)
-        want.append((i, k, t, *(old[-1][1:] if old else (None, None)), len(old), sum(v or 0 for *_, v in old)))
+        want.append((i, k, t, *(old[-1][1:] if old else (None, None)), len(old), sum((v or 0.0 for *_, v in old), 0.0)))
     text = lambda rows: sorted(map(str, (tuple(r) for r in rows)))
     assert text(got) == text(want)
     assert as_of(a.limit(0), b, ["k"], "t", ["r"], {"x": F.col("r")}, {}).count() == 0
