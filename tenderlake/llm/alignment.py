@@ -39,7 +39,7 @@ from .common import frugal, gather, plain, spread, table, units
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] |^ | $"
 BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
-CHUNK = 8 << 20
+CHUNK = 16 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
 AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
 #: Words of documents that are put together at a time.
@@ -250,7 +250,9 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     n_links = F.size("pairs") + F.aggregate("many", F.lit(0).cast("long"), lambda n, x: n + x["m"])
     told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
-    return documents_of(put_back(chunked, save(scratch, told, "told"), ["ok", *sums, "groups"]), sums)
+    told = save(scratch, told, "told")
+    scratch.drop(words, counts)
+    return documents_of(put_back(chunked, told, ["ok", *sums, "groups"]), sums)
 
 
 def op13_token_alignment(spark, sf_dir):
