@@ -32,14 +32,14 @@ from tokenizers import Tokenizer
 
 from tenderlake.session import Scratch
 
-from .coded import coded, put_back, save, words_of
+from .coded import coded, for_chunks, save, words_of
 from .common import frugal, gather, plain, spread, table, units
 
 #: Texts that are not simply split at all spaces: with white space before one, or one at an end.
 GAP = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85] |^ | $"
 BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
-CHUNK = 16 << 20
+CHUNK = 12 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
 AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
 #: Words of documents that are put together at a time.
@@ -170,62 +170,49 @@ def word_links(rows: DataFrame) -> DataFrame:
     return told.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), groups.alias("groups"), *lists.values())
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, pa.StructArray]]:
-    """By blocks of the documents of a chunk: these, their codes and offsets, which have tokens, and what is known of the chunk's words, in the order of codes."""
-    for at in range(batch.num_rows):
-        docs, found = pa.concat_arrays([batch.column("docs")[at].values]), batch.column("found")[at].values
-        found = found.take(pa.array(np.argsort(np.asarray(found.field("pos")))))
-        ok = np.asarray(found.field("ok"))
-        lists = docs.field("codes")
-        offsets = np.asarray(lists.offsets, dtype=np.int64)
-        start = 0
-        while start < len(docs):
-            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BLOCK, side="right")) - 1)
-            codes, own = np.asarray(lists.values.slice(offsets[start], offsets[end] - offsets[start]), dtype=np.int64), offsets[start : end + 1] - offsets[start]
-            yield docs.slice(start, end - start), codes, own, np.logical_and.reduceat(ok[codes], own[:-1]), found
-            start = end
+def _blocks(docs: pa.StructArray, ok: np.ndarray) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By blocks of the documents of a chunk: these, their codes and offsets, and which have tokens; ok: which words have."""
+    lists = docs.field("codes")
+    offsets = np.asarray(lists.offsets, dtype=np.int64)
+    start = 0
+    while start < len(docs):
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BLOCK, side="right")) - 1)
+        codes, own = np.asarray(lists.values.slice(offsets[start], offsets[end] - offsets[start]), dtype=np.int64), offsets[start : end + 1] - offsets[start]
+        yield docs.slice(start, end - start), codes, own, np.logical_and.reduceat(ok[codes], own[:-1])
+        start = end
 
 
-def document_counts(found: DataFrame) -> DataFrame:
-    """(pair, n): how many documents hold each pair linked, of chunks with (pos, ok, pairs) of their words; blocks count first."""
+def document_counts(chunked: DataFrame, known: DataFrame) -> DataFrame:
+    """(pair, n): how many documents hold each pair linked; known is (word, ok, pairs).  Blocks count first."""
 
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, codes, offsets, good, known in _blocks(batch):
-                lists = known.field("pairs")
-                lengths = np.asarray(pc.list_value_length(lists), dtype=np.int64)
-                of = np.repeat(np.arange(len(good)), np.diff(offsets))
-                doc, word = np.divmod(np.unique((of * len(lengths) + codes)[good[of]]), len(lengths))  # distinct words of each document
-                held, _ = gather(np.cumsum(lengths) - lengths, lengths, np.asarray(lists.flatten(), dtype=np.int64), word)
-                names, number = np.unique(held, return_inverse=True)
-                each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + number)
-                yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with frugal():
-            yield from told(batches)
+    def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
+        lists = words.column("pairs").combine_chunks()
+        lengths, values = np.asarray(pc.list_value_length(lists), dtype=np.int64), np.asarray(lists.flatten(), dtype=np.int64)
+        for _, codes, offsets, good in _blocks(docs, np.asarray(words.column("ok"))):
+            of = np.repeat(np.arange(len(good)), np.diff(offsets))
+            doc, word = np.divmod(np.unique((of * len(lengths) + codes)[good[of]]), len(lengths))  # distinct words of each document
+            held, _ = gather(np.cumsum(lengths) - lengths, lengths, values, word)
+            names, number = np.unique(held, return_inverse=True)
+            each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + number)
+            yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
 
-    return found.select("docs", "found").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return for_chunks(chunked, known, ["ok", "pairs"], made, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def documents_of(found: DataFrame, sums: list[str]) -> DataFrame:
-    """(doc_id, sums, groups) of chunks with (pos, ok, sums, groups) of their words."""
-    key = found.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
+def documents_of(chunked: DataFrame, known: DataFrame, sums: list[str]) -> DataFrame:
+    """(doc_id, sums, groups) of the documents; known is (word, ok, sums, groups)."""
+    key = chunked.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
 
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for docs, codes, offsets, good, known in _blocks(batch):
-                totals = [np.where(good, np.add.reduceat(np.asarray(known.field(s), dtype=np.int64)[codes], offsets[:-1]), 0) for s in sums]
-                words, at = np.unique(codes, return_inverse=True)
-                said = np.array(known.field("groups").take(pa.array(words)).to_pylist(), dtype=object)
-                whole = [";".join(said[at[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
-                yield pa.record_batch([docs.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with frugal():
-            yield from told(batches)
+    def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
+        numbers, groups = {s: np.asarray(words.column(s), dtype=np.int64) for s in sums}, words.column("groups").combine_chunks()
+        for some, codes, offsets, good in _blocks(docs, np.asarray(words.column("ok"))):
+            totals = [np.where(good, np.add.reduceat(n[codes], offsets[:-1]), 0) for n in numbers.values()]
+            held, at = np.unique(codes, return_inverse=True)
+            said = np.array(groups.take(pa.array(held)).to_pylist(), dtype=object)
+            whole = [";".join(said[at[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
+            yield pa.record_batch([some.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
 
-    return found.select("docs", "found").mapInArrow(run, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
+    return for_chunks(chunked, known, ["ok", *sums, "groups"], made, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
 
 
 def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -> DataFrame:
@@ -241,7 +228,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
     named = words.select("word", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    counts = save(scratch, document_counts(put_back(chunked, named, ["ok", "pairs"])).withColumn("a", F.shiftright("pair", 32)), "counts")
+    counts = save(scratch, document_counts(chunked, named).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
     best = F.broadcast(best) if counts.count() <= SENT else best
@@ -252,7 +239,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
     told = save(scratch, told, "told")
     scratch.drop(words, counts)
-    return documents_of(put_back(chunked, told, ["ok", *sums, "groups"]), sums)
+    return documents_of(chunked, told, sums)
 
 
 def op13_token_alignment(spark, sf_dir):
