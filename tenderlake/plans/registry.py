@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenderlake.functions import expr
-from tenderlake.operators import assemble, bidding, contracts, dedupe, differences, documents, lineage, linkage, metrics, normalize, prediction, spend
+from tenderlake.operators import assemble, bidding, contracts, dedupe, differences, documents, lineage, linkage, merge, metrics, normalize, prediction, spend
 from tenderlake.plans import exports
 from tenderlake.session import Scratch, table
 from tenderlake.sources.records import ADAPTERS, REGISTRY, parse_records, read_registry
@@ -800,6 +800,16 @@ def s40_upsert_latest(spark, sf_dir):
     return assemble.latest(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value", "ts"])
 
 
+@query("""SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY 1, 2""")
+def s40_incremental_import(spark, sf_dir):
+    """Events imported in three overlapping batches, the second of them twice."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    path, k = Scratch(spark, "import").path("table"), F.col("event_id") % 10
+    for batch in (e.where(k < 6), e.where(k.between(4, 8)), e.where(k.between(4, 8)), e.where(k > 7)):
+        merge.merge(spark, path, batch, ["user_id", "event_type"], ["ts", "event_id"], 8)
+    return spark.read.parquet(path).select(*e.columns)
+
+
 @query(f"""WITH {RAW} SELECT CAST(doc_id AS VARCHAR) AS id, 'unreviewed' AS reason FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'low_quality' FROM labels WHERE quality = 0
 UNION ALL SELECT sha256(text), 'duplicate' FROM documents GROUP BY text HAVING count(*) > 1

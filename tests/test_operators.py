@@ -466,3 +466,65 @@ def test_gaps_of_sources(spark):
     rows = [("a", t(1, 0)), ("a", t(1, 1)), ("a", t(1, 9)), ("a", t(1, 9)), ("b", t(2, 0)), ("a", None), (None, t(1, 5))]
     got = metrics.source_gaps(spark.createDataFrame(rows, "s string, ts timestamp"), "s", "ts", 5, "2020-01-02 03:00:00").collect()
     assert {(r["source"], r["gap_from"].hour, r["hours"], r["open"]) for r in got} == {("a", 1, 8, False), ("a", 9, 18, True), (None, 5, 22, True)}
+
+
+# ---- imports ----
+
+
+def test_imports_touch_only_what_they_bring(spark, tmp_path):
+    from tenderlake.operators.merge import BUCKET, bucketed, merge
+
+    rng = random.Random(5)
+    path, schema = str(tmp_path / "t"), "k long, v string, t long"
+    rows = [(rng.choice([*range(40), None]), f"v{i}", rng.randrange(20)) for i in range(300)]
+    batches = [rows[:150], rows[100:250], rows[100:250], rows[250:], []]
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    seen = []
+    for b in batches:
+        before, df = (files() if seen else {}), spark.createDataFrame(b, schema)
+        touched = {r[0] for r in bucketed(df, ["k"], 16).select(BUCKET).distinct().collect()}
+        merge(spark, path, df, ["k"], ["t"], 16)
+        seen += b
+        want = {}
+        for k, v, t in seen:
+            want[k] = max(want.get(k, (-1, "")), (t, v))
+        got = {r["k"]: (r["t"], r["v"]) for r in spark.read.parquet(path).collect()}
+        assert got == want
+        kept = {p: m for p, m in before.items() if int(p.parent.name.split("=")[1]) not in touched}
+        assert kept.items() <= files().items()
+    lone = next(k for k in range(40, 99))
+    before = files()
+    merge(spark, path, spark.createDataFrame([(lone, "x", 1)], schema), ["k"], ["t"], 16)
+    assert sum(p not in files() for p in before) <= 1
+
+
+def test_a_stream_of_imports_can_be_replayed(spark, tmp_path):
+    from tenderlake.operators.merge import merging
+
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, "c", 2)], "k long, v string, t long")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    for run in ("one", "two"):  # without the first one's checkpoint, all comes again
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        q = stream.writeStream.foreachBatch(merging(str(tmp_path / "t"), ["k"], ["t"], 4)).option("checkpointLocation", str(tmp_path / run)).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert {(r["k"], r["v"], r["t"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {(1, "b", 3), (2, "c", 2)}
+
+
+def test_order_of_imports_and_dense_ids(spark):
+    from tenderlake.operators.merge import dense_ids, import_order
+    from tenderlake.plans.exports import CONTRACTS
+
+    order = import_order(CONTRACTS)
+    assert sorted(order) == sorted(CONTRACTS)
+    assert all(order.index(r["table"]) < order.index(n) for n, c in CONTRACTS.items() for r in c.get("references", []))
+    with pytest.raises(ValueError):
+        import_order({"a": {"references": [{"table": "b"}]}, "b": {"references": [{"table": "a"}]}})
+    records = spark.range(500).select((F.col("id") * 7919 % 500).alias("k"), F.when(F.col("id") > 0, (F.col("id") - 1) * 7919 % 500).alias("parent"))
+    got = dense_ids(records, ["k"], "n").collect()
+    number = {r["k"]: r["n"] for r in got}
+    assert [number[k] for k in sorted(number)] == list(range(1, 501))
+    # References hold once both sides are renumbered.
+    ids = spark.createDataFrame(list(number.items()), "k long, n long")
+    met = records.join(ids, "k").join(ids.select(F.col("k").alias("parent"), F.col("n").alias("parent_n")), "parent", "left")
+    assert met.where("parent IS NOT NULL AND parent_n IS NULL").count() == 0
+    assert dense_ids(records.limit(0), ["k"], "n").count() == 0
