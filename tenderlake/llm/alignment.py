@@ -15,6 +15,7 @@ for the highest count are all best; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -41,7 +42,7 @@ BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
 CHUNK = 12 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
-AT_ONCE, LARGE, LOW = 20_000, 256, (1 << 32) - 1
+AT_ONCE, LARGE, LOW = 5_000, 256, (1 << 32) - 1
 #: Words of documents that are put together at a time.
 BLOCK = 1 << 18
 #: Pairs that are sent to all tasks at most; more are shuffled.
@@ -91,6 +92,7 @@ class Tokens:
 
 
 def both_tokenizers(a_path: str, b_path: str) -> tuple[Tokens, Tokens]:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and threads keep memory of their own
     a = Tokenizer.from_file(a_path)
     a.encode_special_tokens = True  # their strings in texts are plain text
     # Byte-level tokens show bytes as characters: printable ones of Latin-1 as themselves, the others from U+0100 on.
