@@ -76,6 +76,23 @@ def vendor_profiles(bids: DataFrame) -> DataFrame:
     return met.select("o.vendor", "n_bids", "n_wins", "won_value", "typical_amount", "first_seen", "last_seen", "n_buyers", "categories", (F.col("n_bids") - F.col("n_wins")).alias("n_losses"))
 
 
+def vendor_activity(bids: DataFrame) -> DataFrame:
+    """(vendor, bids_per_year, n_agencies, main_agency, main_share, jurisdictions, win_rate, likely_role) of bids (vendor, buyer, place, date, won).
+
+    Bids are counted by vendor and buyer, and by vendor and place, first, so no state holds all bids of a vendor.  A year is the least span that a frequency
+    is told for; of equally frequent agencies the smallest is the main one; a prime has won a fifth of its bids at least, an occasional one any.
+    """
+    pairs = bids.groupBy("vendor", "buyer").agg(F.count(F.lit(1)).alias("n"), F.count_if("won").alias("wins"), F.min("date").alias("first"), F.max("date").alias("last"))
+    most = F.min_by("buyer", F.when(F.col("buyer").isNotNull(), F.struct((-F.col("n")).alias("often"), "buyer")))
+    one = pairs.groupBy("vendor").agg(F.sum("n").alias("n"), F.sum("wins").alias("wins"), F.min("first").alias("first"), F.max("last").alias("last"), F.count("buyer").alias("n_agencies"), most.alias("main_agency"), F.max(F.when(F.col("buyer").isNotNull(), F.col("n"))).alias("of_main"))
+    places = bids.where("place IS NOT NULL").select("vendor", "place").distinct().groupBy("vendor").agg(F.array_join(F.sort_array(F.collect_list("place")).cast("array<string>"), ",").alias("jurisdictions"))
+    met = one.alias("o").join(places.alias("p"), F.col("o.vendor").eqNullSafe(F.col("p.vendor")), "left")
+    rate = F.try_divide(F.col("wins").cast("double"), F.col("n"))
+    years = F.greatest(F.datediff(F.col("last").cast("date"), F.col("first").cast("date")), F.lit(365)) / 365
+    role = F.when(rate >= 0.2, "prime").when(F.col("wins") > 0, "occasional_prime").otherwise("bidder")
+    return met.select("o.vendor", F.round(F.col("n") / years, 6).alias("bids_per_year"), "n_agencies", "main_agency", F.round(F.try_divide(F.col("of_main").cast("double"), F.col("n")), 6).alias("main_share"), F.coalesce("jurisdictions", F.lit("")).alias("jurisdictions"), F.round(rate, 6).alias("win_rate"), role.alias("likely_role"))
+
+
 def incumbents(bids: DataFrame, cutoff: str) -> DataFrame:
     """(buyer, incumbent, awarded): the latest award of each buyer before the cutoff."""
     old = bids.where(F.col("won") & (F.col("date") < F.lit(cutoff).cast("timestamp")))

@@ -590,6 +590,15 @@ def s24_vendor_profiles(spark, sf_dir):
     return bidding.vendor_profiles(stored(awarded(spark, sf_dir).select("vendor", "buyer", "won", "amount", "date", "category"), "bids"))
 
 
+@query(f"""WITH {BIDS}, p AS (SELECT vendor, buyer, count(*) AS n, count(*) FILTER (WHERE won) AS wins, min(date) AS first, max(date) AS last FROM bids GROUP BY 1, 2),
+j AS (SELECT vendor, string_agg(DISTINCT CAST(c_nationkey AS VARCHAR), ',' ORDER BY lpad(CAST(c_nationkey AS VARCHAR), 9, '0')) AS jurisdictions FROM (SELECT DISTINCT vendor, c_nationkey FROM bids JOIN customer ON c_custkey = buyer) GROUP BY 1),
+o AS (SELECT vendor, sum(n) AS n, sum(wins) AS wins, greatest(date_diff('day', CAST(min(first) AS DATE), CAST(max(last) AS DATE)), 365) / 365 AS years, count(*) AS n_agencies, arg_max(buyer, (n, -buyer)) AS main_agency, max(n) AS of_main FROM p GROUP BY 1)
+SELECT vendor, round(n / years, 6) AS bids_per_year, n_agencies, main_agency, round(of_main / n, 6) AS main_share, jurisdictions, round(wins / n, 6) AS win_rate, CASE WHEN wins / n >= 0.2 THEN 'prime' WHEN wins > 0 THEN 'occasional_prime' ELSE 'bidder' END AS likely_role FROM o JOIN j USING (vendor)""")
+def s24_vendor_activity(spark, sf_dir):
+    b = awarded(spark, sf_dir).select("vendor", "buyer", "date", "won").join(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("place")), F.col("buyer") == F.col("c_custkey"), "left")
+    return bidding.vendor_activity(stored(b.drop("c_custkey"), "bids"))
+
+
 @query("SELECT l_orderkey AS event, count(DISTINCT l_suppkey) AS n_known FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
 def s25_known_bidders(spark, sf_dir):
     official = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")

@@ -528,3 +528,11 @@ def test_order_of_imports_and_dense_ids(spark):
     met = records.join(ids, "k").join(ids.select(F.col("k").alias("parent"), F.col("n").alias("parent_n")), "parent", "left")
     assert met.where("parent IS NOT NULL AND parent_n IS NULL").count() == 0
     assert dense_ids(records.limit(0), ["k"], "n").count() == 0
+
+
+def test_activity_of_vendors(spark):
+    t = lambda d: DAY + datetime.timedelta(days=d)
+    rows = [(1, 5, 3, t(0), True), (1, 5, 3, t(730), False), (1, 4, 10, t(9), False), (1, 4, None, t(9), False), (None, 7, 2, t(1), False), (2, None, None, t(1), True)]
+    got = {r["vendor"]: tuple(r)[1:] for r in bidding.vendor_activity(spark.createDataFrame(rows, "vendor long, buyer long, place int, date timestamp, won boolean")).collect()}
+    assert got[1] == (2.0, 2, 4, 0.5, "3,10", 0.25, "prime")
+    assert got[None] == (1.0, 1, 7, 1.0, "2", 0.0, "bidder") and got[2] == (1.0, 0, None, None, "", 1.0, "prime")
