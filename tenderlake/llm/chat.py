@@ -10,7 +10,8 @@ occurs inside, and dropping each backslash with the next character kept restores
 
 Defined cases: turns of a conversation are ordered by turn, then role and text (nulls
 first); a null role or text is empty; rows with a null conv_id are one conversation; repeated rows are turns of
-their own; a conversation without an assistant turn has one record with an empty mask.
+their own; a conversation without an assistant turn has one record with an empty mask; one of very many turns or
+long texts is one array in one task, and its examples repeat what precedes them.
 Other columns are ignored.  An empty table gives no examples.
 """
 

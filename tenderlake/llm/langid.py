@@ -14,7 +14,8 @@ chains for training join windows of two languages now and then, so that switches
 
 Defined cases: `und` with score 0 for a null text or one without a letter, and for all texts
 if nothing could be learned; ties go to the language that sorts first; a null doc_id is
-neither held out nor learned from; repeated rows are predicted each; other columns pass through but for those that
+neither held out nor learned from; repeated rows are predicted each; a text of any length is
+labelled whole, in blocks of its words; other columns pass through but for those that
 the results' names displace; an empty table gives no rows.
 """
 

@@ -8,7 +8,7 @@ run-length-compressed keep bitmap per document, from which the texts are rebuilt
 
 Defined cases: a null or empty text is one empty line; a null doc_id neither counts as a
 document nor loses lines; rows with the same doc_id are one document, and rows repeated
-exactly stay repeated; a document may lose all lines and then has an empty text.  Other
+exactly stay repeated; texts are split whole, whatever their length, a row for each line; a document may lose all lines and then has an empty text.  Other
 columns pass through, whatever their names, but for those that the results' names displace.  An empty table gives an empty result.
 """
 

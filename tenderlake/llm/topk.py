@@ -16,7 +16,8 @@ bounded size meet as groups of a cogroup, so nothing is broadcast or collected,
 per query are merged by a window.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part; vectors of
-different lengths are compared as if the shorter were continued with zeros; ties go to the
+different lengths are compared as if the shorter were continued with zeros (so one very long vector makes all be
+read as long as it, and the search slower); ties go to the
 smaller id; repeated ids are separate candidates, and queries of their own, with a list each, but a query
 never finds rows with its own id; a null id takes no part; scaled components and scores beyond 64 bits become the
 nearest number of 64 bits; other columns are ignored; an empty table gives no rows.

@@ -14,7 +14,7 @@ lines, however large the archive.  A file is one gzip member: Spark's codec make
 Defined cases: a null html is an empty payload; a null url is an empty target; line breaks in
 urls are percent-encoded; rows with a null page_id are responses to which nothing refers; rows with the
 smallest page_id of a payload are all responses, even if repeated; records of equal payloads and page ids are
-written each, with ids of their own; extra columns are ignored; an empty table gives archives without records.
+written each, with ids of their own; a payload of any length is one record, held whole by one task; extra columns are ignored; an empty table gives archives without records.
 """
 
 from __future__ import annotations
