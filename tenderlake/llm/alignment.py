@@ -184,8 +184,8 @@ def _blocks(docs: pa.StructArray, ok: np.ndarray) -> Iterator[tuple[pa.StructArr
         start = end
 
 
-def document_counts(chunked: DataFrame, known: DataFrame) -> DataFrame:
-    """(pair, n): how many documents hold each pair linked; known is (word, ok, pairs).  Blocks count first."""
+def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(pair, n): how many documents hold each pair linked; words are (of, pos, ok, pairs).  Blocks count first."""
 
     def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
         lists = words.column("pairs").combine_chunks()
@@ -198,12 +198,12 @@ def document_counts(chunked: DataFrame, known: DataFrame) -> DataFrame:
             each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + number)
             yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
 
-    return for_chunks(chunked, known, ["ok", "pairs"], made, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return for_chunks(docs, words, made, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def documents_of(chunked: DataFrame, known: DataFrame, sums: list[str]) -> DataFrame:
-    """(doc_id, sums, groups) of the documents; known is (word, ok, sums, groups)."""
-    key = chunked.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
+def documents_of(docs: DataFrame, words: DataFrame, sums: list[str]) -> DataFrame:
+    """(doc_id, sums, groups) of the documents; words are (of, pos, ok, sums, groups)."""
+    key = docs.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
 
     def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
         numbers, groups = {s: np.asarray(words.column(s), dtype=np.int64) for s in sums}, words.column("groups").combine_chunks()
@@ -214,7 +214,7 @@ def documents_of(chunked: DataFrame, known: DataFrame, sums: list[str]) -> DataF
             whole = [";".join(said[at[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
             yield pa.record_batch([some.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
 
-    return for_chunks(chunked, known, ["ok", *sums, "groups"], made, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
+    return for_chunks(docs, words, made, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
 
 
 def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -> DataFrame:
@@ -225,12 +225,16 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     scratch = Scratch(docs.sparkSession, "alignment")
     chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks")
     tokens = save(scratch, tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
+    # From here on words are numbers.
+    places = save(scratch, words_of(chunked).join(tokens.select("wid", "word"), "word").select(F.col("chunk").alias("of"), "pos", "wid"), "places")
+    coded_docs = save(scratch, chunked.select("chunk", "docs"), "docs")
+    scratch.drop(chunked)
     # Partitions by word number serve joins on number and end as well.
-    words = tokens.select("wid", "word", "ok").join(word_links(aligned(tokens)), "wid", "left")
+    words = tokens.select("wid", "ok").join(word_links(aligned(tokens)), "wid", "left")
     words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
-    named = words.select("word", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    counts = save(scratch, document_counts(chunked, named).withColumn("a", F.shiftright("pair", 32)), "counts")
+    named = words.select("wid", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
+    counts = save(scratch, document_counts(coded_docs, places.join(named, "wid").drop("wid")).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
     best = F.broadcast(best) if counts.count() <= SENT else best
@@ -238,10 +242,10 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     weighed = held.join(best, "pair").groupBy("wid").agg(F.sum(F.when(F.col("top"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum"))
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     n_links = F.size("pairs") + F.aggregate("many", F.lit(0).cast("long"), lambda n, x: n + x["m"])
-    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("word", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
+    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("wid", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
     told = save(scratch, told, "told")
     scratch.drop(words, counts)
-    return documents_of(chunked, told, sums)
+    return documents_of(coded_docs, places.join(told, "wid").drop("wid"), sums)
 
 
 def op13_token_alignment(spark, sf_dir):

@@ -123,16 +123,14 @@ def put_back(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFra
     return chunked.select(*others, F.size("words").alias("n_words")).repartition(max(1, chunked.count()), "chunk").join(met, "chunk", "left")
 
 
-def for_chunks(chunked: DataFrame, known: DataFrame, fields: list[str], made: Callable[[pa.StructArray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """What made(documents, words) yields for each chunk; words is a table of (pos, fields), in the order of pos, as `known` by (word, fields) has them.
+def for_chunks(docs: DataFrame, words: DataFrame, made: Callable[[pa.StructArray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What made(documents, words) yields for each chunk of docs (chunk, docs); words (of, pos, ...) are those of chunk `of`, and come in the order of pos.
 
     The rows of a chunk's words meet its documents sorted, not as lists, so the JVM holds no chunk.
     """
 
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+    def run(own: pa.Table, known: pa.Table) -> pa.Table:
         with frugal():
-            own = pa.concat_arrays([docs.column("docs").combine_chunks()[0].values])
-            return pa.Table.from_batches(list(made(own, words.sort_by("pos"))))
+            return pa.Table.from_batches(list(made(pa.concat_arrays([own.column("docs").combine_chunks()[0].values]), known.sort_by("pos"))))
 
-    met = words_of(chunked).join(known, "word").select(F.col("chunk").alias("of"), "pos", *fields)
-    return chunked.select("chunk", "docs").groupBy("chunk").cogroup(met.groupBy("of")).applyInArrow(run, schema)
+    return docs.groupBy("chunk").cogroup(words.groupBy("of")).applyInArrow(run, schema)
