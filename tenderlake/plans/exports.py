@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenderlake.functions.expr import local_uuid
 from tenderlake.operators import documents
@@ -38,13 +39,15 @@ def exports(spark: SparkSession, sf_dir: str, awarded: DataFrame, payloads: Data
     """The exports of the tables; awarded: bids with `won`, payloads: (place, payload)."""
     docs, order, supplier = (table(spark, sf_dir, t) for t in ("documents", "orders", "supplier"))
     wins = awarded.groupBy("vendor").agg(F.count_if("won").alias("wins"), F.count(F.lit(1)).alias("bids"))
+    # Bids with one natural key are told apart by their amounts in order.
+    copies = awarded.withColumn("copy", F.row_number().over(Window.partitionBy("event", "line", "vendor", "commodity").orderBy("amount")))
     labelled = table(spark, sf_dir, "labels").select("doc_id", F.lit("processed").alias("found"))
     return {
         "sources": docs.where("source IS NOT NULL").groupBy("source").agg(F.count(F.lit(1)).alias("n_documents")).select(_id("source", "source"), F.col("source").alias("source_key"), F.lit("table").alias("access_mode"), "n_documents"),
         "records": order.select(_id("record", "o_orderkey"), F.concat(F.lit("O-"), "o_orderkey").alias("source_ref"), F.lit("order").alias("record_type"), F.col("o_custkey").alias("buyer"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("observed_at")),
         "competitors": supplier.join(wins, F.col("s_suppkey") == F.col("vendor"), "left").select(_id("competitor", "s_suppkey"), F.col("s_suppkey").alias("external_id"), F.col("s_name").alias("legal_name"), F.array("s_name").alias("aliases"), F.struct("bids", "wins").alias("profile")),
         "documents": docs.join(labelled, "doc_id", "left").select(_id("document", "doc_id"), F.concat(F.lit("D-"), "doc_id").alias("source_ref"), F.when(F.col("source").isNotNull(), local_uuid(F.lit("source"), F.col("source"))).alias("source_id"), F.sha2("text", 256).alias("sha256"), F.coalesce("found", F.lit("not_attempted")).alias("state")),
-        "participants": awarded.select(_id("participant", "event", "line", "vendor", "commodity"), local_uuid(F.lit("record"), F.col("event")).alias("record_id"), F.when(F.col("vendor").isNotNull(), local_uuid(F.lit("competitor"), F.col("vendor"))).alias("competitor_id"), F.when(F.col("won"), "awardee").otherwise("bidder").alias("role"), "amount", F.struct(F.when(F.col("won"), "derived").otherwise("observed").alias("class")).alias("evidence")),
+        "participants": copies.select(_id("participant", "event", "line", "vendor", "commodity", "copy"), local_uuid(F.lit("record"), F.col("event")).alias("record_id"), F.when(F.col("vendor").isNotNull(), local_uuid(F.lit("competitor"), F.col("vendor"))).alias("competitor_id"), F.when(F.col("won"), "awardee").otherwise("bidder").alias("role"), "amount", F.struct(F.when(F.col("won"), "derived").otherwise("observed").alias("class")).alias("evidence")),
         "document_content_handoff": documents.page_texts(docs, "doc_id", "text").select(local_uuid(F.lit("document"), F.col("id")).alias("document_id"), "page_no", F.when(F.col("page_no").isNull(), "none").otherwise("native_text").alias("method"), "text"),
         "partner_match_payloads": payloads.select(_id("payload", "place"), "place", "payload"),
     }

@@ -872,7 +872,7 @@ _UUID = lambda *parts: "regexp_replace(substr(sha256(" + " || ".join(f"length(CA
 
 @query(f"""WITH {BIDS} SELECT 'sources' AS export, count(DISTINCT source) AS n, min({_UUID("'source'", "source")}) AS first_id FROM documents
 UNION ALL SELECT 'records', count(*), min({_UUID("'record'", "o_orderkey")}) FROM orders UNION ALL SELECT 'competitors', count(*), min({_UUID("'competitor'", "s_suppkey")}) FROM supplier
-UNION ALL SELECT 'documents', count(*), min({_UUID("'document'", "doc_id")}) FROM documents UNION ALL SELECT 'participants', count(*), min({_UUID("'participant'", "event", "line", "vendor", "commodity")}) FROM bids
+UNION ALL SELECT 'documents', count(*), min({_UUID("'document'", "doc_id")}) FROM documents UNION ALL SELECT 'participants', count(*), min({_UUID("'participant'", "event", "line", "vendor", "commodity", "copy")}) FROM (SELECT *, row_number() OVER (PARTITION BY event, line, vendor, commodity ORDER BY amount) AS copy FROM bids)
 UNION ALL SELECT 'document_content_handoff', sum(len(string_split(text, chr(10)))), min({_UUID("'document'", "doc_id")}) FROM documents
 UNION ALL SELECT 'partner_match_payloads', count(DISTINCT s_nationkey), min({_UUID("'payload'", "s_nationkey")}) FROM bids JOIN supplier ON s_suppkey = vendor""")
 def s50_import_exports(spark, sf_dir):
