@@ -126,7 +126,7 @@ def fit(pairs: DataFrame, event: str = "event") -> Model:
     learn = vector.where(~part)
     if learn.agg(F.count_distinct("label")).first()[0] < 2:
         return Model(dict.fromkeys(FEATURES, 0.0), 0.0, [], [])
-    found: LogisticRegressionModel = LogisticRegression(featuresCol="_x", labelCol="label", regParam=1e-3, maxIter=60, tol=1e-8).fit(learn)
+    found: LogisticRegressionModel = LogisticRegression(featuresCol="_x", labelCol="label", regParam=1e-3, maxIter=60, tol=1e-6).fit(learn)
     bare = Model(dict(zip(FEATURES, map(float, found.coefficients), strict=True)), float(found.intercept), [], [])
     return calibrate(bare, pairs.where(part))
 
