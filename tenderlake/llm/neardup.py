@@ -208,7 +208,7 @@ def components(links: DataFrame, scratch: Scratch, per_task: int = LINKS_PER_TAS
     edges, seen = scratch.save(stars, "edges"), None
     while tasks > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).hint("merge")  # a union loses the hints of its sides
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.save(large.where("u <> v").distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -326,7 +326,7 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row: linked are documents with den * |both| >= num * |either| of their shingle sets."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "neardup")
+    scratch = Scratch(spark, "neardup", sent=False)
     most = allowed_distance(num, den)
     masks = index_masks(most)
     sig = [f"s{i}" for i in range(LONGS)]

@@ -131,7 +131,7 @@ def group_variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     The form is the near word of largest n, if that is factor times the word's.  Forms grow by that factor, so following them ends; steps
     double over stored tables until all words have reached their roots.
     """
-    scratch = Scratch(words.sparkSession, "spelling")
+    scratch = Scratch(words.sparkSession, "spelling", sent=False)
     words = scratch.save(words.select("word", "n"), "words")
     near = scratch.save(near_words(words), "near")
     counted = near.join(words.select(F.col("word").alias("other"), F.col("n").alias("m")), "other")

@@ -155,6 +155,18 @@ def test_long_chains_of_forms_reach_their_roots_and_ties_go_to_the_smaller(spark
     assert (got["xyzxyz"]["form"], got["xyzxyz"]["n_near"], got["xyzxyx"]["form"]) == ("xyzxya", 2, None)
 
 
+def test_keys_of_words_are_not_broadcast(spark):
+    from tenderlake.session import Scratch
+
+    scratch = Scratch(spark, "words", sent=False)
+    words = scratch.save(spark.createDataFrame([("letters", 9), ("lettersx", 5)], "word string, n long"), "words")
+    near = spelling.near_words(words)
+    assert sorted(map(tuple, near.collect())) == [("letters", "lettersx"), ("lettersx", "letters")]
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    asked = words.join(F.broadcast(words.select("word", F.col("n").alias("m"))), "word")
+    assert "BroadcastHashJoin" in asked._jdf.queryExecution().executedPlan().toString()
+
+
 # ---- alignment ----
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
