@@ -338,6 +338,13 @@ def test_components_of_links_in_one_task_and_in_several(spark):
         assert dict(neardup.components(stored, scratch, per_task).collect()) == {x: root(x) for x in up}
 
 
+def test_near_duplicates_broadcast_nothing_by_its_compressed_size(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(6)] + [(7, " ".join(f"w0x{j}" for j in range(40)) + " end")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, num=85)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {**{i: i for i in range(6)}, 7: 0}
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 # ---- pipeline ----
 
 
