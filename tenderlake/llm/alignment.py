@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 
 from tenderlake.session import Scratch
 
-from .coded import coded, for_chunks, save, words_of
+from .coded import ROW_GROUPS, coded, for_chunks, save, words_of
 from .common import frugal, gather, plain, spread, table, units
 
 #: Texts that are not simply split at all spaces: with white space before one, or one at an end.
@@ -223,7 +223,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     A pair's count is the number of documents that hold it linked; n_best is how many links have the highest count of their first id.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
-    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks")
+    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks", ROW_GROUPS)
     tokens = save(scratch, tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
     # From here on words are numbers.
     places = save(scratch, words_of(chunked).join(tokens.select("wid", "word"), "word").select(F.col("chunk").alias("of"), "pos", "wid"), "places")

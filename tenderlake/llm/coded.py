@@ -23,6 +23,8 @@ from .common import chunks, frugal, plain, units
 
 #: Bytes of text of a chunk.
 CHUNK = 8 << 20
+#: Row groups of a few chunks each, looked at after every row: a reader decodes all of a group at once.
+ROW_GROUPS = {"parquet.block.size": str(2 * CHUNK), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 Split = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]]
 
 
@@ -40,10 +42,10 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def save(scratch: Scratch, df: DataFrame, name: str, **more: str) -> DataFrame:
-    """A scratch table whose shuffles go once it is written, as nothing reads them again."""
+def save(scratch: Scratch, df: DataFrame, name: str, options: dict[str, str] | None = None, **more: str) -> DataFrame:
+    """A scratch table whose shuffles go once it is written, as nothing reads them again; options are those of the writer."""
     with settings(scratch.spark, classic_shuffleDependency_fileCleanup_enabled="true", **more):
-        return scratch.save(df, name)
+        return scratch.save(df, name, **(options or {}))
 
 
 def byte_table(lower: bool = True, space: str = "\t\n\v\f\r ") -> np.ndarray:
@@ -113,16 +115,6 @@ def words_of(chunked: DataFrame, *more: str) -> DataFrame:
     return chunked.select("chunk", *more, F.posexplode("words").alias("pos", "word"))
 
 
-def put_back(chunked: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """The chunks with the number of their words, `n_words`, instead of them, and `found`: structs of (pos, fields) of their words as `known` by (word, fields) has them, in no order.
-
-    There are as many partitions as chunks, so that no task holds many of them at once.
-    """
-    met = words_of(chunked).join(known, "word").groupBy("chunk").agg(F.collect_list(F.struct("pos", *fields)).alias("found"))
-    others = [c for c in chunked.columns if c != "words"]
-    return chunked.select(*others, F.size("words").alias("n_words")).repartition(max(1, chunked.count()), "chunk").join(met, "chunk", "left")
-
-
 def for_chunks(docs: DataFrame, words: DataFrame, made: Callable[[pa.StructArray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """What made(documents, words) yields for each chunk of docs (chunk, docs); words (of, pos, ...) are those of chunk `of`, and come in the order of pos.
 

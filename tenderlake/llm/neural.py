@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import Scratch
 
-from .coded import coded, put_back, save, split_words
+from .coded import ROW_GROUPS, coded, for_chunks, save, split_words, words_of
 from .common import frugal, spread, table
 
 #: Classes, with the one for all other tokens; numbers of a vector.
@@ -231,46 +231,43 @@ def score(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
     base_score is that of the smoothed counts alone.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "neural")
-    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), held.alias("held"), F.col(text).alias("text")), "text", split_words), "chunks")
+    chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), held.alias("held"), F.col(text).alias("text")), "text", split_words), "chunks", ROW_GROUPS)
     counts = save(scratch, token_counts(chunked), "counts")
     n, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "word").limit(CLASSES - 1).collect()]
     model = train(chunked, Model.fresh(top, n, distinct))
     sent = spark.sparkContext.broadcast((model, model.tables()))
-    # Chunks are shuffled without their words: what counts say of these comes by position.
+    # Documents are shuffled without their words: what counts say of these comes by position.
     named = spark.createDataFrame([(t, k) for k, t in enumerate(model.tokens)], "word string, class int")  # at most CLASSES rows
     known = counts.join(F.broadcast(named), "word", "left").select("word", "n", F.coalesce("class", F.lit(len(model.tokens))).alias("class"))
+    places = words_of(chunked).join(known, "word").select(F.col("chunk").alias("of"), "pos", "n", "class")
 
-    def told(batches):
+    def told(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
         model, (first, second, norm) = sent.value
         rest, floor = len(model.tokens), np.log10(model.n + 0.5 * (model.distinct + 1))
-        for batch in batches:
-            for at, (docs, codes, offsets) in enumerate(_docs(batch)):
-                c, own = np.zeros(batch.column("n_words")[at].as_py()), np.full(batch.column("n_words")[at].as_py(), rest, np.int32)
-                if batch.column("found")[at].is_valid:
-                    found = pa.concat_arrays([batch.column("found")[at].values])
-                    pos = np.asarray(found.field("pos"))
-                    c[pos], own[pos] = np.asarray(found.field("n")), np.asarray(found.field("class"))
-                logs = np.log10(c + 0.5)
-                base, within = logs - floor, np.where(own == rest, logs - np.log10(model.rest), 0)
-                classes, of = own[codes], np.repeat(np.arange(len(docs)), np.diff(offsets))
-                one, two = contexts(classes, offsets[:-1], model.start)
-                sums = np.zeros((3, len(docs)))
-                for s in range(0, len(codes), BLOCK):
-                    w = slice(s, s + BLOCK)
-                    i, j, v = one[w], two[w], classes[w]
-                    told = (first[i, v].astype(float) + second[j, v] - norm[i, j]) / LN10 + within[codes[w]]
-                    for k, x in enumerate((told, base[codes[w]], (c > 0)[codes[w]])):
-                        sums[k] += np.bincount(of[w], weights=x, minlength=len(docs))
-                lengths = pa.array(np.diff(offsets), pa.int64())
-                yield pa.record_batch([docs.field("doc_id"), docs.field("held"), lengths, pa.array(sums[2].astype(np.int64)), pa.array(np.full(len(docs), model.n), pa.int64()), pa.array(sums[1]), pa.array(sums[0])], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    def run(batches):
-        with frugal():
-            yield from told(batches)
+        lists = docs.field("codes")
+        offsets = np.asarray(lists.offsets, dtype=np.int64)
+        codes, offsets = np.asarray(lists.values, dtype=np.int64)[offsets[0] : offsets[-1]], offsets - offsets[0]
+        size = int(codes.max(initial=-1)) + 1
+        c, own = np.zeros(size), np.full(size, rest, np.int32)
+        pos = np.asarray(words.column("pos"))
+        c[pos], own[pos] = np.asarray(words.column("n")), np.asarray(words.column("class"))
+        logs = np.log10(c + 0.5)
+        base, within = logs - floor, np.where(own == rest, logs - np.log10(model.rest), 0)
+        classes, of = own[codes], np.repeat(np.arange(len(docs)), np.diff(offsets))
+        one, two = contexts(classes, offsets[:-1], model.start)
+        sums = np.zeros((3, len(docs)))
+        for s in range(0, len(codes), BLOCK):
+            w = slice(s, s + BLOCK)
+            i, j, v = one[w], two[w], classes[w]
+            found = (first[i, v].astype(float) + second[j, v] - norm[i, j]) / LN10 + within[codes[w]]
+            for k, x in enumerate((found, base[codes[w]], (c > 0)[codes[w]])):
+                sums[k] += np.bincount(of[w], weights=x, minlength=len(docs))
+        lengths = pa.array(np.diff(offsets), pa.int64())
+        yield pa.record_batch([docs.field("doc_id"), docs.field("held"), lengths, pa.array(sums[2].astype(np.int64)), pa.array(np.full(len(docs), model.n), pa.int64()), pa.array(sums[1]), pa.array(sums[0])], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     key = chunked.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
-    return put_back(chunked, known, ["n", "class"]).select("docs", "n_words", "found").mapInArrow(run, f"doc_id {key}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return for_chunks(chunked.select("chunk", "docs"), places, told, f"doc_id {key}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op11_log_bilinear(spark, sf_dir):

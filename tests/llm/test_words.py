@@ -38,6 +38,21 @@ def test_codes_give_the_words_back(spark, limit):
     assert told == want and len({r["chunk"] for r in got}) == len(got)
 
 
+def test_chunks_are_stored_in_row_groups_of_a_few(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tenderlake.session import Scratch
+
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(40)]
+    chunks = coded.coded(frame(spark, rows).select("doc_id", "text").coalesce(1), "text", coded.split_words, 1 << 12)
+    stored = coded.save(Scratch(spark, "t"), chunks, "chunks", coded.ROW_GROUPS | {"parquet.block.size": "20000"})
+    (path,) = glob.glob(f"{stored._scratch_path.removeprefix('file:')}/*.parquet")
+    found = pq.ParquetFile(path).metadata
+    assert found.num_rows > 30 and max(found.row_group(i).num_rows for i in range(found.num_row_groups)) <= 10
+
+
 # ---- language model ----
 
 
