@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenderlake.operators.asof import as_of
+from tenderlake.session import Scratch
 
 MONEY = "decimal(18,2)"
 PARTICIPATION = ("interested", "planholder", "respondent", "bidder", "awardee", "incumbent", "unknown")
@@ -184,14 +185,39 @@ def precision_at(predicted: DataFrame, bids: DataFrame, ks: tuple[int, ...] = (3
     return total.select("n_events", *[F.round(F.try_divide(f"h{k}", F.col("n_events") * k), 6).alias(f"precision_at_{k}") for k in ks], F.round(F.try_divide("found", "n_actual"), 6).alias("coverage"))
 
 
+#: Commodities of an event from which on it is compared with all that share one.
+WIDE = 64
+
+
 def similar_events(bids: DataFrame, of: DataFrame, top: int = 3) -> DataFrame:
-    """(event, similar, common, either, place): events that share commodities with those of `of`, by Jaccard similarity."""
-    items = bids.select("event", "commodity").distinct()
-    sizes = items.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
-    items = items.join(sizes, "event")  # sizes ride along, so that pairs are joined once only
-    a = items.join(of.select("event"), "event", "left_semi")
-    met = a.join(items.select(F.col("event").alias("similar"), "commodity", F.col("n").alias("m")), "commodity").where("event <> similar")
-    met = met.groupBy("event", "similar").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
-    met = met.withColumn("either", F.col("n") + F.col("m") - F.col("common"))
+    """(event, similar, common, either, place): events that share commodities with those of `of`, by Jaccard similarity.
+
+    Most pairs share one commodity.  Of these only the `top` smallest others, ties by id, can be among an event's best, whatever else there is: each of them is at
+    least as similar as all that come later.  So each commodity brings every event its `top` + 1 smallest events (it may be one of them), and pairs that share
+    two commodities or more are found under pairs of commodities.  Events of more than WIDE commodities are compared with all that share one.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy("event"))
+    items = Scratch(bids.sparkSession, "similar", sent=False).save(bids.select("event", "commodity").where("event IS NOT NULL").distinct().withColumn("n", n).where("commodity IS NOT NULL"), "items")
+    asked = of.select("event").distinct()
+    first = Window.partitionBy("commodity").orderBy("n", "event")
+    small = items.withColumn("r", F.row_number().over(first)).where(F.col("r") <= top + 1).select("commodity", F.col("event").alias("similar"), F.col("n").alias("m"))
+    one = items.join(asked, "event", "left_semi").join(small, "commodity").select("event", "similar", "n", "m", F.lit(1).cast("long").alias("common"))
+
+    narrow = items.where(F.col("n").between(2, WIDE)).groupBy("event", "n").agg(F.sort_array(F.collect_list("commodity")).alias("c"))
+    each = F.flatten(F.transform("c", lambda x, i: F.transform(F.slice("c", i + 2, F.greatest(F.size("c") - i - 1, F.lit(0))), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    two = narrow.select("event", "n", F.explode(each).alias("p")).select("event", "n", "p.x", "p.y")
+    # k common commodities are k (k - 1) / 2 common pairs.
+    common = ((1 + F.sqrt(1 + 8 * F.count(F.lit(1)))) / 2).cast("long").alias("common")
+    met = two.join(asked, "event", "left_semi").join(two.select(F.col("event").alias("similar"), F.col("n").alias("m"), "x", "y"), ["x", "y"])
+    several = met.where("event <> similar").groupBy("event", "similar", "n", "m").agg(common).select("event", "similar", "n", "m", "common")
+
+    wide = items.where(F.col("n") > WIDE)
+    other = items.select(F.col("event").alias("similar"), F.col("n").alias("m"), "commodity")
+    shared = wide.join(other, "commodity").groupBy("event", "similar", "n", "m").agg(F.count(F.lit(1)).alias("common"))
+    back = shared.select(F.col("similar").alias("event"), F.col("event").alias("similar"), F.col("m").alias("n"), F.col("n").alias("m"), "common")
+    large = shared.unionByName(back).join(asked, "event", "left_semi").select("event", "similar", "n", "m", "common")
+
+    found = one.unionByName(several).unionByName(large).where("event <> similar").groupBy("event", "similar", "n", "m").agg(F.max("common").alias("common"))
+    found = found.withColumn("either", F.col("n") + F.col("m") - F.col("common"))
     order = Window.partitionBy("event").orderBy(F.desc(F.col("common") / F.col("either")), "similar")
-    return met.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= top).select("event", "similar", "common", "either", "place")
+    return found.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= top).select("event", "similar", "common", "either", "place")

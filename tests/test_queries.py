@@ -131,6 +131,30 @@ def test_similar_events_of_every_event(spark):
     assert {(r["event"], r["similar"], r["place"]) for r in got} == want and len(got) == len(want)
 
 
+def test_similar_events_of_hot_commodities_and_wide_events(spark, monkeypatch):
+    import random
+
+    from tenderlake.operators import bidding
+
+    monkeypatch.setattr(bidding, "WIDE", 6)
+    rng = random.Random(5)
+    rows = {(e, c) for e in range(60) for c in [0, *rng.sample(range(1, 30), rng.randrange(1, 9))]} | {(70, 1), (71, None), (72, 1), (72, None)}
+    items = {}
+    for e, c in rows:
+        items.setdefault(e, set()).add(c)
+    df = spark.createDataFrame(sorted(rows, key=str), "event long, commodity long")
+    want = set()
+    for e, own in items.items():
+        met = [(len((own & x) - {None}), len(own | x) + (None in own & x), o) for o, x in items.items() if o != e and (own & x) - {None}]
+        for place, (k, either, o) in enumerate(sorted(met, key=lambda m: (-m[0] / m[1], m[2]))[:3], 1):
+            want.add((e, o, k, either, place))
+    got = bidding.similar_events(df, df.where("event % 2 = 0"))
+    assert {tuple(r) for r in got.collect()} == {w for w in want if w[0] % 2 == 0}
+    # A commodity of all events pairs each with a few of them only.
+    hot = spark.range(400).select("id", F.lit(0).alias("commodity")).toDF("event", "commodity")
+    assert bidding.similar_events(hot, hot).groupBy("similar").count().orderBy("similar").collect() == [(0, 399), (1, 399), (2, 399), (3, 3)]
+
+
 def test_events_without_predictions_count_as_misses(spark):
     from tenderlake.operators.bidding import precision_at
 
