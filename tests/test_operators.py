@@ -152,6 +152,16 @@ def test_as_of_against_brute_force(spark, bin_days):
     assert {(r["x"], r["n"]) for r in bare.collect()} == {(None, 0)}
 
 
+@pytest.mark.parametrize("hot", [0, 10**6])
+def test_as_of_shuffles_once_unless_a_key_is_hot(spark, hot):
+    t = lambda d: DAY + datetime.timedelta(days=d)
+    a = spark.createDataFrame([(i, 1, t(40 * i)) for i in range(4)], "i long, k long, t timestamp")
+    b = spark.createDataFrame([(i, 1, t(40 * i)) for i in range(4)], "r long, k long, t timestamp")
+    got = as_of(a, b, ["k"], "t", ["r"], {"last": F.col("r")}, {"n": F.lit(1).cast("long")}, 30, hot)
+    assert sorted((r["i"], r["last"], r["n"]) for r in got.collect()) == [(0, None, 0), (1, 0, 1), (2, 1, 2), (3, 2, 3)]
+    assert ("Join" in got._jdf.queryExecution().executedPlan().toString()) == (hot == 0)
+
+
 def test_features_use_nothing_of_the_day_itself(spark):
     t = lambda d: DAY + datetime.timedelta(days=d)
     rows = [(1, 7, 1, t(0), True), (1, 8, 1, t(0), False), (2, 7, 1, t(5), False), (2, 8, 1, t(5), True), (3, 7, 2, t(9), True), (4, 7, 1, t(9), True)]
