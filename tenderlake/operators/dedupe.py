@@ -36,20 +36,24 @@ def fuzzy_pairs(df: DataFrame, id_col: str, text: str, width: int = 5, num: int
 
     Equal texts are one class, named by its smallest id.  Two sets this similar share one of their
     rarest shingles (the first n - ceil(n * num / den) + 1 in the order of frequency), so only those are
-    joined; the sets of the pairs found are then compared in full.
+    joined; the sets of the pairs found are then compared in full.  A shingle of one set only is rarest and pairs nobody: it has to be counted, and
+    what several sets have is all that goes back to its set.
     """
+    scratch = Scratch(df.sparkSession, "fuzzy", sent=False)
     classes = df.where(F.col(text).isNotNull()).groupBy(F.sha2(text, 256)).agg(F.min(id_col).alias("id"), F.any_value(text).alias("text"))
     sets = shingled(classes.select("id", "text"), "text", width).where(F.size("set") > 0)
     one = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("s"))
-    shared = one.groupBy("s").agg(F.count(F.lit(1)).alias("freq"))
-    ranked = one.join(shared, "s").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("freq", "s")))
-    prefix = ranked.where((F.col("r") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("freq") > 1)).select("s", "id", "n")
+    shared = one.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("freq > 1")
+    held = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("freq", "s"))).getField("s").alias("held"))
+    held = scratch.save(held, "held")
+    first = (F.ceil(F.col("n") * num / den) * -1 + 1 + F.size("held")).cast("int")  # less the shingles of this set only
+    prefix = held.where(first > 0).select(F.explode(F.slice("held", F.lit(1), first)).alias("s"), "id", "n")
     a, b = prefix.select("s", F.col("id").alias("id_a"), F.col("n").alias("n_a")), prefix.select("s", F.col("id").alias("id_b"), F.col("n").alias("n_b"))
     close = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
     pairs = a.join(b, "s").where((F.col("id_a") < F.col("id_b")) & close).select("id_a", "id_b").distinct()
-    both = pairs.join(sets.select(F.col("id").alias("id_a"), F.col("set").alias("set_a")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("set").alias("set_b")), "id_b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    met = both.select("id_a", "id_b", common.cast("long").alias("common"), (F.size("set_a") + F.size("set_b") - common).cast("long").alias("either"))
+    side = lambda p: held.select(F.col("id").alias(f"id_{p}"), F.col("n").alias(f"n_{p}"), F.col("held").alias(f"held_{p}"))
+    common = F.size(F.array_intersect("held_a", "held_b"))
+    met = pairs.join(side("a"), "id_a").join(side("b"), "id_b").select("id_a", "id_b", common.cast("long").alias("common"), (F.col("n_a") + F.col("n_b") - common).cast("long").alias("either"))
     return met.where(F.col("common") * den >= F.col("either") * num)
 
 

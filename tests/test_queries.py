@@ -131,6 +131,19 @@ def test_similar_events_of_every_event(spark):
     assert {(r["event"], r["similar"], r["place"]) for r in got} == want and len(got) == len(want)
 
 
+def test_fuzzy_pairs_send_back_only_shared_shingles(spark, monkeypatch):
+    from tenderlake.operators import dedupe
+
+    saved = {}
+    save = dedupe.Scratch.save
+    monkeypatch.setattr(dedupe.Scratch, "save", lambda self, df, name="t", **more: saved.setdefault(name, save(self, df, name, **more)))
+    words = lambda k, n: [f"{k}w{i}" for i in range(n)]
+    rows = [(i, " ".join(words(i, 60))) for i in range(5)] + [(9, " ".join([*words(0, 60), "end"])), (10, None), (11, "few words")]
+    got = dedupe.fuzzy_pairs(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()
+    assert [tuple(r) for r in got] == [(0, 9, 56, 57)]
+    assert {r["id"]: (r["n"], len(r["held"])) for r in saved["held"].collect()} == {0: (56, 56), 9: (57, 56)}
+
+
 def test_similar_events_of_hot_commodities_and_wide_events(spark, monkeypatch):
     import random
 
