@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlake.plans import registry
 from tenderlake.plans.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -178,6 +179,14 @@ def test_events_without_predictions_count_as_misses(spark):
     assert tuple(precision_at(predicted.limit(0), bids, (1, 2), held=bids).first()) == (2, 0.0, 0.0, 0.0)
 
 
+def test_bids_are_dealt_by_event_in_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(registry, "BIDS_PER_TASK", 5_000)
+    met = registry.bids(spark, "/root/testdata/sf0.01").withColumn("part", F.spark_partition_id())
+    sizes = met.groupBy("part").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    assert sizes[0] == spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").count() and sizes[1] < 7_500
+    assert met.select("event", "part").distinct().groupBy("event").count().where("count > 1").isEmpty()
+
+
 def test_stream_and_batch_agree(spark, tmp_path):
     from tenderlake.session import table
     from tenderlake.streaming.observations import daily, latest_stream
