@@ -31,6 +31,21 @@ def _ago(ts: str) -> Column:
     return F.coalesce(F.exp(-F.datediff(F.col("date").cast("date"), F.col(ts).cast("date")) / F.lit(FADE)), F.lit(0.0))
 
 
+def _as_features(known: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns to keep and FEATURES, from what is known of each candidate (columns that begin with _)."""
+    log = lambda c: F.log1p(F.coalesce(f"_{c}", F.lit(0)).cast("double"))
+    usual = F.try_divide("_vendor_log", "_vendor_bids")
+    made = {
+        **{c: log(c) for c in ("pair_bids", "pair_wins", "category_bids", "category_wins", "vendor_bids")},
+        "pair_recent": _ago("_pair_last"),
+        "vendor_recent": _ago("_vendor_last"),
+        "is_incumbent": F.coalesce((F.col("_incumbent") == F.col("vendor")).cast("double"), F.lit(0.0)),
+        "vendor_win_rate": F.coalesce(F.try_divide(F.col("_vendor_wins").cast("double"), F.col("_vendor_bids")), F.lit(0.0)),
+        "size_fit": F.coalesce(F.exp(-F.abs(F.when(F.col("amount") > 0, F.log("amount")) - usual)), F.lit(0.0)),
+    }
+    return known.select(*keep, *[made[f].alias(f) for f in FEATURES])
+
+
 def candidate_features(candidates: DataFrame, bids: DataFrame) -> DataFrame:
     """candidates (event, vendor, buyer, category, amount, date, ...) with FEATURES as doubles; bids are (event, vendor, buyer, category, amount, date, won).
 
@@ -44,17 +59,7 @@ def candidate_features(candidates: DataFrame, bids: DataFrame) -> DataFrame:
     out = as_of(out, past, ["vendor", "category"], "date", ["event"], {}, {"_category_bids": one, "_category_wins": wins})
     out = as_of(out, past, ["vendor"], "date", ["event"], {"_vendor_last": F.col("date")}, {"_vendor_bids": one, "_vendor_wins": wins, "_vendor_log": F.when(F.col("amount") > 0, F.log("amount"))})
     out = as_of(out, past.where("won"), ["buyer"], "date", ["event", "vendor"], {"_incumbent": F.col("vendor")}, {})
-    log = lambda c: F.log1p(F.coalesce(f"_{c}", F.lit(0)).cast("double"))
-    usual = F.try_divide("_vendor_log", "_vendor_bids")
-    made = {
-        **{c: log(c) for c in ("pair_bids", "pair_wins", "category_bids", "category_wins", "vendor_bids")},
-        "pair_recent": _ago("_pair_last"),
-        "vendor_recent": _ago("_vendor_last"),
-        "is_incumbent": F.coalesce((F.col("_incumbent") == F.col("vendor")).cast("double"), F.lit(0.0)),
-        "vendor_win_rate": F.coalesce(F.try_divide(F.col("_vendor_wins").cast("double"), F.col("_vendor_bids")), F.lit(0.0)),
-        "size_fit": F.coalesce(F.exp(-F.abs(F.when(F.col("amount") > 0, F.log("amount")) - usual)), F.lit(0.0)),
-    }
-    return out.select(*candidates.columns, *[made[f].alias(f) for f in FEATURES])
+    return _as_features(out, candidates.columns)
 
 
 def events_of(bids: DataFrame) -> DataFrame:
@@ -93,11 +98,13 @@ class Model:
     bounds: list[float]
     values: list[float]
 
+    def raw(self) -> Column:
+        return sum((F.col(f) * w for f, w in self.weights.items()), F.lit(self.intercept))
+
     def score(self, df: DataFrame) -> DataFrame:
         """df with contributions (structs of name and value, log-odds), raw_score, probability and confident."""
         parts = F.array(*[F.struct(F.lit(f).alias("name"), (F.col(f) * w).alias("value")) for f, w in self.weights.items()])
-        total = sum((F.col(f) * w for f, w in self.weights.items()), F.lit(self.intercept))
-        out = df.withColumns({"contributions": parts, "raw_score": total})
+        out = df.withColumns({"contributions": parts, "raw_score": self.raw()})
         return out.withColumn("probability", self._calibrated(F.col("raw_score"))).withColumn("confident", F.col("probability") >= CONFIDENT)
 
     def _calibrated(self, x: Column) -> Column:
@@ -143,20 +150,48 @@ def calibrate(model: Model, pairs: DataFrame) -> Model:
     return dataclasses.replace(model, bounds=list(map(float, found.boundaries)), values=list(map(float, found.predictions)))
 
 
+def features_after(events: DataFrame, old: DataFrame, pool: int) -> DataFrame:
+    """(event, vendor, FEATURES) of the candidates (see predicted_bidders) of events that are later than all of `old`, whose vendors and dates are known.
+
+    All of `old` is before each of them, so sums by key take the place of as-of joins.  What depends on the buyer's list or the category's
+    list alone is joined to the lists, and a vendor of both comes from the buyer's, so that candidates are shuffled once for what is left.
+    """
+    one, wins = F.count(F.lit(1)), F.count_if("won")
+
+    def usual(by: str, name: str, *more: Column) -> DataFrame:
+        n = old.where(F.col(by).isNotNull()).groupBy(by, "vendor").agg(one.alias(f"_{name}_bids"), wins.alias(f"_{name}_wins"), *more)
+        return n.withColumn(f"_{name}_place", F.row_number().over(Window.partitionBy(by).orderBy(F.desc(f"_{name}_bids"), "vendor")))
+
+    pairs, kinds = usual("buyer", "pair", F.max("date").alias("_pair_last")), usual("category", "category")
+    log = F.coalesce(F.sum(F.when(F.col("amount") > 0, F.log("amount"))), F.lit(0.0))
+    vendors = old.groupBy("vendor").agg(F.max("date").alias("_vendor_last"), one.alias("_vendor_bids"), wins.alias("_vendor_wins"), log.alias("_vendor_log"))
+    incumbents = old.where("won").groupBy("buyer").agg(F.max_by("vendor", F.struct("date", "event", "vendor")).alias("_incumbent"))
+    told = events.select("event", "buyer", "category", "amount", "date").distinct().join(incumbents, "buyer", "left")
+    by_buyer = told.join(pairs.where(F.col("_pair_place") <= pool).join(vendors, "vendor"), "buyer").join(kinds.drop("_category_place"), ["vendor", "category"], "left")
+    by_kind = told.join(kinds.where(F.col("_category_place") <= pool).join(vendors, "vendor"), "category").join(pairs, ["vendor", "buyer"], "left")
+    by_kind = by_kind.where(F.col("_pair_place").isNull() | (F.col("_pair_place") > pool)).drop("_category_place")
+    return _as_features(by_buyer.unionByName(by_kind), ["event", "vendor"])
+
+
 def predicted_bidders(model: Model, events: DataFrame, bids: DataFrame, cutoff: str, top: int = 5, pool: int = 25) -> DataFrame:
     """(event, vendor, place, probability, confident, contributions, raw_score): the `top` of each event's candidates.
 
     Candidates are the `pool` vendors that bid most often for the buyer before the cutoff, or else in the event's category; both lists are made
     once for each buyer and category, not for each event.
     """
-    old = bids.where((F.col("date") < F.lit(cutoff).cast("timestamp")) & F.col("vendor").isNotNull())
+    when = F.lit(cutoff).cast("timestamp")
+    old = bids.where((F.col("date") < when) & F.col("vendor").isNotNull())
 
     def usual(by: str) -> DataFrame:
         n = old.where(F.col(by).isNotNull()).groupBy(by, "vendor").agg(F.count(F.lit(1)).alias("n"))
         return n.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), "vendor"))).where(F.col("r") <= pool).select(by, "vendor")
 
-    both = [events.join(usual(by), by).select(*events.columns, "vendor") for by in ("buyer", "category")]
-    scored = model.score(candidate_features(both[0].unionByName(both[1]).distinct(), old))
+    early = events.where(F.col("date").isNull() | (F.col("date") < when))
+    found = features_after(events.where(F.col("date") >= when), old, pool)
+    if not early.isEmpty():
+        both = [early.join(usual(by), by).select(*events.columns, "vendor") for by in ("buyer", "category")]
+        found = found.unionByName(candidate_features(both[0].unionByName(both[1]).distinct(), old).select("event", "vendor", *FEATURES))
+    # Contributions are told of the best only: they would be most of what is shuffled.
     best = Window.partitionBy("event").orderBy(F.desc("raw_score"), "vendor")
-    placed = scored.withColumn("place", F.row_number().over(best).cast("long")).where(F.col("place") <= top)
-    return placed.select("event", "vendor", "place", "probability", "confident", "contributions", "raw_score")
+    placed = found.withColumn("raw_score", model.raw()).withColumn("place", F.row_number().over(best).cast("long")).where(F.col("place") <= top)
+    return model.score(placed).select("event", "vendor", "place", "probability", "confident", "contributions", "raw_score")

@@ -427,6 +427,33 @@ def test_predictions_without_history(spark):
     assert prediction.training_pairs(bids.limit(0)).count() == 0
 
 
+def test_features_after_all_bids_are_those_of_the_as_of_joins(spark):
+    """Also of events without a buyer, category or amount; no candidate is put in order with all bids, as as-of joins do."""
+    from pyspark.sql.window import Window
+
+    from tenderlake.operators import prediction
+    from tenderlake.plans import registry
+
+    b = registry.awarded(spark, "/root/testdata/sf0.001").drop("line", "commodity")
+    cutoff = F.lit("1997-01-01").cast("timestamp")
+    old, e = b.where(F.col("date") < cutoff), F.col("event")
+    held = prediction.events_of(b.where(F.col("date") >= cutoff))
+    held = held.withColumns({"buyer": F.when(e % 11 != 0, F.col("buyer")), "category": F.when(e % 7 != 0, F.col("category")), "amount": F.when(e % 5 != 0, F.col("amount"))}).localCheckpoint()
+    old = old.withColumn("amount", F.when(e % 3 != 0, F.col("amount"))).localCheckpoint()
+    pool, lists = 4, []
+    for by in ("buyer", "category"):
+        n = old.where(F.col(by).isNotNull()).groupBy(by, "vendor").count()
+        n = n.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("count"), "vendor"))).where(F.col("r") <= pool)
+        lists.append(held.join(n.select(by, "vendor"), by).select(*held.columns, "vendor"))
+    told = lambda df: {(r.event, r.vendor): [round(x, 9) for x in r[2:]] for r in df.collect()}
+    found = prediction.features_after(held, old, pool).localCheckpoint()
+    want = prediction.candidate_features(lists[0].unionByName(lists[1]).distinct(), old).select("event", "vendor", *prediction.FEATURES)
+    assert found.count() == want.count() > 500 and told(found) == told(want)
+    model = prediction.Model(dict.fromkeys(prediction.FEATURES, 0.1), 0.0, [], [])
+    plan = prediction.predicted_bidders(model, held, old, "1997-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "_side" not in plan
+
+
 # ---- contracts, links, fetches, spend, gaps ----
 
 
