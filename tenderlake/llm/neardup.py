@@ -18,6 +18,8 @@
 4. Links are confirmed on the full shingle sets, and components are found by union-find in tasks of bounded size, whose stars are joined by alternating large-star and
    small-star steps on tables in the shared folder.
 
+Nothing is broadcast or collected, so the driver's memory doesn't grow with the documents.
+
 Defined cases: a null or empty text or one without words has an empty set and is linked with
 nothing; fewer words than a shingle are one shingle together; rows with the same doc_id are one
 document, which is linked by any of their texts; rows with a null doc_id are linked with nothing and stay; repeated rows get the
@@ -37,14 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .coded import save
 from .common import Scratch, chunks, frugal, plain, spread, table
 
 SYMBOLS, CHUNKS, SIGMAS = 100, 20, 4.75
 LONGS = -(-SYMBOLS // 8)
-#: Ids of documents that take part in pairs: up to so many are broadcast to pick their texts, more are joined.
-BROADCAST_IDS = 200_000
-#: Index keys and shared items, of 16 to 24 bytes each, that are broadcast at most to those who have them; more are joined.
-BROADCAST_ITEMS = 400_000
 #: Tasks at most over which the sets of one hub are dealt to be told of it.
 SALTS = 64
 #: Links that one task contracts.
@@ -261,11 +260,6 @@ def _differences(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return _compared(pairs, texts, width, "id long, hub long, n long, n_hub long, items array<long>", told)
 
 
-def _small(df: DataFrame, most: int) -> DataFrame:
-    """The stored table df, to be broadcast if it has at most so many rows."""
-    return F.broadcast(df) if df.count() <= most else df
-
-
 def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
     """Links (a, b) between sets of different components that have a hub in common; diffs is a stored table.
 
@@ -281,14 +275,12 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     """
     u, v = den + num, den - num
     of = labels.withColumnRenamed("component", "c")
-    told = diffs.join(_small(of, BROADCAST_IDS), "id", "left").withColumns({"c": F.coalesce("c", "id"), "d": F.size("items").cast("long")})
+    told = diffs.join(of, "id", "left").withColumns({"c": F.coalesce("c", "id"), "d": F.size("items").cast("long")})
     hubs = told.groupBy("hub").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).join(of.select(F.col("id").alias("hub"), F.col("c").alias("hub_c")), "hub", "left")
     hubs = scratch.save(hubs.withColumn("hub_c", F.coalesce("hub_c", "hub")).where("c_low <> hub_c OR c_high <> hub_c").select("hub", "hub_c"), "hubs")
-    if hubs.count() <= BROADCAST_IDS:
-        known = told.join(F.broadcast(hubs), "hub")
-    else:  # salted: one hub may have a large part of all sets
-        salted = hubs.select("hub", "hub_c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        known = told.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["hub", "salt"]).drop("salt")
+    # Salted: one hub may have a large part of all sets.
+    salted = hubs.select("hub", "hub_c", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    known = told.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["hub", "salt"]).drop("salt")
     known = known.withColumn("apart", F.col("c") != F.col("hub_c"))
     up = lambda x, by: F.floor((x + (by - 1)) / F.lit(by))
     least_any = F.greatest(F.lit(1), up(F.col("d") * u - (F.col("n") + F.col("n_hub")) * v, u + v))
@@ -306,7 +298,7 @@ def _across(diffs: DataFrame, labels: DataFrame, scratch: Scratch, num: int, den
     held = each.groupBy("hub", "item").agg(F.count(F.lit(1)).alias("sets"), F.min("c").alias("c_low"), F.max("c").alias("c_high"), F.max("apart").alias("any_apart"))
     held = scratch.save(held.where("c_low <> c_high AND any_apart").select("hub", "item", "sets"), "held")
     mine = Window.partitionBy("hub", "id")
-    each = each.join(_small(held, BROADCAST_ITEMS), ["hub", "item"])
+    each = each.join(held, ["hub", "item"])
     each = each.withColumn("place", F.col("d") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("sets", "item"))).drop("sets")
     each = scratch.save(each.where(F.col("place") <= F.greatest("with_apart", "with_near")), "each")
     side = lambda df, p: df.select("hub", "item", *[F.col(x).alias(f"{p}_{x}") for x in ("n", "d", "c", "apart", "with_apart", "with_near", "place")], F.col("id").alias(p))
@@ -348,7 +340,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     keys = nodes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), *[F.col(f"s{at}").bitwiseAND(F.lit(mask)) for at, mask in m.items()]) for i, m in enumerate(masks)])).alias("key"))
     buckets = scratch.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    members = scratch.save(keys.join(_small(buckets, BROADCAST_ITEMS), "key"), "members")
+    members = scratch.save(keys.join(buckets, "key"), "members")
     # A set whose keys many others have lies in the middle of its group, where most links go.
     central = members.groupBy("id").agg(F.sum("members").alias("rank"))
     hubs = scratch.save(members.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("rank", "id")).alias("hub")), "hubs")
@@ -358,9 +350,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         ids = scratch.save(classes.select("id", "doc_id", "text_hash").join(ids, "id", "left_semi"), "ids")
-        few = ids.count() <= BROADCAST_IDS  # 24 bytes each
-        texts = _keyed(docs, doc_id, text).where("text IS NOT NULL").join(F.broadcast(ids) if few else ids, ["doc_id", "text_hash"]).select("id", "text")
-        return scratch.save(texts.dropDuplicates(["id"]) if repeated else texts, "texts")
+        # A task keeps its part of the ids, so the texts need not be sorted.
+        texts = _keyed(docs, doc_id, text).where("text IS NOT NULL").join(ids.hint("shuffle_hash"), ["doc_id", "text_hash"]).select("id", "text")
+        return save(scratch, texts.dropDuplicates(["id"]) if repeated else texts, "texts")
 
     # First each set with the central one that it shares most keys with.
     a_side, b_side = (nodes.select(F.col("id").alias(p), F.col("n").alias(f"{p}_n"), *[F.col(s).alias(f"{p}{s}") for s in sig]) for p in "ab")
@@ -378,7 +370,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def mixed(labels: DataFrame) -> DataFrame:
         """(a, b): sets and hubs of buckets that hold several components."""
         told = placed.join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        several = told.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+        several = told.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key").hint("merge")
         return scratch.save(told.join(several, "key", "left_semi").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "mixed")
 
     # Then, in buckets that still hold several components, all sets with their hubs, and with others by what differs from the hub.
@@ -397,7 +389,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Only classes of several rows or with links need to be told their component.
     told = classes.join(labels, "id", "left").where("rows > 1 OR component IS NOT NULL OR id <> doc_id").withColumn("component", F.coalesce("component", "id"))
     if unnamed:  # the smallest id of a component need not be a doc_id then
-        told = told.join(told.groupBy("component").agg(F.min("doc_id").alias("least")), "component").withColumn("component", F.col("least"))
+        told = told.join(told.groupBy("component").agg(F.min("doc_id").alias("least")).hint("merge"), "component").withColumn("component", F.col("least"))
     told = told.select("f1", "f2", "component")
     told = scratch.save(told, "told")
     out = feats.select("doc_id", "n", "f1", "f2").join(told, ["f1", "f2"], "left")

@@ -345,6 +345,26 @@ def test_near_duplicates_broadcast_nothing_by_its_compressed_size(spark):
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_near_duplicates_send_nothing_through_the_driver(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    rows = [(i, near_copies(rng, base, 0, 3)) for i in range(20)]
+    for family in range(4):
+        w = near_copies(rng, base, 5, 12).split()
+        rows += [(100 + 10 * family + i, near_copies(rng, w, 0, 4, 300)) for i in range(6)]
+    rows += [(101, rows[0][1])]  # a document with two texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, width=3, num=85).collect()}
+    assert got == {r[0]: r[2] for r in brute_components(rows, 3, 85, 100)}
+    assert corpus_pipeline.near_dedup(spark, docs, SF).count() > 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    ran = store.executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(before, ran.size())]
+    assert len(plans) > 40 and not any("BroadcastExchange" in p for p in plans)  # as they were carried out
+
+
 # ---- pipeline ----
 
 
