@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +48,8 @@ AT_ONCE, LARGE, LOW = 5_000, 256, (1 << 32) - 1
 BLOCK = 1 << 18
 #: Pairs that are sent to all tasks at most; more are shuffled.
 SENT = 1_000_000
+#: Parts of the chunks whose words are sent to them one after the other; the shuffles of one part are gone before the next.
+ROUNDS = 4
 TOKENS = "wid long, word string, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>"
 
 
@@ -217,10 +220,20 @@ def documents_of(docs: DataFrame, words: DataFrame, sums: list[str]) -> DataFram
     return for_chunks(docs, words, made, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
 
 
-def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) -> DataFrame:
+def in_rounds(scratch: Scratch, docs: DataFrame, places: DataFrame, made: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
+    """made(docs, places) of all chunks, written by ROUNDS ranges of the partitions that the chunks come from."""
+    parts = (docs.agg(F.max("chunk")).first()[0] or 0) // (1 << 33) + 1
+    bounds = [parts * k // ROUNDS << 33 for k in range(ROUNDS + 1)]
+    within = lambda df, c, lo, hi: df.where((F.col(c) >= lo) & (F.col(c) < hi))
+    saved = [save(scratch, made(within(docs, "chunk", lo, hi), within(places, "of", lo, hi)), name) for lo, hi in pairwise(bounds) if lo < hi]
+    return reduce(DataFrame.unionByName, saved)
+
+
+def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups): the alignment of each document, as written by word_links().
 
     A pair's count is the number of documents that hold it linked; n_best is how many links have the highest count of their first id.
+    kept(these rows) is what is written of them and returned.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
     chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks", ROW_GROUPS)
@@ -234,7 +247,8 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
     named = words.select("wid", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    counts = save(scratch, document_counts(coded_docs, places.join(named, "wid").drop("wid")).withColumn("a", F.shiftright("pair", 32)), "counts")
+    counts = in_rounds(scratch, coded_docs, places, lambda docs, places: document_counts(docs, places.join(named, "wid").drop("wid")), "held")
+    counts = save(scratch, counts.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
     best = F.broadcast(best) if counts.count() <= SENT else best
@@ -245,10 +259,10 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str) ->
     told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("wid", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
     told = save(scratch, told, "told")
     scratch.drop(words, counts)
-    return documents_of(coded_docs, places.join(told, "wid").drop("wid"), sums)
+    return in_rounds(scratch, coded_docs, places, lambda docs, places: kept(documents_of(docs, places.join(told, "wid").drop("wid"), sums)), "documents")
 
 
 def op13_token_alignment(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    met = align(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    return met.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+    digest = lambda df: df.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+    return align(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest)

@@ -237,6 +237,25 @@ def test_pairs_are_shuffled_where_they_are_many(spark, monkeypatch):
     assert sorted(map(tuple, alignment.align(frame(spark, rows), "doc_id", "text", A, B).collect())) == want == sorted(brute_alignment(rows))
 
 
+def test_words_go_to_their_chunks_by_parts(spark, monkeypatch):
+    save, written = alignment.Scratch.save, {}
+
+    def counted(self, df, name="t", **options):
+        out = save(self, df, name, **options)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(alignment.Scratch, "save", counted)
+    rows = [(i, f"word{i % 7} and {i}") for i in range(40)] + [(40, None), (41, "")]
+    want = sorted(brute_alignment(rows))
+    for rounds in (1, 3, 50):
+        monkeypatch.setattr(alignment, "ROUNDS", rounds)
+        written.clear()
+        assert sorted(map(tuple, alignment.align(frame(spark, rows).repartition(6), "doc_id", "text", A, B).collect())) == want
+        assert len(written["documents"]) == len(written["held"]) == min(rounds, 6) and sum(written["documents"]) == len(rows)
+        assert rounds == 1 or max(written["documents"]) < len(rows) / 2
+
+
 def test_borders_leave_tokens_alone():
     tokens = alignment.both_tokenizers(A, B)
     col = pa.array([t for t in ODD if t], pa.string())
