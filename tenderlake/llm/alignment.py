@@ -1,7 +1,7 @@
 """Alignment of the tokens of two tokenizers, relationally.
 
 Tokens are exploded with their positions, their ends are windowed sums of lengths, an equi-join on the end finds where both
-tokenizers cut, the running count of cuts is a token's group, and a join of the groups of both sides gives the links.
+tokenizers cut, and the running count of cuts is a token's group.  The groups of a word come in order, and Arrow batches link their ids.
 
 Both tokenizers cut before a space that follows anything but white space: pieces of the first begin there, and no piece of
 the second has a space after another character.  What lies between is a word here.  A word has the same tokens, groups and links
@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
@@ -43,14 +43,17 @@ BORDER = re.compile(r"(?<=\S) (?!\Z)")
 #: Bytes of text of a chunk: the larger, the fewer words stand in several.
 CHUNK = 12 << 20
 #: Words that are tokenised at a time; links from which on a group's ids are counted; the lower half of a long.
-AT_ONCE, LARGE, LOW = 5_000, 256, (1 << 32) - 1
+AT_ONCE, LARGE = 5_000, 256
 #: Words of documents that are put together at a time.
 BLOCK = 1 << 18
 #: Pairs that are sent to all tasks at most; more are shuffled.
 SENT = 1_000_000
 #: Parts of the chunks whose words are sent to them one after the other; the shuffles of one part are gone before the next.
 ROUNDS = 4
-TOKENS = "wid long, word string, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>"
+#: Rows that Python looks at together at least; where a word's number says in which round it is sent.
+ROWS, ROUND_BIT = 100_000, 56
+TOKENS = "wid long, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>, places array<struct<of: long, pos: int>>"
+LINKS = "wid long, n_a long, n_b long, n_groups long, groups string, pairs array<long>, many array<struct<pair: long, m: long>>"
 
 
 def split_at_borders(col: pa.Array):
@@ -112,30 +115,71 @@ def both_tokenizers(a_path: str, b_path: str) -> tuple[Tokens, Tokens]:
     return Tokens(first, a_bytes), Tokens(lambda words: b.encode(words, num_threads=1), b_bytes)
 
 
-def tokens_of(words: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """TOKENS of the distinct words; the numbers are those of one run."""
+def together(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, in which equal keys stand together, as batches of at least so many rows that part no key's rows."""
+    held, n = [], 0
+    joined = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            col = batch.column(batch.schema.get_field_index(key))
+            if cut := pc.index(pc.equal(col, col[-1]), True).as_py():
+                held[-1] = batch.slice(0, cut)
+                yield joined()
+                held, n = [batch.slice(cut)], batch.num_rows - cut
+    if held:
+        yield joined()
+
+
+def ranges(starts: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """The values by lists that begin there."""
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+def strung(lists: pa.ListArray, between: str) -> pa.Array:
+    """The large_strings of each list in one."""
+    return pc.binary_join(lists, pa.scalar(between, pa.large_string()))
+
+
+def tokens_of(words: DataFrame, a_path: str, b_path: str, bounds: list[int]) -> DataFrame:
+    """TOKENS of the distinct words of (chunk, pos, word), with their places; the numbers are those of one run.
+
+    A number begins with the round whose chunks, from one of the bounds to the next, have all places of the word, or with how many rounds there are.
+    """
 
     def told(batches):
         two, number = both_tokenizers(a_path, b_path), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                some = plain(batch.column(0).slice(at, AT_ONCE))
+        for rows in together(batches, "word", ROWS):
+            runs = pc.run_end_encode(plain(rows["word"]))
+            ends, names, chunk = np.asarray(runs.run_ends, dtype=np.int64), runs.values, np.asarray(rows["chunk"])
+            starts, rounds = ends - np.diff(ends, prepend=0), np.searchsorted(bounds[1:], chunk, side="right")
+            first, last = np.minimum.reduceat(rounds, starts), np.maximum.reduceat(rounds, starts)
+            wid = (np.where(first == last, first, len(bounds) - 1).astype(np.int64) << ROUND_BIT) + number + np.arange(len(ends))
+            number += len(ends)
+            places = ranges(starts, pa.StructArray.from_arrays([rows["chunk"], rows["pos"]], ["of", "pos"]))
+            for at in range(0, len(ends), AT_ONCE):
+                some = plain(names.slice(at, AT_ONCE))
                 spaced = pc.binary_join_element_wise(pa.scalar("", some.type), some, pa.scalar(" ", some.type))
-                data, ends = np.frombuffer(spaced.buffers()[2], np.uint8), np.asarray(pc.binary_length(spaced)).cumsum()
-                (good_a, *a), (good_b, *b) = (t.of(some.to_pylist(), data, ends) for t in two)
+                data, upto = np.frombuffer(spaced.buffers()[2], np.uint8), np.asarray(pc.binary_length(spaced)).cumsum()
+                (good_a, *a), (good_b, *b) = (t.of(some.to_pylist(), data, upto) for t in two)
                 ok = good_a & good_b & np.asarray(pc.not_equal(some, ""))
-                yield pa.record_batch([pa.array(range(number, number + len(some)), pa.int64()), some.cast(pa.string()), pa.array(ok), *a, *b], names=["wid", "word", "ok", "a", "a_len", "b", "b_len"])
-                number += len(some)
+                yield pa.record_batch([pa.array(wid[at : at + AT_ONCE]), pa.array(ok), *a, *b, places.slice(at, AT_ONCE)], names=["wid", "ok", "a", "a_len", "b", "b_len", "places"])
 
     def run(batches):
         with frugal():
             yield from told(batches)
 
-    return words.select("word").mapInArrow(run, TOKENS)
+    return words.select("chunk", "pos", "word").repartition("word").sortWithinPartitions("word").mapInArrow(run, TOKENS)
 
 
 def aligned(tokens: DataFrame) -> DataFrame:
-    """(wid, end, a, b, grp) of TOKENS: the ids that end at each byte offset where one does, and the number of cuts before it."""
+    """(wid, end, a, b, grp) of TOKENS: the ids that end at each byte offset where one does, and the number of cuts before it.
+
+    The rows of a word stand together in the order of their ends.
+    """
     order = Window.partitionBy("wid").orderBy("pos")
 
     def ends(side: str) -> DataFrame:
@@ -143,36 +187,53 @@ def aligned(tokens: DataFrame) -> DataFrame:
         one = one.select("wid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("len"))).alias("pos", "t"))
         return one.select("wid", F.sum("t.len").over(order).alias("end"), F.col("t.id").alias(side))
 
-    met = ends("a").join(ends("b"), ["wid", "end"], "full")
+    met = ends("a").join(ends("b"), ["wid", "end"], "full").repartition("wid")
     before = Window.partitionBy("wid").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
     cut = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1).otherwise(0)
-    return met.select("wid", "end", "a", "b", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp"))
-
-
-def pair(a: Column, b: Column) -> Column:
-    """Two ids as one number."""
-    return F.shiftleft(a.cast("long"), 32) + b
+    return met.select("wid", "end", "a", "b", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp")).sortWithinPartitions("wid", "end")
 
 
 def word_links(rows: DataFrame) -> DataFrame:
-    """(wid, n_a, n_b, n_groups, groups, pairs, many) of aligned().
+    """LINKS of aligned().
 
-    groups is `a1,a2|b1;a3|b2,b3`; pairs has the linked pairs of small groups, each as often as it is linked; many those of large ones as
-    structs (pair, m), whose ids are counted first, so that no group is squared by its occurrences.
+    groups is `a1,a2|b1;a3|b2,b3`; pairs has the linked pairs of small groups (two ids as one number), each as often as it is linked; many
+    those of large ones as structs (pair, m), whose ids are counted first, so that no group is squared by its occurrences.
     """
-    # An id and its end are one number while they are put in order.
-    one = rows.groupBy("wid", "grp").agg(*[F.collect_list(F.shiftleft("end", 32) + F.col(s)).alias(s) for s in "ab"])
-    ids = lambda s: F.transform(F.sort_array(s), lambda x: x.bitwiseAND(F.lit(LOW))).alias(s)
-    one = one.select("wid", "grp", ids("a"), ids("b"))
-    said = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
-    each = F.flatten(F.transform("a", lambda a: F.transform("b", lambda b: pair(a, b))))
-    counted = lambda ids: F.transform(F.array_distinct(ids), lambda x: F.struct(x.alias("id"), F.size(F.filter(ids, lambda y: y == x)).cast("long").alias("n")))
-    large = F.flatten(F.transform(counted(F.col("a")), lambda a: F.transform(counted(F.col("b")), lambda b: F.struct(pair(a["id"], b["id"]).alias("pair"), (a["n"] * b["n"]).alias("m")))))
-    small = F.size("a").cast("long") * F.size("b") <= LARGE
-    told = one.select("wid", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.struct("grp", said.alias("said")).alias("said"), F.when(small, each).alias("pairs"), F.when(~small, large).alias("many"))
-    lists = {x: F.flatten(F.collect_list(x)).alias(x) for x in ("pairs", "many")}
-    groups = F.array_join(F.sort_array(F.collect_list("said")).getField("said"), ";")
-    return told.groupBy("wid").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count(F.lit(1)).alias("n_groups"), groups.alias("groups"), *lists.values())
+    large = LARGE
+
+    def linked(rows: pa.RecordBatch) -> pa.RecordBatch:
+        wid, grp = np.asarray(rows["wid"]), np.asarray(rows["grp"])
+        new_word = np.diff(wid, prepend=wid[0] - 1) != 0
+        new = new_word | (np.diff(grp, prepend=-1) != 0)
+        group, words = np.cumsum(new) - 1, np.flatnonzero(new_word[new])  # of each row; the first group of each word
+        sides = []
+        for side in "ab":
+            has = np.asarray(rows[side].is_valid())
+            ids, of = np.asarray(rows[side].drop_null(), dtype=np.int64), group[has]
+            n = np.bincount(of, minlength=group[-1] + 1)
+            sides.append((ids, of, n, np.cumsum(n) - n))
+        (a, a_of, n_a, a_at), (b, _, n_b, b_at) = sides
+        said = [strung(ranges(at, pa.array(ids).cast(pa.large_string())), ",") for ids, _, _, at in sides]
+        groups = strung(ranges(words, pc.binary_join_element_wise(*said, pa.scalar("|", pa.large_string()))), ";")
+        n = n_a * n_b
+        met = np.where(n <= large, n_b, 0)
+        pairs = (np.repeat(a, met[a_of]) << 32) + gather(b_at, met, b, a_of)[0]
+        sums = lambda x: np.add.reduceat(x, words)
+        n_pairs, n_many, many = sums(n_a * met), np.zeros(len(n), np.int64), [(np.zeros(0, np.int64),) * 2]
+        for g in np.flatnonzero(n > large):
+            (ids_a, m_a), (ids_b, m_b) = (np.unique(ids[at[g] : at[g] + n[g]], return_counts=True) for ids, _, n, at in sides)
+            many.append((((ids_a << 32)[:, None] + ids_b).ravel(), (m_a[:, None] * m_b).ravel()))
+            n_many[g] = len(many[-1][0])
+        many = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*many, strict=True)], ["pair", "m"])
+        begin = lambda n: np.cumsum(n) - n
+        numbers = [pa.array(x) for x in (wid[new_word], sums(n_a), sums(n_b), sums(np.ones_like(n)))]
+        return pa.record_batch([*numbers, groups.cast(pa.string()), ranges(begin(n_pairs), pa.array(pairs)), ranges(begin(sums(n_many)), many)], names=["wid", "n_a", "n_b", "n_groups", "groups", "pairs", "many"])
+
+    def run(batches):
+        with frugal():
+            yield from map(linked, together(batches, "wid", ROWS))
+
+    return rows.mapInArrow(run, LINKS)
 
 
 def _blocks(docs: pa.StructArray, ok: np.ndarray) -> Iterator[tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -187,19 +248,25 @@ def _blocks(docs: pa.StructArray, ok: np.ndarray) -> Iterator[tuple[pa.StructArr
         start = end
 
 
+def once(ids: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """The ids, each once; mark has room for all there are."""
+    at = np.arange(len(ids))
+    mark[ids] = at
+    return ids[mark[ids] == at]
+
+
 def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """(pair, n): how many documents hold each pair linked; words are (of, pos, ok, pairs).  Blocks count first."""
+    """(pair, n): how many documents hold each pair linked; words are (of, pos, ok, pairs).  Chunks count first."""
 
     def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
         lists = words.column("pairs").combine_chunks()
-        lengths, values = np.asarray(pc.list_value_length(lists), dtype=np.int64), np.asarray(lists.flatten(), dtype=np.int64)
+        lengths, pairs = np.asarray(pc.list_value_length(lists), dtype=np.int64), pc.dictionary_encode(lists.flatten())
+        starts, number = np.cumsum(lengths) - lengths, np.asarray(pairs.indices)
+        n, word, pair = np.zeros(len(pairs.dictionary), np.int64), np.zeros(len(lengths), np.int64), np.zeros(len(pairs.dictionary), np.int64)
         for _, codes, offsets, good in _blocks(docs, np.asarray(words.column("ok"))):
-            of = np.repeat(np.arange(len(good)), np.diff(offsets))
-            doc, word = np.divmod(np.unique((of * len(lengths) + codes)[good[of]]), len(lengths))  # distinct words of each document
-            held, _ = gather(np.cumsum(lengths) - lengths, lengths, values, word)
-            names, number = np.unique(held, return_inverse=True)
-            each = np.unique(np.repeat(doc, lengths[word]) * max(1, len(names)) + number)
-            yield pa.record_batch([pa.array(names), pa.array(np.bincount(each % max(1, len(names)), minlength=len(names)))], names=["pair", "n"])
+            for at in np.flatnonzero(good).tolist():
+                n[once(gather(starts, lengths, number, once(codes[offsets[at] : offsets[at + 1]], word))[0], pair)] += 1
+        yield pa.record_batch([pairs.dictionary.filter(pa.array(n > 0)), pa.array(n[n > 0])], names=["pair", "n"])
 
     return for_chunks(docs, words, made, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
@@ -209,23 +276,35 @@ def documents_of(docs: DataFrame, words: DataFrame, sums: list[str]) -> DataFram
     key = docs.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
 
     def made(docs: pa.StructArray, words: pa.Table) -> Iterator[pa.RecordBatch]:
-        numbers, groups = {s: np.asarray(words.column(s), dtype=np.int64) for s in sums}, words.column("groups").combine_chunks()
+        numbers, groups = {s: np.asarray(words.column(s), dtype=np.int64) for s in sums}, words.column("groups").combine_chunks().cast(pa.large_string())
         for some, codes, offsets, good in _blocks(docs, np.asarray(words.column("ok"))):
             totals = [np.where(good, np.add.reduceat(n[codes], offsets[:-1]), 0) for n in numbers.values()]
-            held, at = np.unique(codes, return_inverse=True)
-            said = np.array(groups.take(pa.array(held)).to_pylist(), dtype=object)
-            whole = [";".join(said[at[x:y]].tolist()) if ok else "" for x, y, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), good.tolist(), strict=True)]
-            yield pa.record_batch([some.field("doc_id"), *map(pa.array, totals), pa.array(whole, pa.string())], names=["doc_id", *sums, "groups"])
+            n = np.diff(offsets)
+            whole = strung(ranges(np.cumsum(n * good) - n * good, groups.take(pa.array(codes[np.repeat(good, n)]))), ";")
+            yield pa.record_batch([some.field("doc_id"), *map(pa.array, totals), whole.cast(pa.string())], names=["doc_id", *sums, "groups"])
 
     return for_chunks(docs, words, made, f"doc_id {key}, {', '.join(f'{s} long' for s in sums)}, groups string")
 
 
-def in_rounds(scratch: Scratch, docs: DataFrame, places: DataFrame, made: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
-    """made(docs, places) of all chunks, written by ROUNDS ranges of the partitions that the chunks come from."""
-    parts = (docs.agg(F.max("chunk")).first()[0] or 0) // (1 << 33) + 1
-    bounds = [parts * k // ROUNDS << 33 for k in range(ROUNDS + 1)]
+def bounds_of(chunked: DataFrame) -> list[int]:
+    """Bounds of ROUNDS ranges of the partitions that the chunks come from, or of as many as there are partitions."""
+    parts = (chunked.agg(F.max("chunk")).first()[0] or 0) // (1 << 33) + 1
+    return sorted({parts * k // ROUNDS << 33 for k in range(ROUNDS + 1)})
+
+
+def sent_in(words: DataFrame, k: int, rounds: int) -> DataFrame:
+    """The words with places in the chunks of round k: their numbers say so, and stand in order in the files."""
+    own = (F.col("wid") >= k << ROUND_BIT) & (F.col("wid") < k + 1 << ROUND_BIT)
+    return words.where(own | (F.col("wid") >= rounds << ROUND_BIT))
+
+
+def in_rounds(scratch: Scratch, docs: DataFrame, places: DataFrame, words: DataFrame, bounds: list[int], made: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
+    """made(docs, words at their places) of all chunks, written by the ranges between the bounds."""
     within = lambda df, c, lo, hi: df.where((F.col(c) >= lo) & (F.col(c) < hi))
-    saved = [save(scratch, made(within(docs, "chunk", lo, hi), within(places, "of", lo, hi)), name) for lo, hi in pairwise(bounds) if lo < hi]
+    saved = []
+    for k, (lo, hi) in enumerate(pairwise(bounds)):
+        known = within(places, "of", lo, hi).join(sent_in(words, k, len(bounds) - 1), "wid").drop("wid")
+        saved.append(save(scratch, made(within(docs, "chunk", lo, hi), known), name))
     return reduce(DataFrame.unionByName, saved)
 
 
@@ -237,17 +316,18 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kep
     """
     scratch = Scratch(docs.sparkSession, "alignment")
     chunked = save(scratch, coded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", split_at_borders, CHUNK), "chunks", ROW_GROUPS)
-    tokens = save(scratch, tokens_of(words_of(chunked).select("word").distinct(), a_path, b_path), "tokens")
+    bounds = bounds_of(chunked)
+    tokens = save(scratch, tokens_of(words_of(chunked), a_path, b_path, bounds), "tokens")
     # From here on words are numbers.
-    places = save(scratch, words_of(chunked).join(tokens.select("wid", "word"), "word").select(F.col("chunk").alias("of"), "pos", "wid"), "places")
     coded_docs = save(scratch, chunked.select("chunk", "docs"), "docs")
     scratch.drop(chunked)
+    places = save(scratch, tokens.select("wid", F.inline("places")), "places")
+    words = word_links(aligned(tokens)).withColumn("ok", F.lit(True)).unionByName(tokens.where(~F.col("ok")).select("wid", "ok"), allowMissingColumns=True)
     # Partitions by word number serve joins on number and end as well.
-    words = tokens.select("wid", "ok").join(word_links(aligned(tokens)), "wid", "left")
     words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
     scratch.drop(tokens)
     named = words.select("wid", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    counts = in_rounds(scratch, coded_docs, places, lambda docs, places: document_counts(docs, places.join(named, "wid").drop("wid")), "held")
+    counts = in_rounds(scratch, coded_docs, places, named, bounds, document_counts, "held")
     counts = save(scratch, counts.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
@@ -259,7 +339,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kep
     told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("wid", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
     told = save(scratch, told, "told")
     scratch.drop(words, counts)
-    return in_rounds(scratch, coded_docs, places, lambda docs, places: kept(documents_of(docs, places.join(told, "wid").drop("wid"), sums)), "documents")
+    return in_rounds(scratch, coded_docs, places, told, bounds, lambda docs, words: kept(documents_of(docs, words, sums)), "documents")
 
 
 def op13_token_alignment(spark, sf_dir):

@@ -256,6 +256,33 @@ def test_words_go_to_their_chunks_by_parts(spark, monkeypatch):
         assert rounds == 1 or max(written["documents"]) < len(rows) / 2
 
 
+def test_words_are_put_in_order_once(spark, monkeypatch):
+    """Neither a join by text finds the places of words nor are their groups collected row by row; each round is sent its own words."""
+    save, plans = alignment.Scratch.save, {}
+
+    def told(self, df, name="t", **options):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return save(self, df, name, **options)
+
+    monkeypatch.setattr(alignment.Scratch, "save", told)
+    rows = [(i, f"word{i % 7} and {i}") for i in range(40)]
+    assert sorted(map(tuple, alignment.align(frame(spark, rows).repartition(6), "doc_id", "text", A, B).collect())) == sorted(brute_alignment(rows))
+    assert "Join" not in plans["places"][0] and "collect_list" not in plans["words"][0]
+    words = spark.range(3).select((F.col("id") * (1 << alignment.ROUND_BIT)).alias("wid"))
+    assert [alignment.sent_in(words, k, 2).count() for k in range(2)] == [2, 2]  # its own and the one of several
+
+
+def test_words_stay_whole_where_batches_part_them(spark, monkeypatch):
+    rows = list(enumerate(ODD)) + [(100 + i, f"word{i % 3} {'=' * 40 * i} ok") for i in range(9)]
+    want = sorted(map(str, brute_alignment(rows)))
+    monkeypatch.setattr(alignment, "ROWS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        assert sorted(str(tuple(r)) for r in alignment.align(frame(spark, rows).repartition(5), "doc_id", "text", A, B).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_borders_leave_tokens_alone():
     tokens = alignment.both_tokenizers(A, B)
     col = pa.array([t for t in ODD if t], pa.string())
