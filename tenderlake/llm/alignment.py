@@ -52,8 +52,8 @@ SENT = 1_000_000
 ROUNDS = 4
 #: Rows that Python looks at together at least; where a word's number says in which round it is sent.
 ROWS, ROUND_BIT = 100_000, 56
-TOKENS = "wid long, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>, places array<struct<of: long, pos: int>>"
-LINKS = "wid long, n_a long, n_b long, n_groups long, groups string, pairs array<long>, many array<struct<pair: long, m: long>>"
+TOKENS = "wid long, ok boolean, a array<int>, a_len array<int>, b array<int>, b_len array<int>, chunks array<long>, at array<int>"
+LINKS = "wid long, n_a long, n_b long, n_groups long, groups string, pairs array<long>, many array<struct<pair: long, m: long>>, chunks array<long>, at array<int>"
 
 
 def split_at_borders(col: pa.Array):
@@ -145,7 +145,7 @@ def strung(lists: pa.ListArray, between: str) -> pa.Array:
 
 
 def tokens_of(words: DataFrame, a_path: str, b_path: str, bounds: list[int]) -> DataFrame:
-    """TOKENS of the distinct words of (chunk, pos, word), with their places; the numbers are those of one run.
+    """TOKENS of the distinct words of (chunk, pos, word), with all chunks and where each stands there; the numbers are those of one run.
 
     A number begins with the round whose chunks, from one of the bounds to the next, have all places of the word, or with how many rounds there are.
     """
@@ -159,14 +159,14 @@ def tokens_of(words: DataFrame, a_path: str, b_path: str, bounds: list[int]) ->
             first, last = np.minimum.reduceat(rounds, starts), np.maximum.reduceat(rounds, starts)
             wid = (np.where(first == last, first, len(bounds) - 1).astype(np.int64) << ROUND_BIT) + number + np.arange(len(ends))
             number += len(ends)
-            places = ranges(starts, pa.StructArray.from_arrays([rows["chunk"], rows["pos"]], ["of", "pos"]))
+            places = [ranges(starts, rows["chunk"]), ranges(starts, rows["pos"])]
             for at in range(0, len(ends), AT_ONCE):
                 some = plain(names.slice(at, AT_ONCE))
                 spaced = pc.binary_join_element_wise(pa.scalar("", some.type), some, pa.scalar(" ", some.type))
                 data, upto = np.frombuffer(spaced.buffers()[2], np.uint8), np.asarray(pc.binary_length(spaced)).cumsum()
                 (good_a, *a), (good_b, *b) = (t.of(some.to_pylist(), data, upto) for t in two)
                 ok = good_a & good_b & np.asarray(pc.not_equal(some, ""))
-                yield pa.record_batch([pa.array(wid[at : at + AT_ONCE]), pa.array(ok), *a, *b, places.slice(at, AT_ONCE)], names=["wid", "ok", "a", "a_len", "b", "b_len", "places"])
+                yield pa.record_batch([pa.array(wid[at : at + AT_ONCE]), pa.array(ok), *a, *b, *(x.slice(at, AT_ONCE) for x in places)], names=["wid", "ok", "a", "a_len", "b", "b_len", "chunks", "at"])
 
     def run(batches):
         with frugal():
@@ -176,21 +176,22 @@ def tokens_of(words: DataFrame, a_path: str, b_path: str, bounds: list[int]) ->
 
 
 def aligned(tokens: DataFrame) -> DataFrame:
-    """(wid, end, a, b, grp) of TOKENS: the ids that end at each byte offset where one does, and the number of cuts before it.
+    """(wid, end, a, b, chunks, at, grp) of TOKENS: the ids that end at each byte offset where one does, and the number of cuts before it.
 
-    The rows of a word stand together in the order of their ends.
+    The rows of a word stand together in the order of their ends; one has its places.
     """
     order = Window.partitionBy("wid").orderBy("pos")
 
-    def ends(side: str) -> DataFrame:
-        one = tokens.where("ok").select("wid", side, f"{side}_len").repartition("wid")  # the arrays, not the tokens
-        one = one.select("wid", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("len"))).alias("pos", "t"))
-        return one.select("wid", F.sum("t.len").over(order).alias("end"), F.col("t.id").alias(side))
+    def ends(side: str, *places: str) -> DataFrame:
+        one = tokens.where("ok").select("wid", side, f"{side}_len", *places).repartition("wid")  # the arrays, not the tokens
+        one = one.select("wid", *places, F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("len"))).alias("pos", "t"))
+        one = one.select("wid", "pos", "t", *[F.when(F.col("pos") == 0, F.col(x)).alias(x) for x in places])
+        return one.select("wid", F.sum("t.len").over(order).alias("end"), F.col("t.id").alias(side), *places)
 
-    met = ends("a").join(ends("b"), ["wid", "end"], "full").repartition("wid")
+    met = ends("a", "chunks", "at").join(ends("b"), ["wid", "end"], "full").repartition("wid")
     before = Window.partitionBy("wid").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
     cut = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1).otherwise(0)
-    return met.select("wid", "end", "a", "b", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp")).sortWithinPartitions("wid", "end")
+    return met.select("wid", "end", "a", "b", "chunks", "at", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("grp")).sortWithinPartitions("wid", "end")
 
 
 def word_links(rows: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def word_links(rows: DataFrame) -> DataFrame:
         many = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*many, strict=True)], ["pair", "m"])
         begin = lambda n: np.cumsum(n) - n
         numbers = [pa.array(x) for x in (wid[new_word], sums(n_a), sums(n_b), sums(np.ones_like(n)))]
-        return pa.record_batch([*numbers, groups.cast(pa.string()), ranges(begin(n_pairs), pa.array(pairs)), ranges(begin(sums(n_many)), many)], names=["wid", "n_a", "n_b", "n_groups", "groups", "pairs", "many"])
+        return pa.record_batch([*numbers, groups.cast(pa.string()), ranges(begin(n_pairs), pa.array(pairs)), ranges(begin(sums(n_many)), many), rows["chunks"].drop_null(), rows["at"].drop_null()], names=["wid", "n_a", "n_b", "n_groups", "groups", "pairs", "many", "chunks", "at"])
 
     def run(batches):
         with frugal():
@@ -292,19 +293,20 @@ def bounds_of(chunked: DataFrame) -> list[int]:
     return sorted({parts * k // ROUNDS << 33 for k in range(ROUNDS + 1)})
 
 
-def sent_in(words: DataFrame, k: int, rounds: int) -> DataFrame:
-    """The words with places in the chunks of round k: their numbers say so, and stand in order in the files."""
+def sent_in(words: DataFrame, k: int, bounds: list[int]) -> DataFrame:
+    """The words at their places (of, pos) in the chunks of round k.  Their numbers say who has any, and stand in order in the files."""
     own = (F.col("wid") >= k << ROUND_BIT) & (F.col("wid") < k + 1 << ROUND_BIT)
-    return words.where(own | (F.col("wid") >= rounds << ROUND_BIT))
+    some = words.where(own | (F.col("wid") >= len(bounds) - 1 << ROUND_BIT))
+    placed = some.select(*[c for c in words.columns if c not in ("wid", "chunks", "at")], F.inline(F.arrays_zip(F.col("chunks").alias("of"), F.col("at").alias("pos"))))
+    return placed.where((F.col("of") >= bounds[k]) & (F.col("of") < bounds[k + 1]))
 
 
-def in_rounds(scratch: Scratch, docs: DataFrame, places: DataFrame, words: DataFrame, bounds: list[int], made: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
+def in_rounds(scratch: Scratch, docs: DataFrame, words: DataFrame, bounds: list[int], made: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> DataFrame:
     """made(docs, words at their places) of all chunks, written by the ranges between the bounds."""
-    within = lambda df, c, lo, hi: df.where((F.col(c) >= lo) & (F.col(c) < hi))
     saved = []
     for k, (lo, hi) in enumerate(pairwise(bounds)):
-        known = within(places, "of", lo, hi).join(sent_in(words, k, len(bounds) - 1), "wid").drop("wid")
-        saved.append(save(scratch, made(within(docs, "chunk", lo, hi), known), name))
+        some = docs.where((F.col("chunk") >= lo) & (F.col("chunk") < hi))
+        saved.append(save(scratch, made(some, sent_in(words, k, bounds)), name))
     return reduce(DataFrame.unionByName, saved)
 
 
@@ -321,13 +323,16 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kep
     # From here on words are numbers.
     coded_docs = save(scratch, chunked.select("chunk", "docs"), "docs")
     scratch.drop(chunked)
-    places = save(scratch, tokens.select("wid", F.inline("places")), "places")
-    words = word_links(aligned(tokens)).withColumn("ok", F.lit(True)).unionByName(tokens.where(~F.col("ok")).select("wid", "ok"), allowMissingColumns=True)
-    # Partitions by word number serve joins on number and end as well.
-    words = save(scratch, words, "words", requireAllClusterKeysForCoPartition="false")
+    several = F.col("wid") >= len(bounds) - 1 << ROUND_BIT
+    words = []
+    for some in (tokens.where(several), tokens.where(~several)):  # those with most places, then those with most tokens: the shuffles of one part go before the next
+        told = word_links(aligned(some)).withColumn("ok", F.lit(True)).unionByName(some.where(~F.col("ok")).select("wid", "ok", "chunks", "at"), allowMissingColumns=True)
+        # Partitions by word number serve joins on number and end as well.
+        words.append(save(scratch, told, "words", requireAllClusterKeysForCoPartition="false"))
     scratch.drop(tokens)
-    named = words.select("wid", "ok", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
-    counts = in_rounds(scratch, coded_docs, places, named, bounds, document_counts, "held")
+    parts, words = words, reduce(DataFrame.unionByName, words)
+    named = words.select("wid", "ok", "chunks", "at", F.when(F.col("ok"), F.concat("pairs", F.col("many.pair"))).otherwise(F.array().cast("array<long>")).alias("pairs"))
+    counts = in_rounds(scratch, coded_docs, named, bounds, document_counts, "held")
     counts = save(scratch, counts.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("a", F.shiftright("pair", 32)), "counts")
 
     best = counts.join(counts.groupBy("a").agg(F.max("n").alias("most")), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("top"))
@@ -336,10 +341,10 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kep
     weighed = held.join(best, "pair").groupBy("wid").agg(F.sum(F.when(F.col("top"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum"))
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     n_links = F.size("pairs") + F.aggregate("many", F.lit(0).cast("long"), lambda n, x: n + x["m"])
-    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("wid", "ok", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
+    told = words.withColumn("n_links", n_links).join(weighed, "wid", "left").select("wid", "ok", "chunks", "at", *[F.coalesce(s, F.lit(0)).cast("long").alias(s) for s in sums], F.coalesce("groups", F.lit("")).alias("groups"))
     told = save(scratch, told, "told")
-    scratch.drop(words, counts)
-    return in_rounds(scratch, coded_docs, places, told, bounds, lambda docs, words: kept(documents_of(docs, words, sums)), "documents")
+    scratch.drop(*parts, counts)
+    return in_rounds(scratch, coded_docs, told, bounds, lambda docs, words: kept(documents_of(docs, words, sums)), "documents")
 
 
 def op13_token_alignment(spark, sf_dir):

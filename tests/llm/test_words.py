@@ -257,7 +257,7 @@ def test_words_go_to_their_chunks_by_parts(spark, monkeypatch):
 
 
 def test_words_are_put_in_order_once(spark, monkeypatch):
-    """Neither a join by text finds the places of words nor are their groups collected row by row; each round is sent its own words."""
+    """No join finds the places of words, nor are their groups collected row by row; each round is sent its own words."""
     save, plans = alignment.Scratch.save, {}
 
     def told(self, df, name="t", **options):
@@ -267,9 +267,9 @@ def test_words_are_put_in_order_once(spark, monkeypatch):
     monkeypatch.setattr(alignment.Scratch, "save", told)
     rows = [(i, f"word{i % 7} and {i}") for i in range(40)]
     assert sorted(map(tuple, alignment.align(frame(spark, rows).repartition(6), "doc_id", "text", A, B).collect())) == sorted(brute_alignment(rows))
-    assert "Join" not in plans["places"][0] and "collect_list" not in plans["words"][0]
-    words = spark.range(3).select((F.col("id") * (1 << alignment.ROUND_BIT)).alias("wid"))
-    assert [alignment.sent_in(words, k, 2).count() for k in range(2)] == [2, 2]  # its own and the one of several
+    assert not any("Join" in p for p in plans["tokens"] + plans["held"] + plans["documents"]) and "collect_list" not in plans["words"][0]
+    words = spark.createDataFrame([(0, [3], [7]), (1 << alignment.ROUND_BIT, [12], [8]), (2 << alignment.ROUND_BIT, [3, 12], [5, 6])], "wid long, chunks array<long>, at array<int>")
+    assert [sorted(map(tuple, alignment.sent_in(words, k, [0, 10, 20]).collect())) for k in range(2)] == [[(3, 5), (3, 7)], [(12, 6), (12, 8)]]
 
 
 def test_words_stay_whole_where_batches_part_them(spark, monkeypatch):
