@@ -321,8 +321,7 @@ def align(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, kep
     bounds = bounds_of(chunked)
     tokens = save(scratch, tokens_of(words_of(chunked), a_path, b_path, bounds), "tokens")
     # From here on words are numbers.
-    coded_docs = save(scratch, chunked.select("chunk", "docs"), "docs")
-    scratch.drop(chunked)
+    coded_docs = chunked.select("chunk", "docs")
     several = F.col("wid") >= len(bounds) - 1 << ROUND_BIT
     words = []
     for some in (tokens.where(several), tokens.where(~several)):  # those with most places, then those with most tokens: the shuffles of one part go before the next
