@@ -8,6 +8,7 @@ tasks; what comes to the driver is a weight for each feature and the steps of th
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenderlake.operators.asof import as_of
+from tenderlake.session import Scratch
 
 #: All from before the event: the vendor's history with the buyer, in the category, with amounts of this size, at all, and how recent it is.
 FEATURES = ("pair_bids", "pair_wins", "pair_recent", "is_incumbent", "category_bids", "category_wins", "vendor_bids", "vendor_win_rate", "vendor_recent", "size_fit")
@@ -24,6 +26,8 @@ FEATURES = ("pair_bids", "pair_wins", "pair_recent", "is_incumbent", "category_b
 NEGATIVES, FADE, CALIBRATION, CONFIDENT = 4, 365.0, 3, 0.5
 #: Parts in which vendors are numbered.
 PARTS = 64
+#: Held-out events whose candidates are scored in one round, and rounds at most: each reads the lists of all buyers and categories again.
+EVENTS_PER_ROUND, ROUNDS = 50_000, 16
 
 
 def _ago(ts: str) -> Column:
@@ -46,19 +50,30 @@ def _as_features(known: DataFrame, keep: list[str]) -> DataFrame:
     return known.select(*keep, *[made[f].alias(f) for f in FEATURES])
 
 
-def candidate_features(candidates: DataFrame, bids: DataFrame) -> DataFrame:
+def candidate_features(candidates: DataFrame, bids: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """candidates (event, vendor, buyer, category, amount, date, ...) with FEATURES as doubles; bids are (event, vendor, buyer, category, amount, date, won).
 
     amount is what the event is worth, as far as known beforehand.  Counts enter by their logarithm; what is unknown is 0 here, as a
     model needs a number: the history of an unknown vendor, buyer or category is no evidence for it.
+
+    Each join is written before the next reads it, so that the disk holds the shuffle of one join only; a join also counts its keys first, and
+    would make all earlier ones again for that.  What is written goes with `scratch`, if given, else when the driver ends.
     """
+    scratch = scratch or Scratch(candidates.sparkSession, "known", kept=False)
     one = F.lit(1).cast("long")
     wins = F.when(F.col("won"), 1).otherwise(0).cast("long")
     past = bids.select("vendor", "buyer", "category", "amount", "date", "event", "won")
-    out = as_of(candidates, past, ["vendor", "buyer"], "date", ["event"], {"_pair_last": F.col("date")}, {"_pair_bids": one, "_pair_wins": wins})
-    out = as_of(out, past, ["vendor", "category"], "date", ["event"], {}, {"_category_bids": one, "_category_wins": wins})
-    out = as_of(out, past, ["vendor"], "date", ["event"], {"_vendor_last": F.col("date")}, {"_vendor_bids": one, "_vendor_wins": wins, "_vendor_log": F.when(F.col("amount") > 0, F.log("amount"))})
-    out = as_of(out, past.where("won"), ["buyer"], "date", ["event", "vendor"], {"_incumbent": F.col("vendor")}, {})
+    joins = (
+        (past, ["vendor", "buyer"], ["event"], {"_pair_last": F.col("date")}, {"_pair_bids": one, "_pair_wins": wins}),
+        (past, ["vendor", "category"], ["event"], {}, {"_category_bids": one, "_category_wins": wins}),
+        (past, ["vendor"], ["event"], {"_vendor_last": F.col("date")}, {"_vendor_bids": one, "_vendor_wins": wins, "_vendor_log": F.when(F.col("amount") > 0, F.log("amount"))}),
+        (past.where("won"), ["buyer"], ["event", "vendor"], {"_incumbent": F.col("vendor")}, {}),
+    )
+    out = scratch.save(candidates, "candidates")
+    for right, key, order, last, sums in joins:
+        told = scratch.save(as_of(out, right, key, "date", order, last, sums), "known")
+        scratch.drop(out)
+        out = told
     return _as_features(out, candidates.columns)
 
 
@@ -150,22 +165,27 @@ def calibrate(model: Model, pairs: DataFrame) -> Model:
     return dataclasses.replace(model, bounds=list(map(float, found.boundaries)), values=list(map(float, found.predictions)))
 
 
-def features_after(events: DataFrame, old: DataFrame, pool: int) -> DataFrame:
-    """(event, vendor, FEATURES) of the candidates (see predicted_bidders) of events that are later than all of `old`, whose vendors and dates are known.
-
-    All of `old` is before each of them, so sums by key take the place of as-of joins.  What depends on the buyer's list or the category's
-    list alone is joined to the lists, and a vendor of both comes from the buyer's, so that candidates are shuffled once for what is left.
-    """
+def histories(old: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What is known from all of `old`, whose vendors and dates are known: by buyer and vendor, by category and vendor (both with places), by vendor, and each buyer's incumbent."""
     one, wins = F.count(F.lit(1)), F.count_if("won")
 
     def usual(by: str, name: str, *more: Column) -> DataFrame:
         n = old.where(F.col(by).isNotNull()).groupBy(by, "vendor").agg(one.alias(f"_{name}_bids"), wins.alias(f"_{name}_wins"), *more)
         return n.withColumn(f"_{name}_place", F.row_number().over(Window.partitionBy(by).orderBy(F.desc(f"_{name}_bids"), "vendor")))
 
-    pairs, kinds = usual("buyer", "pair", F.max("date").alias("_pair_last")), usual("category", "category")
     log = F.coalesce(F.sum(F.when(F.col("amount") > 0, F.log("amount"))), F.lit(0.0))
     vendors = old.groupBy("vendor").agg(F.max("date").alias("_vendor_last"), one.alias("_vendor_bids"), wins.alias("_vendor_wins"), log.alias("_vendor_log"))
     incumbents = old.where("won").groupBy("buyer").agg(F.max_by("vendor", F.struct("date", "event", "vendor")).alias("_incumbent"))
+    return usual("buyer", "pair", F.max("date").alias("_pair_last")), usual("category", "category"), vendors, incumbents
+
+
+def features_after(events: DataFrame, old: DataFrame, pool: int, known: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+    """(event, vendor, FEATURES) of the candidates (see predicted_bidders) of events that are later than all of `old`, whose vendors and dates are known.
+
+    All of `old` is before each of them, so sums by key take the place of as-of joins (`known`, if they are there already).  What depends on the buyer's
+    list or the category's list alone is joined to the lists, and a vendor of both comes from the buyer's, so that candidates are shuffled once for what is left.
+    """
+    pairs, kinds, vendors, incumbents = known or histories(old)
     told = events.select("event", "buyer", "category", "amount", "date").distinct().join(incumbents, "buyer", "left")
     by_buyer = told.join(pairs.where(F.col("_pair_place") <= pool).join(vendors, "vendor"), "buyer").join(kinds.drop("_category_place"), ["vendor", "category"], "left")
     by_kind = told.join(kinds.where(F.col("_category_place") <= pool).join(vendors, "vendor"), "category").join(pairs, ["vendor", "buyer"], "left")
@@ -186,12 +206,23 @@ def predicted_bidders(model: Model, events: DataFrame, bids: DataFrame, cutoff:
         n = old.where(F.col(by).isNotNull()).groupBy(by, "vendor").agg(F.count(F.lit(1)).alias("n"))
         return n.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), "vendor"))).where(F.col("r") <= pool).select(by, "vendor")
 
-    early = events.where(F.col("date").isNull() | (F.col("date") < when))
-    found = features_after(events.where(F.col("date") >= when), old, pool)
-    if not early.isEmpty():
-        both = [early.join(usual(by), by).select(*events.columns, "vendor") for by in ("buyer", "category")]
-        found = found.unionByName(candidate_features(both[0].unionByName(both[1]).distinct(), old).select("event", "vendor", *FEATURES))
+    scratch = Scratch(bids.sparkSession, "predicted", kept=False)
+    events = scratch.save(events, "events")
+    early, late = events.where(F.col("date").isNull() | (F.col("date") < when)), events.where(F.col("date") >= when)
+    lists = Scratch(bids.sparkSession, "histories", sent=False, kept=False)
+    known = tuple(lists.save(df, "history") for df in histories(old))
     # Contributions are told of the best only: they would be most of what is shuffled.
     best = Window.partitionBy("event").orderBy(F.desc("raw_score"), "vendor")
-    placed = found.withColumn("raw_score", model.raw()).withColumn("place", F.row_number().over(best).cast("long")).where(F.col("place") <= top)
-    return model.score(placed).select("event", "vendor", "place", "probability", "confident", "contributions", "raw_score")
+
+    def placed(found: DataFrame) -> DataFrame:
+        return scratch.save(found.withColumn("raw_score", model.raw()).withColumn("place", F.row_number().over(best).cast("long")).where(F.col("place") <= top), "placed")
+
+    # An event has all of its candidates in one round, and the disk holds the shuffles of one round.
+    n = min(ROUNDS, -(-events.count() // EVENTS_PER_ROUND)) or 1
+    parts = [placed(features_after(late.where(F.pmod(F.xxhash64("event"), F.lit(n)) == r), old, pool, known)) for r in range(n)]
+    if not early.isEmpty():
+        both = [early.join(usual(by), by).select(*events.columns, "vendor") for by in ("buyer", "category")]
+        parts.append(placed(candidate_features(both[0].unionByName(both[1]).distinct(), old).select("event", "vendor", *FEATURES)))
+    scratch.drop(events)
+    lists.clear()
+    return model.score(reduce(DataFrame.unionByName, parts)).select("event", "vendor", "place", "probability", "confident", "contributions", "raw_score")

@@ -454,6 +454,28 @@ def test_features_after_all_bids_are_those_of_the_as_of_joins(spark):
     assert "_side" not in plan
 
 
+def shuffled(spark):
+    """Bytes of the shuffles on disk."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+
+def test_each_as_of_join_of_predictions_is_written_and_its_shuffle_goes(spark):
+    from tenderlake.operators import prediction
+    from tenderlake.session import Scratch
+
+    bids = history(spark, 60)
+    plan = prediction.candidate_features(prediction.training_pairs(bids), bids)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    left = []
+    for kept in (True, False):
+        before = shuffled(spark)
+        Scratch(spark, "t", kept=kept).save(bids.groupBy("vendor").count())
+        left.append(shuffled(spark) - before)
+    assert left[0] > 0 == left[1]
+
+
 # ---- contracts, links, fetches, spend, gaps ----
 
 
