@@ -31,15 +31,45 @@ def shingled(df: DataFrame, text: str, width: int) -> DataFrame:
     return once.withColumn("set", F.when(F.size("_w") >= width, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))).drop("_w")
 
 
+def near_texts(df: DataFrame, id_col: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(id_col, text) of the texts that may have a near copy or an exact one (see fuzzy_pairs); none that has one is missing.
+
+    Two sets this similar differ from what they share by at most few(n) = n - ceil(n * num / den) shingles.  So of the 2 * few(n) + 1 smallest shingles of a
+    set, few(n) + 1 at least are the other's as well, and where the largest of these is smaller than the other's, they are among the other's smallest.  As
+    the other set has ceil(n * num / den) shingles at least, this many shared ones (`need`) are known for both without seeing the rest: only
+    the smallest are shuffled and counted, and texts that share fewer go no further.
+    """
+    scratch = Scratch(df.sparkSession, "near", sent=False, kept=False)
+    part = lambda n: F.ceil(n * num / den)
+    sample = lambda n: F.least(n, 2 * (n - part(n)) + 1)
+    need = lambda n: sample(n) - (n - part(n))
+    sets = shingled(df.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", width)
+    sets = sets.select("id", F.size("set").alias("n"), F.sort_array("set").alias("set")).where("n > 0")
+    some = sets.select("id", "n", F.explode(F.slice("set", F.lit(1), sample(F.col("n")).cast("int"))).alias("s"))
+    shared = some.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("freq > 1")
+    ids = scratch.save(shared.groupBy("id", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= need(part(F.col("n")))).select(F.col("id").alias(id_col)), "ids")
+    near = scratch.save(df.select(id_col, text).join(ids, id_col, "left_semi"), "near")
+    scratch.drop(ids)
+    return near
+
+
 def fuzzy_pairs(df: DataFrame, id_col: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(id_a, id_b, common, either): pairs of distinct texts whose shingle sets have den * common >= num * either.
 
-    Equal texts are one class, named by its smallest id.  Two sets this similar share one of their
+    Equal texts are one class, named by its smallest id.  Only texts that may have a near copy are compared.
+    """
+    return pairs_among(near_texts(df, id_col, text, width, num, den), id_col, text, width, num, den)
+
+
+def pairs_among(df: DataFrame, id_col: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """fuzzy_pairs of these texts.
+
+    Two sets this similar share one of their
     rarest shingles (the first n - ceil(n * num / den) + 1 in the order of frequency), so only those are
     joined; the sets of the pairs found are then compared in full.  A shingle of one set only is rarest and pairs nobody: it has to be counted, and
     what several sets have is all that goes back to its set.
     """
-    scratch = Scratch(df.sparkSession, "fuzzy", sent=False)
+    scratch = Scratch(df.sparkSession, "fuzzy", sent=False, kept=False)
     classes = df.where(F.col(text).isNotNull()).groupBy(F.sha2(text, 256)).agg(F.min(id_col).alias("id"), F.any_value(text).alias("text"))
     sets = shingled(classes.select("id", "text"), "text", width).where(F.size("set") > 0)
     one = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("s"))

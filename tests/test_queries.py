@@ -145,6 +145,36 @@ def test_fuzzy_pairs_send_back_only_shared_shingles(spark, monkeypatch):
     assert {r["id"]: (r["n"], len(r["held"])) for r in saved["held"].collect()} == {0: (56, 56), 9: (57, 56)}
 
 
+def test_texts_without_near_copies_are_left_out_before_their_sets_are_compared(spark):
+    """Pairs are those of brute force, also at the threshold, and a common passage alone brings no text further."""
+    import random
+
+    from tenderlake.operators import dedupe
+
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = {}
+    for i in range(12):
+        words = [f"d{i}w{j}" for j in range(rng.choice([6, 9, 20, 60, 140]))]
+        texts[10 * i] = " ".join(words)
+        for k in range(1, 6):
+            other = list(words)
+            for _ in range(rng.choice([1, 1, 1, 2, 3])):
+                at = rng.randrange(len(other))
+                other[at : at + rng.choice([0, 1])] = [f"new{rng.randrange(10**9)}"] * rng.choice([0, 1, 1, len(words) // 20])
+            texts[10 * i + k] = " ".join(other)
+    texts |= {1000 + i: " ".join([*[f"alone{i}w{j}" for j in range(80)], passage]) for i in range(6)}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    first = {}
+    for i in sorted(texts):
+        first.setdefault(texts[i], i)
+    want = {(a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in first.values() for b in first.values() if a < b and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    df = spark.createDataFrame(list(texts.items()), "id long, t string")
+    assert {tuple(r) for r in dedupe.fuzzy_pairs(df, "id", "t").collect()} == want and len(want) > 30
+    near = {r["id"] for r in dedupe.near_texts(df, "id", "t").collect()}
+    assert near >= {i for p in want for i in p[:2]} and not near & set(range(1000, 1006)) and len(near) < len(texts)
+
+
 def test_similar_events_of_hot_commodities_and_wide_events(spark, monkeypatch):
     import random
 
