@@ -476,6 +476,17 @@ def test_each_as_of_join_of_predictions_is_written_and_its_shuffle_goes(spark):
     assert left[0] > 0 == left[1]
 
 
+def test_precision_of_the_model_stores_its_bids_once(spark, monkeypatch):
+    from tenderlake.operators import prediction
+    from tenderlake.plans import registry
+
+    names, save = [], registry.Scratch.save
+    monkeypatch.setattr(registry.Scratch, "save", lambda self, df, name="t", **more: (names.append(name), save(self, df, name, **more))[1])
+    monkeypatch.setattr(prediction, "fit", lambda pairs: prediction.Model(dict.fromkeys(prediction.FEATURES, 0.1), 0.0, [], []))
+    got = {r["way"]: r["n_events"] for r in registry.QUERIES["s34_precision_of_model"](spark, "/root/testdata/sf0.001").collect()}
+    assert names.count("bids") == 1 and got.keys() == {"model", "fixed_weights"} and len(set(got.values())) == 1
+
+
 # ---- contracts, links, fetches, spend, gaps ----
 
 
